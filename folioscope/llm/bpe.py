@@ -15,7 +15,9 @@ Other columns are ignored.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ WORDS_A_CHUNK = 96
 #: A stretch of more bytes without white space is cut by position; joins there are repaired.
 LONGEST_WORD = 1 << 16
 #: Bytes of chunks that each of two generations of the memo holds.
-MEMO_BYTES = 24 << 20
+MEMO_BYTES = 6 << 20
 #: Below this code point the two libraries' character classes are known to agree; chunks with others use the reference library.
 PLAIN_BELOW = "ɐ"
 #: White space as both libraries' patterns see it.
@@ -43,8 +45,8 @@ class Engine:
 
     def __init__(self, path: str, memo_bytes: int = MEMO_BYTES) -> None:
         import tiktoken
-        import tokenizers
 
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -60,12 +62,9 @@ class Engine:
             self.bytes_of[i] = token.encode()
         self.pattern = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
         self.fast = tiktoken.Encoding("own", pat_str=r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+", mergeable_ranks=ranks, special_tokens={})
-        self.slow = tokenizers.Tokenizer.from_file(path)
-        self.slow.no_truncation()
-        self.slow.no_padding()
         self.split = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
-        self.young: dict[str, tuple[list[int], bytes]] = {}
-        self.old: dict[str, tuple[list[int], bytes]] = {}
+        self.young: dict[str, tuple[array, bytes]] = {}
+        self.old: dict[str, tuple[array, bytes]] = {}
         self.held = self.encoded = self.reused = 0
         self.memo_bytes = memo_bytes
 
@@ -78,24 +77,34 @@ class Engine:
             cls.made[key] = cls(path)
         return cls.made[key]
 
+    @cached_property
+    def slow(self):
+        """The reference library's tokenizer; loaded only if a text needs it."""
+        import tokenizers
+
+        made = tokenizers.Tokenizer.from_file(self.path)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
     def plain(self, text: str) -> list[int]:
         """Token ids of a text without special tokens."""
-        if text.isascii() or max(text) < PLAIN_BELOW:
+        if text.isascii() or (max(text) < PLAIN_BELOW and "\x85" not in text):  # U+0085 is white space to one of them only
             return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         of = self.bytes_of
         return b"".join([of[i] for i in ids])
 
-    def chunk(self, text: str) -> tuple[list[int], bytes]:
+    def chunk(self, text: str) -> tuple[array, bytes]:
         """Ids of a chunk and what they decode to, from the memo if it was seen before."""
         if (got := self.young.get(text)) is not None:
             self.reused += 1
             return got
         if (got := self.old.get(text)) is None:
             ids = self.plain(text)
-            got = ids, self.decode(ids)
+            got = array("I", ids), self.decode(ids)
             self.encoded += 1
         else:
             self.reused += 1
@@ -105,7 +114,7 @@ class Engine:
             self.old, self.young, self.held = self.young, {}, 0
         return got
 
-    def joined(self, left: str, ids: list[int], right: str, more: list[int]) -> list[int]:
+    def joined(self, left: str, ids: array, right: str, more: array) -> array:
         """Ids of left + right from the ids of both; `ids` starts at a true boundary."""
         if not right or not left or (right[0] in SPACE and left[-1] not in SPACE):
             return ids + more
@@ -116,16 +125,17 @@ class Engine:
                 break
             sure = m.end()
         theirs = {len(left) + m.end() for m in self.pattern.finditer(right)}
-        text, agreed = left + right, len(left) + len(right)
+        text, agreed, between = left + right, len(left) + len(right), []
         for m in self.pattern.finditer(text, sure):
+            between += self.plain(m[0])
             if m.end() in theirs:
                 agreed = m.end()
                 break
         keep = self._cut(ids, len(left[:sure].encode()))
         skip = self._cut(more, len(right[: agreed - len(left)].encode()))
-        return ids[:keep] + self.plain(text[sure:agreed]) + more[skip:]
+        return ids[:keep] + array("I", between) + more[skip:]
 
-    def _cut(self, ids: list[int], size: int) -> int:
+    def _cut(self, ids: array, size: int) -> int:
         """How many ids make up the first `size` bytes."""
         at = 0
         for k, i in enumerate(ids):
@@ -134,9 +144,9 @@ class Engine:
             at += len(self.bytes_of[i])
         return len(ids)
 
-    def encode(self, text: str, cuts: Callable[[str], list[str]]) -> tuple[list[int], bytes]:
+    def encode(self, text: str, cuts: Callable[[str], list[str]]) -> tuple[array, bytes]:
         """Ids of a text and what they decode to. `cuts` splits a text into chunks, which may be cut anywhere."""
-        ids: list[int] = []
+        ids = array("I")
         out: list[bytes] = []
         at = 0
         for m in [*(self.split.finditer(text) if self.split and any(s in text for s in self.special) else ()), None]:
@@ -149,8 +159,8 @@ class Engine:
                 at = m.end()
         return ids, b"".join(out)
 
-    def _pieces(self, chunks: list[str]) -> Iterator[tuple[list[int], bytes]]:
-        held: tuple[str, list[int], bytes] | None = None
+    def _pieces(self, chunks: list[str]) -> Iterator[tuple[array, bytes]]:
+        held: tuple[str, array, bytes] | None = None
         for text in chunks:
             if not text:
                 continue
@@ -214,12 +224,12 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                     if any(s.encode() in own for s in engine.special):
                         got, text = engine.encode(own.decode(), lambda piece: _again(piece))
                     else:
-                        got, text = [], []
+                        got, text = array("I"), []
                         for i, b in engine._pieces(chunks):
                             got += i
                             text.append(b)
                         text = b"".join(text)
-                    ids.append(np.array(got, "<u4").tobytes())
+                    ids.append(np.frombuffer(got, "u4").astype("<u4").tobytes() if got else b"")
                     texts.append(text.decode("utf-8", "replace"))
                 yield T.batches({"doc_id": part.column("doc_id"), "ids": ids, "decoded": texts}, schema)
 
