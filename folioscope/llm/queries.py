@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat
+from . import bpe, chat, langid, toxicity
 from .textops import table
 
 #: The vocabulary files are never copied; the path is a parameter.
@@ -31,6 +31,17 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(rows))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(toxicity.training_rows(docs, spark.read.parquet(table(sf_dir, "labels"))))
+    return toxicity.classify(docs, model)
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.classify(docs, langid.train(langid.training_rows(docs))).drop("spans")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(documents(spark, sf_dir), tokenizer_path())
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -38,6 +49,8 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_toxicity": op2_toxicity,
+    "op4_language_id": op4_language_id,
     "op7_bpe": op7_bpe,
 }
 
