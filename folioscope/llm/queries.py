@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, toxicity
+from . import bpe, chat, langid, repeats, simhash, toxicity
 from .textops import table
 
 #: The vocabulary files are never copied; the path is a parameter.
@@ -42,16 +42,26 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(docs, langid.train(langid.training_rows(docs))).drop("spans")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(documents(spark, sf_dir), tokenizer_path())
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
     "op4_language_id": op4_language_id,
+    "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 SQL: dict[str, str] = {
