@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, repeats, simhash, toxicity
+from . import bpe, chat, decontam, langid, repeats, simhash, toxicity
 from .textops import table
 
 #: The vocabulary files are never copied; the path is a parameter.
@@ -42,6 +42,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(docs, langid.train(langid.training_rows(docs))).drop("spans")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(documents(spark, sf_dir), spark.read.parquet(table(sf_dir, "benchmark")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
     "op4_language_id": op4_language_id,
+    "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op9_substring_dedup": op9_substring_dedup,
@@ -81,4 +87,32 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(CASE WHEN before IS NULL AND role IN ('system', 'user') OR before = 'system' AND role = 'user' OR before = 'user' AND role = 'assistant'
     OR before = 'assistant' AND role = 'user' THEN 0 ELSE 1 END) AS BIGINT) AS n_out_of_order
 FROM marked GROUP BY conv_id""",
+    "op5_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+g AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[a:a + least(len(w), 10) - 1], ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS a FROM i WHERE len(w) > 0)),
+s AS (SELECT DISTINCT n FROM g),
+x AS (SELECT r, n, a, array_to_string(w[a:a + n - 1], ' ') AS gram FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS a FROM d, s WHERE len(w) >= n)),
+h AS (SELECT x.r, x.a, x.n, g.item_id FROM x JOIN g ON x.gram = g.gram AND x.n = g.n),
+c AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(a, a + n)) AS p FROM (SELECT DISTINCT r, a, n FROM h)) GROUP BY r),
+m AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items,
+  sha256(coalesce(m.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN m USING (r)""",
+    "op9_substring_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT r, a, array_to_string(w[a:a + 34], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS a FROM d WHERE len(w) >= 35)),
+c AS (SELECT DISTINCT r, unnest(range(a, a + 35)) AS p FROM x JOIN (SELECT k FROM x GROUP BY k HAVING count(*) > 1) USING (k)),
+e AS (SELECT r, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM d),
+k AS (SELECT e.r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM e ANTI JOIN c USING (r, p) GROUP BY e.r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)""",
 }
