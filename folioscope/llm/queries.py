@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, repeats, simhash, toxicity
+from . import bpe, chat, decontam, langid, repeats, secret_scan, simhash, toxicity
 from .textops import table
 
 #: The vocabulary files are never copied; the path is a parameter.
@@ -56,6 +56,16 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir))
+    counts = {f"n_{k}": F.size(F.filter("base", _is(k))).cast("long") for k in secret_scan.KINDS[:3]}
+    return found.select("doc_id", *(c.alias(n) for n, c in counts.items()), F.sha2(secret_scan.listing(F.col("base")), 256).alias("base_sha256"), secret_scan.listing(F.col("spans")).alias("spans"))
+
+
+def _is(kind: str) -> Callable[[Column], Column]:
+    return lambda s: s["kind"] == kind
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
@@ -67,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
+    "op8_secret_scan": op8_secret_scan,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
