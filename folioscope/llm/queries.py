@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, repeats, secret_scan, simhash, toxicity
+from . import bpe, chat, decontam, langid, pivot_search, repeats, secret_scan, simhash, toxicity
 from .textops import table
 
 #: The vocabulary files are never copied; the path is a parameter.
@@ -37,6 +37,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, model)
 
 
+def op3_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_k(spark.read.parquet(table(sf_dir, "embeddings")), F.col("id") % 50 == 0)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.classify(docs, langid.train(langid.training_rows(docs))).drop("spans")
@@ -73,6 +77,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
+    "op3_pivot_search": op3_pivot_search,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
@@ -98,6 +103,15 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(CASE WHEN before IS NULL AND role IN ('system', 'user') OR before = 'system' AND role = 'user' OR before = 'user' AND role = 'assistant'
     OR before = 'assistant' AND role = 'user' THEN 0 ELSE 1 END) AS BIGINT) AS n_out_of_order
 FROM marked GROUP BY conv_id""",
+    "op3_pivot_search": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0) q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e))
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op5_decontamination": r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
