@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, pivot_search, repeats, secret_scan, simhash, toxicity
+from . import bpe, chat, decontam, langid, pii, pivot_search, repeats, secret_scan, simhash, toxicity
 from .textops import table
 
 #: The vocabulary files are never copied; the path is a parameter.
@@ -74,6 +74,14 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.extract(docs, pii.learn(docs))
+    counts = [F.size(F.filter("spans", _is(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]]
+    base = F.filter("spans", lambda s: s["kind"] != "context")
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listing(base), 256).alias("base_sha256"), secret_scan.listing(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
@@ -84,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_secret_scan": op8_secret_scan,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_pii": op10_pii,
 }
 
 SQL: dict[str, str] = {
