@@ -138,3 +138,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mo
     spread = rows.withColumn("key", F.coalesce("key", F.concat(F.lit("-"), F.xxhash64("doc_id").cast("string"))))
     none = F.array().cast("array<string>")
     return spread.join(items, "key", "left").select("doc_id", "n_words", "n_hit", F.coalesce("items", none).alias("items"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = BROADCAST_GRAMS) -> DataFrame:
+    """The rows, with all their columns, that no window of an item occurs in."""
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    return scan(rows, benchmark, window, ["row"], most)[0].where("n_hit = 0").select("row.*")

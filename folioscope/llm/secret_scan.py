@@ -164,7 +164,7 @@ def thresholds(docs: DataFrame, fdr: float = FDR) -> dict[int, float]:
 def scan(docs: DataFrame, fdr: float = FDR, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns to keep, base and spans: structs (start, kind_no, end, kind) of every row, sorted; spans holds base and what the battery adds."""
     reach = thresholds(docs, fdr)
-    rows = docs.select(*keep, *(() if "text" in keep else ("text",))).withColumn("text", F.coalesce("text", F.lit("")))
+    rows = docs.select(*keep, *(() if "text" in keep else ("text",))).withColumn("text", F.coalesce("text", F.lit("")))  # null: empty
     rows = _tokens(_base(rows))
 
     def fine(m: Column) -> Column:
@@ -196,3 +196,12 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
         return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
 
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, add, end))
+
+
+def without_secrets(docs: DataFrame, fdr: float = FDR, mark: str = "[SECRET]") -> DataFrame:
+    """All rows with all their columns; secrets in `text` are replaced by a mark, and n_chars, if there, follows. A null text stays null."""
+    found = scan(docs.select(F.struct("*").alias("row"), "text"), fdr, ("row", "text"))
+    clean = F.when(F.col("row.text").isNull(), F.lit(None)).otherwise(redact(F.col("text"), F.col("spans"), mark))
+    out = found.select("row", clean.alias("clean"))
+    changed = {"text": F.col("clean"), "n_chars": F.length("clean").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return out.select(*(changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

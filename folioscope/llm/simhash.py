@@ -177,5 +177,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, with all its columns.
+
+    Rows without a doc_id can't be told apart and stay. Rows that repeat a doc_id stay if one of them is to stay.
+    """
+    found = near_duplicates(docs, shingle, radius)
+    gone = found.groupBy("doc_id").agg(F.max(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))).alias("stays")).where("not stays").select("doc_id")
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

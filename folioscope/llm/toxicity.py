@@ -130,6 +130,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label", "order")
 
 
+def _scores(part: pa.RecordBatch, weight: np.ndarray, intercept: float) -> np.ndarray:
+    row, index = features(part.column("text"))
+    hit = np.flatnonzero(weight[index])
+    pairs = np.unique(row[hit].astype(np.int64) << DIM_BITS | index[hit])
+    total = np.bincount(pairs >> DIM_BITS, weight[pairs & ((1 << DIM_BITS) - 1)], minlength=part.num_rows) + intercept
+    return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and the probability of label 1 of every whole text."""
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -138,11 +146,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         weight = model.dense()
         for batch in source:
             for part in T.steps(batch, "text"):
-                row, index = features(part.column("text"))
-                hit = np.flatnonzero(weight[index])
-                pairs = np.unique(row[hit].astype(np.int64) << DIM_BITS | index[hit])
-                total = np.bincount(pairs >> DIM_BITS, weight[pairs & ((1 << DIM_BITS) - 1)], minlength=part.num_rows) + model.intercept
-                yield T.batches({"doc_id": part.column("doc_id"), "score": 1 / (1 + np.exp(-np.clip(total, -35, 35)))}, schema)
+                yield T.batches({"doc_id": part.column("doc_id"), "score": _scores(part, weight, model.intercept)}, schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
@@ -150,3 +154,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def classify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, that score below the threshold."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = model.dense()
+        for batch in source:
+            for part in T.steps(batch, "text"):
+                yield part.filter(pa.array(_scores(part, weight, model.intercept) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
