@@ -143,4 +143,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mo
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = BROADCAST_GRAMS) -> DataFrame:
     """The rows, with all their columns, that no window of an item occurs in."""
     rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    return scan(rows, benchmark, window, ["row"], most)[0].where("n_hit = 0").select("row.*")
+    found = scan(rows, benchmark, window, ["row"], most)[0]
+    # not a plain filter: Catalyst would push it down to the scan and with it tokenise a text again for each of its words
+    kept = found.select(F.explode_outer(F.when(F.col("n_hit") == 0, F.array("row"))).alias("row"))
+    return kept.where("row IS NOT NULL").select("row.*")
