@@ -157,7 +157,11 @@ def normal_name(c: Column, keep_commas: bool = True) -> Column:
 
 def words(c: Column, stopwords: tuple[str, ...] = STOPWORDS) -> Column:
     """Topic words: ASCII letters and digits in lower case, three or more, none of the stop words."""
-    cleaned = F.regexp_replace(F.lower(strip_markdown(c)), "[^a-z0-9]+", " ")
+    # as strip_markdown, but for marks and white space, which the last step turns into spaces anyway
+    out = F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\[([^\]]+)\]\([^)]+\)", "$1")
+    for entity in ("&amp;", "&lt;", "&gt;"):
+        out = F.replace(out, F.lit(entity), F.lit("&" if entity == "&amp;" else " "))
+    cleaned = F.regexp_replace(F.lower(out), "[^a-z0-9]+", " ")
     return F.filter(F.split(cleaned, " "), lambda t: (F.length(t) >= 3) & ~t.isin(*stopwords))
 
 

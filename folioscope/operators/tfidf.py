@@ -9,15 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import terms
+from ..functions.text import bigrams as pairs
+from ..functions.text import words
 
 
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bigrams: bool = True) -> DataFrame:
     """(id, term, tf)."""
-    from ..functions.text import words
-
-    found = terms(F.col(text_col)) if bigrams else words(F.col(text_col))
-    return docs.select(id_col, F.explode(found).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
+    # the words are a column of their own, as each text would otherwise be cut once for every use of them
+    cut = docs.select(id_col, words(F.col(text_col)).alias("_words"))
+    found = F.concat("_words", pairs(F.col("_words"))) if bigrams else F.col("_words")
+    return cut.select(id_col, F.explode(found).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
 
 
 def document_counts(counts: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, html, keys, text
 from ..operators import archive, budget, dedup, feedback, filters, joins, policy, quality, rank, tfidf
 from . import pipeline
-from .driver_tables import DECISIONS_SQL, EDITION, PAPERS_SQL, SENT_SQL, VOTES_SQL, decisions, papers, read, sent, votes
+from .driver_tables import DECISIONS_SQL, EDITION, PAPERS_SQL, SENT_SQL, VOTES_SQL, decisions, papers, read, sent, spread, votes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -345,18 +345,18 @@ dfs AS (SELECT term, count(*) AS df FROM tc GROUP BY term), n AS (SELECT count(*
 
 
 def _counts(spark, d):
-    return tfidf.term_counts(read(spark, d, "documents"))
+    return tfidf.term_counts(spread(read(spark, d, "documents").select("doc_id", "text")))
 
 
 @_query(f"WITH {_TOKENS} SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, md5(array_to_string(w, ' ')) AS digest FROM tok")
 def tokenize(spark, d):
-    rows = read(spark, d, "documents").select("doc_id", text.words(F.col("text")).alias("w"))
+    rows = spread(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", text.words(F.col("text")).alias("w"))
     return rows.select("doc_id", F.size("w").cast("long").alias("n_words"), F.md5(F.array_join("w", " ").cast("binary")).alias("digest"))
 
 
 @_query(f"WITH {_TOKENS} SELECT doc_id, md5(array_to_string(list_transform(range(1, len(w)), lambda i: w[i] || '_' || w[i + 1]), ' ')) AS digest FROM tok")
 def bigrams(spark, d):
-    rows = read(spark, d, "documents").select("doc_id", text.words(F.col("text")).alias("w"))
+    rows = spread(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", text.words(F.col("text")).alias("w"))
     return rows.select("doc_id", F.md5(F.array_join(text.bigrams(F.col("w")), " ").cast("binary")).alias("digest"))
 
 
@@ -396,7 +396,7 @@ def centroid(spark, d):
 raw AS (SELECT side, term, sum(v * weight) AS c FROM unit JOIN t USING (id) WHERE side <> 0 GROUP BY ALL), cen AS (SELECT term, sum(side * c / norm) AS c FROM (SELECT *, sqrt(sum(c * c) OVER (PARTITION BY side)) AS norm FROM raw) GROUP BY term)
 SELECT doc_id, round(coalesce(s, 0.0), 5) + 0.0 AS score FROM documents LEFT JOIN (SELECT id, sum(v * c) AS s FROM unit JOIN cen USING (term) GROUP BY id) ON id = 'c' || doc_id""")
 def tfidf_score(spark, d):
-    docs, labels = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "labels")
+    docs, labels = spread(read(spark, d, "documents").select("doc_id", "text")), read(spark, d, "labels")
     positive = docs.join(labels.where("quality = 1 AND toxic = 0"), "doc_id", "left_semi").withColumn("weight", F.lit(2.0))
     negative = docs.join(labels.where("toxic = 1"), "doc_id", "left_semi").withColumn("weight", F.lit(1.0))
     return tfidf.scores(docs, positive, negative).select("doc_id", (F.round("score", 5) + 0.0).alias("score"))
@@ -575,7 +575,7 @@ def escape_markdown(spark, d):
 @_query("""SELECT doc_id, CASE WHEN c = '' THEN 'Summary unavailable.' WHEN s <> '' THEN trim(s) WHEN length(c) > 360 THEN trim(left(c, 360)) || '…' ELSE c END AS summary
 FROM (SELECT doc_id, c, regexp_extract(c, '^(.{40,600}?[.!?])(?:\\s|$)', 1) AS s FROM (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS c FROM documents))""")
 def extractive_summary(spark, d):
-    return read(spark, d, "documents").select("doc_id", text.extractive_summary(F.col("text")).alias("summary"))
+    return spread(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", text.extractive_summary(F.col("text")).alias("summary"))
 
 
 @_query(f"{_P} SELECT seq, array_to_string(list_filter(['title:' || nullif(regexp_replace(lower(title), '[^\\p{{L}}\\p{{Nd}}]', '', 'g'), ''), 'doi:' || lower(doi)], lambda k: k IS NOT NULL), ' ') AS identity, CASE WHEN doi IS NOT NULL THEN 'doi:' || lower(doi) ELSE 'link:' || link END AS single, array_to_string(list_filter(['doi:' || lower(doi), 'link:' || link, 'title:' || nullif(regexp_replace(lower(regexp_replace(title, '<[^>]+>|[*_`#>{{}}\\[\\]]', ' ', 'g')), '[^a-z0-9]+', '', 'g'), '')], lambda k: k IS NOT NULL), ' ') AS candidate FROM papers")
@@ -645,12 +645,12 @@ def abstract_cleaners(spark, d):
 
 @_query()
 def html_text(spark, d):
-    return read(spark, d, "pages").select("page_id", html.html_to_text("html").alias("text"))
+    return spread(read(spark, d, "pages")).select("page_id", html.html_to_text("html").alias("text"))
 
 
 @_query()
 def page_metadata(spark, d):
-    return read(spark, d, "pages").select("page_id", html.scrape_metadata("html").alias("m")).select("page_id", "m.*")
+    return spread(read(spark, d, "pages")).select("page_id", html.scrape_metadata("html").alias("m")).select("page_id", "m.*")
 
 
 @_query(f"""{_P} SELECT seq, split_part(split_part(t, chr(10) || 'body', 1), '---' || chr(10), 2) AS head FROM (SELECT seq, '---' || chr(10) || 'title: "Aug 3 26"' || chr(10) || 'edition_id: "2026-08-03"' || chr(10) || 'window_end_date: "2026-08-10"' || chr(10) || 'author: ' || source || chr(10) || 'body' AS t FROM papers)""")

@@ -20,6 +20,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, least_bytes: int = 8 << 20) -> DataFrame:
+    """Deals a small table evenly to all cores before work that costs much per row: a file of one row group is read by one task, whatever
+    its size. A table that gives every core `least_bytes` to read is left as it lies, so nothing large is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * least_bytes else df
+
+
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("doc_id")
     return read(spark, sf_dir, "documents").select(
