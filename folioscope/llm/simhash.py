@@ -173,7 +173,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     member = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     least = member.join(nodes, member.node == nodes.fp).groupBy("root").agg(F.min("first").alias("component_id"))
     linked = member.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    of = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    # a table of its own, so that both sides of the last join are plain exchanges and Spark may split a fingerprint of many copies
+    of = settle(nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")))
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
