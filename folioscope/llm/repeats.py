@@ -1,12 +1,15 @@
-"""Substring dedup: removes every word covered by a window of `window` words whose word sequence also starts elsewhere.
+"""Substring dedup by suffix automata of reference shards: removes every word covered by a window of `window` words whose word sequence also
+starts elsewhere.
 
-How repeated windows are found without comparing all windows of a corpus with each other:
+The reference is the corpus itself, which no broadcast can hold, so its shards are content-defined and texts are routed to them:
 
 1. every window is represented by its anchor, the least hash among its `gram`-word runs (leftmost on ties), so equal windows have
    equal anchors. About one word in fifteen is an anchor. Anchors that occur once in the corpus are dropped;
-2. windows whose anchor is shared travel as 64-bit hashes under their anchor's 64-bit hash, so two windows count as equal only
-   if 128 bits agree;
-3. windows found repeated come back to their document as bit masks, and the words they cover are removed.
+2. a shard is what surrounds one shared anchor: the stretches of words whose windows it represents, from all texts. A suffix automaton of the
+   shard's distinct stretches, weighted by their occurrences, is built, and the stretches are streamed through it: where the longest match
+   covers a window and its state occurs at least twice, the window is repeated. Words are compared, not hashes;
+3. a shard of more stretches than `SHARD` is cut; what one cut can't decide on its own meets once more under its window's hash;
+4. repeated windows come back to their document as bit masks, and the maximal spans they cover are removed.
 
 Before any shuffle a task settles what repeats within its own step of texts and sends one representative, so a passage that
 stands in a third of all documents costs one row per step, not one per document. Texts are shuffled once; both joins read that exchange.
@@ -17,21 +20,89 @@ Rows that share doc_id and text share their result. Empty table: no rows. Other
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
 
 WINDOW, GRAM = 35, 8
+#: Stretches of one shard, at most; an automaton of so many takes a few tens of MB.
+SHARD = 1024
 _PLACE_BITS = 30  # words that one step may hold; the other bits of an anchor's hash decide which gram is least
 
-ROW = pa.schema([("key", pa.int64()), ("rid", pa.int64()), ("pos", pa.int32()), ("sent", pa.int64()), ("known", pa.int64()), ("hashes", pa.binary())])
-ROW_DDL = "key long, rid long, pos int, sent long, known long, hashes binary"
+ROW = pa.schema([("key", pa.int64()), ("rid", pa.int64()), ("pos", pa.int32()), ("sent", pa.int64()), ("known", pa.int64()), ("words", pa.binary())])
+ROW_DDL = "key long, rid long, pos int, sent long, known long, words binary"
+
+
+class SuffixAutomaton:
+    """A suffix automaton of several word sequences, with the number of places where each state's words end."""
+
+    def __init__(self) -> None:
+        self.to: list[dict[bytes, int]] = [{}]
+        self.link, self.length, self.count = [-1], [0], [0]
+
+    def _state(self, length: int, to: dict[bytes, int], link: int) -> int:
+        self.to.append(to)
+        self.length.append(length)
+        self.link.append(link)
+        self.count.append(0)
+        return len(self.to) - 1
+
+    def _split(self, p: int, word: bytes, q: int) -> int:
+        """A state for the shorter ones of q's sequences, those that continue p's longest."""
+        part = self._state(self.length[p] + 1, dict(self.to[q]), self.link[q])
+        self.link[q] = part
+        while p >= 0 and self.to[p].get(word) == q:
+            self.to[p][word] = part
+            p = self.link[p]
+        return part
+
+    def add(self, words: Sequence[bytes], weight: int = 1) -> None:
+        to, link, length, count = self.to, self.link, self.length, self.count
+        last = 0
+        for word in words:
+            known = to[last].get(word)
+            if known is not None:
+                last = known if length[known] == length[last] + 1 else self._split(last, word, known)
+            else:
+                new = self._state(length[last] + 1, {}, 0)
+                p = last
+                while p >= 0 and word not in to[p]:
+                    to[p][word] = new
+                    p = link[p]
+                if p >= 0:
+                    q = to[p][word]
+                    link[new] = q if length[q] == length[p] + 1 else self._split(p, word, q)
+                last = new
+            count[last] += weight
+
+    def sum_counts(self) -> None:
+        """Once all is added: a suffix ends wherever a longer sequence does."""
+        for s in sorted(range(1, len(self.to)), key=self.length.__getitem__, reverse=True):
+            self.count[self.link[s]] += self.count[s]
+        self.count[0] = 0
+
+    def matches(self, words: Sequence[bytes], window: int) -> Iterator[tuple[int, int]]:
+        """Matching statistics: after each word, the length of the longest match that ends there, and its state. Past `window` words
+        only the last `window` are followed."""
+        to, link, length = self.to, self.link, self.length
+        state = size = 0
+        for word in words:
+            while state and word not in to[state]:
+                state = link[state]
+                size = length[state]
+            if (following := to[state].get(word)) is not None:
+                state, size = following, size + 1
+            while state and length[link[state]] >= window:
+                state = link[state]
+            yield min(size, length[state]), state
+            size = min(size, length[state])
 
 
 class Step:
@@ -40,6 +111,7 @@ class Step:
     def __init__(self, part: pa.RecordBatch, window: int, gram: int) -> None:
         self.raw, self.offsets = T.utf8(part.column("text"))
         starts, ends, self.counts = T.words(self.raw, self.offsets, T.NOT_SPACE)
+        self.starts, self.ends = starts, ends
         self.base = np.cumsum(self.counts) - self.counts
         self.hashes = T.word_hashes(self.raw, starts, ends)
         self.row = np.repeat(np.arange(len(self.counts)), self.counts)
@@ -78,9 +150,8 @@ def _anchor_rows(window: int, gram: int):
                 is_first = np.zeros(len(at), bool)
                 is_first[first] = True
                 send = ~multi | is_first  # one representative of what repeats within the step
-                known = multi.astype(np.int64)
                 key = np.where(send, key, _spread(rid))
-                yield T.batches({"key": key, "rid": rid, "pos": pos, "sent": send.astype(np.int64), "known": known, "hashes": pa.array([b""] * len(at), pa.binary())}, ROW)
+                yield T.batches({"key": key, "rid": rid, "pos": pos, "sent": send.astype(np.int64), "known": multi.astype(np.int64), "words": pa.array([b""] * len(at), pa.binary())}, ROW)
 
     return run
 
@@ -103,6 +174,10 @@ def _window_rows(window: int, gram: int):
                 hashes = T.run_hashes(step.hashes, windows, windows + window)
                 _, first, which, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
                 multi = count[which] > 1
+                again = np.flatnonzero(multi)
+                original = windows[first[which[again]]]
+                for k in range(window):  # the same words, not just the same hash
+                    multi[again] &= step.hashes[windows[again] + k] == step.hashes[original + k]
                 is_first = np.zeros(len(windows), bool)
                 is_first[first] = True
                 send = ~multi | is_first
@@ -111,71 +186,150 @@ def _window_rows(window: int, gram: int):
                 bit = np.int64(1) << (windows - np.repeat(windows[head], np.diff(np.append(head, len(windows)))))
                 sent = np.add.reduceat(np.where(send, bit, 0), head)
                 known = np.add.reduceat(np.where(multi, bit, 0), head)
-                size = np.add.reduceat(send.astype(np.int64), head)
-                packed = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size * 8)]).astype(np.int32)), pa.py_buffer(hashes[send].tobytes())])
+                last = np.maximum.reduceat(np.where(send, windows, -1), head)
+                whole = step.raw.tobytes()
+                begin, end = step.starts[windows[head]].tolist(), step.ends[np.maximum(last, 0) + window - 1].tolist()
+                words = [whole[a:b] if n >= 0 else b"" for a, b, n in zip(begin, end, last.tolist(), strict=True)]
                 rid = part.column("rid").to_numpy()[step.row[windows[head]]]
                 key = np.where(sent != 0, step.grams[anchors[head]].view(np.int64), _spread(rid))
-                yield T.batches({"key": key, "rid": rid, "pos": windows[head] - step.base[step.row[windows[head]]], "sent": sent, "known": known, "hashes": packed}, ROW)
+                yield T.batches({"key": key, "rid": rid, "pos": windows[head] - step.base[step.row[windows[head]]], "sent": sent, "known": known, "words": pa.array(words, pa.binary())}, ROW)
 
     return run
 
 
-def _judge(packed: bool):
-    """Rows sorted by key to (rid, pos, mask) of what repeats; `packed`: each sent bit has a hash, else the key itself is compared."""
-
-    def decide(rows: dict[str, np.ndarray], hashes: np.ndarray | None) -> np.ndarray:
-        sent, known = rows["sent"].view(np.uint64), rows["known"].view(np.uint64)
-        if hashes is None:
-            own, value = np.flatnonzero(sent), rows["key"][sent != 0]
-            bit = np.ones(len(own), np.uint64)
-        else:
-            per = np.bitwise_count(sent).astype(np.int64)
-            own, value = np.repeat(np.arange(len(sent)), per), hashes
-            base = np.cumsum(per) - per
-            bit = np.zeros(len(own), np.uint64)
-            for place in range(64):
-                r = np.flatnonzero((sent >> T.U64(place)) & T.U64(1))
-                if len(r):
-                    bit[base[r] + np.bitwise_count(sent[r] & T.U64((1 << place) - 1))] = T.U64(1 << place)
-        flagged = (known[own] & bit) != 0
-        _, which, count = np.unique(value, return_inverse=True, return_counts=True)
-        repeated = (count[which] > 1) | (np.bincount(which, flagged, minlength=len(count))[which] > 0)
-        mask = np.zeros(len(sent), np.uint64)
-        np.bitwise_or.at(mask, own[repeated], bit[repeated])
-        return mask
+_MARK = pa.schema([("rid", pa.int64()), ("pos", pa.int32()), ("mask", pa.int64())])
 
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("rid", pa.int64()), ("pos", pa.int32()), ("mask", pa.int64())])
-        held: pa.Table | None = None
-
-        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            table = table.combine_chunks()
-            rows = {c: table.column(c).to_numpy() for c in ("key", "rid", "pos", "sent", "known")}
-            hashes = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint64) if packed else None
-            mask = (decide(rows, hashes) | rows["known"].view(np.uint64)).view(np.int64)
-            keep = mask != 0
-            if keep.any():
-                yield T.batches({"rid": rows["rid"][keep], "pos": rows["pos"][keep], "mask": mask[keep]}, out)
 
-        for batch in source:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table])
-            key = table.column("key").to_numpy()
-            whole = int(np.searchsorted(key, key[-1], "left"))  # the last key may go on
-            if whole:
-                yield from flush(table.slice(0, whole))
-            held = table.slice(whole)
+def _shared_keys(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key to (rid, pos, mask): a sent row repeats if its neighbour has its key; what was known before passes. Holds one row."""
+    held: pa.Table | None = None
+
+    def judged(table: pa.Table, whole: int) -> Iterator[pa.RecordBatch]:
+        key, sent, known = (table.column(c).to_numpy() for c in ("key", "sent", "known"))
+        at = np.flatnonzero(sent)
+        same = key[at[1:]] == key[at[:-1]]
+        repeated = np.zeros(len(key), bool)
+        repeated[at[1:][same]] = True
+        repeated[at[:-1][same]] = True
+        keep = np.flatnonzero(repeated | (known != 0))
+        keep = keep[keep < whole]
+        if len(keep):
+            mask = np.where(repeated, sent | known, known)[keep]
+            yield T.batches({"rid": table.column("rid").to_numpy()[keep], "pos": table.column("pos").to_numpy()[keep], "mask": mask}, _MARK)
+
+    before: int | None = None  # key of the last sent row that has gone out
+    for batch in source:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch]).drop_columns(["words"])
         if held is not None:
-            yield from flush(held)
+            table = pa.concat_tables([held, table])
+        table = _known_from(table.combine_chunks(), before)
+        yield from judged(table, table.num_rows - 1)
+        sent = table.column("sent").to_numpy()[:-1]
+        if sent.any():
+            before = int(table.column("key").to_numpy()[:-1][np.flatnonzero(sent)[-1]])
+        held = table.slice(table.num_rows - 1)
+    if held is not None:
+        yield from judged(_known_from(held.combine_chunks(), before), held.num_rows)
+
+
+def _known_from(table: pa.Table, before: int | None) -> pa.Table:
+    """Sent rows whose key went out before are repeated."""
+    if before is None:
+        return table
+    key, sent, known = (table.column(c).to_numpy() for c in ("key", "sent", "known"))
+    known = np.where((sent != 0) & (key == before), known | sent, known)
+    return table.set_column(table.column_names.index("known"), "known", pa.array(known))
+
+
+def _shard(rows: list[tuple], window: int) -> list[int]:
+    """Masks of repeated windows of a shard's rows (sent, known, words), by its suffix automaton."""
+    groups: dict[tuple[bytes, ...], list[int]] = {}
+    for k, (_, _, words) in enumerate(rows):
+        groups.setdefault(tuple(words.split()), []).append(k)
+    masks = [known for _, known, _ in rows]
+    if len(groups) == 1:  # all the same: an automaton would say so too
+        if len(rows) > 1:
+            masks = [sent | known for sent, known, _ in rows]
+        return masks
+    automaton = SuffixAutomaton()
+    for words, own in groups.items():
+        automaton.add(words, len(own))
+    automaton.sum_counts()
+    count = automaton.count
+    states = {words: [state for size, state in automaton.matches(words, window) if size >= window] for words in groups}
+    # a window that repeats elsewhere in its own step counts as repeated for all
+    flagged = {states[words][b] for words, own in groups.items() for k in own if rows[k][1] & rows[k][0] for b in _bits(rows[k][1] & rows[k][0])}
+    for words, own in groups.items():
+        found = sum(1 << b for b, state in enumerate(states[words]) if count[state] > 1 or state in flagged)
+        for k in own:
+            masks[k] |= found & rows[k][0]
+    return masks
+
+
+def _bits(mask: int) -> list[int]:
+    return [b for b in range(mask.bit_length()) if mask >> b & 1]
+
+
+def _shards(window: int, most: int):
+    """Rows sorted by anchor to rows for `_shared_keys`: decided windows pass; undecided ones of a shard that was cut go on by their hash."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[str, list] = {c: [] for c in ROW.names}
+
+        def put(key: int, rid: int, pos: int, sent: int, known: int) -> None:
+            for c, v in zip(ROW.names, (key, rid, pos, sent, known, b""), strict=True):
+                out[c].append(v)
+
+        def settle(rows: list[tuple], cut: bool) -> None:
+            for (rid, pos, sent, _, words), mask in zip(rows, _shard([r[2:] for r in rows], window), strict=True):
+                if mask:
+                    put(rid, rid, pos, 0, mask)
+                if cut:
+                    tokens = words.split()
+                    for b in _bits(sent):
+                        key = xxhash.xxh64_intdigest(b" ".join(tokens[b : b + window])) - (1 << 63)
+                        put(key, rid, pos + b, 1, mask >> b & 1)
+
+        def flush() -> pa.RecordBatch:
+            out["key"] = np.where(np.array(out["sent"], np.int64) != 0, np.array(out["key"], np.int64), _spread(np.array(out["rid"], np.int64)))
+            batch = T.batches(out, ROW)
+            for c in out:
+                out[c] = []
+            return batch
+
+        key, held, cut = None, [], False
+        for batch in source:
+            for k, rid, pos, sent, known, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not sent:
+                    put(k, rid, pos, 0, known)
+                    continue
+                if k != key:
+                    if held:
+                        settle(held, cut)
+                    key, held, cut = k, [], False
+                elif len(held) >= most:
+                    cut = True
+                    settle(held, cut)
+                    held = []
+                held.append((rid, pos, sent, known, words))
+            if len(out["key"]) >= 20_000:
+                yield flush()
+        if held:
+            settle(held, cut)
+        if out["key"]:
+            yield flush()
 
     return run
 
 
-def _found(rows: DataFrame, packed: bool) -> DataFrame:
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_judge(packed), "rid long, pos int, mask long")
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key").sortWithinPartitions("key")
+
+
+def _marks(rows: DataFrame) -> DataFrame:
+    return _sorted(rows).mapInArrow(_shared_keys, "rid long, pos int, mask long")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -183,10 +337,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     if not gram <= window <= gram + 62:
         raise ValueError("a window's starts around one anchor must fit a 64-bit mask")
     rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
-    anchors = _found(rows.select("rid", "text").mapInArrow(_anchor_rows(window, gram), ROW_DDL), False)
+    anchors = _marks(rows.select("rid", "text").mapInArrow(_anchor_rows(window, gram), ROW_DDL))
     places = anchors.groupBy("rid").agg(F.collect_list("pos").alias("found"))
     some = rows.join(places.hint("shuffle_hash"), "rid").select("rid", "doc_id", "text", "found")
-    masks = _found(some.mapInArrow(_window_rows(window, gram), ROW_DDL), True)
+    shards = _sorted(some.mapInArrow(_window_rows(window, gram), ROW_DDL)).mapInArrow(_shards(window, SHARD), ROW_DDL)
+    masks = _marks(shards)
     removed = masks.groupBy("rid").agg(F.collect_list(F.struct("pos", "mask")).alias("found"))
     out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 

@@ -49,3 +49,26 @@ def test_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, "x " * 80), (5, "y " * 34), (5, "y " * 34)], "doc_id long, text string")
     assert sorted((r.doc_id or -1, r.n_removed) for r in repeats.remove_repeats(df).collect()) == [(-1, 80), (5, 0), (5, 0)]
     assert repeats.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_cut_shards(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SHARD", 3)
+    test_against_brute_force(spark, monkeypatch)
+
+
+def test_suffix_automaton():
+    r = random.Random(8)
+    texts = [[r.choice([b"a", b"b", b"c"]) for _ in range(r.randint(1, 30))] for _ in range(8)]
+    automaton = repeats.SuffixAutomaton()
+    for k, t in enumerate(texts):
+        automaton.add(t, k % 3 + 1)
+    automaton.sum_counts()
+    joined = Counter(tuple(t[i:j]) for k, t in enumerate(texts) for _ in range(k % 3 + 1) for i in range(len(t)) for j in range(i + 1, len(t) + 1))
+    query = [r.choice([b"a", b"b", b"c", b"d"]) for _ in range(60)]
+    for n in (1, 3, 60):
+        for end, (size, state) in enumerate(automaton.matches(query, n), 1):
+            best = max((k for k in range(end + 1) if k == 0 or tuple(query[end - k : end]) in joined), default=0)
+            if best >= n:
+                assert size >= n and automaton.count[state] == joined[tuple(query[end - n : end])]
+            else:
+                assert size == best
