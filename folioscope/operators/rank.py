@@ -14,18 +14,21 @@ def newest_first(papers: DataFrame) -> DataFrame:
     return papers.orderBy(F.desc("date"), "seq")
 
 
-def ranked(regular: DataFrame, preprints: Sequence[str] = ("arXiv", "bioRxiv")) -> DataFrame:
-    """Adds `rank`: by score, journals before preprints, then title. An edition is small; the ranking sorts one task's worth of rows."""
-    order = Window.orderBy(F.desc("local_score"), F.col("source").isin(*preprints).asc(), F.lower("title"), "seq")
+def ranked(regular: DataFrame, preprints: Sequence[str] = ("arXiv", "bioRxiv"), by: Sequence[str] = ()) -> DataFrame:
+    """Adds `rank`: by score, journals before preprints, then title; within each edition, if rows of several are told apart by `by`.
+
+    An edition is one week's selection, so a window over one holds a few hundred rows.
+    """
+    order = Window.partitionBy(*by).orderBy(F.desc("local_score"), F.col("source").isin(*preprints).asc(), F.lower("title"), "seq")
     return regular.withColumn("rank", F.row_number().over(order))
 
 
-def edition_order(featured: DataFrame, regular: DataFrame, preprints: Sequence[str] = ("arXiv", "bioRxiv")) -> DataFrame:
+def edition_order(featured: DataFrame, regular: DataFrame, preprints: Sequence[str] = ("arXiv", "bioRxiv"), by: Sequence[str] = ()) -> DataFrame:
     """Featured rows in order of arrival, then regular ones by rank: adds `section` and `place`."""
-    first = featured.withColumn("section", F.lit("featured")).withColumn("rank", F.row_number().over(Window.orderBy("seq")))
-    rest = ranked(regular, preprints).withColumn("section", F.lit("more"))
+    first = featured.withColumn("section", F.lit("featured")).withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("seq")))
+    rest = ranked(regular, preprints, by).withColumn("section", F.lit("more"))
     both = first.unionByName(rest, allowMissingColumns=True)
-    return both.withColumn("place", F.row_number().over(Window.orderBy(F.when(F.col("section") == "featured", 0).otherwise(1), "rank"))).drop("rank")
+    return both.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(F.when(F.col("section") == "featured", 0).otherwise(1), "rank"))).drop("rank")
 
 
 def source_counts(papers: DataFrame) -> DataFrame:

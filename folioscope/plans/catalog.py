@@ -435,19 +435,24 @@ def running_feedback(spark, d):
 
 # --- ranking ---------------------------------------------------------------------------------------------------------------------------
 
-_RANKED = "SELECT seq, title, source, row_number() OVER (ORDER BY seq % 17 DESC, source IN ('src0', 'src1', 'src2'), lower(title), seq) AS rank FROM papers WHERE source <> 'src7'"
+_RANKED = "SELECT seq, week, row_number() OVER (PARTITION BY week ORDER BY seq % 17 DESC, source IN ('src0', 'src1', 'src2'), lower(title), seq) AS rank FROM weekly WHERE source <> 'src7'"
+_WEEKLY = "weekly AS (SELECT *, strftime(date_trunc('week', date), '%Y-%m-%d') AS week FROM papers)"
 
 
-@_query(f"{_P} SELECT seq, CAST(rank AS INT) AS rank FROM ({_RANKED})")
+def _weekly(spark, d):
+    return papers(spark, d).withColumns({"week": _day(dates.monday(F.col("date"))), "local_score": (F.col("seq") % 17).cast("double")})
+
+
+@_query(f"{_P}, {_WEEKLY} SELECT seq, week, CAST(rank AS INT) AS rank FROM ({_RANKED})")
 def rank_regular(spark, d):
-    p = papers(spark, d).where(~_featured()).withColumn("local_score", (F.col("seq") % 17).cast("double"))
-    return rank.ranked(p, PREPRINTS).select("seq", "rank")
+    return rank.ranked(_weekly(spark, d).where(~_featured()), PREPRINTS, ["week"]).select("seq", "week", "rank")
 
 
-@_query(f"{_P}, r AS ({_RANKED}) SELECT seq, 'more' AS section, CAST(rank + (SELECT count(*) FROM papers WHERE source = 'src7') AS INT) AS place FROM r UNION ALL SELECT seq, 'featured', CAST(row_number() OVER (ORDER BY seq) AS INT) FROM papers WHERE source = 'src7'")
+@_query(f"""{_P}, {_WEEKLY}, r AS ({_RANKED}), f AS (SELECT seq, week, row_number() OVER (PARTITION BY week ORDER BY seq) AS rank FROM weekly WHERE source = 'src7')
+SELECT seq, week, 'more' AS section, CAST(rank + (SELECT count(*) FROM f WHERE f.week = r.week) AS INT) AS place FROM r UNION ALL SELECT seq, week, 'featured', CAST(rank AS INT) FROM f""")
 def edition_order(spark, d):
-    p = papers(spark, d).withColumn("local_score", (F.col("seq") % 17).cast("double"))
-    return rank.edition_order(p.where(_featured()), p.where(~_featured()), PREPRINTS).select("seq", "section", "place")
+    p = _weekly(spark, d)
+    return rank.edition_order(p.where(_featured()), p.where(~_featured()), PREPRINTS, ["week"]).select("seq", "week", "section", "place")
 
 
 @_query("SELECT string_agg(source || ': ' || n, ', ' ORDER BY n DESC, source) AS line FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
