@@ -1,9 +1,9 @@
 """PII by bootstrapped contextual extraction.
 
 Base patterns (mail addresses, IP addresses, card and phone numbers) give seed entities. What stands just before a seed is a candidate pattern:
-one or two words, with the shape of what follows. Spark counts how often each pattern introduces a known entity and how often it
-introduces anything of an identifier's shape, and scores patterns and instances in turns: a pattern by the mean score of its instances
-(weighted by the log of its support), an instance by the best of its patterns. Patterns above the threshold after the last turn find
+one or two words. Spark counts what each pattern introduces, entity or not, wherever it stands, and scores patterns and instances in turns: a pattern
+by the share of its occurrences that introduce something believed to be an entity (less for thin support), an instance by the best of its
+patterns. Words that stand before anything, such as articles, so score next to nothing. Patterns above the threshold after the last turn find
 identifiers that no base pattern knows; these are added as spans of kind `context`, and base spans stay.
 
 A pattern must be seen with a set share of all seeds, so the patterns that are broadcast are at most 1 / SUPPORT_SHARE for each kind, whatever the
@@ -134,7 +134,9 @@ def _seeds(docs: DataFrame) -> DataFrame:
 
 
 def _instances(docs: DataFrame, patterns: frozenset[str]) -> DataFrame:
-    """pattern, instance (hash), known, n: what follows each candidate pattern with an identifier's shape."""
+    """pattern, instance (hash), known, n: what follows each candidate pattern with an identifier's shape; with a null instance, how often the
+    pattern stands anywhere."""
+    pairs = any(" " in p for p in patterns)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -143,6 +145,12 @@ def _instances(docs: DataFrame, patterns: frozenset[str]) -> DataFrame:
             counts: Counter = Counter()
             for text in batch.column(0).to_pylist():
                 text = text or ""
+                tokens = text.lower().split()
+                for c in filter(patterns.__contains__, tokens):
+                    counts[c, None, False] += 1
+                if pairs:
+                    for c in filter(patterns.__contains__, map("%s %s".__mod__, zip(tokens, tokens[1:], strict=False))):
+                        counts[c, None, False] += 1
                 own = base(text)
                 covered = {start: end for start, _, end in own}
                 for start, end in [*_clear(text, own), *covered.items()]:
@@ -171,12 +179,16 @@ def learn(docs: DataFrame, share: float = SUPPORT_SHARE, least: int = SUPPORT_LE
     chosen = frozenset(r["pattern"] for r in often.where(F.col("n") >= F.greatest(F.lit(least), F.ceil(F.col("all") * share))).select("pattern").distinct().collect())
     if not chosen:
         return Patterns({})
-    graph = settle(_instances(docs, chosen))
+    seen = settle(_instances(docs, chosen))
+    graph, totals = seen.where("instance IS NOT NULL"), seen.where("instance IS NULL").select("pattern", F.col("n").alias("total"))
     belief = F.when(F.col("known"), F.lit(1.0)).otherwise(F.lit(0.0))
     scored = graph.withColumn("belief", belief)
     found = None
     for k in range(rounds):
-        found = scored.groupBy("pattern").agg((F.sum("belief") / F.count("*")).alias("mean"), F.count("*").alias("support")).select("pattern", (F.col("mean") * F.least(F.lit(1.0), F.log2(1 + F.col("support")) / F.log2(F.lit(1.0 + least)))).alias("score"))
+        sums = scored.groupBy("pattern").agg(F.sum(F.col("belief") * F.col("n")).alias("sum"), F.count("*").alias("support"))
+        thin = F.least(F.lit(1.0), F.log2(1 + F.col("support")) / F.log2(F.lit(1.0 + least)))
+        # a row per chosen pattern on either side
+        found = sums.join(F.broadcast(totals), "pattern").select("pattern", (F.col("sum") / F.greatest("total", F.lit(1)) * thin).alias("score"))
         if k + 1 < rounds:
             # patterns are few and bounded; an instance is as believable as the best pattern that introduces it
             best = graph.join(F.broadcast(found), "pattern").groupBy("instance").agg(F.max("score").alias("best"))
