@@ -6,13 +6,16 @@ written down before the next reads it, because a lazily repeated pass would ask
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clip, field, squashed, text_or_blank
+from .budget import Budget, usage_cost
 
 #: A model: title and abstract to its raw response.
 Model = Callable[[str, str], str]
@@ -89,6 +92,53 @@ def keyword_model(words: tuple[str, ...]) -> Model:
     return model
 
 
+def summarize(papers: DataFrame, model: Model, partitions: int) -> DataFrame:
+    """(seq, summary, fell_back): the model's sentence, or the abstract's own first one where the model has none that is complete."""
+    from ..functions.text import extractive_summary
+    from .quality import summary_issues
+
+    found = papers.select("seq", "abstract").join(ask(papers, model, partitions), "seq", "left")
+    usable = F.coalesce(F.size(summary_issues(F.col("raw"))) == 0, F.lit(False))
+    own = extractive_summary(F.col("abstract"))
+    return found.select("seq", F.when(usable, field(F.col("raw"))).otherwise(own).alias("summary"), (~usable & (own != "Summary unavailable.")).alias("fell_back"))
+
+
+@dataclass(frozen=True)
+class Response:
+    """What a metered model's service answers."""
+
+    status: int
+    text: str = ""
+    finish: str = "STOP"
+    usage: tuple[int, int, int] | None = None
+    wait: float | None = None
+
+
+def guarded(call: Callable[[str], Response], budget: Budget, retries: int = 3, most_wait: float = 20.0, sleep: Callable[[float], None] = time.sleep) -> Callable[[str], str]:
+    """A prompt's answer within a budget: busy or failing services are asked again after a pause, an answer that was cut off counts as none."""
+
+    def generate(prompt: str) -> str:
+        for attempt in range(1, retries + 1):
+            reserved = budget.begin(prompt)
+            r = Response(0)
+            try:
+                r = call(prompt)
+            except OSError:
+                pass
+            finally:
+                # without a report a request that may have been served stays as exposure; one that was refused costs nothing
+                budget.finish(reserved, usage_cost(*r.usage, budget.usd_in, budget.usd_out) if r.usage else 0.0 if 400 <= r.status < 500 else None)
+            if r.status == 200:
+                return r.text.strip() if r.finish == "STOP" else ""
+            if 400 <= r.status < 500 and r.status not in (408, 429):
+                return ""
+            if attempt < retries:
+                sleep(min(r.wait if r.wait is not None else 3.0 * 2 ** (attempt - 1), most_wait))
+        return ""
+
+    return generate
+
+
 def classify(papers: DataFrame, featured: Column, model: Model, recall_model: Model, keep: Callable[[DataFrame], DataFrame], partitions: int = 4, repair_partitions: int = 2, threshold: int = 50, least_score: float = 0.05) -> DataFrame:
     """Adds category (featured, regular or null), reason, and the audit of each pass. Papers have local_score.
 

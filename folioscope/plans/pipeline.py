@@ -44,7 +44,7 @@ def score(papers: DataFrame, training: DataFrame, votes: DataFrame) -> DataFrame
     return dedup.latest_by(scored.join(keyed, "doc_id"), "key", "doc_id", "score")
 
 
-def curate(candidates: DataFrame, scores: DataFrame, featured: Column, edition_date: Column, model: policy.Model, recall_model: policy.Model, keep: Callable[[DataFrame], DataFrame], settings: Settings | None = None) -> tuple[DataFrame, DataFrame]:
+def curate(candidates: DataFrame, scores: DataFrame, featured: Column, edition_date: Column, model: policy.Model, recall_model: policy.Model, keep: Callable[[DataFrame], DataFrame], settings: Settings | None = None, summary_model: policy.Model | None = None) -> tuple[DataFrame, DataFrame]:
     """The edition's items in order, and the decision on every candidate. Raises where a gate doesn't hold."""
     s = settings or Settings()
     kept, _ = quality.sanitize(candidates, edition_date, s.min_abstract_chars)
@@ -56,7 +56,11 @@ def curate(candidates: DataFrame, scores: DataFrame, featured: Column, edition_d
     state = policy.health(results).first()
     if state["failures"] > state["allowed"]:
         raise quality.EditionRejected(f"{state['failures']} of {state['attempts']} classifications failed; {state['allowed']} may")
-    results = results.withColumn("summary", F.when(F.col("category").isNotNull(), text.extractive_summary(F.col("abstract"))).otherwise(F.lit("")))
+    if summary_model:
+        told = keep(policy.summarize(results.where("category IS NOT NULL"), summary_model, s.classifier_partitions)).drop("fell_back")
+        results = results.join(told, "seq", "left").withColumn("summary", F.coalesce("summary", F.lit("")))
+    else:
+        results = results.withColumn("summary", F.when(F.col("category").isNotNull(), text.extractive_summary(F.col("abstract"))).otherwise(F.lit("")))
     first = results.where("category = 'featured'")
     items = rank.edition_order(first, joins.without_featured(results.where("category = 'regular'"), first))
     quality.require_clean(quality.edition_issues(items, edition_date, s.min_edition_papers, n, s.min_selection_fraction, s.min_abstract_chars))

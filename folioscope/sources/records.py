@@ -79,6 +79,27 @@ def feed_papers(bodies: DataFrame, feeds: DataFrame, oldest: Column, names: tupl
     return judged.where("defect IS NULL").drop("defect"), judged.where("defect IS NOT NULL")
 
 
+def arxiv_papers(bodies: DataFrame, oldest: Column, now: Column) -> DataFrame:
+    """Entries of an archive's API pages since a date, each id once. A date that can't be read is now."""
+    entries = bodies.select("page", F.posexplode(_entries(F.col("body"))).alias("pos", "e")).select("page", "pos", "e.*")
+    published = F.coalesce(dates.feed_date(F.get("dates", F.lit(0))), now)
+    rows = entries.select(
+        F.lit("arXiv").alias("source"),
+        text.squashed(F.col("title")).alias("title"),
+        F.array_join(F.transform("authors", text.clean_author), ", ").alias("authors"),
+        F.col("link"),
+        text.squashed(F.col("summary")).alias("abstract"),
+        F.array().cast("array<string>").alias("images"),
+        published.alias("date"),
+        keys.normalize_doi(F.col("doi")).alias("doi"),
+        keys.arxiv_link_id(F.col("link")).alias("paper_id"),
+        "page",
+        "pos",
+    ).where((F.col("date") >= oldest) & is_research(F.col("title")))
+    nth = F.row_number().over(Window.partitionBy("paper_id").orderBy("page", "pos"))
+    return rows.withColumn("nth", nth).where("nth = 1").drop("nth", "page", "pos", "paper_id")
+
+
 def _crossref_dates(keys_: tuple[str, ...]) -> Column:
     return F.array(*(dates.date_of_parts(F.get(F.col(f"`{k}`.`date-parts`"), F.lit(0))) for k in keys_))
 

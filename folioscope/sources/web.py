@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import time
 import urllib.error
 import urllib.request
@@ -90,14 +91,18 @@ class WebReader(DataSourceReader):
         return [_One(x["name"], x["url"]) for x in json.loads(self.options["requests"])]
 
     def read(self, partition):
-        """One page, or pages until one is empty, the budget is used up or `pages` are read: {page} in the URL is the page, {cursor} the offset."""
+        """One page, or pages until one is empty or reaches what is older than `since` (a scan sorted by date has nothing newer after that), the time is
+        up or `pages` are read: {page} in the URL is the page, {cursor} the offset."""
         get, retries = self._transport(), int(self.options.get("retries", 3))
         pages, size = int(self.options.get("pages", 1)), int(self.options.get("pagesize", 100))
+        since = self.options.get("since")
         until = time.monotonic() + float(self.options.get("seconds", 120))
         for page in range(pages):
             url = partition.url.replace("{page}", str(page)).replace("{cursor}", str(page * size))
             status, body, error = fetch(get, url, retries)
             yield partition.name, url, page, status, body, error
+            if since and any(d < since for d in re.findall(r"<published>(\d{4}-\d{2}-\d{2})", body)):
+                return
             if error or not body.strip() or "{" not in partition.url or time.monotonic() > until:
                 return
 
