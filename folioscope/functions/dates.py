@@ -10,10 +10,6 @@ from .text import field, text_or_blank
 _MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
-def _int(c: Column) -> Column:
-    return F.nullif(c, F.lit("")).try_cast("int")
-
-
 def _date(year: Column, month: Column, day: Column) -> Column:
     return F.try_to_date(F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0")), "yyyy-MM-dd")
 
@@ -59,13 +55,10 @@ def feed_date(*tags: Column) -> Column:
 
     def one(c: Column) -> Column:
         s = field(c)
-        rss = r"(\d{1,2})\s+(\w{3})\s+(\d{4})\s+(\d{2}):(\d{2}):(\d{2})"
-        month = F.array_position(F.array(*map(F.lit, _MONTHS)), F.regexp_extract(s, rss, 2)).cast("int")
-        get = lambda k: _int(F.regexp_extract(s, rss, k))
-        by_rss = F.try_make_timestamp(get(3), F.when(month > 0, month).otherwise(F.lit(1)), get(1), get(4), get(5), get(6).cast("decimal(8,6)"))
-        iso = r"(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})"
-        got = lambda k: _int(F.regexp_extract(s, iso, k))
-        by_iso = F.try_make_timestamp(got(1), got(2), got(3), got(4), got(5), got(6).cast("decimal(8,6)"))
+        rss = F.regexp_replace(F.nullif(F.regexp_extract(s, r"(\d{1,2}\s+\w{3}\s+\d{4}\s+\d{2}:\d{2}:\d{2})", 1), F.lit("")), r"\s+", " ")
+        january = F.regexp_replace(rss, "[A-Za-z]{3}", "Jan")  # what an unknown month is taken for
+        by_rss = F.coalesce(F.try_to_timestamp(rss, F.lit("d MMM yyyy HH:mm:ss")), F.try_to_timestamp(january, F.lit("d MMM yyyy HH:mm:ss")))
+        by_iso = F.try_to_timestamp(F.nullif(F.regexp_extract(s, r"(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})", 1), F.lit("")), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
         by_day = F.try_to_timestamp(F.nullif(F.regexp_extract(s, r"^(\d{4}-\d{1,2}-\d{1,2})$", 1), F.lit("")), F.lit("y-M-d"))
         return F.coalesce(by_rss, by_iso, by_day)
 

@@ -14,9 +14,13 @@ from ..functions.text import words
 
 
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bigrams: bool = True) -> DataFrame:
-    """(id, term, tf)."""
+    """(id, term, tf).
+
+    Texts are dealt by id before they are cut: that moves a text once, where counting would move a row for each of its terms, and both the
+    counts and a document's norm then aggregate in place.
+    """
     # the words are a column of their own, as each text would otherwise be cut once for every use of them
-    cut = docs.select(id_col, words(F.col(text_col)).alias("_words"))
+    cut = docs.select(id_col, text_col).repartition(id_col).select(id_col, words(F.col(text_col)).alias("_words"))
     found = F.concat("_words", pairs(F.col("_words"))) if bigrams else F.col("_words")
     return cut.select(id_col, F.explode(found).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
 
@@ -32,7 +36,7 @@ def idf(df: DataFrame, n_docs: int) -> DataFrame:
 
 def weighted(counts: DataFrame, idf_: DataFrame) -> DataFrame:
     """Adds `v`: (1 + ln tf) times idf, 1 where a term has none."""
-    return counts.join(idf_, "term", "left").withColumn("v", (1.0 + F.log("tf")) * F.coalesce("idf", F.lit(1.0))).drop("idf")
+    return counts.join(idf_.hint("shuffle_hash"), "term", "left").withColumn("v", (1.0 + F.log("tf")) * F.coalesce("idf", F.lit(1.0))).drop("idf")
 
 
 def norms(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -42,12 +46,12 @@ def norms(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def normalized(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Vectors of length 1; a zero vector stays."""
     unit = F.when(F.col("norm") > 0, F.col("v") / F.col("norm")).otherwise(F.col("v"))
-    return vectors.join(norms(vectors, id_col), id_col).withColumn("v", unit).drop("norm")
+    return vectors.join(norms(vectors, id_col).hint("shuffle_hash"), id_col).withColumn("v", unit).drop("norm")
 
 
 def centroid(vectors: DataFrame, weights: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(term, c): the weighted mean of unit vectors, of length 1 again. Weights: (id, weight)."""
-    sums = normalized(vectors, id_col).join(weights, id_col).groupBy("term").agg(F.sum(F.col("v") * F.col("weight")).alias("c"))
+    sums = normalized(vectors.join(weights.hint("shuffle_hash"), id_col), id_col).groupBy("term").agg(F.sum(F.col("v") * F.col("weight")).alias("c"))
     length = sums.agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm"))
     # one row: the length of the sum
     return sums.join(F.broadcast(length)).select("term", F.when(F.col("norm") > 0, F.col("c") / F.col("norm")).otherwise(F.col("c")).alias("c"))
@@ -68,5 +72,5 @@ def scores(papers: DataFrame, positive: DataFrame, negative: DataFrame, bigrams:
     both = middle[0].unionByName(middle[1]).groupBy("term").agg(F.sum("c").alias("c"))
     own = vectors.where(F.startswith(F.col("doc_id"), F.lit("c")))
     # the dot product and the paper's own norm in one aggregation: terms outside both centroids add to the norm alone
-    dots = own.join(both, "term", "left").groupBy("doc_id").agg(F.sum(F.col("v") * F.coalesce("c", F.lit(0.0))).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    dots = own.join(both.hint("shuffle_hash"), "term", "left").groupBy("doc_id").agg(F.sum(F.col("v") * F.coalesce("c", F.lit(0.0))).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
     return papers.select("doc_id", F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("_id")).join(dots.withColumnRenamed("doc_id", "_id"), "_id", "left").select("doc_id", F.coalesce(F.col("dot") / F.nullif("norm", F.lit(0.0)), F.lit(0.0)).alias("score"))

@@ -715,3 +715,13 @@ def weekly_sliding(spark, d):
     from ..streaming.editions import weekly_windows
 
     return weekly_windows(read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts").select(F.date_format("start", "yyyy-MM-dd").alias("start"), "n")
+
+
+def _more() -> None:
+    from . import catalog_sources
+
+    QUERIES.update(catalog_sources.QUERIES)
+    SQL.update(catalog_sources.SQL)
+
+
+_more()
