@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import policy
+from ..sinks.shared import settle
 from ..sources import lookups, records
 from . import pipeline
 from .driver_tables import EDITION, PAPERS_SQL, papers, read
@@ -128,7 +129,7 @@ SELECT seq, CASE WHEN source = 'src7' THEN 'featured' WHEN hits > 0 OR (e AND se
 def classify_route(spark, d):
     p = papers(spark, d).withColumn("local_score", (F.col("seq") % 10) / 100)
     always = policy.keyword_model(("e",))
-    out = policy.classify(p, F.col("source") == "src7", policy.keyword_model(("anonthe", "heed", "ungß")), always, lambda f: f)
+    out = policy.classify(p, F.col("source") == "src7", policy.keyword_model(("anonthe", "heed", "ungß")), always, settle)
     return out.select("seq", "category", "reason", F.col("initial_classifier_score").alias("initial"))
 
 
