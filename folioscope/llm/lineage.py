@@ -1,26 +1,7 @@
-"""Cutting lineage: tables written to the shared folder that the cluster names in spark.checkpoint.dir."""
+"""Cutting lineage by tables in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from ..sinks.shared import settle, shared_dir
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder; a temporary one where none is set, as in tests on one machine."""
-    if not (path := spark.conf.get("spark.checkpoint.dir", None)):
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="folioscope-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Writes a frame to the shared folder and reads it again: computed once, whatever executors are lost later."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["settle", "shared_dir"]
