@@ -71,9 +71,14 @@ def _tagged(tag: str, c: Column) -> Column:
     return F.when(c != "", F.concat(F.lit(tag + ":"), c))
 
 
-def identity_keys(title: Column, link: Column, doi: Column) -> Column:
+def identity_key_parts(title: Column, link: Column, doi: Column) -> tuple[Column, Column, Column]:
+    """The title, DOI and arXiv key, each null if there is none."""
     cut = F.get(F.split(bare_doi(doi), "[?#]", 2), F.lit(0))
-    return F.array_distinct(F.array_compact(F.array(_tagged("title", title_letters(title)), _tagged("doi", cut), _tagged("arxiv", arxiv_key_id(link)))))
+    return _tagged("title", title_letters(title)), _tagged("doi", cut), _tagged("arxiv", arxiv_key_id(link))
+
+
+def identity_keys(title: Column, link: Column, doi: Column) -> Column:
+    return F.array_distinct(F.array_compact(F.array(*identity_key_parts(title, link, doi))))
 
 
 def paper_key(title: Column, link: Column, doi: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import candidate_keys, identity_keys
+from ..functions.keys import candidate_keys, identity_key_parts, identity_keys
 from ..functions.text import field, normal_name, split_authors
 
 
@@ -19,11 +19,17 @@ def exploded_keys(df: DataFrame, id_col: str, keys: Column) -> DataFrame:
 
 
 def drop_sent(papers: DataFrame, sent: DataFrame) -> DataFrame:
-    """Rows none of whose identity keys is among those of `sent` (title, link, doi)."""
-    own = exploded_keys(papers, "seq", identity_keys(F.col("title"), F.col("link"), F.col("doi")))
-    keys = sent.select(F.explode(identity_keys(F.col("title"), F.col("link"), F.col("doi"))).alias("key")).distinct()
-    hit = own.join(keys, "key", "left_semi").select("seq").distinct()
-    return papers.join(hit, "seq", "left_anti")
+    """Rows none of whose identity keys is among those of `sent` (title, link, doi).
+
+    A row has at most one key of each kind, so a chain of anti joins tells, and what led to `papers` is planned once. Rows without a key of a
+    kind get one of their own, so that they don't meet in one task.
+    """
+    keys = sent.select(F.explode(identity_keys(F.col("title"), F.col("link"), F.col("doi"))).alias("_key")).distinct()
+    out = papers
+    for part in identity_key_parts(F.col("title"), F.col("link"), F.col("doi")):
+        own = F.coalesce(part, F.concat(F.lit("-"), F.col("seq").cast("string")))
+        out = out.withColumn("_key", own).join(keys, "_key", "left_anti").drop("_key")
+    return out
 
 
 def manually_featured(papers: DataFrame, keys: DataFrame, own_keys: Column) -> DataFrame:
