@@ -26,6 +26,8 @@ from .components import components
 from .lineage import settle
 
 SHINGLE, SEED, RADIUS, PIVOTS = 3, 42, 3, 24
+#: Fingerprints of one cell from which on it is handled as dense, and members that are tried as centers there.
+DENSE, CENTERS = 512, 32
 _LOWER = bytes(T.LOWER)
 _ONES = T.U64(0x0101010101010101)
 
@@ -108,7 +110,31 @@ def _star_links(key: np.ndarray, fp: np.ndarray, radius: int, table: np.ndarray)
             while (label[label] != label).any():
                 label[:] = label[label]
 
-    i = np.arange(n)
+    # a dense cell: whoever is near one of a few members is linked to it; only what stays outside the largest component needs a look at all
+    edges = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if n else np.zeros(0, np.int64)
+    sparse = np.ones(n, bool)
+    for begin, end in zip(edges, [*edges[1:], n][: len(edges)], strict=True):
+        if end - begin <= DENSE:
+            continue
+        sparse[begin:end] = False
+        own = fp[begin:end]
+        rest = np.arange(begin, end)
+        for _ in range(CENTERS):
+            close = begin + np.flatnonzero(np.bitwise_count(own ^ fp[rest[0]]) <= radius)
+            held.append((np.full(len(close), rest[0]), close))
+            rest = rest[np.bitwise_count(fp[rest] ^ fp[rest[0]]) > radius]
+            if not len(rest):
+                break
+        merge()
+        names, sizes = np.unique(label[begin:end], return_counts=True)
+        for k in begin + np.flatnonzero(label[begin:end] != names[sizes.argmax()]):
+            close = begin + np.flatnonzero(np.bitwise_count(own ^ fp[k]) <= radius)
+            held.append((np.full(len(close), k), close))
+            size += len(close)
+            if size > 4 * n:
+                merge()
+        merge()
+    i = np.flatnonzero(sparse)
     for step in range(1, n):
         i = i[i + step < n]
         i = i[(key[i] == key[i + step]) & (near[i + step] - near[i] <= radius)]

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pytest
 import xxhash
 from folioscope.llm import components, simhash
 
@@ -52,7 +54,10 @@ def test_against_brute_force(spark):
     assert len(set(want.values())) < len(ids) - 40
 
 
-def test_dense_cells(spark):
+@pytest.mark.parametrize("dense", [simhash.DENSE, 6])
+def test_dense_cells(spark, monkeypatch, dense):
+    monkeypatch.setattr(simhash, "DENSE", dense)
+    monkeypatch.setattr(simhash, "CENTERS", 3)
     r = random.Random(2)
     fps = {0, 2**64 - 1}
     for _ in range(30):
@@ -77,3 +82,15 @@ def test_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, "a b c"), (None, "x y z w"), (3, "a b c"), (4, None), (4, None)], "doc_id long, text string")
     assert sorted((str(r.doc_id), str(r.component_id)) for r in simhash.near_duplicates(df).collect()) == [("3", "3"), ("4", "4"), ("4", "4"), ("None", "3"), ("None", "None")]
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_one_dense_cell_in_place():
+    r = random.Random(6)
+    fps = {r.getrandbits(16) for _ in range(3000)} | {(1 << 40) | r.getrandbits(9) << 50 for _ in range(50)}
+    fp = np.array(sorted(fps), np.uint64)
+    table = np.bitwise_count(fp[:, None] ^ simhash.pivots()[None, :])
+    order = np.argsort(table[:, 0], kind="stable")
+    a, b = simhash._star_links(np.zeros(len(fp), np.int64), fp[order], 3, table[order])
+    near = [(int(x), int(y)) for k, x in enumerate(fp) for y in fp[k + 1 :][np.bitwise_count(fp[k + 1 :] ^ x) <= 3]]
+    assert groups(sorted(fps), zip(a.tolist(), b.tolist(), strict=True)) == groups(sorted(fps), near)
+    assert len(a) < len(fp)
