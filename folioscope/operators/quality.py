@@ -100,13 +100,28 @@ def edition_issues(items: DataFrame, edition_date: Column, least: int = 50, cand
     size = items.agg(F.count("*").alias("n")).where(F.col("n") < required).select(
         F.lit(None).cast("long").alias("seq"), F.lit(0).alias("step"), F.concat(F.lit("edition contains "), F.col("n").cast("string"), F.lit(f" papers; minimum is {required}{note}")).alias("issue")
     )
-    title = field(F.col("title"))
-    own = items.select("seq", F.lit(1).alias("step"), F.explode(record_issues(edition_date, least_abstract=least_abstract)).alias("issue"))
-    texts = items.select("seq", F.lit(2).alias("step"), title.alias("t"), F.explode(summary_issues(F.col("summary"))).alias("i")).select("seq", "step", F.concat("t", F.lit(" — "), "i").alias("issue"))
-    link = F.lower(field(F.col("link")))
-    links = repeated(items, link).select("seq", F.lit(3).alias("step"), F.concat(title, F.lit(" — duplicate link '"), link, F.lit("'")).alias("issue"))
-    titles = repeated(items, F.lower(squashed(title))).select("seq", F.lit(4).alias("step"), F.concat(title, F.lit(" — duplicate title")).alias("issue"))
-    return size.unionByName(own).unionByName(texts).unionByName(links).unionByName(titles)
+    title, link, name = field(F.col("title")), F.lower(field(F.col("link"))), F.lower(squashed(field(F.col("title"))))
+
+    def nth(key: Column) -> Column:
+        # blank keys aren't duplicates of each other, so each is told apart
+        own = F.when(key == "", F.concat(F.lit("-"), F.col("seq").cast("string"))).otherwise(F.concat(F.lit("k"), key))
+        return F.row_number().over(Window.partitionBy(own).orderBy("seq"))
+
+    def told(step: int, found: Column) -> Column:
+        return F.transform(found, lambda i: F.struct(F.lit(step).alias("step"), i.alias("issue")))
+
+    def led(found: Column) -> Column:
+        return F.transform(found, lambda i: F.concat(title, F.lit(" — "), i))
+
+    judged = items.select(
+        "seq",
+        told(1, record_issues(edition_date, least_abstract=least_abstract)).alias("own"),
+        told(2, led(summary_issues(F.col("summary")))).alias("texts"),
+        F.when(nth(link) > 1, F.concat(title, F.lit(" — duplicate link '"), link, F.lit("'"))).alias("link_issue"),
+        F.when(nth(name) > 1, F.concat(title, F.lit(" — duplicate title"))).alias("title_issue"),
+    )
+    rest = F.concat("own", "texts", told(3, F.array_compact(F.array("link_issue"))), told(4, F.array_compact(F.array("title_issue"))))
+    return size.unionByName(judged.select("seq", F.explode(rest).alias("i")).select("seq", "i.step", "i.issue"))
 
 
 class EditionRejected(ValueError):
