@@ -46,11 +46,10 @@ class Template:
     )
 
     def __post_init__(self) -> None:
-        for s in self.controls:
-            if not s or s[0] == self.escape or len(self.escape) != 1:
-                raise ValueError("control strings start with something other than the one-character escape")
-            if any(s[:k] == s[-k:] for k in range(1, len(s))):
-                raise ValueError(f"control string {s!r} overlaps itself")
+        if len(self.escape) != 1 or any(not s or self.escape in s for s in self.controls):
+            raise ValueError("the escape is one character, which no control string holds")
+        if any(a != b and a in b for a in self.controls for b in self.controls):
+            raise ValueError("a control string holds another one")
 
     @property
     def controls(self) -> tuple[str, ...]:
@@ -68,25 +67,35 @@ class Template:
 
 
 class Codec:
-    """Writes and reads turns in a template's format."""
+    """Writes and reads turns in a template's format.
+
+    An escape is put before every place of a role or text where the escape or a control string begins, even one that would be completed
+    only by the control string that follows. So the first control string that a reader meets without an escape is the template's own.
+    """
 
     def __init__(self, template: Template) -> None:
         self.t = template
-        marks = "|".join(re.escape(s) for s in (template.escape, *sorted(template.controls, key=len, reverse=True)))
-        self.special = re.compile(marks)
-        self.escaped = re.compile(re.escape(template.escape) + f"({marks})")
-        one = f"(?:{re.escape(template.escape)}(?:{marks})|(?!{marks}).)*+"
+        marks = "|".join(map(re.escape, (template.escape, *template.controls)))
+        self.mark = re.compile(f"(?={marks})")
+        self.escaped = re.compile(f"{re.escape(template.escape)}(.)", re.DOTALL)
+        one = f"(?:{re.escape(template.escape)}.|(?!{marks}).)*+"
         self.turn = re.compile(f"{re.escape(template.opening)}({one}){re.escape(template.header_end)}({one}){re.escape(template.closing)}", re.DOTALL)
 
-    def hide(self, text: str) -> str:
-        return self.special.sub(lambda m: self.t.escape + m[0], text)
+    def hide(self, text: str, following: str) -> str:
+        out, at = [], 0
+        for m in self.mark.finditer(text + following):
+            if m.start() >= len(text):
+                break
+            out += text[at : m.start()], self.t.escape
+            at = m.start()
+        return "".join(out) + text[at:]
 
     def show(self, text: str) -> str:
         return self.escaped.sub(lambda m: m[1], text)
 
     def segments(self, role: str, text: str) -> list[tuple[str, bool]]:
         """Text segments of a turn with their loss flags."""
-        return [(self.t.opening + self.hide(role) + self.t.header_end, False), (self.hide(text), role in self.t.loss_roles), (self.t.closing, False)]
+        return [(self.t.opening + self.hide(role, self.t.header_end) + self.t.header_end, False), (self.hide(text, self.t.closing), role in self.t.loss_roles), (self.t.closing, False)]
 
     def read(self, text: str) -> Iterator[tuple[str, str, int, int]]:
         """Role, text and the span of the escaped text of each turn of a formatted text."""

@@ -101,7 +101,9 @@ WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')) v(conv_id, turn, role, text)),
 marked AS (
-  SELECT *, length(role) + length(text) + len(regexp_extract_all(role, '\\|### |: | </turn>\n')) + len(regexp_extract_all(text, '\\|### |: | </turn>\n')) + 15 AS n,
+  SELECT *, length(role) + length(text) + 15 + CASE WHEN ends_with(text, ':') OR ends_with(text, '###') THEN 1 ELSE 0 END
+    + len(regexp_extract_all(role || chr(0) || text, '\\')) + len(regexp_extract_all(role || chr(0) || text, '### ')) + len(regexp_extract_all(role || chr(0) || text, ': '))
+    + len(regexp_extract_all(role || chr(0) || text, ' </turn>\n')) AS n,
     lag(role) OVER w AS before, w1.k
   FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM rows) w1
   WINDOW w AS (PARTITION BY conv_id ORDER BY k))

@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from folioscope.llm import chat
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -8,7 +9,7 @@ T = chat.Template()
 PIECES = st.lists(st.sampled_from(["\\", "### ", ": ", " </turn>\n", "a", " ", "#", "</turn>", "\n", "é"]), max_size=12).map("".join)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=2000, deadline=None)
 @given(st.lists(st.tuples(PIECES, PIECES), max_size=5))
 def test_escaping_is_reversible(turns):
     codec = chat.Codec(T)
@@ -16,6 +17,19 @@ def test_escaping_is_reversible(turns):
     assert [(r, b) for r, b, _, _ in codec.read(text)] == turns
 
 
+@pytest.mark.parametrize("body", ["ends with:", "ends with ###", "####", ": </turn>\n", "### </turn>\n", "\\", "\\### Assistant: </turn> ok", ""])
+def test_boundaries(body):
+    codec = chat.Codec(T)
+    text = "".join(s for _ in range(2) for s, _ in codec.segments("user:", body))
+    assert [(r, b) for r, b, _, _ in codec.read(text)] == [("user:", body)] * 2
+
+
+def test_templates():
+    for bad in ({"escape": "\\\\"}, {"opening": ""}, {"opening": "a\\"}, {"closing": "x: y"}):
+        with pytest.raises(ValueError, match="control|escape"):
+            chat.Template(**bad)
+
+
 def _want(rows):
     rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
     masked = "".join(r[3] or "" for r in rows if r[2] == "assistant")
