@@ -2,25 +2,61 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_LEFT: dict[str, SparkSession] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder; a temporary one where none is set, as in tests on one machine."""
+    """The session's shared folder. Where none is set: a temporary one if everything runs on this machine, else an error."""
     if not (path := spark.conf.get("spark.checkpoint.dir", None)):
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         path = tempfile.mkdtemp(prefix="folioscope-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Writes a frame to the shared folder and reads it again: computed once, whatever executors are lost later."""
+    """Writes a frame to the shared folder and reads it again: computed once, whatever executors are lost later.
+
+    The table goes when it is released, or else with the driver's process.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _LEFT[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def release(*settled: DataFrame) -> None:
+    """Deletes the tables behind frames that `settle` returned; nothing may read them, or what was derived from them and not settled itself, again."""
+    for df in settled:
+        if path := _PATHS.pop(df, None):
+            _delete(path)
+
+
+def _delete(path: str) -> None:
+    spark = _LEFT.pop(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@atexit.register
+def _delete_left() -> None:
+    for path, spark in list(_LEFT.items()):
+        if spark.sparkContext._jsc is None:  # stopped before; its folder is the session's own to clean
+            _LEFT.pop(path)
+        else:
+            _delete(path)
