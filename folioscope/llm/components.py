@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lineage import settle
+from .lineage import release, settle
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,4 +34,5 @@ def components(links: DataFrame) -> DataFrame:
         chained = edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_semi").limit(1)
         if many.isEmpty() and chained.isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        edges = settle(_small_star(_large_star(edges)))
+        before, edges = edges, settle(_small_star(_large_star(edges)))
+        release(before)

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from ..sinks.shared import settle, shared_dir
+from ..sinks.shared import release, settle, shared_dir
 
-__all__ = ["settle", "shared_dir"]
+__all__ = ["release", "settle", "shared_dir"]

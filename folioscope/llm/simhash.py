@@ -39,7 +39,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
         return 0
     runs = zip(*(words[i:] for i in range(shingle)), strict=False) if len(words) >= shingle else [words]
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(b" ".join(r), seed) for r in runs], np.uint64)
+    return majority(np.array([digest(b" ".join(r), seed) for r in runs], np.uint64))
+
+
+def majority(h: np.ndarray) -> int:
+    """The fingerprint of these hashes."""
     n = len(h)
     padded = np.zeros(-(-n // 255) * 255, np.uint64)
     padded[:n] = h
