@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .lineage import settle
 
 WINDOW = 10
-#: Windows in the broadcast set, at most; a larger benchmark is joined instead.
+#: Windows in the set that goes to the tasks with their plan, at most; a larger benchmark is joined instead.
 BROADCAST_GRAMS = 50_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -49,13 +49,18 @@ def _text(tokens: Column, at: Column, size: int) -> Column:
     return F.array_join(F.slice(tokens, at + 1, F.lit(size)), " ")
 
 
-def _test(tokens: Column, size: int, grams: list) -> Callable[[Column], Column]:
+def _any_of(value: Column, grams: DataFrame, column: str) -> Column:
+    """Whether the value is in a column of a bounded table. The set stays in the JVM on its way from the table into the plan."""
+    held = grams.agg(F.collect_set(column))._jdf.first().getList(0)
+    return type(value)(value._jc.isInCollection(held))
+
+
+def _test(tokens: Column, size: int, grams: DataFrame) -> Callable[[Column], Column]:
     """Whether one of the grams of `size` words stands at a place: by its first two words, then by hash, then word by word."""
-    first, hashes, texts = sorted({g["first"] for g in grams}), [g["hash"] for g in grams], [g["gram"] for g in grams]
 
     def test(at: Column) -> Column:
-        quick = F.xxhash64(F.get(tokens, at), F.get(tokens, at + 1)).isin(first) if size > 1 else F.lit(True)
-        return quick & _hash(tokens, at, size).isin(hashes) & _text(tokens, at, size).isin(texts)
+        quick = _any_of(F.xxhash64(F.get(tokens, at), F.get(tokens, at + 1)), grams, "first") if size > 1 else F.lit(True)
+        return quick & _any_of(_hash(tokens, at, size), grams, "hash") & _any_of(_text(tokens, at, size), grams, "gram")
 
     return test
 
@@ -94,21 +99,26 @@ def _covered(hits: Column) -> Column:
     return F.aggregate(F.array_sort(hits), start, add)["n"]
 
 
-def _scan(docs: DataFrame, grams: list, keep: list[str]) -> DataFrame:
+def _scan(docs: DataFrame, grams: DataFrame, keep: list[str]) -> DataFrame:
     """doc_id, n_words, n_hit and grams (distinct ones that occur) of every row, for a set of grams small enough to broadcast."""
     tokens = F.col("tokens")
-    sizes = sorted({g["size"] for g in grams})
-    found = [_starts(tokens, size, _test(tokens, size, [g for g in grams if g["size"] == size])).alias(f"at_{size}") for size in sizes]
+    sizes = _sizes(grams)
+    found = [_starts(tokens, size, _test(tokens, size, grams.where(F.col("size") == size))).alias(f"at_{size}") for size in sizes]
     rows = docs.select(*keep, "doc_id", words(F.col("text")).alias("tokens")).select(*keep, "doc_id", "tokens", *found)
     spans = F.concat(F.array().cast("array<struct<at:int,size:int>>"), *(F.transform(f"at_{size}", _span(size)) for size in sizes))
     texts = F.concat(F.array().cast("array<string>"), *(F.transform(f"at_{size}", _cut(tokens, size)) for size in sizes))
     return rows.select(*keep, "doc_id", F.size(tokens).cast("long").alias("n_words"), spans.alias("spans"), F.array_sort(F.array_distinct(texts)).alias("grams")).select(*keep, "doc_id", "n_words", _covered(F.col("spans")).cast("long").alias("n_hit"), "grams")
 
 
+def _sizes(grams: DataFrame) -> list[int]:
+    """Numbers of words of the grams: 1 to `window`."""
+    return sorted(r["size"] for r in grams.select("size").distinct().collect())
+
+
 def _join(docs: DataFrame, grams: DataFrame, keep: list[str]) -> DataFrame:
     """As `_scan`, for any number of grams: windows are exploded and joined by their text."""
     rows = docs.select(*keep, "doc_id", "text", F.xxhash64("doc_id", "text").alias("rid"))
-    sizes = [r["size"] for r in grams.select("size").distinct().collect()]  # 1 to `window`
+    sizes = _sizes(grams)
     tokens = rows.select("rid", words(F.col("text")).alias("tokens"))
     every = [F.transform(_starts(F.col("tokens"), size, lambda at: F.lit(True)), _gram(F.col("tokens"), size)) for size in sizes]
     windows = tokens.select("rid", F.explode(F.concat(*every)).alias("w")).select("rid", "w.*")
@@ -121,10 +131,8 @@ def _join(docs: DataFrame, grams: DataFrame, keep: list[str]) -> DataFrame:
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, most: int = BROADCAST_GRAMS) -> tuple[DataFrame, DataFrame]:
     """Rows of (columns to keep, doc_id, n_words, n_hit, grams), and the grams with the ids of their items."""
     grams = settle(item_grams(benchmark, window))
-    some = grams.select("gram", "size", "first", "hash").limit(most + 1).collect()
-    if len(some) > most:
-        return _join(docs, grams, keep or []), grams
-    return _scan(docs, some, keep or []), grams
+    find = _join if grams.count() > most else _scan
+    return find(docs, grams, keep or []), grams
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = BROADCAST_GRAMS) -> DataFrame:
