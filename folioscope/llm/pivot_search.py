@@ -1,9 +1,11 @@
 """Exact top-k inner products by pivot-table elimination.
 
-Each vector has a row of distances to many pivots. By the triangle inequality the largest difference between the rows of a query and a
-candidate bounds their distance from below, hence their inner product from above. A task meets candidates in tiles; in each tile
-a query evaluates candidates in order of their bounds and stops when the next bound can't reach its k-th score. The first threshold
-of a query comes from a bounded sample of real candidates, so most of what is far is never evaluated, and nothing is approximate.
+Each vector has a row of distances to many pivots, kept as its place in the space that the pivots span and its distance from that space, which
+say the same. The row bounds the distance of two vectors from below, and so their inner product from above: places apart and distances from the
+space apart, put together, are the largest lower bound that the rows allow, never less than their largest difference. A task meets candidates
+in tiles; in each tile a query evaluates candidates in order of their bounds and stops when the next bound can't reach its k-th score. The
+first threshold of a query comes from a bounded sample of real candidates, so most of what is far is never evaluated, and nothing is approximate.
+A candidate's row costs one product with the pivots, far less than the bounds of a group of queries, so it isn't stored.
 
 Queries are dealt into groups of bounded size; each group is broadcast once and scans all candidates where they lie, so candidates are
 never shuffled and no pairs are emitted: a task returns k rows per query at most.
@@ -24,7 +26,9 @@ from pyspark.sql import functions as F
 
 from .lineage import settle
 
-SCALE, PIVOTS, SAMPLE, TILE, STEP = 256, 16, 2048, 1024, 64
+SCALE, PIVOTS, SAMPLE, TILE, STEP = 256, 48, 2048, 1024, 64
+#: Queries that meet a tile at a time, which bounds the memory whatever their number.
+CHUNK = 256
 #: Bytes of a group of queries, which is broadcast.
 GROUP_BYTES = 32 << 20
 
@@ -44,11 +48,14 @@ def vectors(ids: pa.Array, column: pa.Array, scale: int = SCALE) -> Iterator[tup
             yield ids[rows[fine]], np.floor(scale * v[fine])
 
 
-def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products: doubles while they hold every sum, else 64-bit integers."""
-    if a.size and b.size and a.shape[-1] * np.abs(a).max() * np.abs(b).max() >= 2.0**53:
-        return np.einsum("qd,qcd->qc", a.astype(np.int64), b.astype(np.int64))
-    return np.matmul(b, a[:, :, None])[:, :, 0].astype(np.int64)
+def _exact(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether doubles hold every sum of products of the two."""
+    return not a.size or not b.size or a.shape[-1] * np.abs(a).max() * np.abs(b).max() < 2.0**53
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact integer inner products of all rows of a with all rows of b."""
+    return (a @ b.T).astype(np.int64) if _exact(a, b) else a.astype(np.int64) @ b.astype(np.int64).T
 
 
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
@@ -74,32 +81,34 @@ class Queries:
 
     def __post_init__(self) -> None:
         n = len(self.ids)
-        self.norms = (self.v**2).sum(1)
-        self.table = distances(self.v, self.pivots)
+        self.basis = np.linalg.qr(self.pivots.T)[0]
+        self.place, self.apart, self.norms = rows_of(self.v, self.basis)
         self.best = np.full((n, self.k), np.iinfo(np.int64).min)
         self.best_ids = np.full((n, self.k), np.iinfo(np.int64).max)
         self.evaluated = 0
 
     def meet(self, ids: np.ndarray, v: np.ndarray) -> None:
         """Evaluates a tile of candidates, each query in the order of their bounds until the exact stop."""
-        norms, table = (v**2).sum(1), distances(v, self.pivots)
-        low = np.zeros((len(self.ids), len(ids)))
-        for p in range(table.shape[1]):
-            np.maximum(low, np.abs(self.table[:, p, None] - table[None, :, p]), out=low)
-        both = self.norms[:, None] + norms[None, :]
-        bound = (both - low**2) / 2 + 1e-9 * (both + 1) + 1e-6
-        stop = np.maximum(self.least, self.best[:, -1]).astype(np.float64)
-        alive = np.flatnonzero(bound.max(1) >= stop)
-        if not len(alive):
-            return
-        order = np.argsort(-bound[alive], axis=1, kind="stable")
+        place, apart, norms = rows_of(v, self.basis)
+        exact = _exact(self.v, v)
+        for at in range(0, len(self.ids), CHUNK):
+            own = slice(at, at + CHUNK)
+            bound = self.place[own] @ place.T + self.apart[own, None] * apart[None, :]
+            bound += 1e-9 * (self.norms[own, None] + norms[None, :] + 1) + 1e-6
+            self._meet(np.arange(at, at + len(bound)), bound, ids, v, exact)
+
+    def _meet(self, alive: np.ndarray, bound: np.ndarray, ids: np.ndarray, v: np.ndarray, exact: bool) -> None:
+        fine = np.flatnonzero(bound.max(1) >= np.maximum(self.least[alive], self.best[alive, -1]))
+        alive, bound = alive[fine], bound[fine]
+        order = np.argsort(-bound, axis=1, kind="stable")
         for at in range(0, len(ids), STEP):
             chosen = order[:, at : at + STEP]
-            going = bound[alive, chosen[:, 0]] >= np.maximum(self.least[alive], self.best[alive, -1])
+            going = np.take_along_axis(bound, chosen[:, :1], 1)[:, 0] >= np.maximum(self.least[alive], self.best[alive, -1])
             if not going.any():
                 return
-            alive, order, chosen = alive[going], order[going], chosen[going]
-            score = inner(self.v[alive], v[chosen])
+            alive, bound, order, chosen = alive[going], bound[going], order[going], chosen[going]
+            met = v[chosen]
+            score = (np.matmul(met, self.v[alive][:, :, None])[:, :, 0] if exact else np.einsum("qd,qcd->qc", self.v[alive].astype(np.int64), met.astype(np.int64))).astype(np.int64)
             self.evaluated += score.size
             found = ids[chosen]
             score[found == self.ids[alive][:, None]] = np.iinfo(np.int64).min
@@ -115,8 +124,10 @@ class Queries:
             self.best_ids[rows] = np.take_along_axis(names, top, 1)
 
 
-def distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.stack([np.sqrt(((v - p) ** 2).sum(1)) for p in pivots], 1) if len(pivots) else np.zeros((len(v), 0))
+def rows_of(v: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in the space of the pivots, distances from it (rounded up, so that bounds stay bounds), and squared lengths."""
+    place, norms = v @ basis, (v**2).sum(1)
+    return place, np.sqrt(np.maximum(norms - (place**2).sum(1), 0) + 1e-9 * (norms + 1)), norms
 
 
 def _thresholds(ids: np.ndarray, v: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
@@ -125,10 +136,10 @@ def _thresholds(ids: np.ndarray, v: np.ndarray, sample_ids: np.ndarray, sample:
     if len(sample) <= k:
         return none
     out = none
-    for a in range(0, len(ids), 512):
-        score = inner(v[a : a + 512], np.broadcast_to(sample, (min(512, len(ids) - a), *sample.shape)))
-        score[sample_ids[None, :] == ids[a : a + 512, None]] = np.iinfo(np.int64).min
-        out[a : a + 512] = np.invert(np.partition(np.invert(score), k - 1, axis=1)[:, k - 1])
+    for a in range(0, len(ids), CHUNK):
+        score = products(v[a : a + CHUNK], sample)
+        score[sample_ids[None, :] == ids[a : a + CHUNK, None]] = np.iinfo(np.int64).min
+        out[a : a + CHUNK] = np.invert(np.partition(np.invert(score), k - 1, axis=1)[:, k - 1])
     return out
 
 
@@ -138,7 +149,7 @@ def top_k(vecs: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
     rows = vecs.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
     sample = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow().combine_chunks()
     samples = {v.shape[1]: (ids, v) for b in sample.to_batches() for ids, v in vectors(b.column(0), b.column(1))}
-    pivots = {dim: choose_pivots(v, n_pivots) for dim, (_, v) in samples.items()}
+    pivots = {dim: choose_pivots(v, min(n_pivots, dim)) for dim, (_, v) in samples.items()}
     queries = rows.where(is_query & F.col("id").isNotNull() & F.col("v").isNotNull()).distinct()
     size = queries.agg(F.sum(16 + 8 * F.size("v").cast("long")).alias("n")).first()["n"] or 0
     groups = max(1, -(-size // group_bytes))
@@ -155,6 +166,7 @@ def top_k(vecs: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
         parts.append(rows.mapInArrow(_search(shared, k, g), "query_id long, tag long, vec_id long, score long"))
         if groups > 1:
             parts[-1] = settle(parts[-1])
+            shared.destroy()
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)

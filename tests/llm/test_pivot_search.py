@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import pytest
@@ -41,3 +42,34 @@ def test_elimination_and_empty(spark):
     df = spark.createDataFrame([(10, [1.0])], "vec_id long, embedding array<float>")
     assert pivot_search.top_k(df, F.col("id") % 10 == 0).count() == 0
     assert pivot_search.top_k(df.limit(0), F.col("id") % 10 == 0).count() == 0
+
+
+def test_memory_follows_the_chunk_and_not_the_queries():
+    import tracemalloc
+
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    v = np.floor(256 * r.normal(size=(20_000, 64)) / 8)
+    q = pivot_search.Queries(np.arange(len(v)), np.arange(len(v)), v, pivot_search.choose_pivots(v[:500], 48), np.full(len(v), np.iinfo(np.int64).min), 5)
+    tracemalloc.start()
+    q.meet(np.arange(1024), v[:1024])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no driver tables")
+def test_pivots_eliminate_on_the_driver_vectors():
+    import numpy as np
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet", columns=["vec_id", "embedding"]).combine_chunks().to_batches()[0]
+    ((ids, v),) = pivot_search.vectors(rows.column(0), rows.column(1))
+    own = ids % 50 == 0
+    least = pivot_search._thresholds(ids[own], v[own], ids, v, 5)
+    q = pivot_search.Queries(ids[own], ids[own], v[own], pivot_search.choose_pivots(v, pivot_search.PIVOTS), least, 5)
+    for a in range(0, len(ids), pivot_search.TILE):
+        q.meet(ids[a : a + pivot_search.TILE], v[a : a + pivot_search.TILE])
+    assert q.evaluated < 0.35 * own.sum() * len(ids)
+    print(q.evaluated / own.sum() / len(ids))
