@@ -1,13 +1,13 @@
 """PII by bootstrapped contextual extraction.
 
-Base patterns (mail addresses, IP addresses, card and phone numbers) give seed entities. What stands just before a seed is a candidate pattern:
-one or two words. Spark counts what each pattern introduces, entity or not, wherever it stands, and scores patterns and instances in turns: a pattern
-by the share of its occurrences that introduce something believed to be an entity (less for thin support), an instance by the best of its
-patterns. Words that stand before anything, such as articles, so score next to nothing. Patterns above the threshold after the last turn find
-identifiers that no base pattern knows; these are added as spans of kind `context`, and base spans stay.
+Base patterns (mail addresses, IP addresses, card and phone numbers) give seed entities. What stands next to a seed is a candidate pattern:
+one or two words before it, or the word after it. Spark counts what each pattern introduces, entity or not, wherever it stands, and scores patterns and
+instances in turns: a pattern by the share of its occurrences that introduce something believed to be an entity (less for thin support), an instance by
+the best of its patterns. Words that stand beside anything, such as articles, so score next to nothing. Patterns above the threshold after the
+last turn find identifiers that no base pattern knows; these are added as spans of kind `context`, and base spans stay.
 
-A pattern must be seen with a set share of all seeds, so the patterns that are broadcast are at most 1 / SUPPORT_SHARE for each kind, whatever the
-corpus holds. The pattern-instance graph stays in Spark.
+Every pattern that stands beside `SUPPORT` seeds is a candidate, whatever the corpus holds. Tasks get them `GROUP` at a time; more of them mean more
+passes over the texts. The pattern-instance graph and the scores stay in Spark.
 
 Null text: empty, no spans. Spans are in code points, end exclusive. Repeated rows and null ids: each row has its own result. Empty table:
 no rows. Other columns are ignored.
@@ -17,19 +17,23 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .lineage import settle
+from .lineage import release, settle
 
 KINDS = ("email", "ip", "card", "phone", "context")
-#: Share of all seeds (and least number) that a pattern must introduce; score it must reach; rounds of scoring.
-SUPPORT_SHARE, SUPPORT_LEAST, SCORE, ROUNDS = 0.002, 8, 0.6, 3
+#: Seeds that a pattern must stand beside to be scored; score it must reach; rounds of scoring.
+SUPPORT, SCORE, ROUNDS = 8, 0.6, 3
+#: Patterns that go to the tasks at a time, of 81 characters at most.
+GROUP = 200_000
 
 # A mail address's first part starts as far left as it can, and a number at its first digit: if that fails, so does every later start. Said
 # so, each pattern takes time in proportion to the text.
@@ -41,8 +45,12 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 #: An identifier's shape: at least six characters, one of them a digit, a letter or digit at the end.
 _TOKEN = re.compile(r"[A-Za-z0-9_#@+./:-]{6,}")
+#: Words of a context count by the 40 characters next to the place.
 _BEFORE = re.compile(r"([^\s]{1,40})[ \t]{1,3}([^\s]{1,40})[ \t]{0,3}$|([^\s]{1,40})[ \t]{0,3}$")
+_AFTER = re.compile(r"[ \t]{0,3}([^\s]{1,40})")
 _LOOK_BACK = 90
+#: What a pattern that stands after its place begins with; no word before a place does, as it would hold white space.
+_BEHIND = "> "
 
 
 def luhn(digits: str) -> bool:
@@ -85,14 +93,14 @@ def base(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def contexts(text: str, start: int) -> list[str]:
-    """Patterns that introduce a place: the word before it, and the two words before it, in lower case."""
-    line = text[max(0, start - _LOOK_BACK, text.rfind("\n", 0, start) + 1) : start]
-    if not (m := _BEFORE.search(line)):
-        return []
-    if m[3] is not None:
-        return [m[3].lower()]
-    return [m[2].lower(), f"{m[1]} {m[2]}".lower()]
+def contexts(text: str, start: int, end: int) -> list[str]:
+    """Patterns beside a place, in lower case: the word before it, the two words before it, and the word after it."""
+    least = max(0, start - _LOOK_BACK)
+    m = _BEFORE.search(text[max(least, text.rfind("\n", least, start) + 1) : start])
+    found = [] if not m else [m[3].lower()] if m[3] is not None else [m[2].lower(), f"{m[1]} {m[2]}".lower()]
+    if m := _AFTER.match(text, end, end + _LOOK_BACK):
+        found.append(_BEHIND + m[1].lower())
+    return found
 
 
 def shaped(text: str) -> Iterator[tuple[int, int]]:
@@ -116,103 +124,130 @@ def _clear(text: str, own: list[tuple[int, int, int]]) -> Iterator[tuple[int, in
             yield start, end
 
 
+def _texts(source: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
+    for batch in source:
+        for part in T.steps(batch, "text"):
+            yield [t or "" for t in part.column("text").to_pylist()]
+
+
 def _seeds(docs: DataFrame) -> DataFrame:
-    """pattern, kind, n: how often each pattern stands before a seed of each kind, and the number of seeds (empty pattern)."""
+    """pattern and n: how often each pattern stands beside a seed."""
+    schema = pa.schema([("pattern", pa.string()), ("n", pa.int64())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            counts: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                for start, kind, _ in base(text or ""):
-                    counts["", kind] += 1
-                    for c in contexts(text, start):
-                        counts[c, kind] += 1
+        for texts in _texts(source):
+            counts = Counter(c for text in texts for start, _, end in base(text) for c in contexts(text, start, end))
             if counts:
-                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in counts]), pa.array([k for _, k in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())], ["pattern", "kind", "n"])
+                yield T.batches({"pattern": list(counts), "n": list(counts.values())}, schema)
 
-    return docs.select("text").mapInArrow(run, "pattern string, kind int, n long").groupBy("pattern", "kind").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
 
 
 def _instances(docs: DataFrame, patterns: frozenset[str]) -> DataFrame:
-    """pattern, instance (hash), known, n: what follows each candidate pattern with an identifier's shape; with a null instance, how often the
+    """pattern, instance (hash), known, n: what each candidate pattern introduces of an identifier's shape; with a null instance, how often the
     pattern stands anywhere."""
-    pairs = any(" " in p for p in patterns)
+    pairs = any(" " in p and not p.startswith(_BEHIND) for p in patterns)
+    schema = pa.schema([("pattern", pa.string()), ("instance", pa.int64()), ("known", pa.bool_()), ("n", pa.int64())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in source:
+        for texts in _texts(source):
             counts: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                text = text or ""
+            for text in texts:
                 tokens = text.lower().split()
                 for c in filter(patterns.__contains__, tokens):
                     counts[c, None, False] += 1
+                for c in filter(patterns.__contains__, map(_BEHIND.__add__, tokens)):
+                    counts[c, None, False] += 1
                 if pairs:
                     for c in filter(patterns.__contains__, map("%s %s".__mod__, zip(tokens, tokens[1:], strict=False))):
                         counts[c, None, False] += 1
                 own = base(text)
-                covered = {start: end for start, _, end in own}
-                for start, end in [*_clear(text, own), *covered.items()]:
-                    if found := patterns.intersection(contexts(text, start)):
+                places = [(start, end, True) for start, _, end in own] + [(start, end, False) for start, end in _clear(text, own)]
+                for start, end, known in places:
+                    if found := patterns.intersection(contexts(text, start, end)):
                         name = xxhash.xxh64_intdigest(text[start:end]) - (1 << 63)
                         for c in found:
-                            counts[c, name, start in covered] += 1
+                            counts[c, name, known] += 1
             if counts:
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts]), pa.array([k[1] for k in counts], pa.int64()), pa.array([k[2] for k in counts]), pa.array(list(counts.values()), pa.int64())], ["pattern", "instance", "known", "n"])
+                pattern, instance, known = zip(*counts, strict=True)
+                yield T.batches({"pattern": pattern, "instance": instance, "known": known, "n": list(counts.values())}, schema)
 
     return docs.select("text").mapInArrow(run, "pattern string, instance long, known boolean, n long").groupBy("pattern", "instance").agg(F.max("known").alias("known"), F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
 class Patterns:
-    """Patterns of high confidence and their scores."""
+    """Patterns of high confidence and their scores, as a table (pattern, score) of `size` rows."""
 
-    scores: dict[str, float]
+    table: DataFrame
+    size: int
 
+    @classmethod
+    def of(cls, spark: SparkSession, scores: dict[str, float]) -> Patterns:
+        return cls(spark.createDataFrame(list(scores.items()), "pattern string, score double"), len(scores))
 
-def learn(docs: DataFrame, share: float = SUPPORT_SHARE, least: int = SUPPORT_LEAST, score: float = SCORE, rounds: int = ROUNDS) -> Patterns:
-    seeds = settle(_seeds(docs))
-    total = seeds.where("pattern = ''").select("kind", F.col("n").alias("all"))
-    often = seeds.where("pattern <> ''").join(F.broadcast(total), "kind")  # a row per kind
-    # each needs a share of its kind's seeds, and a seed has two patterns: at most 2 / share of them a kind
-    chosen = frozenset(r["pattern"] for r in often.where(F.col("n") >= F.greatest(F.lit(least), F.ceil(F.col("all") * share))).select("pattern").distinct().collect())
-    if not chosen:
-        return Patterns({})
-    seen = settle(_instances(docs, chosen))
+    def groups(self) -> Iterator[frozenset[str]]:
+        yield from _groups(self.table, self.size)
+
+
+def _groups(table: DataFrame, size: int) -> Iterator[frozenset[str]]:
+    """The patterns of a table, about `GROUP` at a time: a proven bound for what the driver holds and tasks get."""
+    n = -(-size // GROUP)
+    for k in range(n):
+        yield frozenset(r["pattern"] for r in table.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == k).select("pattern").collect())
+
+
+def learn(docs: DataFrame, support: int = SUPPORT, score: float = SCORE, rounds: int = ROUNDS) -> Patterns:
+    chosen = settle(_seeds(docs).where(F.col("n") >= support).select("pattern"))
+    parts = [settle(_instances(docs, group)) for group in _groups(chosen, chosen.count())]
+    if not parts:
+        return Patterns.of(docs.sparkSession, {})
+    seen = reduce(DataFrame.unionByName, parts)
     graph, totals = seen.where("instance IS NOT NULL"), seen.where("instance IS NULL").select("pattern", F.col("n").alias("total"))
-    belief = F.when(F.col("known"), F.lit(1.0)).otherwise(F.lit(0.0))
-    scored = graph.withColumn("belief", belief)
-    found = None
+    scored = graph.withColumn("belief", F.when(F.col("known"), F.lit(1.0)).otherwise(F.lit(0.0)))
     for k in range(rounds):
         sums = scored.groupBy("pattern").agg(F.sum(F.col("belief") * F.col("n")).alias("sum"), F.count("*").alias("support"))
-        thin = F.least(F.lit(1.0), F.log2(1 + F.col("support")) / F.log2(F.lit(1.0 + least)))
-        # a row per chosen pattern on either side
-        found = sums.join(F.broadcast(totals), "pattern").select("pattern", (F.col("sum") / F.greatest("total", F.lit(1)) * thin).alias("score"))
+        thin = F.least(F.lit(1.0), F.log2(1 + F.col("support")) / F.log2(F.lit(1.0 + support)))
+        found = settle(sums.join(totals, "pattern", "left").select("pattern", (F.least(F.lit(1.0), F.col("sum") / F.greatest(F.coalesce("total", F.lit(1)), F.lit(1))) * thin).alias("score")))
         if k + 1 < rounds:
-            # patterns are few and bounded; an instance is as believable as the best pattern that introduces it
-            best = graph.join(F.broadcast(found), "pattern").groupBy("instance").agg(F.max("score").alias("best"))
-            scored = settle(graph.join(best, "instance").withColumn("belief", F.when(F.col("known"), F.lit(1.0)).otherwise(F.when(F.col("best") >= score, F.col("best")).otherwise(F.lit(0.0)))))
-    return Patterns({r["pattern"]: r["score"] for r in found.where(F.col("score") >= score).collect()})
+            # an instance is as believable as the best pattern that introduces it
+            best = graph.join(found, "pattern").groupBy("instance").agg(F.max("score").alias("best"))
+            doubtful = F.when(F.col("best") >= score, F.col("best")).otherwise(F.lit(0.0))
+            scored = settle(graph.join(best, "instance").withColumn("belief", F.when(F.col("known"), F.lit(1.0)).otherwise(doubtful)))
+    sure = settle(found.where(F.col("score") >= score))
+    release(chosen, found, *parts)
+    return Patterns(sure, sure.count())
 
 
 def extract(docs: DataFrame, patterns: Patterns) -> DataFrame:
     """doc_id and spans (start, end in code points, kind) of every row, sorted by start, then kind as listed."""
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
     schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(span))])
-    known = frozenset(patterns.scores)
+    text_schema = pa.schema([schema[0], ("text", pa.string()), schema[1]])
 
-    def spans(text: str) -> list[dict]:
-        own = base(text)
-        if known:
-            more = [(a, 4, b) for a, b in _clear(text, own) if known.intersection(contexts(text, a))]
-            own = sorted(own + more)
-        return [{"start": a, "end": b, "kind": KINDS[k]} for a, k, b in own]
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for part in T.steps(batch, "text"):
-                found = [spans(t or "") for t in part.column("text").to_pylist()]
-                yield T.batches({"doc_id": part.column("doc_id"), "spans": found}, schema)
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, spans array<struct<start:int,end:int,kind:string>>")
+                found = [[{"start": a, "end": b, "kind": KINDS[k]} for a, k, b in base(t or "")] for t in part.column("text").to_pylist()]
+                yield T.batches({"doc_id": part.column("doc_id"), "text": part.column("text"), "spans": found}, text_schema)
+
+    def more(known: frozenset[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def spans(text: str, held: list[dict]) -> list[dict]:
+            own = [(x["start"], KINDS.index(x["kind"]), x["end"]) for x in held]
+            sure = [x for x in own if x[1] < 4]
+            found = {(a, 4, b) for a, b in _clear(text, sure) if known.intersection(contexts(text, a, b))}
+            return [{"start": a, "end": b, "kind": KINDS[k]} for a, k, b in sorted(found.union(own))]
+
+        def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in source:
+                for part in T.steps(batch, "text"):
+                    found = [spans(t or "", held) for t, held in zip(part.column("text").to_pylist(), part.column("spans").to_pylist(), strict=True)]
+                    yield T.batches({"doc_id": part.column("doc_id"), "text": part.column("text"), "spans": found}, text_schema)
+
+        return run
+
+    kind = "doc_id long, text string, spans array<struct<start:int,end:int,kind:string>>"
+    rows = docs.select("doc_id", "text").mapInArrow(first, kind)
+    for group in patterns.groups():
+        rows = rows.mapInArrow(more(group), kind)
+    return rows.select("doc_id", "spans")

@@ -1,5 +1,7 @@
+import math
 import random
 import re
+import time
 
 from folioscope.llm import pii
 
@@ -31,7 +33,7 @@ def corpus():
 def test_against_brute_force(spark):
     texts = corpus()
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, spans string").repartition(4)
-    for patterns in (pii.Patterns({}), pii.Patterns({"é": 1.0, "@": 1.0})):
+    for patterns in (pii.Patterns.of(spark, {}), pii.Patterns.of(spark, {"é": 1.0, "@": 1.0})):
         for row in pii.extract(df, patterns).collect():
             spans = [(s.start, s.end, s.kind) for s in row.spans]
             assert [s for s in spans if s[2] != "context"] == brute(texts[row.doc_id]), repr(texts[row.doc_id])
@@ -46,7 +48,8 @@ def test_bootstraps_unseen_identifiers(spark):
     texts += [f"{say()} build r2d2-{i}xx9 {say()}" for i in range(40)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     patterns = pii.learn(df)
-    assert "me:" in patterns.scores and "reach me:" in patterns.scores and "build" not in patterns.scores
+    known = {x.pattern for x in patterns.table.collect()}
+    assert {"me:", "reach me:"} <= known and "build" not in known
     found = {row.doc_id: [texts[row.doc_id][s.start : s.end] for s in row.spans if s.kind == "context"] for row in pii.extract(df, patterns).collect()}
     assert [found[60 + i] for i in range(5)] == [[f"user-{i}-x77"] for i in range(5)]
     assert not any(found[i] for i in range(65, 105))
@@ -56,3 +59,83 @@ def test_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, "a@b.c"), (None, None)], "doc_id long, text string")
     assert sorted(len(x.spans) for x in pii.extract(df, pii.learn(df)).collect()) == [0, 1]
     assert pii.extract(df.limit(0), pii.learn(df.limit(0))).count() == 0
+
+
+def plain_contexts(text, a, b):
+    """As the operator's contexts, said by splitting."""
+    line, out = text[:a].split("\n")[-1], []
+    words = re.split(r"[ \t]+", line.rstrip(" \t"))
+    gap = len(line) - len(line.rstrip(" \t"))
+    if words[-1] and gap <= 3:
+        out.append(words[-1][-40:].lower())
+        if len(words) > 1 and words[-2]:
+            out.append(f"{words[-2][-40:]} {words[-1]}".lower())
+    if m := re.match(r"[ \t]{0,3}([^\s]{1,40})", text[b:]):
+        out.append("> " + m[1].lower())
+    return out
+
+
+def plain_learn(texts, support, score, rounds):
+    """The scoring of patterns, over lists."""
+    places = [(t, a, b, True) for t in texts for a, b, _ in brute(t)]
+    for t in texts:
+        own = [(a, b) for a, b, _ in brute(t)]
+        places += [(t, a, b, False) for a, b in pii.shaped(t) if not any(x < b and a < y for x, y in own)]
+    seeds = {}
+    for t, a, b, sure in places:
+        for c in plain_contexts(t, a, b) if sure else ():
+            seeds[c] = seeds.get(c, 0) + 1
+    chosen = {c for c, n in seeds.items() if n >= support}
+    graph, totals = {}, dict.fromkeys(chosen, 0)
+    for t, a, b, sure in places:
+        for c in chosen.intersection(plain_contexts(t, a, b)):
+            n, known = graph.get((c, t[a:b]), (0, False))
+            graph[c, t[a:b]] = n + 1, known or sure
+    for t in texts:
+        words = t.lower().split()
+        for c in words + ["> " + w for w in words] + [f"{x} {y}" for x, y in zip(words, words[1:], strict=False)]:
+            if c in chosen:
+                totals[c] += 1
+    best = {}
+    for _ in range(rounds):
+        scores = {}
+        for c in chosen:
+            own = [(n, 1.0 if known else best.get(i, 0.0)) for (p, i), (n, known) in graph.items() if p == c]
+            scores[c] = min(1, sum(n * x for n, x in own) / max(1, totals[c])) * min(1, math.log2(1 + len(own)) / math.log2(1 + support))
+        best = {}
+        for c, i in graph:
+            if scores[c] >= score:
+                best[i] = max(best.get(i, 0), scores[c])
+    return {c: round(s, 9) for c, s in scores.items() if s >= score}
+
+
+def test_patterns_and_context_spans_against_brute_force(spark, monkeypatch):
+    r = random.Random(5)
+    words = ["mail", "to:", "Call", "now", "of", "the"]
+    thing = lambda i: r.choice([f"u{i}@m.example", f"10.0.{i % 256}.7", f"id-{i}-9xyz", "plain", f"+49 170 {1000000 + i}"])
+    texts = [" ".join(f"{r.choice(words)} {r.choice(words)} {thing(i * 7 + k)} {r.choice(['ok', 'the', '(sent)'])}" for k in range(3)) for i in range(120)]
+    texts += [f"reach me: u{i}@mail.example (private) so" for i in range(20)] + ["reach me: user-77-x (private)", "about user-78-xy (private)", "me: user-79-xy"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = plain_learn(texts, 8, 0.6, 3)
+    assert {"me:", "> (private)"} <= set(want)
+    for group in (pii.GROUP, 3):
+        monkeypatch.setattr(pii, "GROUP", group)
+        patterns = pii.learn(df)
+        assert {x.pattern: round(x.score, 9) for x in patterns.table.collect()} == want
+        for row in pii.extract(df, patterns).collect():
+            t = texts[row.doc_id]
+            own = [(a, b) for a, b, _ in brute(t)]
+            more = [(a, b) for a, b in pii.shaped(t) if not any(x < b and a < y for x, y in own) and set(want) & set(plain_contexts(t, a, b))]
+            assert [(s.start, s.end) for s in row.spans if s.kind == "context"] == more
+    assert plain_contexts("about user-78-xy (private)", 6, 16) == ["about", "> (private)"]
+
+
+def test_one_long_line_takes_time_in_proportion():
+    line = "reach me: user-77-x9 and 10.0.0.1 or so, " * 50_000
+    began = time.process_time()
+    sum(len(pii.contexts(line, a, b)) for a, b in pii.shaped(line))
+    short = time.process_time() - began
+    began = time.process_time()
+    line *= 4
+    sum(len(pii.contexts(line, a, b)) for a, b in pii.shaped(line))
+    assert time.process_time() - began < 10 * short
