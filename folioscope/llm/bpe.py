@@ -118,12 +118,7 @@ class Engine:
         """Ids of left + right from the ids of both; `ids` starts at a true boundary."""
         if not right or not left or (right[0] in SPACE and left[-1] not in SPACE):
             return ids + more
-        last = len(left) - 3
-        sure = 0
-        for m in self.pattern.finditer(left):
-            if m.end() > last:
-                break
-            sure = m.end()
+        sure = self._sure(left)
         theirs = {len(left) + m.end() for m in self.pattern.finditer(right)}
         text, agreed, between = left + right, len(left) + len(right), []
         for m in self.pattern.finditer(text, sure):
@@ -160,21 +155,49 @@ class Engine:
         return ids, b"".join(out)
 
     def _pieces(self, chunks: list[str]) -> Iterator[tuple[array, bytes]]:
-        held: tuple[str, array, bytes] | None = None
-        for text in chunks:
-            if not text:
+        """Ids and bytes of the chunks, joined. What lies before the last certain boundary goes out at once, so a join looks at the tail only.
+
+        Where the tail is a single pre-token longer than `LONGEST_WORD`, chunks are gathered until they are as long as the tail: the work of all
+        joins then stays in proportion to the text.
+        """
+        tail, held, gathered, size = "", (array("I"), b""), [], 0
+
+        def join() -> tuple[array, bytes]:
+            nonlocal tail, held, gathered, size
+            right = "".join(gathered)
+            more = self.chunk(right)[0] if len(gathered) == 1 else array("I", self.plain(right))
+            ids, text = self.joined(tail, held[0], right, more), tail + right
+            sure = self._sure(text)
+            keep = self._cut(ids, len(text[:sure].encode()))
+            tail, held, gathered, size = text[sure:], (ids[keep:], self.decode(ids[keep:])), [], 0
+            return ids[:keep], self.decode(ids[:keep])
+
+        for text in filter(None, chunks):
+            last = gathered[-1] if gathered else tail
+            if last and not (text[0] in SPACE and last[-1] not in SPACE):
+                gathered.append(text)
+                size += len(text)
+                if size >= len(tail) or len(tail) <= LONGEST_WORD:
+                    yield join()
                 continue
-            ids, raw = self.chunk(text)
-            if held is None:
-                held = text, ids, raw
-            elif text[0] in SPACE and held[0][-1] not in SPACE:
-                yield held[1:]
-                held = text, ids, raw
-            else:
-                ids = self.joined(held[0], held[1], text, ids)
-                held = held[0] + text, ids, self.decode(ids)
-        if held:
-            yield held[1:]
+            if gathered:
+                yield join()
+            if tail:
+                yield held
+            tail, held = text, self.chunk(text)
+        if gathered:
+            yield join()
+        if tail:
+            yield held
+
+    def _sure(self, text: str) -> int:
+        """The last boundary of a text, read from a true one on, that whatever follows can't move."""
+        sure, last = 0, len(text) - 3
+        for m in self.pattern.finditer(text):
+            if m.end() > last:
+                break
+            sure = m.end()
+        return sure
 
 
 def _byte_characters() -> dict[int, str]:

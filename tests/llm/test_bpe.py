@@ -65,3 +65,23 @@ def test_rows(spark):
 def test_small(text):
     for k in range(len(text) + 1):
         assert bpe.Engine.at(PATH).encode(text, lambda t, k=k: [t[:k], t[k:]])[0].tolist() == ids(text)
+
+
+def test_long_runs_are_joined_exactly_and_in_proportion(monkeypatch):
+    import time
+
+    r = random.Random(2)
+    monkeypatch.setattr(bpe, "LONGEST_WORD", 50)
+    for alphabet in ("abc", "a1.é日'", "ab cde", "a b"):
+        for n in (49, 150, 1000, 4000):
+            text = "".join(r.choice(alphabet) for _ in range(n))
+            assert list(bpe.Engine.at(PATH).encode(text, bpe._again)[0]) == ids(text)
+    monkeypatch.undo()
+    took = []
+    for n in (400_000, 1_600_000):
+        text = "".join(r.choice("abcdefghij") for _ in range(n))
+        began = time.process_time()
+        got = bpe.Engine.at(PATH).encode(text, bpe._again)[0]
+        took.append(time.process_time() - began)
+        assert list(got) == ids(text)
+    assert took[1] < 10 * took[0]
