@@ -109,8 +109,10 @@ class Codec:
 
 #: Characters of formatted text after which a fragment ends; a longer turn makes a fragment of its own.
 FRAGMENT_CHARS = 256 << 10
+#: Characters of a text by which rows of one turn and role are dealt; texts that agree on them go to one task, which orders them whole.
+RANGE_CHARS = 100
 
-FRAGMENTS = "conv_id long, part_turn long, part_role string, part_text_hash long, part_no long, n_turns long, formatted string, loss array<struct<start:int,end:int>>, exits array<int>, out_of_order array<long>"
+FRAGMENTS = "conv_id long, part_turn long, part_role string, part_text string, part_no long, n_turns long, formatted string, loss array<struct<start:int,end:int>>, exits array<int>, out_of_order array<long>"
 
 
 def format_chats(rows: DataFrame, template: Template | None = None) -> DataFrame:
@@ -120,7 +122,7 @@ def format_chats(rows: DataFrame, template: Template | None = None) -> DataFrame
     place in `Template.states`) the state after the fragment and the number of turns out of order in it.
     """
     template = template or Template()
-    arrow = pa.schema([("conv_id", pa.int64()), ("part_turn", pa.int64()), ("part_role", pa.string()), ("part_text_hash", pa.int64()), ("part_no", pa.int64()), ("n_turns", pa.int64()), ("formatted", pa.string()), ("loss", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("exits", pa.list_(pa.int32())), ("out_of_order", pa.list_(pa.int64()))])
+    arrow = pa.schema([("conv_id", pa.int64()), ("part_turn", pa.int64()), ("part_role", pa.string()), ("part_text", pa.string()), ("part_no", pa.int64()), ("n_turns", pa.int64()), ("formatted", pa.string()), ("loss", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("exits", pa.list_(pa.int32())), ("out_of_order", pa.list_(pa.int64()))])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, states = Codec(template), template.states
@@ -143,7 +145,7 @@ def format_chats(rows: DataFrame, template: Template | None = None) -> DataFrame
                 if open_ and (open_["conv_id"] != conv or open_["chars"] >= FRAGMENT_CHARS):
                     close()
                 if not open_:
-                    open_ = {"conv_id": conv, "part_turn": turn, "part_role": role, "part_text_hash": order, "part_no": number, "n_turns": 0, "pieces": [], "loss": [], "chars": 0, "now": list(states), "out_of_order": [0] * len(states)}
+                    open_ = {"conv_id": conv, "part_turn": turn, "part_role": role, "part_text": order, "part_no": number, "n_turns": 0, "pieces": [], "loss": [], "chars": 0, "now": list(states), "out_of_order": [0] * len(states)}
                     number += 1
                 for piece, loss in codec.segments(role, text):
                     if loss:
@@ -163,11 +165,11 @@ def format_chats(rows: DataFrame, template: Template | None = None) -> DataFrame
         if done:
             yield pa.RecordBatch.from_pylist(done, arrow)
 
-    base = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    order = ["conv_id", "turn", "role", "h", "text"]
+    base = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).withColumn("first", F.substring("text", 1, RANGE_CHARS))
+    keys = ["conv_id", "turn", "role", "first"]
     n = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    dealt = base.repartitionByRange(int(n), *order[:4]).sortWithinPartitions(*order)
-    return dealt.select("conv_id", "turn", "role", "text", "h").mapInArrow(run, FRAGMENTS)
+    dealt = base.repartitionByRange(int(n), *keys).sortWithinPartitions(*keys, "text")
+    return dealt.select("conv_id", "turn", "role", "text", "first").mapInArrow(run, FRAGMENTS)
 
 
 def read_back(fragments: DataFrame, template: Template | None = None) -> DataFrame:
@@ -211,5 +213,5 @@ def read_back(fragments: DataFrame, template: Template | None = None) -> DataFra
         if done:
             yield pa.RecordBatch.from_pylist(done, pa.schema(fields))
 
-    order = ["conv_id", "part_turn", "part_role", "part_text_hash", "part_no"]
+    order = ["conv_id", "part_turn", "part_role", "part_text", "part_no"]
     return fragments.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_out_of_order long")

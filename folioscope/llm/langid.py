@@ -28,6 +28,8 @@ from .toxicity import held_out
 TRAIN_ROWS = 8_000
 BUCKETS = 1 << 16
 BLOCK = 64
+#: Cells of the transfer matrices that are held at a time.
+MATRIX_CELLS = 1 << 22
 #: Log-likelihood that a change of language costs, and the most that one word may say against a language.
 SWITCH, CLIP = 12.0, 8.0
 #: Share of a language's words that a script must have to be one of its scripts.
@@ -91,11 +93,12 @@ def _script_of() -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
-    """text, lang, order of at most `limit` documents with a language that are not held out."""
+    """text, lang, order of at most `limit` documents with a language that are not held out, a row each: of several rows of a doc_id, the least."""
     named = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 4, 2))
     chosen = named.select("doc_id").distinct().withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(limit)
     # `limit` rows of two numbers: a proven bound for the broadcast
-    return named.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("text", "lang", "order")
+    found = named.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("least"), F.first("order").alias("order")).select("least.text", "least.lang", "order")
 
 
 def train(rows: DataFrame) -> Model:
@@ -140,7 +143,7 @@ def word_scores(grams: np.ndarray, first: np.ndarray, script: np.ndarray, model:
 def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """Best language of each word; rows of words lie one after the other, counts[r] words each."""
     n, k = scores.shape
-    path = np.zeros(n, np.int8)
+    path = np.zeros(n, np.int32)
     if not n or k < 2:
         return path
     counts = counts[counts > 0]
@@ -152,38 +155,43 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> n
     m = int(blocks.sum())
     s = np.zeros((BLOCK, m, k), np.float32)
     s[place, block] = scores
-    # transfer matrix of each block: from the language before it to the language of its last word
-    t = np.where(np.eye(k, dtype=bool), np.float32(0), np.float32(-np.inf))[None].repeat(m, 0)
-    for j in range(BLOCK):
-        t = np.maximum(t, t.max(2, keepdims=True) - switch) + s[j][:, None, :]
-    # chain over the blocks of each row; rows with more blocks come first
+    # chain over the blocks of each row, all first blocks, then all second ones; rows with more blocks come first
     order = np.argsort(-blocks, kind="stable")
     live = np.searchsorted(-blocks[order], -np.arange(blocks.max()), "left")
+    turn = np.repeat(np.arange(len(live)), live)
+    rows = order[np.arange(m) - np.repeat(np.cumsum(live) - live, live)]
     enter = np.zeros((m, k), np.float32)
     now = np.zeros((len(counts), k), np.float32)
-    back = np.zeros((m, k), np.int8)
-    for b in range(int(blocks.max())):
-        r = order[: live[b]]
-        at = base[r] + b
-        enter[at] = now[r]
-        ways = now[r][:, :, None] + t[at]
-        back[at] = ways.argmax(1)
-        now[r] = ways.max(1)
-    last = np.zeros(m, np.int8)
-    end = now.argmax(1).astype(np.int8)
+    back = np.zeros((m, k), np.int32)
+    step = max(1, MATRIX_CELLS // (k * k))
+    for lo in range(0, m, step):
+        # transfer matrix of each block: from the language before it to the language of its last word
+        at = (base[rows] + turn)[lo : lo + step]
+        t = np.where(np.eye(k, dtype=bool), np.float32(0), np.float32(-np.inf))[None].repeat(len(at), 0)
+        for j in range(BLOCK):
+            t = np.maximum(t, t.max(2, keepdims=True) - switch) + s[j][at][:, None, :]
+        edges = np.flatnonzero(np.append(True, np.diff(turn[lo : lo + step]) > 0))
+        for a, b in zip(edges, [*edges[1:], len(at)], strict=True):
+            r = rows[lo + a : lo + b]
+            enter[at[a:b]] = now[r]
+            ways = now[r][:, :, None] + t[a:b]
+            back[at[a:b]] = ways.argmax(1)
+            now[r] = ways.max(1)
+    last = np.zeros(m, np.int32)
+    end = now.argmax(1).astype(np.int32)
     for b in range(int(blocks.max()) - 1, -1, -1):
         r = order[: live[b]]
         at = base[r] + b
         last[at] = end[r]
         end[r] = back[at, end[r]]
     # within each block, from its entry vector
-    v, stays, best = enter, np.zeros((BLOCK, m, k), bool), np.zeros((BLOCK, m), np.int8)
+    v, stays, best = enter, np.zeros((BLOCK, m, k), bool), np.zeros((BLOCK, m), np.int32)
     for j in range(BLOCK):
         best[j] = v.argmax(1)
         other = v.max(1, keepdims=True) - switch
         stays[j] = v >= other
         v = np.maximum(v, other) + s[j]
-    found, now = np.zeros((BLOCK, m), np.int8), last
+    found, now = np.zeros((BLOCK, m), np.int32), last
     every = np.arange(m)
     for j in range(BLOCK - 1, -1, -1):
         found[j] = now

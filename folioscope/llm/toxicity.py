@@ -84,7 +84,10 @@ def train(labelled: DataFrame, ftrl: Ftrl | None = None) -> Model:
                 for r, y in enumerate(part.column("label").to_pylist()):
                     examples.append(((pairs[edges[r] : edges[r + 1]] & ((1 << DIM_BITS) - 1)).astype(np.int32), y))
         z, n = np.zeros(1 << DIM_BITS), np.zeros(1 << DIM_BITS)
-        z0 = n0 = w0 = 0.0
+        z0 = n0 = 0.0
+
+        def intercept(z0: float, n0: float) -> float:
+            return -z0 / ((ftrl.beta + np.sqrt(n0)) / ftrl.alpha)
 
         def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
             return np.where(np.abs(z) <= ftrl.l1, 0.0, -(z - np.sign(z) * ftrl.l1) / ((ftrl.beta + np.sqrt(n)) / ftrl.alpha + ftrl.l2))
@@ -93,7 +96,7 @@ def train(labelled: DataFrame, ftrl: Ftrl | None = None) -> Model:
             for index, y in examples:
                 zi, ni = z[index], n[index]
                 w = weights(zi, ni)
-                w0 = -z0 / ((ftrl.beta + np.sqrt(n0)) / ftrl.alpha)
+                w0 = intercept(z0, n0)
                 g = 1 / (1 + np.exp(-np.clip(w.sum() + w0, -35, 35))) - y
                 after = ni + g * g
                 z[index] = zi + g - (np.sqrt(after) - np.sqrt(ni)) / ftrl.alpha * w
@@ -102,7 +105,7 @@ def train(labelled: DataFrame, ftrl: Ftrl | None = None) -> Model:
                 n0 += g * g
         w = weights(z, n)
         kept = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, -1), pa.int64()), pa.array(np.append(w[kept], w0 if examples else -35.0), pa.float64())], ["index", "weight"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, -1), pa.int64()), pa.array(np.append(w[kept], intercept(z0, n0) if examples else -35.0), pa.float64())], ["index", "weight"])
 
     got = labelled.select("text", F.col("label").cast("int").alias("label"), "order").repartition(1).sortWithinPartitions("order", "text").select("text", "label").mapInArrow(run, "index long, weight double").toPandas()
     if got.empty:
@@ -117,7 +120,7 @@ def held_out(doc_id: Column, modulus: int = 5, remainder: int = 0) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
-    """text, label, order of at most `limit` labelled documents that are not held out."""
+    """text, label, order of at most `limit` labelled documents that are not held out, a row each: of several texts of a doc_id, the least."""
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -127,7 +130,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
         .limit(limit)
     )
     # `limit` rows of three numbers: a proven bound for the broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label", "order")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"), F.first("order").alias("order")).select("text", "label", "order")
 
 
 def _scores(part: pa.RecordBatch, weight: np.ndarray, intercept: float) -> np.ndarray:

@@ -40,6 +40,7 @@ def test_conversations(spark, monkeypatch):
     monkeypatch.setattr(chat, "FRAGMENT_CHARS", 50)
     rows = [(1, i, ("user", "assistant")[i % 2], f"text {i} \\### ") for i in range(200)]
     rows += [(2, 0, "assistant", "first"), (2, 1, "user", None), (2, 1, "user", ""), (2, None, None, "early"), (None, 0, "user", "x"), (3, 0, "user", "y" * 100_000), (3, 0, "user", "y" * 100_000)]
+    rows += [(4, t, "user", x) for t in (0, None) for x in ("b", "a", "ä", "Z", "", "a" * 300 + "2", "a" * 300 + "1", "a" * 99, "a" * 101, None)]
     df = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, formatted int")
     got = {r.conv_id: r for r in chat.read_back(chat.format_chats(df)).collect()}
     for conv in {r[0] for r in rows}:

@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 from folioscope.llm import langid
 
 
@@ -25,6 +26,48 @@ def test_viterbi_is_exact(monkeypatch):
         at += n
 
 
+def test_viterbi_with_many_languages(monkeypatch):
+    monkeypatch.setattr(langid, "BLOCK", 4)
+    monkeypatch.setattr(langid, "MATRIX_CELLS", 200 * 200 * 3)
+    r = np.random.default_rng(2)
+    counts = np.array([23, 1, 0, 9, 40])
+    scores = r.integers(-8, 1, size=(counts.sum(), 200)).astype(np.float32)
+    path = langid.viterbi(scores, counts, 5.0)
+    assert path.min() >= 0 and path.max() > 127
+    at = 0
+    for n in counts:
+        s, p = scores[at : at + n], path[at : at + n]
+        best = np.zeros(200)
+        for x in s:
+            best = np.maximum(best, best.max() - 5.0) + x
+        assert sum(s[i, x] for i, x in enumerate(p)) - 5.0 * (p[1:] != p[:-1]).sum() == best.max()
+        at += n
+
+
+def test_training_rows_are_bounded(spark):
+    rows = [(8, f"t{i}", f"l{i}") for i in range(500)] + [(i, "x", "en") for i in range(100, 200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.training_rows(df, 1).count() == 1 and langid.training_rows(df, 20).count() == 20
+    assert [tuple(x) for x in langid.training_rows(df.where("doc_id = 8")).select("lang", "text").collect()] == [("l0", "t0")]
+
+
+def test_word_scores_narrow_by_script():
+    grams, first, _, script, _ = langid.word_grams(pa.array(["ab вода 日本 12"]))
+    r = np.random.default_rng(3)
+    table = r.normal(size=(langid.BUCKETS, 3)).astype(np.float32)
+    may = np.zeros((len(langid.SCRIPT_NAMES), 3), bool)
+    may[langid.SCRIPT_NAMES.index("latin")] = [True, True, False]
+    may[langid.SCRIPT_NAMES.index("cyrillic")] = [False, False, True]
+    got = langid.word_scores(grams, first, script, langid.Model(("a", "b", "c"), table, may))
+    edges = [*first, len(grams)]
+    for w, allowed in enumerate(([0, 1], [2], [0, 1, 2])):  # no language has the third word's script: all are candidates
+        total = [sum(float(table[g, k]) for g in grams[edges[w] : edges[w + 1]]) for k in range(3)]
+        top = max(total[k] for k in allowed)
+        want = [max(total[k] - top, -langid.CLIP) if k in allowed else -langid.CLIP for k in range(3)]
+        assert np.allclose(got[w], want, atol=1e-4)
+    assert len(got) == 3
+
+
 EN, DE, RU = "the of and with house water street".split(), "der und nicht straße größe wasser haus".split(), "это что вода улица дом человек".split()
 
 
