@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import candidate_keys, identity_key_parts, identity_keys
 from ..functions.text import field, normal_name, split_authors
+from .filters import any_contains
 
 
 def exploded_keys(df: DataFrame, id_col: str, keys: Column) -> DataFrame:
@@ -76,11 +77,19 @@ def selected_section(papers: DataFrame, edition: DataFrame) -> DataFrame:
     return papers.join(best, "seq", "left")
 
 
-def contains_any(papers: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Rows whose title or abstract contains a keyword of a table (`keyword`). A containment join compares each row with each keyword, so it
-    is for short lists; a longer one is cut into words first by `tokens`."""
+#: Keywords that are looked for in the row's own expression, at most; beyond, a join compares rows with keywords.
+FEW_KEYWORDS = 1_000
+
+
+def contains_any(papers: DataFrame, keywords: DataFrame, few: int = FEW_KEYWORDS) -> DataFrame:
+    """Rows whose title or abstract contains a keyword of a table (`keyword`). Containment has no key to join by, so each row is compared with each
+    keyword until one is found, which suits lists of a size that people keep."""
     text = F.lower(F.concat_ws(" ", "title", "abstract"))
-    return papers.join(keywords.select(F.lower("keyword").alias("keyword")), F.contains(text, F.col("keyword")), "left_semi")
+    words = keywords.where("keyword IS NOT NULL").select(F.lower("keyword").alias("keyword")).distinct()
+    some = [r["keyword"] for r in words.limit(few + 1).collect()]
+    if len(some) <= few:
+        return papers.withColumn("_text", text).where(any_contains(F.col("_text"), some)).drop("_text")
+    return papers.join(words, F.contains(text, F.col("keyword")), "left_semi")
 
 
 def author_matches(papers: DataFrame, names: DataFrame, keep_commas: bool = True) -> DataFrame:

@@ -48,13 +48,13 @@ def entry_markdown(title: Column, link: Column, authors: Column, source: Column,
     return F.concat_ws("\n\n", head, F.concat_ws("\n", about, escape_markdown(summary)))
 
 
-def edition_markdown(items: DataFrame, window_start: str, window_end: str) -> DataFrame:
-    """One row: the edition's text. Items: publications with summary, section and place."""
+def edition_markdown(items: DataFrame, window_start: str, window_end: str, *by: str) -> DataFrame:
+    """One row: the edition's text; or a row for each edition that the columns in `by` tell apart. Items: publications with summary, section and place."""
     entry = entry_markdown(F.col("title"), F.col("link"), F.col("authors"), F.col("source"), F.col("date"), F.col("summary"))
 
     def part(section: Column) -> Column:
         return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(section, F.struct("place", entry.alias("text"))))), lambda x: x["text"]), "\n\n")
 
     head = F.concat(F.lit('---\ntitle: "'), F.date_format(F.lit(window_start).cast("date"), "MMM d yy"), F.lit(f'"\nedition_id: "{window_start}"\nwindow_end_date: "{window_end}"\n---'))
-    both = items.agg(part(F.col("section") == "featured").alias("f"), part(F.col("section") != "featured").alias("m"))
-    return both.select(F.concat_ws("\n\n", head, F.lit("# Featured Papers"), F.col("f"), F.lit("## More Papers"), F.concat(F.col("m"), F.lit("\n"))).alias("markdown"))
+    both = items.groupBy(*by).agg(part(F.col("section") == "featured").alias("f"), part(F.col("section") != "featured").alias("m"))
+    return both.select(*by, F.concat_ws("\n\n", head, F.lit("# Featured Papers"), F.col("f"), F.lit("## More Papers"), F.concat(F.col("m"), F.lit("\n"))).alias("markdown"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import bigrams as pairs
 from ..functions.text import words
+from ..sinks.shared import settle
 
 
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bigrams: bool = True) -> DataFrame:
@@ -36,7 +37,7 @@ def idf(df: DataFrame, n_docs: int) -> DataFrame:
 
 def weighted(counts: DataFrame, idf_: DataFrame) -> DataFrame:
     """Adds `v`: (1 + ln tf) times idf, 1 where a term has none."""
-    return counts.join(idf_.hint("shuffle_hash"), "term", "left").withColumn("v", (1.0 + F.log("tf")) * F.coalesce("idf", F.lit(1.0))).drop("idf")
+    return counts.join(idf_, "term", "left").withColumn("v", (1.0 + F.log("tf")) * F.coalesce("idf", F.lit(1.0))).drop("idf")
 
 
 def norms(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -46,12 +47,12 @@ def norms(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def normalized(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Vectors of length 1; a zero vector stays."""
     unit = F.when(F.col("norm") > 0, F.col("v") / F.col("norm")).otherwise(F.col("v"))
-    return vectors.join(norms(vectors, id_col).hint("shuffle_hash"), id_col).withColumn("v", unit).drop("norm")
+    return vectors.join(norms(vectors, id_col), id_col).withColumn("v", unit).drop("norm")
 
 
 def centroid(vectors: DataFrame, weights: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(term, c): the weighted mean of unit vectors, of length 1 again. Weights: (id, weight)."""
-    sums = normalized(vectors.join(weights.hint("shuffle_hash"), id_col), id_col).groupBy("term").agg(F.sum(F.col("v") * F.col("weight")).alias("c"))
+    sums = normalized(vectors.join(weights, id_col), id_col).groupBy("term").agg(F.sum(F.col("v") * F.col("weight")).alias("c"))
     length = sums.agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm"))
     # one row: the length of the sum
     return sums.join(F.broadcast(length)).select("term", F.when(F.col("norm") > 0, F.col("c") / F.col("norm")).otherwise(F.col("c")).alias("c"))
@@ -64,13 +65,19 @@ def scores(papers: DataFrame, positive: DataFrame, negative: DataFrame, bigrams:
     """
     tagged = [d.select(F.concat(F.lit(tag), F.col("doc_id").cast("string")).alias("doc_id"), "text") for tag, d in (("c", papers), ("p", positive), ("n", negative))]
     every = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
-    counts = term_counts(every, bigrams=bigrams)
     if positive.isEmpty():
         return papers.select("doc_id", F.lit(0.0).alias("score"))
-    vectors = weighted(counts, idf(document_counts(counts), every.count()))
-    middle = [centroid(vectors.where(F.startswith(F.col("doc_id"), F.lit(tag))), d.select(F.concat(F.lit(tag), F.col("doc_id").cast("string")).alias("doc_id"), "weight")).withColumn("c", F.col("c") * sign) for tag, d, sign in (("p", positive, 1.0), ("n", negative, -1.0))]
-    both = middle[0].unionByName(middle[1]).groupBy("term").agg(F.sum("c").alias("c"))
-    own = vectors.where(F.startswith(F.col("doc_id"), F.lit("c")))
+    counts = settle(term_counts(every, bigrams=bigrams))  # texts are cut into words once
+    terms = idf(document_counts(counts), every.count())
+
+    def middle(tag: str, docs: DataFrame, sign: float) -> DataFrame:
+        own = counts.where(F.startswith("doc_id", F.lit(tag)))
+        weights = docs.select(F.concat(F.lit(tag), F.col("doc_id").cast("string")).alias("doc_id"), "weight")
+        return centroid(weighted(own, terms), weights).withColumn("c", F.col("c") * sign)
+
+    both = middle("p", positive, 1.0).unionByName(middle("n", negative, -1.0)).groupBy("term").agg(F.sum("c").alias("c"))
+    known = terms.join(both, "term", "left")
     # the dot product and the paper's own norm in one aggregation: terms outside both centroids add to the norm alone
-    dots = own.join(both.hint("shuffle_hash"), "term", "left").groupBy("doc_id").agg(F.sum(F.col("v") * F.coalesce("c", F.lit(0.0))).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    own = counts.where(F.startswith("doc_id", F.lit("c"))).join(known, "term").withColumn("v", (1.0 + F.log("tf")) * F.col("idf"))
+    dots = own.groupBy("doc_id").agg(F.sum(F.col("v") * F.coalesce("c", F.lit(0.0))).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
     return papers.select("doc_id", F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("_id")).join(dots.withColumnRenamed("doc_id", "_id"), "_id", "left").select("doc_id", F.coalesce(F.col("dot") / F.nullif("norm", F.lit(0.0)), F.lit(0.0)).alias("score"))

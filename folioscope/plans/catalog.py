@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, html, keys, text
 from ..operators import archive, budget, dedup, feedback, filters, joins, policy, quality, rank, tfidf
+from ..sinks.shared import settle
 from . import pipeline
 from .driver_tables import DECISIONS_SQL, EDITION, PAPERS_SQL, SENT_SQL, VOTES_SQL, decisions, papers, read, sent, spread, votes
 
@@ -153,14 +154,21 @@ def summary_issues(spark, d):
     return read(spark, d, "conversations").select("conv_id", "turn", F.explode(quality.summary_issues(F.col("text"))).alias("issue"))
 
 
-@_query(f"""{_P}, items AS (SELECT *, lower(regexp_replace(title, '\\s+', ' ', 'g')) AS k FROM papers WHERE seq < 400),
-n AS (SELECT seq, title, row_number() OVER (PARTITION BY trim(k) ORDER BY seq) AS nth FROM items WHERE trim(k) <> '')
-SELECT NULL::BIGINT AS seq, 'edition contains ' || count(*) || ' papers; minimum is 500 for 1000 valid candidates' AS issue FROM items HAVING count(*) < 500
-UNION ALL SELECT seq, trim(title) || ' — duplicate title' FROM n WHERE nth > 1""")
+@_query(f"""{_P}, items AS (SELECT seq, coalesce(trim(title), '') AS title, trim(lower(regexp_replace(coalesce(title, ''), '\\s+', ' ', 'g'))) AS k, regexp_replace(coalesce(abstract, ''), '^\\s+|\\s+$', '', 'g') AS a, date,
+  'https://example.org/doc/' || seq // 2 AS link, seq % 3 AS s FROM papers),
+own AS (SELECT seq, title, unnest([CASE WHEN title = '' THEN 'title is blank' END, CASE WHEN a = '' THEN 'abstract is blank' END,
+  CASE WHEN length(a) BETWEEN 1 AND 79 THEN 'abstract is too short to be substantive (' || length(a) || ' characters)' END,
+  CASE WHEN date < DATE '{EDITION}' - 7 THEN 'publication date ' || strftime(date, '%Y-%m-%d') || ' is older than the allowed 2026-08-03 cutoff' END]) AS i FROM items)
+SELECT NULL::BIGINT AS seq, 'edition contains ' || count(*) || ' papers; minimum is ' || CAST(greatest(50, ceil(count(*) * 3 * 0.5)) AS BIGINT) || ' for ' || count(*) * 3 || ' valid candidates' AS issue FROM items
+UNION ALL SELECT seq, CASE WHEN title = '' THEN i ELSE title || ' — ' || i END FROM own WHERE i IS NOT NULL
+UNION ALL SELECT seq, title || ' — ' || CASE s WHEN 0 THEN 'summary is blank' ELSE 'summary has fewer than 6 words' END FROM items WHERE s < 2
+UNION ALL SELECT seq, title || ' — duplicate link ' || chr(39) || link || chr(39) FROM (SELECT *, row_number() OVER (PARTITION BY link ORDER BY seq) AS nth FROM items) WHERE nth > 1
+UNION ALL SELECT seq, title || ' — duplicate title' FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq) AS nth FROM items WHERE k <> '') WHERE nth > 1""")
 def edition_gate(spark, d):
-    items = papers(spark, d).where("seq < 400").withColumn("summary", F.lit("One sentence that is long enough to pass."))
-    issues = quality.edition_issues(items, _end(), 50, 1000, 0.5)
-    return issues.where("step IN (0, 4)").select("seq", "issue")
+    n = F.col("seq")
+    summary = F.when(n % 3 == 0, "").when(n % 3 == 1, "Too short.").otherwise("One sentence that is long enough to pass.")
+    items = papers(spark, d).withColumns({"summary": summary, "link": F.concat(F.lit("https://example.org/doc/"), F.floor(n / 2).cast("string"))})
+    return quality.edition_issues(items, _end(), 50, 3 * items.count(), 0.5).select("seq", "issue")
 
 
 @_query(f"{_P} SELECT seq, nth FROM (SELECT seq, row_number() OVER (PARTITION BY lower(trim(title)) ORDER BY seq) AS nth FROM papers WHERE trim(title) <> '') WHERE nth > 1")
@@ -282,10 +290,10 @@ def key_lookup_section(spark, d):
     return joins.selected_section(p, e).select("seq", F.col("selected_section").alias("section"))
 
 
-@_query(f"""{_P}, kw AS (SELECT DISTINCT lower(split_part(text, ' ', 1)) AS w FROM benchmark WHERE item_id < 12)
+@_query(f"""{_P}, kw AS (SELECT DISTINCT lower(split_part(text, ' ', 1)) AS w FROM benchmark)
 SELECT seq FROM papers WHERE EXISTS (SELECT 1 FROM kw WHERE contains(lower(title || ' ' || abstract), w))""")
 def keyword_semi_join(spark, d):
-    words = read(spark, d, "benchmark").where("item_id < 12").select(F.substring_index("text", " ", 1).alias("keyword")).distinct()
+    words = read(spark, d, "benchmark").select(F.substring_index("text", " ", 1).alias("keyword")).distinct()
     return joins.contains_any(papers(spark, d), words).select("seq")
 
 
@@ -330,18 +338,18 @@ def scrape_override(spark, d):
     return joins.overridden(p, scraped).select("seq", "authors", "doi")
 
 
-@_query(f"{_P} SELECT seq FROM papers WHERE seq >= 3 AND link NOT IN ('https://example.org/doc/3', 'https://example.org/doc/5', 'https://example.org/doc/50')")
+@_query(f"{_P} SELECT seq FROM papers WHERE link NOT IN ('https://example.org/doc/3', 'https://example.org/doc/5', 'https://example.org/doc/50')")
 def text_crosscheck(spark, d):
     document = "x https://example.org/doc/3 y https://example.org/doc/50"
-    return joins.missing_from_text(papers(spark, d).where("seq >= 3"), document, "link").select("seq")
+    return joins.missing_from_text(papers(spark, d), document, "link").select("seq")
 
 
 # --- scoring ---------------------------------------------------------------------------------------------------------------------------
 
 _STOP = "(" + ", ".join(f"'{w}'" for w in text.STOPWORDS) + ")"
-_TOKENS = f"""tok AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\[([^\\]]+)\\]\\([^)]+\\)', '\\1', 'g'), '[*_`#>{{}}\\[\\]]', ' ', 'g'), '\\s+', ' ', 'g'))), '[^a-z0-9]+', ' ', 'g'), ' '), lambda t: length(t) >= 3 AND t NOT IN {_STOP}) AS w FROM documents),
-tc AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || '_' || w[i + 1]))) AS term FROM tok) GROUP BY ALL),
-dfs AS (SELECT term, count(*) AS df FROM tc GROUP BY term), n AS (SELECT count(*) AS n FROM documents), idfs AS (SELECT term, df, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM dfs, n)"""
+_TOKENS = f"""tok AS MATERIALIZED (SELECT doc_id, list_filter(string_split(regexp_replace(lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\[([^\\]]+)\\]\\([^)]+\\)', '\\1', 'g'), '[*_`#>{{}}\\[\\]]', ' ', 'g'), '\\s+', ' ', 'g'))), '[^a-z0-9]+', ' ', 'g'), ' '), lambda t: length(t) >= 3 AND t NOT IN {_STOP}) AS w FROM documents),
+tc AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || '_' || w[i + 1]))) AS term FROM tok) GROUP BY ALL),
+dfs AS MATERIALIZED (SELECT term, count(*) AS df FROM tc GROUP BY term), n AS (SELECT count(*) AS n FROM documents), idfs AS (SELECT term, df, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM dfs, n)"""
 
 
 def _counts(spark, d):
@@ -370,30 +378,29 @@ def doc_freq(spark, d):
     return tfidf.document_counts(_counts(spark, d))
 
 
-@_query(f"WITH {_TOKENS} SELECT term, round(idf, 8) AS idf FROM idfs WHERE df > 1")
+@_query(f"WITH {_TOKENS} SELECT term, round(idf, 8) AS idf FROM idfs")
 def idf(spark, d):
     dfs = tfidf.document_counts(_counts(spark, d))
-    return tfidf.idf(dfs.where("df > 1"), read(spark, d, "documents").count()).select("term", F.round("idf", 8).alias("idf"))
+    return tfidf.idf(dfs, read(spark, d, "documents").count()).select("term", F.round("idf", 8).alias("idf"))
 
 
-_CENTROID = f"""{_TOKENS}, vec AS (SELECT doc_id, term, (1.0 + ln(tf)) * idf AS v FROM tc JOIN idfs USING (term)), unit AS (SELECT doc_id, term, v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS v FROM vec),
-pos AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 2.0 ELSE 1.0 END AS weight FROM labels WHERE quality = 1 AND toxic = 0), raw AS (SELECT term, sum(v * weight) AS c FROM unit JOIN pos USING (doc_id) GROUP BY term)"""
+_CENTROID = f"""{_TOKENS}, vec AS (SELECT doc_id, term, (1.0 + ln(tf)) * idf AS v FROM tc JOIN idfs USING (term) WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0)), unit AS (SELECT doc_id, term, v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS v FROM vec),
+pos AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 2.0 ELSE 1.0 END AS weight FROM labels WHERE quality = 1 AND toxic = 0), raw AS MATERIALIZED (SELECT term, sum(v * weight) AS c FROM unit JOIN pos USING (doc_id) GROUP BY term)"""
 
 
-@_query(f"WITH {_CENTROID} SELECT term, round(c / sqrt((SELECT sum(c * c) FROM raw)), 6) AS c FROM raw WHERE term IN (SELECT term FROM dfs WHERE df >= 20)")
+@_query(f"WITH {_CENTROID} SELECT term, round(c / sqrt((SELECT sum(c * c) FROM raw)), 6) AS c FROM raw")
 def centroid(spark, d):
-    counts = _counts(spark, d)
-    dfs = tfidf.document_counts(counts)
-    vectors = tfidf.weighted(counts, tfidf.idf(dfs, read(spark, d, "documents").count()))
     weights = read(spark, d, "labels").where("quality = 1 AND toxic = 0").select("doc_id", F.when(F.col("doc_id") % 2 == 0, 2.0).otherwise(1.0).alias("weight"))
-    common = dfs.where("df >= 20").select("term")
-    return tfidf.centroid(vectors, weights).join(common, "term", "left_semi").select("term", F.round("c", 6).alias("c"))
+    counts = settle(_counts(spark, d))
+    idf_ = tfidf.idf(tfidf.document_counts(counts), read(spark, d, "documents").count())
+    chosen = counts.join(weights.select("doc_id"), "doc_id", "left_semi")
+    return tfidf.centroid(tfidf.weighted(chosen, idf_), weights).select("term", F.round("c", 6).alias("c"))
 
 
 @_query(f"""WITH t AS (SELECT 'c' || doc_id AS id, text, 0 AS side, 0.0 AS weight FROM documents UNION ALL SELECT 'p' || doc_id, text, 1, 2.0 FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND toxic = 0
   UNION ALL SELECT 'n' || doc_id, text, -1, 1.0 FROM documents JOIN labels USING (doc_id) WHERE toxic = 1),
-{_TOKENS.replace('doc_id', 'id').replace('FROM documents', 'FROM t')}, vec AS (SELECT id, term, (1.0 + ln(tf)) * idf AS v FROM tc JOIN idfs USING (term)), unit AS (SELECT id, term, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS v FROM vec),
-raw AS (SELECT side, term, sum(v * weight) AS c FROM unit JOIN t USING (id) WHERE side <> 0 GROUP BY ALL), cen AS (SELECT term, sum(side * c / norm) AS c FROM (SELECT *, sqrt(sum(c * c) OVER (PARTITION BY side)) AS norm FROM raw) GROUP BY term)
+{_TOKENS.replace('doc_id', 'id').replace('FROM documents', 'FROM t')}, vec AS (SELECT id, term, (1.0 + ln(tf)) * idf AS v FROM tc JOIN idfs USING (term)), unit AS MATERIALIZED (SELECT id, term, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS v FROM vec),
+raw AS MATERIALIZED (SELECT side, term, sum(v * weight) AS c FROM unit JOIN t USING (id) WHERE side <> 0 GROUP BY ALL), cen AS (SELECT term, sum(side * c / norm) AS c FROM (SELECT *, sqrt(sum(c * c) OVER (PARTITION BY side)) AS norm FROM raw) GROUP BY term)
 SELECT doc_id, round(coalesce(s, 0.0), 5) + 0.0 AS score FROM documents LEFT JOIN (SELECT id, sum(v * c) AS s FROM unit JOIN cen USING (term) GROUP BY id) ON id = 'c' || doc_id""")
 def tfidf_score(spark, d):
     docs, labels = spread(read(spark, d, "documents").select("doc_id", "text")), read(spark, d, "labels")
@@ -475,11 +482,12 @@ def first_non_empty(spark, d):
 # --- sets ------------------------------------------------------------------------------------------------------------------------------
 
 
-@_query("SELECT source, count(*) AS n FROM (SELECT source FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT source FROM documents WHERE doc_id % 3 = 0) GROUP BY source")
+@_query(f"""{_P} SELECT source, count(*) AS n, CAST(sum(stage) AS BIGINT) AS stages FROM (SELECT source, 0 AS stage FROM papers WHERE date <= DATE '2026-08-04' UNION ALL SELECT source, 1 FROM papers WHERE date > DATE '2026-08-04'
+  UNION ALL SELECT source, 2 FROM papers WHERE contains(authors, ',')) GROUP BY source""")
 def union_stages(spark, d):
     p = papers(spark, d)
-    both = pipeline.union_stages([p.where("seq % 2 = 0"), p.where("seq % 3 = 0")])
-    return both.groupBy("source").agg(F.count_distinct("seq").alias("n"))
+    both = pipeline.union_stages([p.where("date <= DATE '2026-08-04'"), p.where("date > DATE '2026-08-04'"), p.where(F.contains("authors", F.lit(",")))])
+    return both.groupBy("source").agg(F.count_distinct("seq").alias("n"), F.sum(F.shiftright("seq", 58)).alias("stages"))
 
 
 @_query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
@@ -666,12 +674,13 @@ def front_matter(spark, d):
     return papers(spark, d).select("seq", F.substring_index(F.substring_index(fixed, "\nbody", 1), "---\n", -1).alias("head"))
 
 
-@_query(f"{_P} SELECT md5(string_agg('#### [' || replace(replace(source, '_', '\\_'), '*', '\\*') || '](<' || link || '>)', chr(10) ORDER BY seq)) AS digest, count(*) AS n FROM papers WHERE seq < 50")
+@_query(f"{_P} SELECT seq // 50 AS edition, md5(string_agg('#### [' || replace(replace(source, '_', '\\_'), '*', '\\*') || '](<' || link || '>)', chr(10) ORDER BY seq)) AS digest, count(*) AS n FROM papers GROUP BY ALL")
 def edition_headings(spark, d):
-    items = papers(spark, d).where("seq < 50").withColumns({"title": F.col("source"), "summary": F.lit("s"), "section": F.lit("more"), "place": F.col("seq").cast("int")})
-    doc = rank.edition_markdown(items, "2026-08-03", EDITION)
+    n = F.col("seq")
+    items = papers(spark, d).withColumns({"title": F.col("source"), "summary": F.lit("s"), "section": F.lit("more"), "place": n.cast("int"), "edition": F.floor(n / 50)})
+    doc = rank.edition_markdown(items, "2026-08-03", EDITION, "edition")
     heads = F.filter(F.split("markdown", "\n"), lambda x: F.startswith(x, F.lit("#### ")))
-    return doc.select(F.md5(F.array_join(heads, "\n").cast("binary")).alias("digest"), F.size(heads).cast("long").alias("n"))
+    return doc.select("edition", F.md5(F.array_join(heads, "\n").cast("binary")).alias("digest"), F.size(heads).cast("long").alias("n"))
 
 
 # --- model ---------------------------------------------------------------------------------------------------------------------------

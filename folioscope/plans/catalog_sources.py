@@ -147,8 +147,8 @@ def archive_backfill(spark, d):
     return pipeline.backfill(entries, saved, history, arxiv, html, F.date_sub(_end(), 7), _end()).select("title", _day("date").alias("date"), "source")
 
 
-@_query("""WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(trim(regexp_replace(regexp_replace(substring(split_part(text, chr(10), 1), 1, 60), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))), '[^a-z0-9_]+'), lambda x: length(x) >= 5) AS a, lower(substring(text, 20, 200)) AS b FROM documents)
+@_query("""WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(trim(regexp_replace(regexp_replace(split_part(text, chr(10), 1), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))), '[^a-z0-9_]+'), lambda x: length(x) >= 5) AS a, lower(substring(text, 20)) AS b FROM documents)
 SELECT doc_id, len(a) > 0 AND len(list_filter(a, lambda x: contains(trim(regexp_replace(b, '\\s+', ' ', 'g')), x))) >= least(3, len(a)) AS same FROM w""")
 def title_search(spark, d):
-    asked, returned = F.left(F.substring_index("text", "\n", 1), F.lit(60)), F.substring("text", 20, 200)
+    asked, returned = F.substring_index("text", "\n", 1), F.expr("substring(text, 20)")  # what follows the first words is all of the text
     return read(spark, d, "documents").select("doc_id", lookups.same_title(asked, returned).alias("same"))

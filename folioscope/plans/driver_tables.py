@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 EDITION = "2026-08-10"
 
 PAPERS_SQL = """papers AS (
-  SELECT doc_id AS seq, source, substring(split_part(text, chr(10), 1), 1, 120) AS title,
+  SELECT doc_id AS seq, source, split_part(text, chr(10), 1) AS title,
     'A' || (doc_id % 7) || '. Smith' || CASE WHEN doc_id % 4 = 0 THEN '' ELSE ', Bö' || (doc_id % 5) || ' Jones-Müller' END AS authors,
     'https://example.org/doc/' || doc_id AS link, text AS abstract, DATE '2026-08-10' - CAST(doc_id % 12 AS INT) AS date,
     CASE WHEN doc_id % 3 = 0 THEN NULL ELSE '10.1101/2026.08.' || lpad(CAST(1 + doc_id % 12 AS VARCHAR), 2, '0') || '.' || (doc_id // 4) END AS doi
@@ -33,7 +33,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select(
         n.alias("seq"),
         "source",
-        F.left(F.substring_index("text", "\n", 1), F.lit(120)).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.concat(F.lit("A"), (n % 7).cast("string"), F.lit(". Smith"), F.when(n % 4 == 0, "").otherwise(F.concat(F.lit(", Bö"), (n % 5).cast("string"), F.lit(" Jones-Müller")))).alias("authors"),
         F.concat(F.lit("https://example.org/doc/"), n.cast("string")).alias("link"),
         F.col("text").alias("abstract"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import dates, keys, text
 from ..operators import archive, dedup, feedback, filters, joins, policy, quality, rank, tfidf
+from ..sinks.shared import settle
 
 
 def union_stages(stages: Sequence[DataFrame]) -> DataFrame:
@@ -37,7 +38,8 @@ def score(papers: DataFrame, training: DataFrame, votes: DataFrame) -> DataFrame
     rated = feedback.preferences(votes)
     positive = training.select("text", "weight").unionByName(rated.where("polarity = 'positive'").select("text", "weight"))
     negative = rated.where("polarity = 'negative'").select("text", "weight")
-    numbered = [d.withColumn("doc_id", F.xxhash64("text", "weight")).dropDuplicates(["doc_id"]) for d in (positive, negative)]
+    # repeated documents count each; their numbers are written down, as they must not change between uses
+    numbered = [settle(d.withColumn("doc_id", F.monotonically_increasing_id())) for d in (positive, negative)]
     own = papers.select(F.col("seq").alias("doc_id"), text.paper_text(F.col("title"), F.col("abstract"), F.col("source")).alias("text"))
     scored = tfidf.scores(own, *numbered)
     keyed = papers.select(F.col("seq").alias("doc_id"), keys.paper_key(F.col("title"), F.col("link"), F.col("doi")).alias("key"))

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import read_if_there
+
 
 def candidates(papers: DataFrame, path: str) -> None:
     """Candidate files: dates as text in UTC."""
@@ -23,13 +25,18 @@ def stage(papers: DataFrame, path: str, from_date: str, name: str) -> None:
 
 def restored(spark: SparkSession, path: str, from_date: str, name: str) -> DataFrame | None:
     """A stage of the current window, or null; stages of other windows are stale."""
-    try:
-        rows = spark.read.parquet(path).where((F.col("from_date") == from_date) & (F.col("stage") == name))
-    except Exception:  # noqa: BLE001 - nothing has been written yet
+    if (rows := read_if_there(spark, path)) is None:
         return None
+    rows = rows.where((F.col("from_date") == from_date) & (F.col("stage") == name))
     return None if rows.isEmpty() else rows.drop("from_date", "stage")
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes the stages once the run that they were kept for has ended well."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def scores(rows: DataFrame, path: str) -> None:
     rows.orderBy(F.desc("score"), "title").write.mode("overwrite").json(path)
 

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from weakref import WeakKeyDictionary
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
@@ -40,6 +41,16 @@ def settle(df: DataFrame) -> DataFrame:
     return out
 
 
+def read_if_there(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """A table, or null if nothing was written there yet. Any other failure to read is an error."""
+    try:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def release(*settled: DataFrame) -> None:
     """Deletes the tables behind frames that `settle` returned; nothing may read them, or what was derived from them and not settled itself, again."""
     for df in settled:

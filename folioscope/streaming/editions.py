@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import first_posted
 from ..functions.keys import identity_keys
 from ..operators.joins import drop_sent
+from ..sinks.shared import read_if_there
 
 
 def weekly_windows(rows: DataFrame, time: str) -> DataFrame:
@@ -41,12 +42,8 @@ def edition_writer(state_path: str, out_path: str, edition: Column) -> Callable[
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         schema = "title string, link string, doi string, batch long"
-        empty = spark.createDataFrame([], schema)
-        try:
-            sent = spark.read.schema(schema).parquet(state_path).where(F.col("batch") < batch_id)
-            sent.limit(1).collect()
-        except Exception:  # noqa: BLE001 - no state before the first batch
-            sent = empty
+        state = read_if_there(spark, state_path, schema)  # none before the first batch; a state that can't be read is an error
+        sent = spark.createDataFrame([], schema) if state is None else state.where(F.col("batch") < batch_id)
         fresh = drop_sent(batch, sent).withColumn("edition", edition).withColumn("batch", F.lit(batch_id)).persist()
         try:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
