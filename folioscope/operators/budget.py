@@ -41,6 +41,11 @@ class Budget:
     in_flight: float = 0.0
     exhausted: bool = False
 
+    def share(self, partitions: int, index: int) -> Budget:
+        """A partition's part of what is left; parts add up to it, so no run of all partitions goes beyond the whole."""
+        left = max(0.0, self.max_usd - self.exposure)
+        return Budget(left / partitions, quota(max(0, self.max_requests - self.requests), partitions, index), self.usd_in, self.usd_out, self.safety, self.reserved_tokens)
+
     def estimate(self, prompt: str) -> float:
         """An upper estimate: a token for each byte."""
         return self.safety * usage_cost(len(prompt.encode()), self.reserved_tokens, 0, self.usd_in, self.usd_out)

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,6 +140,44 @@ def guarded(call: Callable[[str], Response], budget: Budget, retries: int = 3, m
     return generate
 
 
+@dataclass
+class Metered:
+    """A model over a metered service, for `partitions` tasks at a time: each task has its part of the budget for a pass and keeps its part of the least
+    interval between requests; a service that asks for a pause gets it from the task that it asked.
+
+    A repeated task has its part again, so a pass costs at most the budget times the attempts that Spark allows a task.
+    """
+
+    call: Callable[[str], Response]
+    prompt: Callable[[str, str], str]
+    budget: Budget
+    partitions: int
+    interval: float = 0.0
+    retries: int = 3
+    clock: Callable[[], float] = time.monotonic
+    sleep: Callable[[float], None] = time.sleep
+
+    def __post_init__(self) -> None:
+        self._task, self._guard, self._next = None, None, 0.0
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_task": None, "_guard": None, "_next": 0.0}
+
+    def _paced(self, prompt: str) -> Response:
+        wait = self._next - self.clock()
+        if wait > 0:
+            self.sleep(wait)
+        self._next = self.clock() + self.interval * self.partitions
+        return self.call(prompt)
+
+    def __call__(self, title: str, abstract: str) -> str:
+        context = TaskContext.get()
+        task = (context.taskAttemptId(), context.partitionId() % self.partitions) if context else (None, 0)
+        if self._guard is None or self._task != task:
+            self._task, self._guard = task, guarded(self._paced, self.budget.share(self.partitions, task[1]), self.retries, sleep=self.sleep)
+        return self._guard(self.prompt(title, abstract))
+
+
 def classify(papers: DataFrame, featured: Column, model: Model, recall_model: Model, keep: Callable[[DataFrame], DataFrame], partitions: int = 4, repair_partitions: int = 2, threshold: int = 50, least_score: float = 0.05) -> DataFrame:
     """Adds category (featured, regular or null), reason, and the audit of each pass. Papers have local_score.
 

@@ -167,7 +167,7 @@ UNION ALL SELECT seq, title || ' — duplicate title' FROM (SELECT *, row_number
 def edition_gate(spark, d):
     n = F.col("seq")
     summary = F.when(n % 3 == 0, "").when(n % 3 == 1, "Too short.").otherwise("One sentence that is long enough to pass.")
-    items = papers(spark, d).withColumns({"summary": summary, "link": F.concat(F.lit("https://example.org/doc/"), F.floor(n / 2).cast("string"))})
+    items = spread(papers(spark, d)).withColumns({"summary": summary, "link": F.concat(F.lit("https://example.org/doc/"), F.floor(n / 2).cast("string"))})
     return quality.edition_issues(items, _end(), 50, 3 * items.count(), 0.5).select("seq", "issue")
 
 

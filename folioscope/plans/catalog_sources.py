@@ -8,7 +8,7 @@ from ..operators import policy
 from ..sinks.shared import settle
 from ..sources import lookups, records
 from . import pipeline
-from .driver_tables import EDITION, PAPERS_SQL, papers, read
+from .driver_tables import EDITION, PAPERS_SQL, papers, read, spread
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -151,4 +151,11 @@ def archive_backfill(spark, d):
 SELECT doc_id, len(a) > 0 AND len(list_filter(a, lambda x: contains(trim(regexp_replace(b, '\\s+', ' ', 'g')), x))) >= least(3, len(a)) AS same FROM w""")
 def title_search(spark, d):
     asked, returned = F.substring_index("text", "\n", 1), F.expr("substring(text, 20)")  # what follows the first words is all of the text
-    return read(spark, d, "documents").select("doc_id", lookups.same_title(asked, returned).alias("same"))
+    return spread(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", lookups.same_title(asked, returned).alias("same"))
+
+
+@_query("SELECT source AS name, '0000-' || lpad(CAST(min(length(source) + doc_id) AS VARCHAR), 4, '0') AS issn FROM documents WHERE lang = 'de' AND source IN (SELECT source FROM documents WHERE doc_id % 3 = 0) GROUP BY source")
+def backup_issn(spark, d):
+    docs = read(spark, d, "documents")
+    issns = docs.where("lang = 'de'").select(F.concat(F.lit(" "), F.upper("source")).alias("name"), F.col("doc_id").alias("pos"), F.concat(F.lit("0000-"), F.lpad((F.length("source") + F.col("doc_id")).cast("string"), 4, "0")).alias("issn"))
+    return lookups.backup_issns(docs.where("doc_id % 3 = 0").select(F.col("source").alias("name")), issns)

@@ -100,5 +100,18 @@ def scholar_dates(found: DataFrame) -> DataFrame:
 def same_title(asked: Column, returned: Column) -> Column:
     """Whether a search by title found the work: three of its significant words, or all if there are fewer, stand in the title returned."""
     words = F.filter(F.split(F.lower(text.strip_markup(asked)), r"\W+"), lambda w: F.length(w) >= 5)
-    low = F.lower(text.strip_markup(returned))
-    return (F.size(words) > 0) & (F.size(F.filter(words, lambda w: F.contains(low, w))) >= F.least(F.lit(3), F.size(words)))
+
+    def judged(x: Column) -> Column:
+        hits = F.filter(x["words"], lambda w: F.contains(x["low"], w))
+        return (F.size(x["words"]) > 0) & (F.size(hits) >= F.least(F.lit(3), F.size(x["words"])))
+
+    # bound by a lambda, so that the title returned is cleaned once and not for each word
+    return F.get(F.transform(F.array(F.struct(words.alias("words"), F.lower(text.strip_markup(returned)).alias("low"))), judged), F.lit(0))
+
+
+def backup_issns(failed: DataFrame, issns: DataFrame) -> DataFrame:
+    """(name, issn) of the feeds (`name`) that a journal number stands in for, by name without case and white space around it; a feed without one
+    is left out, and one that is listed twice has the number of least `pos`."""
+    key = F.lower(F.trim("name"))
+    known = issns.where("issn <> ''").groupBy(key.alias("_key")).agg(F.min_by("issn", "pos").alias("issn"))
+    return failed.select("name", key.alias("_key")).distinct().join(known, "_key").select("name", "issn")

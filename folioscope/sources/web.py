@@ -12,9 +12,10 @@ import re
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from urllib.parse import quote
 
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 Transport = Callable[[str], tuple[int, str, float | None]]
@@ -38,10 +39,13 @@ def file_transport(folder: str) -> Transport:
 
 
 def http_transport(timeout: float = 30.0, agent: str = "folioscope") -> Transport:
+    """Requests of one reader share their cookies, which pages behind a gate set on the first visit."""
+    opener = urllib.request.build_opener(urllib.request.HTTPCookieProcessor())
+
     def get(url: str) -> tuple[int, str, float | None]:
         request = urllib.request.Request(url, headers={"User-Agent": agent})
         try:
-            with urllib.request.urlopen(request, timeout=timeout) as r:  # noqa: S310 - the caller names the URLs
+            with opener.open(request, timeout=timeout) as r:  # the caller names the URLs
                 return r.status, r.read().decode("utf-8", "replace"), None
         except urllib.error.HTTPError as e:
             wait = e.headers.get("Retry-After", "")
@@ -91,20 +95,38 @@ class WebReader(DataSourceReader):
         return [_One(x["name"], x["url"]) for x in json.loads(self.options["requests"])]
 
     def read(self, partition):
-        """One page, or pages until one is empty or reaches what is older than `since` (a scan sorted by date has nothing newer after that), the time is
-        up or `pages` are read: {page} in the URL is the page, {cursor} the offset."""
+        """One page, or pages until one is empty, holds the last of the `total` that pages state, or reaches what is older than `since` (a scan sorted by
+        date has nothing newer after that). {page} in the URL is the page, {cursor} the offset, which grows by the `count` that a page states, else by
+        the page size. A scan that ends sooner, as the time is up or `pages` are read, ends in a row whose error says that it is incomplete."""
         get, retries = self._transport(), int(self.options.get("retries", 3))
         pages, size = int(self.options.get("pages", 1)), int(self.options.get("pagesize", 100))
         since = self.options.get("since")
         until = time.monotonic() + float(self.options.get("seconds", 120))
+        cursor = 0
         for page in range(pages):
-            url = partition.url.replace("{page}", str(page)).replace("{cursor}", str(page * size))
+            url = partition.url.replace("{page}", str(page)).replace("{cursor}", str(cursor))
             status, body, error = fetch(get, url, retries)
             yield partition.name, url, page, status, body, error
             if since and any(d < since for d in re.findall(r"<published>(\d{4}-\d{2}-\d{2})", body)):
                 return
-            if error or not body.strip() or "{" not in partition.url or time.monotonic() > until:
+            if error or not body.strip() or "{" not in partition.url:
+                return
+            count, total = _stated("count", body), _stated("total", body)
+            cursor += size if count is None else count
+            if total is not None and cursor >= total:
                 return
+            if count == 0 or time.monotonic() > until:
+                why = "an empty page" if count == 0 else "no time left"
+                break
+        else:
+            why = f"{pages} pages read"
+        if pages > 1:
+            yield partition.name, partition.url, page + 1, 0, "", f"incomplete: {why}"
+
+
+def _stated(name: str, body: str) -> int | None:
+    found = re.search(rf'"{name}"\s*:\s*"?(\d+)', body)
+    return int(found[1]) if found else None
 
 
 class WebSource(DataSource):
@@ -130,9 +152,11 @@ def europepmc_url(issn: str, start: str, end: str) -> str:
     return f"https://www.ebi.ac.uk/europepmc/webservices/rest/search?query={query}&format=json&pageSize=1000&resultType=core"
 
 
-def first_complete(*sources: Iterator) -> object:
-    """The first source that has rows: a cascade from an API to its stand-ins."""
-    for df in sources:
-        if not df.isEmpty():
-            return df
-    return sources[-1]
+def first_complete(*sources: DataFrame, complete: Callable[[DataFrame], bool] = lambda df: not df.isEmpty()) -> DataFrame:
+    """The first source that is complete, by default one that has rows: a cascade from an API to its stand-ins."""
+    return next((df for df in sources if complete(df)), sources[-1])
+
+
+def whole(pages: DataFrame) -> bool:
+    """Whether every scan of a `web` frame came to its end."""
+    return pages.where("error IS NOT NULL").isEmpty()

@@ -53,6 +53,40 @@ def test_sorted_scan_stops_at_what_is_old(spark, tmp_path):
     assert [(r.title, r.authors, r.source) for r in rows] == [(f"On forces 2608.{i}", "A B", "arXiv") for i in (1, 2, 3)]
 
 
+def test_scans_that_end_early_say_so(spark, tmp_path):
+    page = lambda n, total: json.dumps({"messages": [{"count": n, "total": str(total)}], "collection": list(range(n))})
+    stored(tmp_path, {"u?c=0": page(3, 5), "u?c=3": page(2, 5), "v?c=0": page(3, 9), "v?c=3": page(3, 9), "w?c=0": page(3, 9), "w?c=3": page(0, 9)})
+    spark.dataSource.register(web.WebSource)
+    scan = lambda u: spark.read.format("web").options(requests=json.dumps([{"name": "a", "url": u + "?c={cursor}"}]), folder=str(tmp_path), pages="2", pageSize="100").load()
+    assert [(r.page, r.error) for r in scan("u").orderBy("page").collect()] == [(0, None), (1, None)] and web.whole(scan("u"))
+    assert [r.error for r in scan("v").orderBy("page").collect()] == [None, None, "incomplete: 2 pages read"]
+    assert [r.error for r in scan("w").orderBy("page").collect()] == [None, None, "incomplete: an empty page"]
+    assert web.first_complete(scan("v"), scan("u"), complete=web.whole).count() == 2
+
+
+def test_metered_model_keeps_to_its_budget_over_tasks(spark):
+    made = policy.Metered(lambda p: policy.Response(200, "yes", usage=(10, 1, 0)), lambda t, a: t, budget.Budget(max_requests=10), 4)
+    df = spark.createDataFrame([(i, f"t{i}", "") for i in range(100)], "seq long, title string, abstract string")
+    got = policy.ask(df, made, 4).collect()
+    assert len(got) == 100 and sum(r.raw == "yes" for r in got) == 10
+    whole = budget.Budget(max_usd=3.0, max_requests=11)
+    assert sum(whole.share(4, i).max_requests for i in range(4)) == 11 and sum(whole.share(4, i).max_usd for i in range(4)) == 3.0
+    now, waits = [0.0], []
+    paced = policy.Metered(lambda p: policy.Response(200, "y"), lambda t, a: t, budget.Budget(), 2, 1.5, clock=lambda: now[0], sleep=lambda s: (waits.append(s), now.__setitem__(0, now[0] + s)))
+    assert [paced("a", ""), paced("b", ""), paced("c", "")] == ["y"] * 3 and waits == [3.0, 3.0]
+
+
+def test_repeated_training_documents_count(spark):
+    from folioscope.plans import pipeline
+
+    papers = spark.createDataFrame([(1, "cells move", "", "", "", ""), (2, "lasers shine", "", "", "", "")], "seq long, title string, abstract string, source string, link string, doi string")
+    votes = spark.createDataFrame([], "title string, summary string, source string, link string, upvotes long, downvotes long")
+    once = [("cells", 2.0), ("lasers", 2.0)]
+    score = lambda rows: {r.key: r.score for r in pipeline.score(papers, spark.createDataFrame(rows, "text string, weight double"), votes).collect()}
+    one, more = score(once), score(once + [("cells", 2.0)] * 3)
+    assert abs(one["title:cellsmove"] - one["title:lasersshine"]) < 1e-9 and more["title:cellsmove"] > more["title:lasersshine"] + 0.1
+
+
 def test_summaries_fall_back(spark):
     df = spark.createDataFrame([(0, "Good", "x"), (1, "Bad", "The abstract has a first sentence of enough letters. More."), (2, "Raise", "")], "seq long, title string, abstract string")
 
