@@ -6,7 +6,9 @@ consecutive words, without a Python object per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,21 @@ def steps(batch: pa.RecordBatch, column: str, most: int = STEP_BYTES) -> Iterato
         to = max(at + 1, int(np.searchsorted(ends, base + most, "right")))
         yield batch.slice(at, to - at)
         at = to
+    _give_back()
+
+
+@cache
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library than glibc
+        return lambda pad: 0
+
+
+def _give_back() -> None:
+    """Returns what allocators hold on to: a worker that Spark keeps for later tasks would otherwise keep the most it ever used."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
