@@ -10,6 +10,8 @@ from weakref import WeakKeyDictionary
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes for each task that writes a table of a known size.
+FILE_BYTES = 8 << 20
 _PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _LEFT: dict[str, SparkSession] = {}
 
@@ -27,20 +29,26 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, within: int | None = None) -> DataFrame:
     """Writes a frame to the shared folder and reads it again: computed once, whatever executors are lost later.
 
+    A frame known to be no larger than `within` bytes is written by as many tasks as that needs, instead of a small file from each of many.
     The table goes when it is released, or else with the driver's process.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if within is None else df.coalesce(min(max(1, -(-within // FILE_BYTES)), 1 << 16))).write.parquet(path)
     _LEFT[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     _PATHS[out] = path
     return out
 
 
+def size_of(settled: DataFrame) -> int:
+    """Bytes of a settled table's files."""
+    return int(str(settled._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def read_if_there(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """A table, or null if nothing was written there yet. Any other failure to read is an error."""
     try:
