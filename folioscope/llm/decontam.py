@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lineage import settle
+from .lineage import settle, size_of
 
 WINDOW = 10
 #: Windows in the set that goes to the tasks with their plan, at most; a larger benchmark is joined instead.
@@ -130,7 +130,7 @@ def _join(docs: DataFrame, grams: DataFrame, keep: list[str]) -> DataFrame:
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, most: int = BROADCAST_GRAMS) -> tuple[DataFrame, DataFrame]:
     """Rows of (columns to keep, doc_id, n_words, n_hit, grams), and the grams with the ids of their items."""
-    grams = settle(item_grams(benchmark, window))
+    grams = settle(item_grams(benchmark, window), 2 * window * size_of(benchmark))
     find = _join if grams.count() > most else _scan
     return find(docs, grams, keep or []), grams
 

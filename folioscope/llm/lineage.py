@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from ..sinks.shared import release, settle, shared_dir
+from ..sinks.shared import release, settle, shared_dir, size_of
 
-__all__ = ["release", "settle", "shared_dir"]
+__all__ = ["release", "settle", "shared_dir", "size_of"]
