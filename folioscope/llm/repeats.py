@@ -7,8 +7,9 @@ The reference is the corpus itself, which no broadcast can hold, so its shards a
    equal anchors. About one word in fifteen is an anchor. Anchors that occur once in the corpus are dropped;
 2. a shard is what surrounds one shared anchor: the stretches of words whose windows it represents, from all texts. A suffix automaton of the
    shard's distinct stretches, weighted by their occurrences, is built, and the stretches are streamed through it: where the longest match
-   covers a window and its state occurs at least twice, the window is repeated. Words are compared, not hashes;
-3. a shard of more stretches than `SHARD` is cut; what one cut can't decide on its own meets once more under its window's hash;
+   covers a window and its state occurs at least twice, the window is repeated. Here words are compared, not hashes;
+3. a shard of more stretches than `SHARD` is cut; what one cut can't decide on its own meets once more under its window's
+   64-bit hash, and there equal hashes count as equal windows;
 4. repeated windows come back to their document as bit masks, and the maximal spans they cover are removed.
 
 Before any shuffle a task settles what repeats within its own step of texts and sends one representative, so a passage that
@@ -176,7 +177,7 @@ def _window_rows(window: int, gram: int):
                 multi = count[which] > 1
                 again = np.flatnonzero(multi)
                 original = windows[first[which[again]]]
-                for k in range(window):  # the same words, not just the same hash
+                for k in range(window):  # the same hashes of all words, not just the same hash of the window
                     multi[again] &= step.hashes[windows[again] + k] == step.hashes[original + k]
                 is_first = np.zeros(len(windows), bool)
                 is_first[first] = True
