@@ -656,14 +656,28 @@ def abstract_cleaners(spark, d):
     return papers(spark, d).select("seq", preprint.alias("preprint"), broken.alias("broken"), text.clean_author(F.concat(F.lit("jo@x.org (Jo  Doe "), n, F.lit(")"))).alias("author"))
 
 
-@_query()
+_BLOCK = "p|div|br|li|tr|h[1-6]|section|article|ul|ol|table"
+
+
+@_query(f"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(t, '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) AS text FROM (
+  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<head>.*?</head>|<script.*?</script>|<!--.*?-->', '', 'g'), '</?({_BLOCK})[ />][^<>]*>|</?({_BLOCK})>', chr(10), 'g'), '<[^<>]*>', '', 'g') AS t FROM pages)""")
 def html_text(spark, d):
     return spread(read(spark, d, "pages")).select("page_id", html.html_to_text("html").alias("text"))
 
 
-@_query()
+@_query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'Jo ' || page_id || '; Z' WHEN 1 THEN 'D' || page_id WHEN 2 THEN 'L' || page_id || '; M' END AS authors,
+  CASE page_id % 3 WHEN 0 THEN 'Abstract of ' || page_id WHEN 1 THEN url ELSE 'A description that is long enough to be taken for an abstract, of ' || page_id END AS abstract, CASE page_id % 3 WHEN 0 THEN 'Review' END AS article_type, CASE page_id % 3 WHEN 1 THEN '10.1000/x' || page_id END AS doi FROM pages""")
 def page_metadata(spark, d):
-    return spread(read(spark, d, "pages")).select("page_id", html.scrape_metadata("html").alias("m")).select("page_id", "m.*")
+    """Pages of the table with three ways of stating who wrote what in front of their body."""
+    s = F.col("page_id").cast("string")
+    meta = lambda a, k, v: F.concat(F.lit(f'<meta {a}="{k}" content="'), v, F.lit('">'))
+    cited = F.concat(meta("name", "citation_author", F.concat(F.lit("Jo "), s)), meta("name", "citation_author", F.lit("Z")), meta("name", "citation_abstract", F.concat(F.lit(" Abstract of "), s)), meta("name", "dc.Type", F.lit("Review")))
+    core = F.concat(meta("name", "DC.creator", F.concat(F.lit("D"), s)), meta("property", "og:description", F.col("url")), meta("name", "dc.Identifier", F.concat(F.lit("doi:10.1000/x"), s, F.lit(".)"))))
+    linked = F.concat(F.lit('<script type="application/ld+json">{"mainEntity": {"author": [{"name": "L'), s, F.lit('"}, "M", {}], "description": "A description that is long enough to be taken for an abstract, of '), s, F.lit('"}}</script>'))
+    n = F.col("page_id") % 3
+    page = F.concat(F.when(n == 0, cited).when(n == 1, core).otherwise(linked), "html")
+    m = spread(read(spark, d, "pages")).select("page_id", html.scrape_metadata(page).alias("m"))
+    return m.select("page_id", F.array_join("m.authors", "; ").alias("authors"), "m.abstract", "m.article_type", "m.doi")
 
 
 @_query(f"""{_P} SELECT seq, split_part(split_part(t, chr(10) || 'body', 1), '---' || chr(10), 2) AS head FROM (SELECT seq, '---' || chr(10) || 'title: "Aug 3 26"' || chr(10) || 'edition_id: "2026-08-03"' || chr(10) || 'window_end_date: "2026-08-10"' || chr(10) || 'author: ' || source || chr(10) || 'body' AS t FROM papers)""")
@@ -727,10 +741,11 @@ def weekly_sliding(spark, d):
 
 
 def _more() -> None:
-    from . import catalog_sources
+    from . import catalog_runs, catalog_sources
 
-    QUERIES.update(catalog_sources.QUERIES)
-    SQL.update(catalog_sources.SQL)
+    for more in (catalog_sources, catalog_runs):
+        QUERIES.update(more.QUERIES)
+        SQL.update(more.SQL)
 
 
 _more()

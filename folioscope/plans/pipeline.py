@@ -82,12 +82,16 @@ def validate(papers: DataFrame, decisions: DataFrame, document: str, edition_dat
     return lost.unionByName(own).unionByName(absent).unionByName(n)
 
 
-def repair(papers: DataFrame, decisions: DataFrame, edition_date: Column, preprints: Sequence[str] = ("arXiv", "bioRxiv", "medRxiv"), least: int = 50) -> DataFrame:
-    """A frozen edition derived again without a model: recall approvals that the policy no longer supports are taken back."""
-    rows = joins.frozen(papers, decisions)
+def taken_back(rows: DataFrame) -> DataFrame:
+    """Frozen rows with their label, reason and summary, where a recall approval that the policy no longer supports is a rejection."""
     supported = policy.recall_supported(F.col("source"), F.col("title"), F.col("abstract"), F.coalesce("decision_local_score", F.lit(0.0)))
     back = (F.col("decision_classifier_reason") == "AI Recall Approved") & ~supported
-    rows = rows.withColumns({"label": F.when(back, "rejected").otherwise(F.col("decision_label")), "reason": F.when(back, "AI Recall Rejected by Learning Gate").otherwise(F.col("decision_classifier_reason")), "summary": F.when(back, "").otherwise(F.col("decision_summary")), "local_score": F.coalesce("decision_local_score", F.lit(0.0))})
+    return rows.withColumns({"label": F.when(back, "rejected").otherwise(F.col("decision_label")), "reason": F.when(back, "AI Recall Rejected by Learning Gate").otherwise(F.col("decision_classifier_reason")), "summary": F.when(back, "").otherwise(F.col("decision_summary")), "local_score": F.coalesce("decision_local_score", F.lit(0.0))})
+
+
+def repair(papers: DataFrame, decisions: DataFrame, edition_date: Column, preprints: Sequence[str] = ("arXiv", "bioRxiv", "medRxiv"), least: int = 50) -> DataFrame:
+    """A frozen edition derived again without a model: recall approvals that the policy no longer supports are taken back."""
+    rows = taken_back(joins.frozen(papers, decisions))
     items = rank.edition_order(rows.where("label = 'featured'"), rows.where("label = 'regular'"), preprints)
     quality.require_clean(quality.edition_issues(items, edition_date, least))
     return items

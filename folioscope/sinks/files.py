@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.web import local_path, stored_name
 from .shared import read_if_there
 
 
@@ -46,6 +49,33 @@ def json_lines(rows: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).json(path)
 
 
+def final_decisions(rows: DataFrame, path: str, archive: str) -> None:
+    """Final decisions as lines, and a copy of each week's in the archive, which later runs of other weeks leave alone."""
+    json_lines(rows, path)
+    week = rows.sparkSession.read.schema(rows.schema).json(path)  # the copy is of what was written
+    week.write.option("partitionOverwriteMode", "dynamic").partitionBy("week").mode("overwrite").json(archive)
+
+
+def sidecars(rows: DataFrame, folder: str) -> None:
+    """What an archive's entries are known by (title, link, source, date), a folder of lines per edition; other editions' stay."""
+    known = rows.select("title", "link", "source", F.date_format("date", "yyyy-MM-dd").alias("date"), "edition")
+    known.write.option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False).partitionBy("edition").mode("overwrite").json(folder)
+
+
+def stored(bodies: DataFrame, folder: str) -> int:
+    """Keeps bodies (url, body) as the files that a `web` source with a folder reads; returns how many. A task that runs again writes the same files."""
+    folder = local_path(folder)
+
+    def write(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(folder, exist_ok=True)
+        for rows in source:
+            for url, body in zip(rows["url"], rows["body"], strict=True):
+                _write(f"{folder}/{stored_name(url)}", body or "")
+            yield pd.DataFrame({"n": [len(rows)]})
+
+    return bodies.select("url", "body").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def swap(rows: DataFrame, path: str) -> str:
     """A new version beside the old one and a pointer to it, as a table can't be overwritten while it is read. Returns the version's path."""
     version = f"{path}/v-{uuid.uuid4().hex}"
@@ -60,6 +90,7 @@ def current(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _write(path: str, text: str) -> None:
+    path = local_path(path)
     temporary = f"{path}.{uuid.uuid4().hex}"
     with open(temporary, "w", encoding="utf-8") as f:
         f.write(text)

@@ -44,6 +44,13 @@ def settle(df: DataFrame, within: int | None = None) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession) -> str:
+    """A path in the shared folder for files of one's own; what is written there goes with the driver's process."""
+    path = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    _LEFT[path] = spark
+    return path
+
+
 def size_of(settled: DataFrame) -> int:
     """Bytes of a settled table's files."""
     return int(str(settled._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -28,10 +28,9 @@ def json_lines(spark: SparkSession, path: str, of: str, strict: bool = False) ->
 
 
 def sent_decisions(spark: SparkSession, folder: str, current: str) -> DataFrame:
-    """Selected publications of earlier decision files; the current edition's own file is left out."""
-    rows = json_lines(spark, folder, schema.DECISION).select("*", F.col("_metadata.file_name").alias("file"))
-    named = F.col("file").rlike(r"filter_decisions_\d{4}-\d{2}-\d{2}\.jsonl$")
-    return rows.where(named & (F.col("file") != current) & F.lower("label").isin("featured", "regular")).drop("file")
+    """Selected publications of earlier decision files; the current edition's own file is left out. A file may be a folder of parts."""
+    rows = json_lines(spark, f"{folder}/*", schema.DECISION).select("*", F.regexp_extract("_metadata.file_path", r"/(filter_decisions_\d{4}-\d{2}-\d{2}\.jsonl)(?:/[^/]+)?$", 1).alias("file"))
+    return rows.where((F.col("file") != "") & (F.col("file") != current) & F.lower("label").isin("featured", "regular")).drop("file")
 
 
 def rejected_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,6 +57,11 @@ def sidecars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.SIDECAR).json(path, multiLine=True).withColumn("edition", F.regexp_replace(F.col("_metadata.file_name"), r"\.papers\.json$", ""))
 
 
+def edition_sidecars(spark: SparkSession, folder: str) -> DataFrame:
+    """Sidecars that `sinks.files.sidecars` wrote."""
+    return spark.read.schema(f"{schema.SIDECAR}, edition string").json(folder)
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines that aren't blank, without white space around them."""
     return spark.read.text(path).select(stripped(F.col("value")).alias("value")).where("value <> ''")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, keys, text
+from ..sinks.shared import settle
 from .web import Transport, fetch
 
 
@@ -109,6 +110,34 @@ def same_title(asked: Column, returned: Column) -> Column:
     return F.get(F.transform(F.array(F.struct(words.alias("words"), F.lower(text.strip_markup(returned)).alias("low"))), judged), F.lit(0))
 
 
+_DATED = "`published-online`, `published-print`, published, issued, created".split(", ")
+_DATED_WORK = "struct<title:array<string>, " + ", ".join(f"{k}:struct<`date-parts`:array<array<int>>>" for k in _DATED) + ">"
+
+
+def _stated_dates(work: Column) -> Column:
+    return F.array_compact(F.array(*(dates.date_of_parts(F.get(work[k.strip("`")]["date-parts"], F.lit(0))) for k in _DATED)))
+
+
+def journal_dates(rows: DataFrame, get: Transport, start: Column, end: Column, partitions: int = 2) -> DataFrame:
+    """(link, date) of articles (link, title): a date within the window that the page states, else the one preferred of all that the page and the work
+    state. A work is asked for by its DOI, or by its title if link and page have none; then it must be the work of that title. Null if nothing is known."""
+    asked = rows.select("link", "title").where("link <> ''").dropDuplicates(["link"])
+    pages = settle(answers(asked, "link", lambda links: links[0], get, partitions=partitions))
+    html = pages.select(F.get("batch_keys", F.lit(0)).alias("link"), "body")
+    found = asked.join(html, "link", "left").withColumn("on_page", F.array_compact(F.transform(dates.metadata_dates(F.col("body")), dates.normalized_date)))
+    found = found.withColumn("doi", keys.doi_of_link_or_html(F.col("link"), F.col("body"))).drop("body")
+    open_ = found.where(~F.exists("on_page", lambda d: d.between(start, end)))
+    by_doi = settle(answers(open_, "doi", crossref_work_url, get, partitions=partitions))
+    by_title = settle(answers(open_.where("doi IS NULL"), "title", crossref_title_url, get, partitions=partitions))
+    works = by_doi.select(F.get("batch_keys", F.lit(0)).alias("doi"), _stated_dates(F.from_json("body", f"message {_DATED_WORK}")["message"]).alias("by_doi"))
+    hits = by_title.select(F.get("batch_keys", F.lit(0)).alias("title"), F.get(F.from_json("body", f"message struct<items:array<{_DATED_WORK}>>")["message"]["items"], F.lit(0)).alias("w"))
+    titled = hits.where(same_title(F.col("title"), F.get("w.title", F.lit(0)))).select("title", _stated_dates(F.col("w")).alias("by_title"))
+    out = found.join(works, "doi", "left").join(titled, "title", "left")
+    none = F.array().cast("array<date>")
+    looked_up = F.when(F.col("doi").isNotNull(), F.coalesce("by_doi", none)).otherwise(F.coalesce("by_title", none))
+    return out.select("link", dates.preferred_date(F.concat("on_page", looked_up), start, end).alias("date"))
+
+
 def backup_issns(failed: DataFrame, issns: DataFrame) -> DataFrame:
     """(name, issn) of the feeds (`name`) that a journal number stands in for, by name without case and white space around it; a feed without one
     is left out, and one that is listed twice has the number of least `pos`."""

@@ -27,7 +27,14 @@ def stored_name(url: str) -> str:
     return hashlib.sha256(url.encode()).hexdigest()[:32]
 
 
+def local_path(path: str) -> str:
+    """A path without the scheme of files."""
+    return re.sub("^file:/*", "/", path)
+
+
 def file_transport(folder: str) -> Transport:
+    folder = local_path(folder)
+
     def get(url: str) -> tuple[int, str, float | None]:
         try:
             with open(f"{folder}/{stored_name(url)}", encoding="utf-8") as f:

@@ -106,3 +106,20 @@ def test_guarded_model():
     assert b.requests == 3 and b.in_flight == pytest.approx(0) and b.reported == pytest.approx(525e-6) and b.unreported > 0
     assert policy.guarded(lambda p: policy.Response(200, "cut", "MAX_TOKENS"), b)("x") == ""
     assert policy.guarded(lambda p: policy.Response(400), b, sleep=waits.append)("x") == "" and len(waits) == 2
+
+
+def test_journal_dates_without_a_page_or_a_work(spark):
+    start, end = F.lit("2026-08-03").cast("date"), F.lit("2026-08-10").cast("date")
+    work = '"published": {"date-parts": [[2026, 8]]}, "created": {"date-parts": [[2026, 8, 9]]}'
+    known = {
+        "https://a.org/1": '<meta name="citation_date" content="2026-07-01"><meta name="citation_doi" content="10.1000/a">',
+        lookups.crossref_work_url(["10.1000/a"]): '{"message": {' + work + "}}",
+        lookups.crossref_title_url(["Bending cells"]): '{"message": {"items": [{"title": ["BENDING <i>cells</i>"], ' + work + "}]}}",
+        lookups.crossref_title_url(["Other cells here"]): '{"message": {"items": []}}',
+    }
+    get = lambda url: (200, known[url], None) if url in known else (404, "", None)
+    rows = [("https://a.org/1", "A"), ("https://a.org/1", "A"), ("https://gone.org/2", "Bending cells"), ("https://gone.org/3", "Other cells here"), ("https://doi.org/10.1000/gone", None), (None, "x"), ("", "y")]
+    found = lookups.journal_dates(spark.createDataFrame(rows, "link string, title string"), get, start, end)
+    assert {(r.link, str(r.date)) for r in found.collect()} == {("https://a.org/1", "2026-08-09"), ("https://gone.org/2", "2026-08-09"), ("https://gone.org/3", "None"), ("https://doi.org/10.1000/gone", "None")}
+    assert found.count() == 4
+    assert lookups.journal_dates(spark.createDataFrame([], "link string, title string"), get, start, end).count() == 0

@@ -36,3 +36,26 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="share"):
         shared.shared_dir(Session)
+
+
+def test_files_of_their_own(spark, tmp_path):
+    from folioscope.sinks import files as sinks
+    from folioscope.sources import files, web
+
+    path = shared.scratch(spark)
+    bodies = spark.createDataFrame([("u1", "one"), ("u2", None)], "url string, body string")
+    assert sinks.stored(bodies, f"file://{path}") == 2 and sinks.stored(bodies.where("false"), path) == 0
+    get = web.file_transport(f"file://{path}")
+    assert get("u1") == (200, "one", None) and get("u2") == (200, "", None) and get("u3")[0] == 404
+
+    rows = spark.createDataFrame([("t", "l", "s", "2026-08-03", "e1"), ("t", "l", "s", None, "e2")], "title string, link string, source string, date string, edition string")
+    kept = str(tmp_path / "sidecars")
+    sinks.sidecars(rows.withColumn("date", rows["date"].cast("date")), kept)
+    sinks.sidecars(rows.where("edition = 'e2'").withColumn("date", rows["date"].cast("date")), kept)  # the other edition stays
+    assert sorted((r.edition, r.date) for r in files.edition_sidecars(spark, kept).collect()) == [("e1", "2026-08-03"), ("e2", None)]
+
+    final = spark.createDataFrame([("W1", "a"), ("W2", "b")], "week string, link string")
+    lines, archive = str(tmp_path / "final"), str(tmp_path / "archive")
+    sinks.final_decisions(final, lines, archive)
+    sinks.final_decisions(final.where("week = 'W2'"), lines, archive)
+    assert [r.week for r in spark.read.json(lines).collect()] == ["W2"] and spark.read.json(archive).count() == 2
