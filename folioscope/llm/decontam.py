@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from .lineage import settle, size_of
 
 WINDOW = 10
-#: Windows in the set that goes to the tasks with their plan, at most; a larger benchmark is joined instead.
+#: Windows in the set that goes to the tasks with their plan, at most; a larger benchmark is joined by hash instead.
 BROADCAST_GRAMS = 50_000
+#: Hashes that are broadcast for that join, at most (8 bytes each, some 64 MB as a hash table); beyond, the hashes of all windows are shuffled.
+BROADCAST_HASHES = 2_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OUTSIDE = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
@@ -73,8 +75,8 @@ def _cut(tokens: Column, size: int) -> Callable[[Column], Column]:
     return lambda at: _text(tokens, at, size)
 
 
-def _gram(tokens: Column, size: int) -> Callable[[Column], Column]:
-    return lambda at: F.struct(at.alias("at"), F.lit(size).alias("size"), _text(tokens, at, size).alias("gram"))
+def _hashed(tokens: Column, size: int) -> Callable[[Column], Column]:
+    return lambda at: F.struct(at.alias("at"), _hash(tokens, at, size).alias("hash"))
 
 
 def item_grams(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -115,17 +117,23 @@ def _sizes(grams: DataFrame) -> list[int]:
     return sorted(r["size"] for r in grams.select("size").distinct().collect())
 
 
-def _join(docs: DataFrame, grams: DataFrame, keep: list[str]) -> DataFrame:
-    """As `_scan`, for any number of grams: windows are exploded and joined by their text."""
-    rows = docs.select(*keep, "doc_id", "text", F.xxhash64("doc_id", "text").alias("rid"))
-    sizes = _sizes(grams)
-    tokens = rows.select("rid", words(F.col("text")).alias("tokens"))
-    every = [F.transform(_starts(F.col("tokens"), size, lambda at: F.lit(True)), _gram(F.col("tokens"), size)) for size in sizes]
-    windows = tokens.select("rid", F.explode(F.concat(*every)).alias("w")).select("rid", "w.*")
-    hits = windows.join(grams.select("gram", "size"), ["gram", "size"]).groupBy("rid").agg(F.collect_set(F.struct("at", "size")).alias("spans"), F.array_sort(F.collect_set("gram")).alias("grams"))
-    joined = rows.join(hits, "rid", "left")
-    none = F.array().cast("array<string>")
-    return joined.select(*keep, "doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.coalesce(_covered(F.col("spans")), F.lit(0)).cast("long").alias("n_hit"), F.coalesce("grams", none).alias("grams"))
+def _join(docs: DataFrame, grams: DataFrame, keep: list[str], most: int = BROADCAST_HASHES) -> DataFrame:
+    """As `_scan`, for any number of grams: windows are exploded as places and hashes, without their words, and joined by hash; only what is found goes on,
+    and is verified word by word in the row of its document. Rows with the same id and text have the same hits, so these meet under both."""
+    id_ = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
+    rows = docs.select(*keep, "doc_id", "text", id_, F.xxhash64("text").alias("_rid"))
+    tokens = F.col("tokens")
+    every = [F.transform(_starts(tokens, size, lambda at: F.lit(True)), _hashed(tokens, size)) for size in _sizes(grams)]
+    none = F.array().cast("array<struct<at:int,hash:bigint>>")
+    windows = docs.select(id_, F.xxhash64("text").alias("_rid"), words(F.col("text")).alias("tokens")).select("_id", "_rid", F.explode(F.concat(none, *every)).alias("w")).select("_id", "_rid", "w.*")
+    hashes = grams.select("hash").distinct()
+    found = windows.join(F.broadcast(hashes) if hashes.count() <= most else hashes, "hash", "left_semi")
+    hits = found.join(grams.select("hash", "size", "gram"), "hash").groupBy("_id", "_rid").agg(F.collect_set(F.struct("at", "size", "gram")).alias("hits"))
+    told = rows.join(hits, ["_id", "_rid"], "left").select(*keep, "doc_id", words(F.col("text")).alias("tokens"), "hits")
+    real = F.filter(F.coalesce("hits", F.array().cast("array<struct<at:int,size:int,gram:string>>")), lambda h: F.array_join(F.slice(tokens, h["at"] + 1, h["size"]), " ") == h["gram"])
+    told = told.select(*keep, "doc_id", F.size(tokens).cast("long").alias("n_words"), real.alias("real"))
+    spans = F.transform("real", lambda h: F.struct(h["at"].alias("at"), h["size"].alias("size")))
+    return told.select(*keep, "doc_id", "n_words", _covered(spans).cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.transform("real", lambda h: h["gram"]))).alias("grams"))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, most: int = BROADCAST_GRAMS) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@ import re
 
 import pytest
 from folioscope.llm import decontam
+from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -44,10 +45,24 @@ def test_against_brute_force(spark, most):
     assert got == dict(enumerate(brute(texts, items, 4)))
     assert sum(x[3] for x in got.values()) > 20
 
+    # where even the hashes of the items are too many to broadcast
+    grams = decontam.item_grams(bench, 4).cache()
+    rows = lambda found: sorted((x.doc_id, x.n_words, x.n_hit, x.grams) for x in found.collect())
+    assert rows(decontam._join(df, grams, [], 0)) == rows(decontam._scan(df, grams, []))
 
-def test_nulls_and_empty(spark):
+
+def test_a_shared_hash_is_no_hit(spark):
+    df = spark.createDataFrame([(1, "one two three"), (1, "one two four"), (2, None)], "doc_id long, text string")
+    grams = decontam.item_grams(spark.createDataFrame([(7, "one two")], "item_id long, text string"), 2)
+    other = grams.withColumn("gram", F.lit("six ten"))  # same hash, other words
+    assert [x.n_hit for x in decontam._join(df, grams, []).orderBy("n_hit").collect()] == [0, 2, 2]
+    assert [(x.n_hit, x.grams) for x in decontam._join(df, other, []).collect()] == [(0, [])] * 3
+
+
+@pytest.mark.parametrize("most", [decontam.BROADCAST_GRAMS, 0])
+def test_nulls_and_empty(spark, most):
     df = spark.createDataFrame([(None, "zebra"), (None, "zebra"), (2, None)], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "zebra")], "item_id long, text string")
-    assert [x.n_hit for x in decontam.contaminated(df, bench).orderBy("n_hit").collect()] == [0, 1, 1]
-    assert [x.n_hit for x in decontam.contaminated(df, bench.limit(0)).collect()] == [0, 0, 0]
-    assert decontam.contaminated(df.limit(0), bench).count() == 0
+    assert [x.n_hit for x in decontam.contaminated(df, bench, most=most).orderBy("n_hit").collect()] == [0, 1, 1]
+    assert [x.n_hit for x in decontam.contaminated(df, bench.limit(0), most=most).collect()] == [0, 0, 0]
+    assert decontam.contaminated(df.limit(0), bench, most=most).count() == 0
