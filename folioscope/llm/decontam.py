@@ -128,12 +128,19 @@ def _join(docs: DataFrame, grams: DataFrame, keep: list[str], most: int = BROADC
     windows = docs.select(id_, F.xxhash64("text").alias("_rid"), words(F.col("text")).alias("tokens")).select("_id", "_rid", F.explode(F.concat(none, *every)).alias("w")).select("_id", "_rid", "w.*")
     hashes = grams.select("hash").distinct()
     found = windows.join(F.broadcast(hashes) if hashes.count() <= most else hashes, "hash", "left_semi")
-    hits = found.join(grams.select("hash", "size", "gram"), "hash").groupBy("_id", "_rid").agg(F.collect_set(F.struct("at", "size", "gram")).alias("hits"))
-    told = rows.join(hits, ["_id", "_rid"], "left").select(*keep, "doc_id", words(F.col("text")).alias("tokens"), "hits")
-    real = F.filter(F.coalesce("hits", F.array().cast("array<struct<at:int,size:int,gram:string>>")), lambda h: F.array_join(F.slice(tokens, h["at"] + 1, h["size"]), " ") == h["gram"])
-    told = told.select(*keep, "doc_id", F.size(tokens).cast("long").alias("n_words"), real.alias("real"))
+    # written down, so that its size is known before texts would be shuffled to meet it
+    hits = settle(found.join(grams.select("hash", "size", "gram"), "hash").groupBy("_id", "_rid").agg(F.collect_set(F.struct("at", "size", "gram")).alias("hits")))
+    listed = F.coalesce("hits", F.array().cast("array<struct<at:int,size:int,gram:string>>"))
+
+    def told(w: Column) -> Column:
+        real = F.filter(listed, lambda h: F.array_join(F.slice(w, h["at"] + 1, h["size"]), " ") == h["gram"])
+        return F.struct(F.size(w).cast("long").alias("n_words"), real.alias("real"))
+
+    # words are bound by a lambda: a projection of their own might be merged into the filter, which would cut the text once for each hit
+    once = F.get(F.transform(F.array(words(F.col("text"))), told), F.lit(0))
+    verified = rows.join(hits, ["_id", "_rid"], "left").select(*keep, "doc_id", once.alias("t")).select(*keep, "doc_id", F.col("t.n_words").alias("n_words"), F.col("t.real").alias("real"))
     spans = F.transform("real", lambda h: F.struct(h["at"].alias("at"), h["size"].alias("size")))
-    return told.select(*keep, "doc_id", "n_words", _covered(spans).cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.transform("real", lambda h: h["gram"]))).alias("grams"))
+    return verified.select(*keep, "doc_id", "n_words", _covered(spans).cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.transform("real", lambda h: h["gram"]))).alias("grams"))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, most: int = BROADCAST_GRAMS) -> tuple[DataFrame, DataFrame]:
