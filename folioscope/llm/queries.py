@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, pii, pivot_search, repeats, secret_scan, simhash, toxicity
+from . import bpe, chat, decontam, drift, langid, pii, pivot_search, quality, repeats, secret_scan, simhash, toxicity, trie
 from .textops import table
 
 #: The vocabulary files are never copied; the path is a parameter.
 TOKENIZER = "byte_bpe_50k.json"
 
+CLIENT_COLUMNS = ("client_id", "master_id", "source", "updated_at", "name", "email", "city", "nation_id", "segment", "balance")
+
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
@@ -82,6 +84,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secret_scan.listing(base), 256).alias("base_sha256"), secret_scan.listing(F.col("spans")).alias("spans"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.train(quality.training_rows(docs, spark.read.parquet(table(sf_dir, "labels"))))
+    return quality.classify(docs, model)
+
+
+def op12_drifted_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clients = spark.read.parquet(table(sf_dir, "clients"))
+    return drift.rewritten(clients.select(*CLIENT_COLUMNS[:7], F.col("nation_id").cast("long"), *CLIENT_COLUMNS[8:]), "client_id")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(table(sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
@@ -93,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_pii": op10_pii,
+    "op11_quality": op11_quality,
+    "op12_drifted_rewrite": op12_drifted_rewrite,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
@@ -151,4 +171,26 @@ e AS (SELECT r, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM d),
 k AS (SELECT e.r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM e ANTI JOIN c USING (r, p) GROUP BY e.r)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (r)""",
+    "op13_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id AS c, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS s, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT c, list(s ORDER BY k) AS s FROM t GROUP BY c),
+h AS (
+  -- crc32 of the decimal id, byte by byte and bit by bit
+  SELECT c, s, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda b: [CAST(ord(b) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, x: CASE WHEN xor(a, x) & 1 = 1 THEN xor(xor(a, x) >> 1, 3988292384::BIGINT) ELSE xor(a, x) >> 1 END), 4294967295::BIGINT) % 9 AS h FROM l),
+p AS (SELECT h.c, list_concat(coalesce(b.s, [])[1:h.h], h.s[h.h + 1:]) AS s FROM h LEFT JOIN l b ON b.c = h.c - h.c % 5),
+m AS (SELECT c, len(s) AS n, d, CAST(s[1:d] AS VARCHAR) || d AS key, CASE WHEN d > 0 THEN CAST(s[1:d - 1] AS VARCHAR) || (d - 1) END AS parent, coalesce(strlen(s[d].x), 0) AS size
+  FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM p)),
+v AS (
+  SELECT key, any_value(parent) AS parent, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256 FROM m GROUP BY key),
+k AS (SELECT parent AS key, count(*) AS n_children FROM v WHERE parent IS NOT NULL GROUP BY parent),
+w AS (SELECT v.*, coalesce(k.n_children, 0) AS n_children FROM v LEFT JOIN k USING (key)),
+u AS (
+  SELECT a.key, CAST(sum(CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum(w.saved) AS BIGINT) AS saved_tokens
+  FROM m a JOIN m b ON a.c = b.c AND b.d >= a.d JOIN w ON w.key = b.key AND w.conv_id = b.c GROUP BY a.key)
+SELECT w.conv_id, w.depth, f.conv_id AS parent_conv_id, w.n_convs, w.n_children, u.n_leaves, u.saved_tokens, w.ends_sha256
+FROM w JOIN u USING (key) LEFT JOIN v f ON f.key = w.parent""",
 }
