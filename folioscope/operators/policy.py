@@ -6,17 +6,19 @@ written down before the next reads it, because a lazily repeated pass would ask
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clip, field, squashed, text_or_blank
-from .budget import Budget, usage_cost
+from .budget import USAGE, Budget, BudgetExhausted, Ledger, usage_cost
 
 #: A model: title and abstract to its raw response.
 Model = Callable[[str, str], str]
@@ -65,20 +67,27 @@ def is_rejected(reason: Column) -> Column:
     return reason == "AI Rejected"
 
 
-def ask(papers: DataFrame, model: Model, partitions: int) -> DataFrame:
-    """(seq, raw): the model's responses. `partitions` is how many ask at a time; a model that raises has no response."""
+def ask(papers: DataFrame, model: Model, partitions: int, ledger: Ledger | None = None) -> DataFrame:
+    """(seq, raw, requests, reported, unreported): the model's responses and what they cost; a model without a meter costs nothing.
+
+    `partitions` is how many ask at a time; a model that raises has no response. A metered model has what its ledger, or else its own budget, leaves now.
+    The rows are dealt to `partitions` shares, and a share stays with its rows in whichever task they are.
+    """
+    ready = model.for_pass(partitions, ledger) if isinstance(model, Metered) else None
 
     def run(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in source:
             out = []
-            for title, abstract in zip(rows["title"], rows["abstract"], strict=True):
+            for title, abstract, share in zip(rows["title"], rows["abstract"], rows["share"], strict=True):
                 try:
-                    out.append(model(title or "", abstract or ""))
+                    got = ready.answer(title or "", abstract or "", share) if ready else (model(title or "", abstract or ""), 0, 0.0, 0.0)
                 except Exception:  # noqa: BLE001 - whatever the model does, the row is repaired later
-                    out.append("")
-            yield pd.DataFrame({"seq": rows["seq"], "raw": out})
+                    got = ("", 0, 0.0, 0.0)
+                out.append(got)
+            yield pd.DataFrame(out, columns=["raw", "requests", "reported", "unreported"], index=rows.index).assign(seq=rows["seq"])[["seq", "raw", "requests", "reported", "unreported"]]
 
-    return papers.select("seq", "title", "abstract").repartition(partitions, "seq").mapInPandas(run, "seq long, raw string")
+    dealt = papers.select("seq", "title", "abstract", F.pmod(F.xxhash64("seq"), F.lit(partitions)).cast("int").alias("share"))
+    return dealt.repartitionById(partitions, F.col("share")).mapInPandas(run, f"seq long, raw string, {USAGE}")
 
 
 def keyword_model(words: tuple[str, ...]) -> Model:
@@ -93,15 +102,15 @@ def keyword_model(words: tuple[str, ...]) -> Model:
     return model
 
 
-def summarize(papers: DataFrame, model: Model, partitions: int) -> DataFrame:
-    """(seq, summary, fell_back): the model's sentence, or the abstract's own first one where the model has none that is complete."""
+def summarize(papers: DataFrame, model: Model, partitions: int, ledger: Ledger | None = None) -> DataFrame:
+    """(seq, summary, fell_back) and what each cost: the model's sentence, or the abstract's own first one where the model has none that is complete."""
     from ..functions.text import extractive_summary
     from .quality import summary_issues
 
-    found = papers.select("seq", "abstract").join(ask(papers, model, partitions), "seq", "left")
+    found = papers.select("seq", "abstract").join(ask(papers, model, partitions, ledger), "seq", "left")
     usable = F.coalesce(F.size(summary_issues(F.col("raw"))) == 0, F.lit(False))
     own = extractive_summary(F.col("abstract"))
-    return found.select("seq", F.when(usable, field(F.col("raw"))).otherwise(own).alias("summary"), (~usable & (own != "Summary unavailable.")).alias("fell_back"))
+    return found.select("seq", F.when(usable, field(F.col("raw"))).otherwise(own).alias("summary"), (~usable & (own != "Summary unavailable.")).alias("fell_back"), "requests", "reported", "unreported")
 
 
 @dataclass(frozen=True)
@@ -140,12 +149,40 @@ def guarded(call: Callable[[str], Response], budget: Budget, retries: int = 3, m
     return generate
 
 
+class SharedPause:
+    """Until when a service wants no request, for all tasks: files in a folder of the shared file system, named by the time they tell.
+
+    A file is written once and never changed, so tasks need no lock; the latest counts. Tasks look again after `every` seconds.
+    """
+
+    def __init__(self, folder: str, every: float = 1.0, clock: Callable[[], float] = time.time) -> None:
+        self.folder, self.every, self.clock, self._until, self._looked = folder, every, clock, 0.0, -1e18
+
+    def _place(self) -> tuple[pafs.FileSystem, str]:
+        return pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", self.folder))
+
+    def extend(self, seconds: float) -> None:
+        """Keeps all tasks from asking for as many seconds."""
+        self._until = max(self._until, self.clock() + seconds)
+        fs, path = self._place()
+        fs.create_dir(path)
+        fs.open_output_stream(f"{path}/{int(self._until * 1000):015d}").close()
+
+    def wait(self) -> float:
+        """Seconds that are left to wait."""
+        now = self.clock()
+        if now - self._looked >= self.every:
+            self._looked = now
+            fs, path = self._place()
+            names = [f.base_name for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))]
+            self._until = max([self._until, *(int(n) / 1000 for n in names if n.isdigit())])
+        return max(0.0, self._until - now)
+
+
 @dataclass
 class Metered:
-    """A model over a metered service, for `partitions` tasks at a time: each task has its part of the budget for a pass and keeps its part of the least
-    interval between requests; a service that asks for a pause gets it from the task that it asked.
-
-    A repeated task has its part again, so a pass costs at most the budget times the attempts that Spark allows a task.
+    """A model over a metered service, for `partitions` tasks at a time: each share of a pass has its part of the budget and keeps its part of the least
+    interval between requests. A service that asks for a pause gets it from the task that it asked, and from all tasks if there is a `pause`.
     """
 
     call: Callable[[str], Response]
@@ -156,41 +193,72 @@ class Metered:
     retries: int = 3
     clock: Callable[[], float] = time.monotonic
     sleep: Callable[[float], None] = time.sleep
+    pause: SharedPause | None = None
+    attempts: int = 1
 
     def __post_init__(self) -> None:
-        self._task, self._guard, self._next = None, None, 0.0
+        self._shares, self._next, self._attempt = {}, 0.0, None
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "_task": None, "_guard": None, "_next": 0.0}
+        return {**self.__dict__, "_shares": {}, "_next": 0.0, "_attempt": None}
+
+    def for_pass(self, partitions: int, ledger: Ledger | None = None) -> Metered:
+        """The model with what is left for a pass of so many shares."""
+        return replace(self, partitions=partitions, budget=ledger.left() if ledger else self.budget, attempts=ledger.attempts if ledger else self.attempts)
 
     def _paced(self, prompt: str) -> Response:
-        wait = self._next - self.clock()
+        wait = max(self._next - self.clock(), self.pause.wait() if self.pause else 0.0)
         if wait > 0:
             self.sleep(wait)
         self._next = self.clock() + self.interval * self.partitions
-        return self.call(prompt)
+        r = self.call(prompt)
+        if self.pause and r.status in (408, 429) and r.wait:
+            self.pause.extend(r.wait)
+        return r
 
-    def __call__(self, title: str, abstract: str) -> str:
+    def answer(self, title: str, abstract: str, share: int = 0) -> tuple[str, int, float, float]:
+        """The response, and the requests, reported and unreported cost that it took."""
         context = TaskContext.get()
-        task = (context.taskAttemptId(), context.partitionId() % self.partitions) if context else (None, 0)
-        if self._guard is None or self._task != task:
-            self._task, self._guard = task, guarded(self._paced, self.budget.share(self.partitions, task[1]), self.retries, sleep=self.sleep)
-        return self._guard(self.prompt(title, abstract))
+        if self._attempt != (attempt := context.taskAttemptId() if context else None):
+            self._attempt, self._shares = attempt, {}
+        if share not in self._shares:
+            own = self.budget.share(self.partitions, share, self.attempts)
+            self._shares[share] = own, guarded(self._paced, own, self.retries, sleep=self.sleep)
+        own, ask_ = self._shares[share]
+        before = own.requests, own.reported, own.unreported
+        try:
+            raw = ask_(self.prompt(title, abstract))
+        except BudgetExhausted:
+            raw = ""
+        return raw, own.requests - before[0], own.reported - before[1], own.unreported - before[2]
+
+    def __call__(self, title: str, abstract: str) -> str:
+        return self.answer(title, abstract)[0]
 
 
-def classify(papers: DataFrame, featured: Column, model: Model, recall_model: Model, keep: Callable[[DataFrame], DataFrame], partitions: int = 4, repair_partitions: int = 2, threshold: int = 50, least_score: float = 0.05) -> DataFrame:
+def classify(papers: DataFrame, featured: Column, model: Model, recall_model: Model, keep: Callable[[DataFrame], DataFrame], partitions: int = 4, repair_partitions: int = 2, threshold: int = 50, least_score: float = 0.05, ledger: Ledger | None = None) -> DataFrame:
     """Adds category (featured, regular or null), reason, and the audit of each pass. Papers have local_score.
 
-    `keep` writes a frame down and reads it again; it is called once per pass.
+    `keep` writes a frame down and reads it again; it is called once per pass. Metered models spend from one ledger, the given one or else one over the
+    first model's budget, so that all passes together stay within it.
     """
+    if ledger is None and (own := next((m.budget for m in (model, recall_model) if isinstance(m, Metered)), None)):
+        ledger = Ledger(papers.sparkSession, own)
+
+    def asked(name: str, rows: DataFrame, by: Model, parts: int, prefix: str, alias: str) -> DataFrame:
+        found = keep(ask(rows, by, parts, ledger).select("seq", parse_response(F.col("raw"), prefix, threshold).alias(alias), "requests", "reported", "unreported"))
+        if ledger and isinstance(by, Metered):
+            ledger.record(name, found)
+        return found.select("seq", alias)
+
     routed = papers.withColumn("_featured", featured)
     open_ = routed.where("NOT _featured")
-    first = keep(ask(open_, model, partitions).select("seq", parse_response(F.col("raw"), "AI", threshold).alias("initial")))
+    first = asked("first", open_, model, partitions, "AI", "initial")
     again = open_.join(first.where(is_unfinished(F.col("initial.reason"))).select("seq"), "seq", "left_semi")
-    second = keep(ask(again, model, repair_partitions).select("seq", parse_response(F.col("raw"), "AI", threshold).alias("repaired")))
+    second = asked("repair", again, model, repair_partitions, "AI", "repaired")
     settled = first.join(second, "seq", "left").select("seq", F.coalesce("repaired", "initial").alias("initial"))
     doubted = open_.join(settled.where(is_rejected(F.col("initial.reason"))).select("seq"), "seq", "left_semi")
-    recall = keep(ask(doubted, recall_model, repair_partitions).select("seq", parse_response(F.col("raw"), "AI Recall", threshold).alias("recall")))
+    recall = asked("recall", doubted, recall_model, repair_partitions, "AI Recall", "recall")
     out = routed.join(settled, "seq", "left").join(recall, "seq", "left")
     supported = recall_supported(F.col("source"), F.col("title"), F.col("abstract"), F.col("local_score"), least_score)
     gated = F.when(F.col("recall.approved") & ~supported, "AI Recall Rejected by Learning Gate").otherwise(F.col("recall.reason"))
@@ -203,12 +271,17 @@ def classify(papers: DataFrame, featured: Column, model: Model, recall_model: Mo
     return out.drop("_featured", "initial", "recall")
 
 
-def health(results: DataFrame) -> DataFrame:
-    """One row: attempts (a recall is a second one), failures and the failures allowed."""
+def health(results: DataFrame, ledger: Ledger | None = None) -> DataFrame:
+    """One row: attempts (a recall is a second one), failures and the failures allowed; with a ledger also the requests, the spend that the service reported
+    and the spend that was reserved and never reported."""
     from .quality import allowed_failures
 
     asked = F.col("category").isNull() | (F.col("category") != "featured")
     recalled = F.col("recall_classifier_score").isNotNull()
     failed = asked & F.col("reason").rlike("Unavailable|Ambiguous|Processing error")
     counts = results.agg((F.sum(asked.cast("int")) + F.sum((asked & recalled).cast("int"))).cast("long").alias("attempts"), F.sum(failed.cast("int")).cast("long").alias("failures"))
-    return counts.withColumn("allowed", allowed_failures(F.col("attempts")))
+    counts = counts.withColumn("allowed", allowed_failures(F.col("attempts")))
+    if not ledger:
+        return counts
+    left = ledger.left()
+    return counts.withColumns({"requests": F.lit(left.requests).cast("long"), "reported": F.lit(float(left.reported)), "unreported": F.lit(float(left.unreported))})

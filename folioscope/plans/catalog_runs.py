@@ -361,7 +361,32 @@ def summaries(spark, d):
     def model(title, abstract):
         return "The abstract has more than six words in it." if title == "src1" else "Cut off"
 
-    return policy.summarize(papers(spark, d).withColumn("title", F.col("source")), model, 8)
+    return policy.summarize(papers(spark, d).withColumn("title", F.col("source")), model, 8).select("seq", "summary", "fell_back")
+
+
+@_query("""WITH q AS (SELECT doc_id, source, CASE source WHEN 'src1' THEN 'unsure' WHEN 'src2' THEN 'FALSE' ELSE 'TRUE' END AS answer, 1e-6 * (1.5 * octet_length(encode(source)) + 7.5 * 2) AS usd FROM documents WHERE source <> 'src7'),
+e AS (SELECT 'first' AS pass, count(*) AS requests, sum(usd) AS reported FROM q UNION ALL SELECT 'repair', count(*), sum(usd) FROM q WHERE answer = 'unsure' UNION ALL SELECT 'recall', count(*), sum(usd) FROM q WHERE answer = 'FALSE')
+SELECT 'ample' AS run, pass, requests, round(coalesce(reported, 0), 9) AS reported, 0.0 AS unreported FROM e
+UNION ALL SELECT 'tight', 'first', count(*) // 10, round(avg(1e-6 * (1.5 * 4 + 15)) * (count(*) // 10), 9), 0.0 FROM documents
+UNION ALL SELECT 'tight', p, 0, 0.0, 0.0 FROM (VALUES ('repair'), ('recall')) v(p)""")
+def spend_ledger(spark, d):
+    """What each pass of a classification asked and spent, with a ceiling that never binds and with one that the first pass uses up."""
+    from ..operators.budget import Budget, Ledger
+
+    rows = papers(spark, d).select("seq", "source", F.lit("").alias("abstract"), F.lit(0.0).alias("local_score"))
+
+    def answer(prompt):
+        word = {"src1": "unsure", "src2": "FALSE"}.get(prompt, "TRUE")
+        return policy.Response(200, word, usage=(len(prompt.encode()), 2, 0))
+
+    n = read(spark, d, "documents").count()
+    found = []
+    for run, title, ceiling in (("ample", F.col("source"), 1 << 40), ("tight", F.lit("same"), n // 10)):
+        ledger = Ledger(spark, Budget(1e9, ceiling))
+        model = policy.Metered(answer, lambda title, abstract: title, ledger.budget, 4)
+        policy.classify(rows.withColumn("title", title), F.lit(False) if run == "tight" else F.col("source") == "src7", model, model, settle, 4, 3, ledger=ledger)
+        found.append(ledger.spent().select(F.lit(run).alias("run"), "pass", "requests", F.round("reported", 9).alias("reported"), "unreported"))
+    return found[0].unionByName(found[1])
 
 
 @_query("SELECT doc_id AS seq, CASE source WHEN 'src1' THEN '' WHEN 'src2' THEN '' WHEN 'src4' THEN '' ELSE 'yes: ' || source END AS raw FROM documents")
@@ -380,7 +405,7 @@ def metered_model(spark, d):
         return policy.Response(200, f"yes: {prompt} ", "MAX_TOKENS" if prompt == "src2" else "STOP", (10, 5, 1))
 
     model = policy.Metered(call, lambda title, abstract: title, policy.Budget(1e9, 1 << 60), 8, retries=2, sleep=lambda s: None)
-    return policy.ask(papers(spark, d).withColumn("title", F.col("source")), model, 8)
+    return policy.ask(papers(spark, d).withColumn("title", F.col("source")), model, 8).select("seq", "raw")
 
 
 # --- streams -----------------------------------------------------------------------------------------------------------------------------

@@ -46,20 +46,28 @@ def score(papers: DataFrame, training: DataFrame, votes: DataFrame) -> DataFrame
     return dedup.latest_by(scored.join(keyed, "doc_id"), "key", "doc_id", "score")
 
 
-def curate(candidates: DataFrame, scores: DataFrame, featured: Column, edition_date: Column, model: policy.Model, recall_model: policy.Model, keep: Callable[[DataFrame], DataFrame], settings: Settings | None = None, summary_model: policy.Model | None = None) -> tuple[DataFrame, DataFrame]:
-    """The edition's items in order, and the decision on every candidate. Raises where a gate doesn't hold."""
+def curate(candidates: DataFrame, scores: DataFrame, featured: Column, edition_date: Column, model: policy.Model, recall_model: policy.Model, keep: Callable[[DataFrame], DataFrame], settings: Settings | None = None, summary_model: policy.Model | None = None, ledger: policy.Ledger | None = None) -> tuple[DataFrame, DataFrame]:
+    """The edition's items in order, and the decision on every candidate. Raises where a gate doesn't hold.
+
+    Metered models, the summarizer too, spend from one ledger; without one it is made over the first model's budget.
+    """
     s = settings or Settings()
+    if ledger is None and (own := next((m.budget for m in (model, recall_model, summary_model) if isinstance(m, policy.Metered)), None)):
+        ledger = policy.Ledger(candidates.sparkSession, own)
     kept, _ = quality.sanitize(candidates, edition_date, s.min_abstract_chars)
     kept = keep(joins.with_score(kept, scores, keys.paper_key(F.col("title"), F.col("link"), F.col("doi"))))
     n = kept.count()
     if n < s.min_edition_papers:
         raise quality.EditionRejected(f"{n} valid candidates; minimum is {s.min_edition_papers}")
-    results = keep(policy.classify(kept, featured, model, recall_model, keep, s.classifier_partitions, s.repair_partitions, s.classifier_score_threshold, s.recall_min_local_score))
+    results = keep(policy.classify(kept, featured, model, recall_model, keep, s.classifier_partitions, s.repair_partitions, s.classifier_score_threshold, s.recall_min_local_score, ledger))
     state = policy.health(results).first()
     if state["failures"] > state["allowed"]:
         raise quality.EditionRejected(f"{state['failures']} of {state['attempts']} classifications failed; {state['allowed']} may")
     if summary_model:
-        told = keep(policy.summarize(results.where("category IS NOT NULL"), summary_model, s.classifier_partitions)).drop("fell_back")
+        told = keep(policy.summarize(results.where("category IS NOT NULL"), summary_model, s.classifier_partitions, ledger))
+        if ledger and isinstance(summary_model, policy.Metered):
+            ledger.record("summary", told)
+        told = told.select("seq", "summary")
         results = results.join(told, "seq", "left").withColumn("summary", F.coalesce("summary", F.lit("")))
     else:
         results = results.withColumn("summary", F.when(F.col("category").isNotNull(), text.extractive_summary(F.col("abstract"))).otherwise(F.lit("")))

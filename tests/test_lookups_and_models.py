@@ -3,6 +3,7 @@ from datetime import date
 
 import pytest
 from folioscope.operators import budget, policy
+from folioscope.sinks.shared import settle
 from folioscope.sources import lookups, records, web
 from pyspark.sql import functions as F
 
@@ -76,6 +77,64 @@ def test_metered_model_keeps_to_its_budget_over_tasks(spark):
     assert [paced("a", ""), paced("b", ""), paced("c", "")] == ["y"] * 3 and waits == [3.0, 3.0]
 
 
+def _papers(spark, n, **columns):
+    rows = spark.range(n).select(F.col("id").alias("seq"), F.concat(F.lit("t"), "id").alias("title"), F.lit("").alias("abstract"), F.lit("s").alias("source"), F.lit(0.0).alias("local_score"))
+    return rows.withColumns(columns) if columns else rows
+
+
+def test_passes_together_keep_to_one_ceiling(spark):
+    """Whatever partitions a pass uses: 40 calls, where each pass for itself would have had 40."""
+    made = policy.Metered(lambda p: policy.Response(200, "unsure", usage=(10, 1, 0)), lambda t, a: t, budget.Budget(max_requests=40), 4)
+    for parts, repair in ((4, 2), (16, 9), (1, 1), (3, 50)):
+        ledger = budget.Ledger(spark, made.budget)
+        out = policy.classify(_papers(spark, 200), F.lit(False), made, made, settle, parts, repair, ledger=ledger)
+        assert ledger.left().requests == 40 and out.count() == 200
+        assert [r.requests for r in ledger.spent().where("pass = 'first'").collect()] == [40]
+    # without a ledger of its own a classification makes one over the model's budget
+    policy.classify(_papers(spark, 60), F.lit(False), made, made, settle, 2, 2)
+    half = policy.Metered(lambda p: policy.Response(200, "unsure", usage=(10, 1, 0)), lambda t, a: t, budget.Budget(max_requests=60), 4)
+    ledger = budget.Ledger(spark, half.budget)
+    policy.classify(_papers(spark, 40), F.lit(False), half, half, settle, 4, 3, ledger=ledger)
+    assert {r["pass"]: r.requests for r in ledger.spent().collect()} == {"first": 40, "repair": 20, "recall": 0}
+
+
+def test_a_ledger_goes_on_where_a_run_ended(spark, tmp_path):
+    b = budget.Budget(max_usd=1.0, max_requests=100)
+    first = budget.Ledger(spark, b, f"{tmp_path}/ledger")
+    assert first.left() == b and first.spent().count() == 0
+    made = policy.Metered(lambda p: policy.Response(200, "x", usage=(1000, 100, 10)) if p != "t3" else policy.Response(503), lambda t, a: t, b, 4, retries=1)
+    rows = settle(policy.ask(_papers(spark, 10), made, 4, first))
+    first.record("first", rows)
+    left = budget.Ledger(spark, b, f"{tmp_path}/ledger").left()
+    assert left.requests == 10 and left.reported == pytest.approx(9 * budget.usage_cost(1000, 100, 10)) and left.unreported == pytest.approx(b.estimate("t3"))
+    assert policy.Ledger(spark, b, f"{tmp_path}/ledger").left().share(4, 0).max_usd == pytest.approx((1.0 - left.exposure) / 4)
+    state = policy.health(spark.createDataFrame([("regular", "AI Approved", 1)], "category string, reason string, recall_classifier_score int"), first).first()
+    assert (state.attempts, state.failures, state.requests) == (2, 0, 10) and state.unreported == pytest.approx(left.unreported)
+
+
+def test_dollars_hold_over_passes_and_attempts(spark):
+    b = budget.Budget(max_usd=0.2)
+    made = policy.Metered(lambda p: policy.Response(200, "unsure", usage=(len(p), 900, 0)), lambda t, a: t, b, 4)
+    ledger = budget.Ledger(spark, b)
+    policy.classify(_papers(spark, 300), F.lit(False), made, made, settle, 5, 2, ledger=ledger)
+    assert 0.1 < ledger.left().exposure <= 0.2
+    assert sum(b.share(3, i, 2).max_usd for i in range(3)) == pytest.approx(0.1) and sum(budget.Budget(max_requests=20).share(3, i, 2).max_requests for i in range(3)) <= 10
+
+
+def test_a_pause_is_shared(tmp_path):
+    now, waits = [100.0], []
+    pauses = [policy.SharedPause(f"{tmp_path}/pause", 0.0, lambda: now[0]) for _ in range(2)]
+    replies = [policy.Response(429, wait=7.0), policy.Response(200, "a")]
+    sleep = lambda s: (waits.append(s), now.__setitem__(0, now[0] + s))
+    one = policy.Metered(lambda p: replies.pop(0), lambda t, a: t, budget.Budget(), 1, clock=lambda: now[0], sleep=sleep, pause=pauses[0])
+    two = policy.Metered(lambda p: policy.Response(200, "b"), lambda t, a: t, budget.Budget(), 1, clock=lambda: now[0], sleep=sleep, pause=pauses[1])
+    assert pauses[1].wait() == 0.0
+    pauses[0].extend(7.0)
+    assert two("x", "") == "b" and waits == [pytest.approx(7.0)]
+    assert one("x", "") == "a" and waits[1:] == [7.0]  # the service's own pause, which has passed when the other looks
+    assert two("x", "") == "b" and len(waits) == 2
+
+
 def test_repeated_training_documents_count(spark):
     from folioscope.plans import pipeline
 
