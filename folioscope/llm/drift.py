@@ -239,7 +239,7 @@ def rewrite(started: DataFrame, evolved: pa.Schema, folder: str, drift: Drift |
 
     # a row a file: so few bytes that they would be put into one task if the number of tasks were left open
     dealt = started.repartition(_tasks(spark, files), "file_no")
-    done = settle(dealt.groupBy("file_no").applyInArrow(run, f"{FILES}, rewritten boolean"), within=1 << 20)
+    done = settle(dealt.groupBy("file_no").applyInArrow(run, f"{FILES}, rewritten boolean"))
     _delete(spark, f"{folder}/start-*.parquet")
     return done
 
@@ -322,5 +322,6 @@ def new_folder(spark: SparkSession) -> str:
 def rewritten(df: DataFrame, key: str, folder: str | None = None, drift: Drift | None = None, files: int = 500) -> DataFrame:
     """Ranks, writes and rewrites a frame's rows; the digests of the final files."""
     folder = folder or new_folder(df.sparkSession)
-    started = settle(write_drifted(exact_ranks(df, key), folder, drift, files), within=1 << 20)
-    return settle(read_back(rewrite(started, evolved_schema(df), folder, drift, files), files), within=1 << 20)
+    # not put together into fewer tasks: the files are written and read by the tasks that return their rows
+    started = settle(write_drifted(exact_ranks(df, key), folder, drift, files))
+    return settle(read_back(rewrite(started, evolved_schema(df), folder, drift, files), files))
