@@ -1,12 +1,13 @@
-"""Archive editions: markdown lines to entries by gaps and islands, and back. Lines are rows (file, pos, line); a file is an edition, so a
-window over it holds a few thousand rows at most, and files are spread over tasks."""
+"""Archive editions: markdown lines to entries by gaps and islands, and back. Lines are rows (file, pos, line). What a line takes over from lines before or
+behind it is found by scans in two levels, so one file may hold all lines."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_url, section_of_heading, section_weight, strip_markdown, strip_markup, stripped
+from .scan import SIZE, Ahead, scan
 
 _LINKED, _SPLIT, _OPEN, _NEXT = r"^####\s+\[(.*)\]\((.*)\)\s*$", r"^####\s+\[(.*)\]\s*$", r"^####\s+\[(.*)\s*$", r"^\]?\((.*)\)\s*$"
 
@@ -16,37 +17,34 @@ def lines_of(files: DataFrame) -> DataFrame:
     return files.select("file", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
 
 
-def carry_forward(rows: DataFrame, value: Column, by: str, order: str, name: str) -> DataFrame:
+def carry_forward(rows: DataFrame, value: Column, by: str, order: str, name: str, size: int = SIZE) -> DataFrame:
     """Adds the last value that isn't null, from this row or one before."""
-    return rows.withColumn(name, F.last(value, True).over(Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    return scan(rows, by, order, last={name: value}, size=size)
 
 
-def look_ahead(rows: DataFrame, value: Column, by: str, order: str, name: str, reach: int = 20, last: bool = True) -> DataFrame:
+def look_ahead(rows: DataFrame, value: Column, by: str, order: str, name: str, reach: int = 20, last: bool = True, size: int = SIZE) -> DataFrame:
     """Adds the last (or first) value that isn't null, from this row to `reach` rows on."""
-    pick = F.last if last else F.first
-    return rows.withColumn(name, pick(value, True).over(Window.partitionBy(by).orderBy(order).rowsBetween(0, reach)))
+    return scan(rows, by, order, ahead={name: Ahead(value, reach, last)}, size=size)
 
 
-def _headings(lines: DataFrame) -> DataFrame:
-    bare = stripped(F.col("line"))
-    w = Window.partitionBy("file").orderBy("pos")
-    follow = F.lead(bare).over(w)
-    before = F.lag(bare).over(w)
-    linked = bare.rlike(_LINKED)
-    loose = ~linked & bare.rlike(_OPEN)
-    goes_on = loose & F.coalesce(follow.rlike(_NEXT), F.lit(False))
-    continues = F.coalesce(~before.rlike(_LINKED) & before.rlike(_OPEN), F.lit(False)) & bare.rlike(_NEXT)
-    title = F.when(linked, F.regexp_extract(bare, _LINKED, 1)).when(bare.rlike(_SPLIT), F.regexp_extract(bare, _SPLIT, 1)).when(loose, F.regexp_extract(bare, _OPEN, 1))
-    url = F.when(linked, F.regexp_extract(bare, _LINKED, 2)).when(goes_on, F.regexp_extract(follow, _NEXT, 1)).when(loose, F.lit(""))
-    return lines.select("file", "pos", bare.alias("line"), section_of_heading(bare).alias("heading"), stripped(title).alias("title"), clean_url(url).alias("url"), continues.alias("continues"))
+def _headings(lines: DataFrame, size: int, **more: dict[str, Column]) -> DataFrame:
+    bare = lines.select("file", "pos", stripped(F.col("line")).alias("line"))
+    line = F.col("line")
+    linked = line.rlike(_LINKED)
+    loose = ~linked & line.rlike(_OPEN)
+    title = F.when(linked, F.regexp_extract(line, _LINKED, 1)).when(line.rlike(_SPLIT), F.regexp_extract(line, _SPLIT, 1)).when(loose, F.regexp_extract(line, _OPEN, 1))
+    marked = bare.withColumns({"heading": section_of_heading(line), "title": stripped(title)})
+    # of the lines beside it a heading only needs to know whether one goes on and the other opens
+    seen = scan(marked, "file", "pos", before={"opened": ~line.rlike(_LINKED) & line.rlike(_OPEN)}, after={"next": F.regexp_extract(line, _NEXT, 1), "goes_on": line.rlike(_NEXT)}, size=size, **more)
+    url = F.when(linked, F.regexp_extract(line, _LINKED, 2)).when(loose & F.coalesce("goes_on", F.lit(False)), F.col("next")).when(loose, F.lit(""))
+    continues = F.coalesce("opened", F.lit(False)) & line.rlike(_NEXT)
+    return seen.withColumns({"url": clean_url(url), "continues": continues}).drop("opened", "next", "goes_on")
 
 
-def entries(lines: DataFrame) -> DataFrame:
+def entries(lines: DataFrame, size: int = SIZE) -> DataFrame:
     """(file, pos, title, url, section, text, weight) of every entry. A section heading ends an entry; an entry before any is in `more`."""
-    w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    marked = _headings(lines).withColumn("section", F.last("heading", True).over(w))
     starts = F.col("heading").isNotNull() | F.col("title").isNotNull()
-    marked = marked.withColumn("island", F.sum(starts.cast("int")).over(w))
+    marked = _headings(lines, size, last={"section": F.col("heading")}, total={"island": starts.cast("int")})
     after_break = F.when(F.col("line").rlike(r"(?i)<br\s*/?>"), F.get(F.split("line", r"(?i)<br\s*/?>", 2), F.lit(1))).otherwise(F.col("line"))
     body = F.when(F.col("title").isNull() & ~F.col("continues") & ~F.startswith(F.col("line"), F.lit(":::")), F.nullif(strip_markdown(after_break), F.lit("")))
     parts = F.array_sort(F.collect_list(F.when(body.isNotNull(), F.struct("pos", body.alias("text")))))
@@ -57,9 +55,9 @@ def entries(lines: DataFrame) -> DataFrame:
     return found.where("text <> ''")
 
 
-def titles_and_links(lines: DataFrame) -> DataFrame:
+def titles_and_links(lines: DataFrame, size: int = SIZE) -> DataFrame:
     """(file, pos, title, link) of headings that have a link on their line or the next."""
-    return _headings(lines).where("title IS NOT NULL AND url <> ''").select("file", "pos", strip_markup(F.col("title")).alias("title"), F.col("url").alias("link"))
+    return _headings(lines, size).where("title IS NOT NULL AND url <> ''").select("file", "pos", strip_markup(F.col("title")).alias("title"), F.col("url").alias("link"))
 
 
 def normalized_front_matter(text: Column, start: Column, end: Column) -> Column:

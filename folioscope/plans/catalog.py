@@ -19,6 +19,8 @@ SQL: dict[str, str] = {}
 # Words that occur in the driver's texts stand in for the lists of the curated domain, which would hit nothing there.
 TERMS, KEYWORDS, NAMES = ("lly", "tion th"), ("anonthe", "heed", "ungß"), ("Bö3 Jones-Müller", "A6. smith")
 PREPRINTS = ("src0", "src1", "src2")
+#: Lines of a file that a task scans, so small that the driver's tables take many.
+SCAN = 500
 _P = "WITH " + PAPERS_SQL
 
 
@@ -529,6 +531,21 @@ def archive_entries(spark, d):
     return found.select(F.col("file").alias("conv_id"), F.col("pos").alias("turn"), "url", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
+@_query(f"""{_P}, l AS (SELECT seq, source, lang, md5(text) AS m, coalesce(lag(source) OVER (ORDER BY seq) <> source, true) AS turn FROM papers JOIN documents ON seq = doc_id AND link IS NOT NULL),
+s AS (SELECT *, last_value(CASE WHEN turn THEN CASE WHEN source < 'src2' THEN 'featured' WHEN source < 'src5' THEN 'some' ELSE 'more' END END IGNORE NULLS) OVER (ORDER BY seq) AS section FROM l)
+SELECT DISTINCT seq, section, 'https://example.org/doc/' || seq AS url, 'Paper ' || seq || ' in ' || lang || ' ' || m AS text FROM s""".replace("papers JOIN documents ON seq = doc_id AND link IS NOT NULL", "(SELECT doc_id AS seq, source, lang, text FROM documents)"))
+def one_edition(spark, d):
+    """All documents as lines of one file: each heading has its link on the next line and its text behind that, and a section's heading stands where the source changes."""
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("seq"), "source", "lang", "text", F.lit("e").alias("file"))
+    docs = archive.scan(docs, "file", "seq", before={"above": F.col("source")}, size=SCAN)
+    section = F.when(F.col("source") < "src2", "# Featured Papers").when(F.col("source") < "src5", "## Some Papers").otherwise("## More Papers")
+    turn = F.coalesce(F.col("above") != F.col("source"), F.lit(True))
+    n = F.col("seq").cast("string")
+    own = F.array(F.when(turn, section), F.concat(F.lit("#### [Paper "), n), F.concat(F.lit("](https://example.org/doc/"), n, F.lit(")")), F.concat(F.lit("in "), "lang"), F.md5(F.col("text").cast("binary")))
+    lines = docs.select("file", "seq", F.posexplode(own).alias("k", "line")).where("line IS NOT NULL").select("file", (F.col("seq") * 5 + F.col("k")).alias("pos"), "line")
+    return archive.entries(lines, SCAN).select(F.floor(F.col("pos") / 5).cast("long").alias("seq"), "section", "url", "text")
+
+
 @_query("SELECT conv_id, CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) AS BIGINT) AS headings, count(*) AS n FROM conversations GROUP BY conv_id")
 def heading_count(spark, d):
     line = F.when(F.col("role") == "user", F.lit("  #### x")).otherwise(F.lit("y"))

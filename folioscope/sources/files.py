@@ -53,6 +53,16 @@ def archive_files(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(F.lower("file").rlike(r"\.(qmd|md)$"))
 
 
+def archive_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, pos, line) of editions of any length: a large file is read in parts, by as many tasks.
+
+    `pos` grows along a file. A part's lines are numbered from the byte it begins at; as each line takes a byte or more, no two parts overlap.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    rows = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), (F.col("_metadata.file_block_start") + row).alias("pos"), F.col("value").alias("line"))
+    return rows.where(F.lower("file").rlike(r"\.(qmd|md)$"))
+
+
 def sidecars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.SIDECAR).json(path, multiLine=True).withColumn("edition", F.regexp_replace(F.col("_metadata.file_name"), r"\.papers\.json$", ""))
 

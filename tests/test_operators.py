@@ -199,3 +199,66 @@ def test_ranking(spark):
     text = rank.edition_markdown(full, "2026-08-03", "2026-08-10").first().markdown
     parsed = archive.entries(archive.lines_of(spark.createDataFrame([("e.qmd", text)], "file string, text string")))
     assert [(r.title, r.section) for r in parsed.orderBy("pos").collect()] == [("B", "featured"), ("D", "featured"), ("a", "more"), ("C", "more")]
+
+
+def _plain_scan(rows, reach):
+    """file, pos, last, total, before, after, ahead, first ahead of rows (file, pos, v), over lists."""
+    out = {}
+    for f in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == f), key=lambda r: r[1])
+        last = total = None
+        for k, (_, pos, v) in enumerate(own):
+            last = v if v is not None else last
+            total = (total or 0) + v if v is not None else total
+            here = [x[2] for x in own[k : k + reach + 1] if x[2] is not None]
+            out[f, pos] = (last, total, own[k - 1][2] if k else None, own[k + 1][2] if k + 1 < len(own) else None, here[-1] if here else None, here[0] if here else None)
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_scan_in_ranges(spark, size):
+    import random
+
+    from folioscope.operators.scan import Ahead, scan
+
+    r = random.Random(size)
+    rows = [(f, pos, None if r.random() < 0.6 else r.randrange(9)) for f in ("a", "b", None) for pos in r.sample(range(-40, 400), 60 if f else 5)]
+    rows += [("c", k, None) for k in range(30)] + [("d", 5, 1)]
+    df = spark.createDataFrame(rows, "file string, pos long, v int").repartition(3)
+    v = F.col("v")
+    got = scan(df, "file", "pos", {"last": v}, {"total": v}, {"before": v}, {"after": v}, {"ahead": Ahead(v, 4), "soon": Ahead(v, 4, False)}, size)
+    assert {(x.file, x.pos): tuple(x)[3:] for x in got.collect()} == _plain_scan(rows, 4)
+
+
+def test_one_file_with_all_lines_is_scanned_by_many_tasks(spark):
+    from folioscope.operators.scan import scan
+
+    df = spark.range(20_000).select(F.lit("e").alias("file"), F.col("id").alias("pos"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        got = scan(df, "file", "pos", {"mark": F.when(F.col("pos") % 3_000 == 0, F.col("pos"))}, {"n": F.lit(1)}, size=250)
+        sizes = got.select("mark", "n").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert sum(sizes) == 20_000 and max(sizes) < 3_000
+        assert got.where("mark <> pos - pos % 3000 OR n <> pos + 1").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_lines_of_a_file_read_in_parts(spark, tmp_path):
+    from folioscope.sources import files
+
+    lines = [f"line {k} " + "x" * (k % 50) for k in range(3000)]
+    (tmp_path / "Aug10_2026.qmd").write_text("\n".join(lines))
+    (tmp_path / "b.md").write_text("one\n\nthree\n")
+    (tmp_path / "c.txt").write_text("no")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = files.archive_lines(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 10
+        got = df.orderBy("file", "pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.line for r in got if r.file.startswith("Aug")] == lines and [r.line for r in got if r.file == "b.md"] == ["one", "", "three"]
+    assert len({(r.file, r.pos) for r in got}) == len(got)
