@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import candidate_keys, identity_key_parts, identity_keys
 from ..functions.text import field, normal_name, split_authors
+from .containment import containing
 from .filters import any_contains
 
 
@@ -77,25 +78,29 @@ def selected_section(papers: DataFrame, edition: DataFrame) -> DataFrame:
     return papers.join(best, "seq", "left")
 
 
-#: Keywords that are looked for in the row's own expression, at most; beyond, a join compares rows with keywords.
+#: Keywords that are looked for in the row's own expression, at most; beyond, an index of the keywords decides which rows to look at.
 FEW_KEYWORDS = 1_000
 
 
 def contains_any(papers: DataFrame, keywords: DataFrame, few: int = FEW_KEYWORDS) -> DataFrame:
-    """Rows whose title or abstract contains a keyword of a table (`keyword`). Containment has no key to join by, so each row is compared with each
-    keyword until one is found, which suits lists of a size that people keep."""
+    """Rows whose title or abstract contains a keyword of a table (`keyword`). A keyword may be of any length; an empty one is in every text."""
     text = F.lower(F.concat_ws(" ", "title", "abstract"))
-    words = keywords.where("keyword IS NOT NULL").select(F.lower("keyword").alias("keyword")).distinct()
-    some = [r["keyword"] for r in words.limit(few + 1).collect()]
+    words = keywords.where("keyword IS NOT NULL").select(F.lower("keyword").alias("word")).distinct()
+    some = [r["word"] for r in words.limit(few + 1).collect()]
     if len(some) <= few:
         return papers.withColumn("_text", text).where(any_contains(F.col("_text"), some)).drop("_text")
-    return papers.join(words, F.contains(text, F.col("keyword")), "left_semi")
+    if not words.where("word = ''").isEmpty():
+        return papers
+    # texts that are alike are looked at once, and rows need no identity of their own
+    told = papers.withColumns({"_text": text}).withColumn("_key", F.sha2("_text", 256))
+    hit = containing(told.groupBy("_key").agg(F.min("_text").alias("_text")), words, "_key", "_text").select("_key").distinct()
+    return told.join(hit, "_key", "left_semi").drop("_text", "_key")
 
 
 def author_matches(papers: DataFrame, names: DataFrame, keep_commas: bool = True) -> DataFrame:
     """(seq, name) for each author of a paper who may be a person of a list: same first and last name, swapped, or an initial for the first.
 
-    Equal last names, or swapped first and last ones, are joined by equality; only names of one word are searched for as such.
+    Equal last names, or swapped first and last ones, are joined by equality; names of one word are looked up by their rarest part.
     """
     authors = papers.select("seq", F.explode(split_authors(F.col("authors"))).alias("author")).select("seq", normal_name(F.col("author"), keep_commas).alias("author"))
     authors = authors.withColumn("parts", F.split("author", " ")).withColumns({"first": F.get("parts", F.lit(0)), "last": F.element_at("parts", -1), "n": F.size("parts")})
@@ -106,7 +111,9 @@ def author_matches(papers: DataFrame, names: DataFrame, keep_commas: bool = True
     several = authors.where("n >= 2")
     by_last = several.join(full, several["last"] == full["g_last"]).where((F.col("first") == F.col("g_first")) | initial)
     swapped = several.join(full, (several["last"] == full["g_first"]) & (several["first"] == full["g_last"]))
-    single = authors.join(one, F.contains(authors["author"], one["g"]))
+    # a name of one word may be any part of an author's name
+    found = containing(authors.select("author").distinct().withColumn("whole", F.col("author")), one.select(F.col("g").alias("word")), "whole", "author")
+    single = authors.join(found, authors["author"] == found["whole"]).join(one, F.col("word") == one["g"])
     return by_last.select("seq", "name").unionByName(swapped.select("seq", "name")).unionByName(single.select("seq", "name")).distinct()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, html, keys, text
-from ..operators import archive, budget, dedup, feedback, filters, joins, policy, quality, rank, tfidf
+from ..operators import archive, budget, containment, dedup, feedback, filters, joins, policy, quality, rank, tfidf
 from ..sinks.shared import settle
 from . import pipeline
 from .driver_tables import DECISIONS_SQL, EDITION, PAPERS_SQL, SENT_SQL, VOTES_SQL, decisions, papers, read, sent, spread, votes
@@ -299,6 +299,23 @@ def keyword_semi_join(spark, d):
     return joins.contains_any(papers(spark, d), words).select("seq")
 
 
+@_query(f"""{_P}, w AS (SELECT DISTINCT lower(substr(split_part(text, ' ', 2), 1, 1 + doc_id % 9)) AS word FROM documents WHERE text IS NOT NULL), k AS (SELECT word FROM w WHERE word <> '')
+SELECT DISTINCT seq, word FROM papers JOIN k ON contains(lower(title), word)""")
+def containment_index(spark, d):
+    """Every title with every word of a large list that is part of it; the list grows with the documents."""
+    docs = read(spark, d, "documents").where("text IS NOT NULL")
+    words = docs.select(F.lower(F.substring(F.get(F.split("text", " "), F.lit(1)), F.lit(1), (1 + F.col("doc_id") % 9).cast("int"))).alias("word"))
+    return containment.containing(papers(spark, d).select("seq", F.lower("title").alias("title")), words, "seq", "title")
+
+
+@_query(f"""{_P}, k AS (SELECT DISTINCT lower(split_part(text, ' ', 3)) AS word FROM documents WHERE split_part(text, ' ', 3) <> '')
+SELECT seq FROM papers WHERE EXISTS (SELECT 1 FROM k WHERE contains(lower(concat_ws(' ', title, '')), word))""")
+def keyword_index(spark, d):
+    """Titles that contain a keyword of a list that grows with the documents, by the index of keywords whatever their number."""
+    words = read(spark, d, "documents").where("text IS NOT NULL").select(F.coalesce(F.get(F.split("text", " "), F.lit(2)), F.lit("")).alias("keyword"))
+    return joins.contains_any(papers(spark, d).withColumn("abstract", F.lit("")), words.where("keyword <> ''"), few=0).select("seq")
+
+
 _FOLD = "trim(regexp_replace(regexp_replace(translate(lower({0}), 'áàâäãéèêëíìîïóòôöõúùûüñç', 'aaaaaeeeeiiiiooooouuuunc'), '[.''-]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 

@@ -262,3 +262,52 @@ def test_lines_of_a_file_read_in_parts(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [r.line for r in got if r.file.startswith("Aug")] == lines and [r.line for r in got if r.file == "b.md"] == ["one", "", "three"]
     assert len({(r.file, r.pos) for r in got}) == len(got)
+
+
+def _nested_loops(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "NestedLoop" in plan or "Cartesian" in plan
+
+
+def test_containment_by_index(spark):
+    import random
+
+    from folioscope.operators.containment import containing
+
+    r = random.Random(2)
+    letters = "abcé日𝄞 .*"
+    texts = [(k, "".join(r.choice(letters) for _ in range(r.randrange(60)))) for k in range(150)] + [(900, None), (None, "abc"), (901, "")]
+    words = ["".join(r.choice(letters) for _ in range(r.randrange(1, 7))) for _ in range(400)] + ["", None, "a", "ab", "𝄞", "𝄞a", "zzz", "abz"]
+    df = spark.createDataFrame(texts, "id long, text string").repartition(3)
+    got = containing(df, spark.createDataFrame([(w,) for w in words], "word string"), "id", "text")
+    assert not _nested_loops(got)
+    assert sorted(map(tuple, got.collect())) == sorted({(k, w) for k, t in texts if k is not None and t for w in words if w and w in t})
+    assert containing(df, spark.createDataFrame([], "word string"), "id", "text").count() == 0
+    assert containing(df.limit(0), spark.createDataFrame([("a",)], "word string"), "id", "text").count() == 0
+
+
+def test_many_keywords_without_nested_loops(spark):
+    import random
+
+    r = random.Random(3)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randrange(6, 10))) for _ in range(20_000)]
+    rows = [(k, "", "S", "x" + "".join(r.choice("abcdefgh") for _ in range(40)), "", None, "", "") for k in range(200)]
+    rows += [(k, "", "S", "qq", "", "QQQ", "", "") for k in (300, 301)]
+    df = spark.createDataFrame([(a, b, c, t, e, ab, g, h) for a, b, c, t, e, ab, g, h in rows], "seq long, x string, source string, title string, authors string, abstract string, date string, doi string")
+    keys = spark.createDataFrame([(w,) for w in [*words, "Qq Q", None]], "keyword string")
+    got = joins.contains_any(df, keys)
+    assert not _nested_loops(got) and got.columns == df.columns
+    want = {k for k, _, _, t, _, ab, _, _ in rows if any(w in f"{t} {ab or ''}" for w in words) or "qq q" in f"{t} {ab or ''}".lower()}
+    assert {x.seq for x in got.collect()} == want >= {300, 301} and len(want) < 202
+    assert joins.contains_any(df, spark.createDataFrame([("",), ("zz",)], "keyword string"), few=0).count() == 202
+
+
+def test_one_word_names_by_their_parts(spark):
+    authors = "Ann Smithson, Bo, J. Doe"
+    df = items(spark, 3, _1=dict(authors=authors), _2=dict(authors="Al Bo"))
+    names = spark.createDataFrame([(n,) for n in ("Smith", "bo", "O", "Zed", "", "J. Doe", "mithso")], "name string")
+    got = joins.author_matches(df, names, keep_commas=False)
+    assert not _nested_loops(got)
+    parts = {1: ["ann smithson", "bo", "j doe"], 2: ["al bo"], 0: ["a author"]}
+    want = {(k, n) for k, own in parts.items() for n in ("Smith", "bo", "O", "Zed", "mithso") for a in own if n.lower() in a} | {(1, "J. Doe")}
+    assert {tuple(x) for x in got.collect()} == want
