@@ -1,9 +1,10 @@
 """PII by bootstrapped contextual extraction.
 
 Base patterns (mail addresses, IP addresses, card and phone numbers) give seed entities. What stands next to a seed is a candidate pattern:
-one or two words before it, or the word after it. Spark counts what each pattern introduces, entity or not, wherever it stands, and scores patterns and
-instances in turns: a pattern by the share of its occurrences that introduce something believed to be an entity (less for thin support), an instance by
-the best of its patterns. Words that stand beside anything, such as articles, so score next to nothing. Patterns above the threshold after the
+one or two words before it, or the word after it, whole and parted from it by white space. Spark counts how often the words of each pattern stand anywhere,
+and scores patterns and instances in turns: a pattern by the share of all its occurrences that stand beside something believed to be an entity (less for
+thin support; one that never stands as words scores nothing), an instance by the best of its patterns. What is glued to an identifier, such as a bracket or
+`mailto:`, and words of over 40 characters are no patterns: both counts are of the same occurrences. Words that stand beside anything, such as articles, so score next to nothing. Patterns above the threshold after the
 last turn find identifiers that no base pattern knows; these are added as spans of kind `context`, and base spans stay.
 
 Every pattern that stands beside `SUPPORT` seeds is a candidate, whatever the corpus holds. Tasks get them `GROUP` at a time; more of them mean more
@@ -45,9 +46,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 #: An identifier's shape: at least six characters, one of them a digit, a letter or digit at the end.
 _TOKEN = re.compile(r"[A-Za-z0-9_#@+./:-]{6,}")
-#: Words of a context count by the 40 characters next to the place.
-_BEFORE = re.compile(r"([^\s]{1,40})[ \t]{1,3}([^\s]{1,40})[ \t]{0,3}$|([^\s]{1,40})[ \t]{0,3}$")
-_AFTER = re.compile(r"[ \t]{0,3}([^\s]{1,40})")
+#: Words of a context are whole, of 40 characters at most, and stand on the place's line.
+_BEFORE = re.compile(r"(?:(?<!\S)(\S{1,40})[ \t]{1,3})?(?<!\S)(\S{1,40})[ \t]{1,3}$")
+_AFTER = re.compile(r"[ \t]{1,3}(\S{1,40})(?!\S)")
+#: More than a context can take, so that none begins where a look back was cut off.
 _LOOK_BACK = 90
 #: What a pattern that stands after its place begins with; no word before a place does, as it would hold white space.
 _BEHIND = "> "
@@ -95,14 +97,26 @@ def base(text: str) -> list[tuple[int, int, int]]:
 
 def contexts(text: str, start: int, end: int) -> list[str]:
     """Patterns beside a place, in lower case: the word before it, the two words before it, and the word after it."""
-    least = max(0, start - _LOOK_BACK)
-    m = _BEFORE.search(text[max(least, text.rfind("\n", least, start) + 1) : start])
-    found = [] if not m else [m[3].lower()] if m[3] is not None else [m[2].lower(), f"{m[1]} {m[2]}".lower()]
-    if m := _AFTER.match(text, end, end + _LOOK_BACK):
+    found = []
+    if start and text[start - 1] in " \t":
+        least = max(0, start - _LOOK_BACK)
+        if m := _BEFORE.search(text[max(least, text.rfind("\n", least, start) + 1) : start]):
+            found = [m[2].lower()] if m[1] is None else [m[2].lower(), f"{m[1]} {m[2]}".lower()]
+    if (m := _AFTER.match(text, end, end + _LOOK_BACK)) and text[end : m.start(1)].isspace():
         found.append(_BEHIND + m[1].lower())
     return found
 
 
+def apart(matches: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Places of sorted base matches, of those that overlap the first: a place counts once, whatever kinds it is of."""
+    out, reach = [], 0
+    for start, _, end in matches:
+        if start >= reach:
+            out.append((start, end))
+            reach = end
+    return out
+
+
 def shaped(text: str) -> Iterator[tuple[int, int]]:
     """Tokens of an identifier's shape."""
     if _DIGIT.search(text):
@@ -136,7 +150,7 @@ def _seeds(docs: DataFrame) -> DataFrame:
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _texts(source):
-            counts = Counter(c for text in texts for start, _, end in base(text) for c in contexts(text, start, end))
+            counts = Counter(c for text in texts for start, end in apart(base(text)) for c in contexts(text, start, end))
             if counts:
                 yield T.batches({"pattern": list(counts), "n": list(counts.values())}, schema)
 
@@ -162,7 +176,7 @@ def _instances(docs: DataFrame, patterns: frozenset[str]) -> DataFrame:
                     for c in filter(patterns.__contains__, map("%s %s".__mod__, zip(tokens, tokens[1:], strict=False))):
                         counts[c, None, False] += 1
                 own = base(text)
-                places = [(start, end, True) for start, _, end in own] + [(start, end, False) for start, end in _clear(text, own)]
+                places = [(start, end, True) for start, end in apart(own)] + [(start, end, False) for start, end in _clear(text, own)]
                 for start, end, known in places:
                     if found := patterns.intersection(contexts(text, start, end)):
                         name = xxhash.xxh64_intdigest(text[start:end]) - (1 << 63)
@@ -208,7 +222,7 @@ def learn(docs: DataFrame, support: int = SUPPORT, score: float = SCORE, rounds:
     for k in range(rounds):
         sums = scored.groupBy("pattern").agg(F.sum(F.col("belief") * F.col("n")).alias("sum"), F.count("*").alias("support"))
         thin = F.least(F.lit(1.0), F.log2(1 + F.col("support")) / F.log2(F.lit(1.0 + support)))
-        found = settle(sums.join(totals, "pattern", "left").select("pattern", (F.least(F.lit(1.0), F.col("sum") / F.greatest(F.coalesce("total", F.lit(1)), F.lit(1))) * thin).alias("score")))
+        found = settle(sums.join(totals, "pattern").select("pattern", (F.least(F.lit(1.0), F.col("sum") / F.col("total")) * thin).alias("score")))
         if k + 1 < rounds:
             # an instance is as believable as the best pattern that introduces it
             best = graph.join(found, "pattern").groupBy("instance").agg(F.max("score").alias("best"))

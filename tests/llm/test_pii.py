@@ -62,22 +62,29 @@ def test_nulls_and_empty(spark):
 
 
 def plain_contexts(text, a, b):
-    """As the operator's contexts, said by splitting."""
-    line, out = text[:a].split("\n")[-1], []
-    words = re.split(r"[ \t]+", line.rstrip(" \t"))
-    gap = len(line) - len(line.rstrip(" \t"))
-    if words[-1] and gap <= 3:
-        out.append(words[-1][-40:].lower())
-        if len(words) > 1 and words[-2]:
-            out.append(f"{words[-2][-40:]} {words[-1]}".lower())
-    if m := re.match(r"[ \t]{0,3}([^\s]{1,40})", text[b:]):
-        out.append("> " + m[1].lower())
+    """Whole words of at most 40 characters beside a place, on its line and 1 to 3 blanks or tabs away."""
+    out = []
+    blank = lambda s: 1 <= len(s) <= 3 and not s.strip(" \t")
+    line = text[:a].split("\n")[-1]
+    words = list(re.finditer(r"\S+", line))
+    if words and blank(line[words[-1].end() :]) and len(words[-1][0]) <= 40:
+        out.append(words[-1][0].lower())
+        if len(words) > 1 and blank(line[words[-2].end() : words[-1].start()]) and len(words[-2][0]) <= 40:
+            out.append(f"{words[-2][0]} {words[-1][0]}".lower())
+    if (m := re.search(r"\S+", text[b:])) and blank(text[b : b + m.start()]) and len(m[0]) <= 40:
+        out.append("> " + m[0].lower())
     return out
 
 
 def plain_learn(texts, support, score, rounds):
     """The scoring of patterns, over lists."""
-    places = [(t, a, b, True) for t in texts for a, b, _ in brute(t)]
+    places = []
+    for t in texts:
+        reach = 0
+        for a, b, _ in brute(t):
+            if a >= reach:
+                places.append((t, a, b, True))
+                reach = b
     for t in texts:
         own = [(a, b) for a, b, _ in brute(t)]
         places += [(t, a, b, False) for a, b in pii.shaped(t) if not any(x < b and a < y for x, y in own)]
@@ -101,7 +108,7 @@ def plain_learn(texts, support, score, rounds):
         scores = {}
         for c in chosen:
             own = [(n, 1.0 if known else best.get(i, 0.0)) for (p, i), (n, known) in graph.items() if p == c]
-            scores[c] = min(1, sum(n * x for n, x in own) / max(1, totals[c])) * min(1, math.log2(1 + len(own)) / math.log2(1 + support))
+            scores[c] = min(1, sum(n * x for n, x in own) / totals[c]) * min(1, math.log2(1 + len(own)) / math.log2(1 + support))
         best = {}
         for c, i in graph:
             if scores[c] >= score:
@@ -139,3 +146,26 @@ def test_one_long_line_takes_time_in_proportion():
     line *= 4
     sum(len(pii.contexts(line, a, b)) for a, b in pii.shaped(line))
     assert time.process_time() - began < 10 * short
+
+
+def test_what_is_glued_or_cut_is_no_pattern(spark):
+    """A sign or word that introduces a few seeds and far more of something else, with and without white space between."""
+    texts = [f"see (u{i}@site{i}.com) there" for i in range(20)] + [f"isotopes (carbon-14x{i}) and (batch{i}77) so" for i in range(500)]
+    texts += [f"{'w' * 50} u{i}@m.example now" for i in range(12)] + [f"{'w' * 50} figure{i}77 then" for i in range(300)]
+    texts += [f'to mailto:v{i}@m.example" or ="x{i}@m.example"' for i in range(15)] + [f'in mailto:list-{i}77 ="item{i}88"' for i in range(300)]
+    texts += [f"write me: y{i}@m.example" for i in range(15)] + ["write me: hidden-77-z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    patterns = pii.learn(df)
+    known = {x.pattern: round(x.score, 9) for x in patterns.table.collect()}
+    assert {"me:", "write me:"} <= set(known) == set(plain_learn(texts, 8, 0.6, 3)) and not any(w.strip("> ") in ("(", ")", '"', 'mailto:', '="') or "www" in w for w in known)
+    found = [(row.doc_id, texts[row.doc_id][s.start : s.end]) for row in pii.extract(df, patterns).collect() for s in row.spans if s.kind == "context"]
+    assert found == [(len(texts) - 1, "hidden-77-z")]
+
+
+def test_contexts_as_said_by_splitting():
+    r = random.Random(8)
+    pieces = ["a@b.co", "x1234567", " ", "  ", "\t", "    ", "\n", "(", "word", "W" * 40, "W" * 41, "é", "\x85", "\x1f", "."]
+    for _ in range(4000):
+        text = "".join(r.choice(pieces) for _ in range(r.randrange(1, 12)))
+        for a, b, _ in brute(text):
+            assert pii.contexts(text, a, b) == plain_contexts(text, a, b), repr(text)
