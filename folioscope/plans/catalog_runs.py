@@ -231,9 +231,7 @@ def status_files(spark, d):
 
 
 def _scan(spark, requests, folder, **options):
-    spark.dataSource.register(web.WebSource)
-    asked = json.dumps([{"name": n, "url": u} for n, u in requests])
-    return spark.read.format("web").options(requests=asked, folder=folder, retries="1", **{k: str(v) for k, v in options.items()}).load()
+    return web.scan(spark, requests, folder=folder, retries=1, **options)
 
 
 def _numbered(spark, d, order, size):
@@ -260,7 +258,7 @@ def archive_scan(spark, d):
     pages = _numbered(spark, d, (F.desc("day"), "doc_id"), size).groupBy("source", "cursor").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.datediff(_end(), "day").alias("age"), entry.alias("e")))), lambda x: x["e"]), "").alias("all"))
     url = F.replace(F.concat(F.lit(lookups.arxiv_url("SRC", size)), F.lit("")), F.lit("SRC"), s)
     sinks.stored(pages.select(F.replace(url, F.lit("{cursor}"), _text("cursor")).alias("url"), F.concat(F.lit("<feed xmlns='http://www.w3.org/2005/Atom'>"), "all", F.lit("</feed>")).alias("body")), folder)
-    bodies = _scan(spark, [(n, lookups.arxiv_url(n, size)) for n in _sources(spark, d)], folder, pages=1 << 30, pageSize=size, since=str(spark.range(1).select(_day(_start())).first()[0]))
+    bodies = _scan(spark, [(n, lookups.arxiv_url(n, size)) for n in _sources(spark, d)], folder, pages=1 << 30, pageSize=size).where(F.col("newest") >= _start())
     found = records.arxiv_papers(bodies.where("error IS NULL"), _start().cast("timestamp"), F.lit(_NOW).cast("timestamp"))
     return found.select(F.regexp_extract("link", r"2608\.(\d+)v1$", 1).cast("long").alias("doc_id"), "title", "authors", _day("date").alias("date"))
 

@@ -1,18 +1,130 @@
-"""Writers: tables by Spark; single small documents (an edition, a status, warnings) from the driver, once they have passed their gates."""
+"""Writers: tables by Spark; single files, put together from what many tasks wrote, by a data source with a commit; single small documents (an edition, a
+status, warnings) from the driver, once they have passed their gates."""
 
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.fs as pafs
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
-from ..sources.web import local_path, stored_name
-from .shared import read_if_there
+from .shared import opened, qualified, read_if_there, write_whole
+
+#: Bytes of a part that are read at a time when parts are put together.
+PIECE = 4 << 20
+
+
+@dataclass
+class _Part(WriterCommitMessage):
+    number: int
+    path: str
+    rows: int
+
+
+class OneFileWriter(DataSourceWriter):
+    """Tasks write parts beside the file; the commit puts them together, in the order of the tasks, and gives the result the file's name. A job that fails
+    leaves an older file as it was."""
+
+    def __init__(self, options: dict) -> None:
+        self.path = options["path"]
+        self.begin, self.between, self.end = (options.get(k, "") for k in ("begin", "between", "end"))
+        self.parts = f"{self.path}.parts-{uuid.uuid4().hex}"
+
+    def write(self, iterator: Iterator[Row]) -> _Part:
+        fs, folder = opened(self.parts)
+        fs.create_dir(folder)
+        context = TaskContext.get()
+        path, n = f"{folder}/{context.partitionId():08d}-{context.taskAttemptId()}", 0
+        with fs.open_output_stream(path) as out:
+            for row in iterator:
+                out.write(((self.between if n else "") + (row[0] or "")).encode())
+                n += 1
+        return _Part(context.partitionId(), path, n)
+
+    def commit(self, messages: list[_Part | None]) -> None:
+        fs, _ = opened(self.path)
+
+        def pieces() -> Iterator[bytes]:
+            yield self.begin.encode()
+            for k, part in enumerate(sorted((m for m in messages if m and m.rows), key=lambda m: m.number)):
+                if k:
+                    yield self.between.encode()
+                with fs.open_input_stream(part.path) as f:
+                    while piece := f.read(PIECE):
+                        yield piece
+            yield self.end.encode()
+
+        write_whole(self.path, pieces())
+        self.abort(messages)
+
+    def abort(self, messages: list[_Part | None]) -> None:
+        fs, folder = opened(self.parts)
+        if fs.get_file_info(folder).type == pafs.FileType.Directory:
+            fs.delete_dir(folder)
+
+
+class OneFile(DataSource):
+    """rows.write.format("one_file").options(begin=, between=, end=).mode("overwrite").save(path), for rows of one text column."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "one_file"
+
+    def writer(self, schema, overwrite):
+        return OneFileWriter({k.lower(): v for k, v in dict(self.options).items()})
+
+
+def _one_file(texts: DataFrame, path: str, **marks: str) -> None:
+    spark = texts.sparkSession
+    spark.dataSource.register(OneFile)
+    texts.write.format("one_file").options(**marks).mode("overwrite").save(qualified(spark, path))
+
+
+def _json(rows: DataFrame, *columns: str):
+    return F.to_json(F.struct(*(columns or rows.columns)), {"ignoreNullFields": "false"})
+
+
+def json_array_file(rows: DataFrame, path: str) -> None:
+    """Rows, in their order, as one file that holds one JSON array."""
+    _one_file(rows.select(_json(rows)), path, begin="[", between=",\n", end="]\n")
+
+
+def json_lines_file(rows: DataFrame, path: str) -> None:
+    """Rows, in their order, as one file with a JSON record a line."""
+    _one_file(rows.select(F.concat(_json(rows), F.lit("\n"))), path)
+
+
+def candidate_file(papers: DataFrame, path: str) -> None:
+    """The candidates' file: one array, the newest first as `papers` are, dates as text in UTC."""
+    json_array_file(papers.withColumn("date", F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).drop("seq"), path)
+
+
+def whole_files(rows: DataFrame, folder: str) -> int:
+    """Writes texts (name, text) as files of a folder; returns how many. A task that runs again writes the same files."""
+    where = qualified(rows.sparkSession, folder)
+
+    def write(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in source:
+            for name, text in zip(part["name"], part["text"], strict=True):
+                write_whole(f"{where}/{name}", [(text or "").encode()])
+            yield pd.DataFrame({"n": [len(part)]})
+
+    return rows.select("name", "text").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def sidecar_files(rows: DataFrame, folder: str) -> int:
+    """What each edition's entries are known by, as one array in `<edition>.papers.json`; an edition is of a size that people read."""
+    known = rows.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    listed = known.groupBy("edition").agg(F.array_sort(F.collect_list(F.struct("pos", _json(known, "title", "link", "source", "date").alias("one")))).alias("all"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("all", lambda x: x["one"]), ",\n"), F.lit("]\n"))
+    return whole_files(listed.select(F.concat("edition", F.lit(".papers.json")).alias("name"), text.alias("text")), folder)
 
 
 def candidates(papers: DataFrame, path: str) -> None:
@@ -63,17 +175,8 @@ def sidecars(rows: DataFrame, folder: str) -> None:
 
 
 def stored(bodies: DataFrame, folder: str) -> int:
-    """Keeps bodies (url, body) as the files that a `web` source with a folder reads; returns how many. A task that runs again writes the same files."""
-    folder = local_path(folder)
-
-    def write(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(folder, exist_ok=True)
-        for rows in source:
-            for url, body in zip(rows["url"], rows["body"], strict=True):
-                _write(f"{folder}/{stored_name(url)}", body or "")
-            yield pd.DataFrame({"n": [len(rows)]})
-
-    return bodies.select("url", "body").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    """Keeps bodies (url, body) as the files that a `web` source with a folder reads; returns how many."""
+    return whole_files(bodies.select(F.left(F.sha2("url", 256), F.lit(32)).alias("name"), F.col("body").alias("text")), folder)
 
 
 def swap(rows: DataFrame, path: str) -> str:
@@ -89,25 +192,18 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(spark.read.schema("path string").json(f"{path}/current").first()["path"])
 
 
-def _write(path: str, text: str) -> None:
-    path = local_path(path)
-    temporary = f"{path}.{uuid.uuid4().hex}"
-    with open(temporary, "w", encoding="utf-8") as f:
-        f.write(text)
-    os.replace(temporary, path)
-
-
 def edition(markdown: DataFrame, path: str) -> None:
     """The one row of `rank.edition_markdown` as a file."""
-    _write(path, markdown.first()["markdown"])
+    write_whole(qualified(markdown.sparkSession, path), [markdown.first()["markdown"].encode()])
 
 
 def status(path: str, state: str, reason: str = "", **figures: float) -> None:
-    _write(path, json.dumps({"status": state, "reason": reason, **figures}, ensure_ascii=False))
+    write_whole(path, [json.dumps({"status": state, "reason": reason, **figures}, ensure_ascii=False).encode()])
 
 
 def warnings(path: str, texts: list[str]) -> None:
+    fs, at = opened(path)
     if texts:
-        _write(path, json.dumps(texts, ensure_ascii=False, indent=1))
-    elif os.path.exists(path):
-        os.remove(path)
+        write_whole(path, [json.dumps(texts, ensure_ascii=False, indent=1).encode()])
+    elif fs.get_file_info(at).type == pafs.FileType.File:
+        fs.delete_file(at)

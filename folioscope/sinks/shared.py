@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 from weakref import WeakKeyDictionary
 
+import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +59,37 @@ def size_of(settled: DataFrame) -> int:
     return int(str(settled._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, as tasks can open it (`opened`)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return str(at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at))
+
+
+def opened(path: str) -> tuple[pafs.FileSystem, str]:
+    """A file system that Python can use, in a task too, and the path in it. A path without a scheme is this machine's."""
+    return pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+
+
+def write_whole(path: str, parts: Iterable[bytes]) -> None:
+    """Writes a file that takes its name, and the place of an older one, only once it is whole."""
+    fs, at = opened(path)
+    folder, _, name = at.rpartition("/")
+    fs.create_dir(folder)
+    draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    try:
+        with fs.open_output_stream(draft) as out:
+            for part in parts:
+                out.write(part)
+    except BaseException:
+        fs.delete_file(draft)
+        raise
+    try:
+        fs.move(draft, at)
+    except OSError:  # where moving doesn't replace
+        fs.delete_file(at)
+        fs.move(draft, at)
+
+
 def read_if_there(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """A table, or null if nothing was written there yet. Any other failure to read is an error."""
     try:

@@ -1,7 +1,11 @@
 """Feeds and APIs as a Python data source: a partition per feed or per query, retries inside the reader, bodies out.
 
-A transport turns a URL into (status, body, seconds to wait). `file` reads bodies that were stored under their URL's hash, so everything
-downstream runs without a network; `http` uses the standard library.
+A transport turns a URL into (status, body, seconds to wait). `file` reads bodies that were stored under their URL's hash, on any file system that
+tasks share, so everything downstream runs without a network; `http` uses the standard library.
+
+Filters on `name` and lower bounds on `newest` are pushed into a batch scan: names that aren't asked for have no partition, and a scan sorted by date ends
+with the page on which what is older than the bound begins. As a stream, an API with a cursor goes on behind what it has read, and a feed is asked once a
+trigger.
 """
 
 from __future__ import annotations
@@ -12,33 +16,33 @@ import re
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from datetime import UTC, date, datetime
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition
+
+from ..sinks.shared import opened, write_whole
 
 Transport = Callable[[str], tuple[int, str, float | None]]
 
-BODY = "name string, url string, page int, status int, body string, error string"
+#: newest: the latest date that a page can hold; of a page that states none, or couldn't be read, the day on which it was asked for.
+BODY = "name string, url string, page int, status int, body string, error string, newest date"
 
 
 def stored_name(url: str) -> str:
     return hashlib.sha256(url.encode()).hexdigest()[:32]
 
 
-def local_path(path: str) -> str:
-    """A path without the scheme of files."""
-    return re.sub("^file:/*", "/", path)
-
-
 def file_transport(folder: str) -> Transport:
-    folder = local_path(folder)
+    """Bodies that `sinks.files.stored` kept, from a folder on any file system."""
 
     def get(url: str) -> tuple[int, str, float | None]:
+        fs, path = opened(folder)
         try:
-            with open(f"{folder}/{stored_name(url)}", encoding="utf-8") as f:
-                return 200, f.read(), None
+            with fs.open_input_stream(f"{path}/{stored_name(url)}") as f:
+                return 200, f.read().decode(), None
         except FileNotFoundError:
             return 404, "", None
 
@@ -86,41 +90,69 @@ def fetch(get: Transport, url: str, retries: int = 3, most_wait: float = 20.0, s
 
 
 class _One(InputPartition):
-    def __init__(self, name: str, url: str) -> None:
-        self.name, self.url = name, url
+    def __init__(self, name: str, url: str, cursor: int = 0, until: int | None = None, body: str | None = None) -> None:
+        self.name, self.url, self.cursor, self.until, self.body = name, url, cursor, until, body
+
+
+def _transport(options: dict) -> Transport:
+    folder = options.get("folder")
+    return file_transport(folder) if folder else http_transport(float(options.get("timeout", 30)))
+
+
+def _requests(options: dict) -> list[dict]:
+    return json.loads(options["requests"])
+
+
+#: Where feeds and APIs state the date of an entry.
+_DATED = re.compile(r'<(?:published|updated|pubDate|dc:date|prism:publicationDate)[^>]*>\s*(\d{4}-\d{2}-\d{2})|"date"\s*:\s*"(\d{4}-\d{2}-\d{2})"')
+
+
+def stated_dates(body: str) -> list[date]:
+    found = []
+    for m in _DATED.finditer(body):
+        try:
+            found.append(date.fromisoformat(m[1] or m[2]))
+        except ValueError:
+            pass
+    return found
 
 
 class WebReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.options = {k.lower(): v for k, v in dict(options).items()}
+        self.names: set[str] | None = None
+        self.least: date | None = None
+
+    def partitions(self) -> list[InputPartition]:
+        return [_One(x["name"], x["url"]) for x in _requests(self.options) if self.names is None or x["name"] in self.names]
+
+    def read(self, partition: _One) -> Iterator[tuple]:
+        """One page, or pages until one is empty, holds the last of the `total` that pages state, or reaches what is older than a bound on `newest` (with
+        the option `sorted`: a scan sorted by date has nothing newer after that). {page} in the URL is the page, {cursor} the offset, which grows by the
+        `count` that a page states, else by the page size. A scan that ends sooner, as the time is up or `pages` are read, ends in a row whose error says
+        that it is incomplete."""
+        for row, oldest in self._pages(partition):
+            if self.least is None or row[-1] >= self.least:
+                yield row
+            if self.least is not None and oldest is not None and oldest < self.least and self.options.get("sorted", "true") == "true":
+                return
 
-    def _transport(self) -> Transport:
-        folder = self.options.get("folder")
-        return file_transport(folder) if folder else http_transport(float(self.options.get("timeout", 30)))
-
-    def partitions(self):
-        return [_One(x["name"], x["url"]) for x in json.loads(self.options["requests"])]
-
-    def read(self, partition):
-        """One page, or pages until one is empty, holds the last of the `total` that pages state, or reaches what is older than `since` (a scan sorted by
-        date has nothing newer after that). {page} in the URL is the page, {cursor} the offset, which grows by the `count` that a page states, else by
-        the page size. A scan that ends sooner, as the time is up or `pages` are read, ends in a row whose error says that it is incomplete."""
-        get, retries = self._transport(), int(self.options.get("retries", 3))
+    def _pages(self, partition: _One) -> Iterator[tuple[tuple, date | None]]:
+        get, retries = _transport(self.options), int(self.options.get("retries", 3))
         pages, size = int(self.options.get("pages", 1)), int(self.options.get("pagesize", 100))
-        since = self.options.get("since")
         until = time.monotonic() + float(self.options.get("seconds", 120))
-        cursor = 0
+        today = datetime.now(UTC).date()
+        cursor = partition.cursor
         for page in range(pages):
             url = partition.url.replace("{page}", str(page)).replace("{cursor}", str(cursor))
-            status, body, error = fetch(get, url, retries)
-            yield partition.name, url, page, status, body, error
-            if since and any(d < since for d in re.findall(r"<published>(\d{4}-\d{2}-\d{2})", body)):
-                return
+            status, body, error = (200, partition.body, None) if partition.body is not None and not page else fetch(get, url, retries)
+            stated = stated_dates(body)
+            yield (partition.name, url, page, status, body, error, max(stated, default=today)), min(stated, default=None)
             if error or not body.strip() or "{" not in partition.url:
                 return
             count, total = _stated("count", body), _stated("total", body)
             cursor += size if count is None else count
-            if total is not None and cursor >= total:
+            if partition.until is not None and cursor >= partition.until or total is not None and cursor >= total:
                 return
             if count == 0 or time.monotonic() > until:
                 why = "an empty page" if count == 0 else "no time left"
@@ -128,7 +160,94 @@ class WebReader(DataSourceReader):
         else:
             why = f"{pages} pages read"
         if pages > 1:
-            yield partition.name, partition.url, page + 1, 0, "", f"incomplete: {why}"
+            yield (partition.name, partition.url, page + 1, 0, "", f"incomplete: {why}", today), None
+
+
+class PushedReader(WebReader):
+    """For sessions that let filters be pushed into Python sources; others refuse a reader that has the method."""
+
+    def pushFilters(self, filters: Sequence[Filter]) -> Iterable[Filter]:  # noqa: N802 - the interface's name
+        """Takes filters on names and lower bounds on the date; the others are Spark's, as is a bound that isn't a date."""
+        for f in filters:
+            column = getattr(f, "attribute", None)
+            if column == ("name",) and isinstance(f, EqualTo | In):
+                names = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.names = names if self.names is None else self.names & names
+            elif column == ("newest",) and isinstance(f, GreaterThanOrEqual | GreaterThan) and isinstance(f.value, date):
+                least = f.value if isinstance(f, GreaterThanOrEqual) else date.fromordinal(f.value.toordinal() + 1)
+                self.least = least if self.least is None else max(self.least, least)
+            else:
+                yield f
+
+
+class WebStreamReader(DataSourceStreamReader):
+    """A stream of pages. The offset of an API with a cursor is how many of its records were read; one page of each is asked for to learn how many there
+    are, and is not asked for again. The offset of a feed without a cursor is the time of asking: each trigger asks it once.
+
+    What was read is kept in `offsets`, a file in a shared folder, as Spark tells a source that starts again nothing before it has to know.
+    """
+
+    def __init__(self, options: dict) -> None:
+        self.options = {k.lower(): v for k, v in dict(options).items()}
+        self.asked = {x["name"]: x["url"] for x in _requests(self.options)}
+        self.probed: dict[str, tuple[int, str]] = {}
+        self.known = self._kept()
+
+    def _kept(self) -> dict:
+        if path := self.options.get("offsets"):
+            fs, at = opened(path)
+            try:
+                with fs.open_input_stream(at) as f:
+                    return json.loads(f.read())
+            except FileNotFoundError:
+                pass
+        return {}
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return dict.fromkeys(self.asked, 0)
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        get, retries = _transport(self.options), int(self.options.get("retries", 3))
+        found = {}
+        for name, url in self.asked.items():
+            at = int(self.known.get(name, 0))
+            if "{cursor}" not in url:
+                found[name] = max(at + 1, time.time_ns() // 1_000_000)
+                continue
+            if name not in self.probed or self.probed[name][0] != at:
+                status, body, error = fetch(get, url.replace("{cursor}", str(at)), retries)
+                total = None if error else _stated("total", body)
+                # a page that can't be read, or states no total, is no news
+                if total is None or total <= at:
+                    found[name] = at
+                    continue
+                self.probed[name] = at, body
+            found[name] = max(at, _stated("total", self.probed[name][1]) or 0)
+        return found
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        out = []
+        for name, url in self.asked.items():
+            a, b = int(start.get(name, 0)), int(end.get(name, 0))
+            self.known[name] = max(int(self.known.get(name, 0)), a)
+            if b <= a:
+                continue
+            if "{cursor}" not in url:
+                out.append(_One(name, url))
+            else:
+                at, body = self.probed.get(name, (None, None))
+                out.append(_One(name, url, a, b, body if at == a else None))
+        return out
+
+    def read(self, partition: _One) -> Iterator[tuple]:
+        reader = WebReader({"pages": str(1 << 30), **self.options})
+        return (row for row, _ in reader._pages(partition))
+
+    def commit(self, end: dict) -> None:
+        self.known = {name: int(n) for name, n in end.items()}
+        self.probed = {}
+        if path := self.options.get("offsets"):
+            write_whole(path, [json.dumps(self.known).encode()])
 
 
 def _stated(name: str, body: str) -> int | None:
@@ -147,7 +266,27 @@ class WebSource(DataSource):
         return BODY
 
     def reader(self, schema):
-        return WebReader(self.options)
+        own = {k.lower(): v for k, v in dict(self.options).items()}
+        return PushedReader(own) if own.get("pushed") == "true" else WebReader(own)
+
+    def streamReader(self, schema):  # noqa: N802
+        return WebStreamReader(self.options)
+
+
+def scan(spark: SparkSession, requests: Iterable[tuple[str, str]], **options: object) -> DataFrame:
+    """BODY rows of (name, URL) requests, with filters pushed into the scan."""
+    return _reader(spark, spark.read, requests, {"pushed": "true", **options}).load()
+
+
+def stream(spark: SparkSession, requests: Iterable[tuple[str, str]], **options: object) -> DataFrame:
+    """The same as a stream."""
+    return _reader(spark, spark.readStream, requests, options).load()
+
+
+def _reader(spark: SparkSession, reader, requests: Iterable[tuple[str, str]], options: dict):
+    spark.dataSource.register(WebSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return reader.format("web").options(requests=json.dumps([{"name": n, "url": u} for n, u in requests]), **{k: str(v) for k, v in options.items()})
 
 
 def biorxiv_url(start: str, end: str, collection: str, cursor: int | str = "{cursor}") -> str:

@@ -47,8 +47,7 @@ def test_sorted_scan_stops_at_what_is_old(spark, tmp_path):
     url = lookups.arxiv_url("physics.bio-ph", 2)
     pages = [[("2608.1", "2026-08-09"), ("2608.2", "2026-08-08")], [("2608.3", "2026-08-05"), ("2607.4", "2026-07-01")], [("2607.5", "2026-06-01")]]
     stored(tmp_path, {url.replace("{cursor}", str(2 * k)): ARXIV % "".join(entry(*e) for e in p) for k, p in enumerate(pages)})
-    spark.dataSource.register(web.WebSource)
-    df = spark.read.format("web").options(requests=json.dumps([{"name": "arXiv", "url": url}]), folder=str(tmp_path), pages="9", pageSize="2", since="2026-08-03").load()
+    df = web.scan(spark, [("arXiv", url)], folder=tmp_path, pages=9, pageSize=2).where("newest >= DATE '2026-08-03'")
     assert df.count() == 2
     rows = records.arxiv_papers(df.unionAll(df), F.lit("2026-08-03").cast("timestamp"), F.lit("2026-08-10").cast("timestamp")).orderBy("link").collect()
     assert [(r.title, r.authors, r.source) for r in rows] == [(f"On forces 2608.{i}", "A B", "arXiv") for i in (1, 2, 3)]

@@ -1,4 +1,5 @@
 import json
+import re
 import time
 from datetime import date, datetime
 
@@ -194,3 +195,110 @@ def test_weekly_windows_share_their_monday(spark):
     rows = spark.createDataFrame([(datetime(2026, 8, 3, 5),), (datetime(2026, 8, 4),), (datetime(2026, 8, 10),)], "ts timestamp")
     got = {r.start.date(): r.n for r in editions.weekly_windows(rows, "ts").collect()}
     assert got == {date(2026, 7, 27): 1, date(2026, 8, 3): 3, date(2026, 8, 10): 1}
+
+
+def _stored(folder, urls):
+    for url, body in urls.items():
+        (folder / web.stored_name(url)).write_text(body)
+
+
+def _entries(*days):
+    return "<feed>" + "".join(f"<entry><published>{d}T01:00:00Z</published></entry>" for d in days) + "</feed>"
+
+
+def test_filters_are_pushed_into_a_scan(spark, tmp_path):
+    _stored(tmp_path, {f"{n}?c={10 * k}": _entries(*days) for n in "abc" for k, days in enumerate([["2026-08-09", "2026-08-08"], ["2026-08-04", "2026-07-30"], ["2026-07-20"]])})
+    df = web.scan(spark, [(n, n + "?c={cursor}") for n in "abc"], folder=tmp_path, pages=9, pageSize=10, retries=1)
+    assert df.rdd.getNumPartitions() == 3 and df.where("page = 3 AND status = 404").count() == 3  # without a bound, until there is no page
+    late = df.where((F.col("newest") >= F.lit("2026-08-01").cast("date")) & F.col("name").isin("a", "c") & (F.col("page") >= 0))
+    assert late.rdd.getNumPartitions() == 2
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    left = [x for x in plan.splitlines() if "Filter" in x and "Scan" not in x]
+    assert len(left) == 1 and "page#" in left[0] and not re.search(r"newest#\d+ >|name#", left[0]), plan  # what isn't pushed is Spark's
+    assert sorted((r.name, r.page, str(r.newest)) for r in late.collect()) == [(n, k, d) for n in "ac" for k, d in ((0, "2026-08-09"), (1, "2026-08-04"))]
+    # a page that couldn't be read may hold anything, so it passes a bound and tells
+    gone = web.scan(spark, [("x", "none")], folder=tmp_path, retries=1).where("newest > DATE '2026-08-01' AND name = 'x'")
+    assert [r.error for r in gone.collect()] == ["HTTP 404"] and gone.where("name = 'y'").count() == 0
+    # of a scan that isn't sorted, all pages are read
+    every = web.scan(spark, [("a", "a?c={cursor}")], folder=tmp_path, pages=3, pageSize=10, retries=1, sorted="false").where("newest >= DATE '2026-08-01'")
+    assert sorted(r.page for r in every.collect() if not r.error) == [0, 1]
+
+
+def test_what_could_be_pushed():
+    from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, In, LessThan
+
+    reader = web.PushedReader({"requests": '[{"name": "a", "url": "u"}, {"name": "b", "url": "v"}]'})
+    rest = [LessThan(("newest",), date(2026, 1, 1)), EqualTo(("page",), 1), GreaterThan(("newest",), "2026")]
+    assert list(reader.pushFilters([GreaterThan(("newest",), date(2026, 1, 31)), GreaterThanOrEqual(("newest",), date(2026, 1, 1)), In(("name",), ("a", "b")), EqualTo(("name",), "b"), *rest])) == rest
+    assert reader.least == date(2026, 2, 1) and [p.name for p in reader.partitions()] == ["b"]
+
+
+def test_dates_that_pages_state():
+    body = '<published>2026-08-09T1</published><dc:date>2026-08-01</dc:date><pubDate>Mon</pubDate>{"date": "2026-07-01", "date":"2026-13-01"}'
+    assert web.stated_dates(body) == [date(2026, 8, 9), date(2026, 8, 1), date(2026, 7, 1)]
+
+
+def _run(frame, out, checkpoint):
+    query = frame.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+    query.awaitTermination(120)
+    assert query.exception() is None
+
+
+def test_a_stream_goes_on_behind_what_it_read(spark, tmp_path):
+    folder, asked = tmp_path / "web", []
+    folder.mkdir()
+    page = lambda ids, total: json.dumps({"messages": [{"count": len(ids), "total": total}], "collection": ids})
+    urls = [("p", "p?c={cursor}"), ("q", "q?c={cursor}"), ("feed", "feed")]
+
+    def trigger():
+        df = web.stream(spark, urls, folder=folder, retries=1, offsets=tmp_path / "offsets.json")
+        _run(df.select("name", "url", "body"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        rows = sorted((r.name, r.url) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+        new = [r for r in rows if r not in asked or rows.count(r) > asked.count(r)]
+        asked[:] = rows
+        return sorted(set(new)) if "feed" not in dict(new) else new
+
+    _stored(folder, {"p?c=0": page([1, 2], 3), "p?c=2": page([3], 3), "feed": _entries("2026-08-09")})
+    assert set(trigger()) == {("p", "p?c=0"), ("p", "p?c=2"), ("feed", "feed")} and len(asked) == 3
+    # a reader that starts again asks for nothing that was read: those pages are gone
+    (folder / web.stored_name("p?c=0")).unlink()
+    _stored(folder, {"p?c=3": page([4, 5], 5), "q?c=0": page([7], 1)})
+    trigger()
+    assert [a for a in asked if a[0] != "feed"] == [("p", "p?c=0"), ("p", "p?c=2"), ("p", "p?c=3"), ("q", "q?c=0")]
+    assert asked.count(("feed", "feed")) == 2
+    trigger()
+    assert [a for a in asked if a[0] != "feed"] == [("p", "p?c=0"), ("p", "p?c=2"), ("p", "p?c=3"), ("q", "q?c=0")] and len(asked) == 7
+
+
+def test_one_file_from_many_tasks(spark, tmp_path):
+    from folioscope.sinks import files as sinks
+    from folioscope.sources import files
+
+    rows = spark.range(0, 1000, 1, 7).select("id", F.when(F.col("id") % 3 == 0, F.concat(F.lit("é\n\""), "id")).alias("t"))
+    path = f"{tmp_path}/deep/papers.json"
+    sinks.json_array_file(rows, path)
+    want = [{"id": i, "t": f"é\n\"{i}" if i % 3 == 0 else None} for i in range(1000)]
+    assert json.load(open(path)) == want
+    assert sorted(files.json_array(spark, path, "id long, t string").collect()) == sorted(rows.collect())
+    sinks.json_lines_file(rows.orderBy(F.desc("id")), f"{tmp_path}/deep/d.jsonl")
+    assert [json.loads(x) for x in open(f"{tmp_path}/deep/d.jsonl")] == want[::-1]
+    sinks.json_array_file(rows.limit(0), f"{tmp_path}/none.json")
+    assert json.load(open(f"{tmp_path}/none.json")) == []
+    # a job that fails leaves the file of the one before, and no parts
+    broken = rows.withColumn("t", F.when(F.col("id") > 900, F.raise_error(F.lit("no"))).otherwise(F.col("t")))
+    with pytest.raises(Exception, match="no"):
+        sinks.json_array_file(broken, path)
+    assert json.load(open(path)) == want and sorted(p.name for p in (tmp_path / "deep").iterdir() if not p.name.endswith(".crc")) == ["d.jsonl", "papers.json"]
+
+
+def test_sidecars_as_arrays_and_status(spark, tmp_path):
+    from folioscope.sinks import files as sinks
+    from folioscope.sources import files
+
+    rows = spark.createDataFrame([("Aug10_2026", 2, "B", "l2", None, date(2026, 8, 9)), ("Aug10_2026", 1, "A", "l1", "s", None), ("Aug3_2026", 1, "C", "l3", "s", date(2026, 8, 2))], "edition string, pos int, title string, link string, source string, date date")
+    assert sinks.sidecar_files(rows, f"{tmp_path}/side") == 2
+    assert json.load(open(f"{tmp_path}/side/Aug10_2026.papers.json")) == [{"title": "A", "link": "l1", "source": "s", "date": None}, {"title": "B", "link": "l2", "source": None, "date": "2026-08-09"}]
+    assert {(r.edition, r.title) for r in files.sidecars(spark, f"{tmp_path}/side/*.json").collect()} == {("Aug10_2026", "A"), ("Aug10_2026", "B"), ("Aug3_2026", "C")}
+    sinks.warnings(f"{tmp_path}/w.json", ["x"])
+    sinks.warnings(f"{tmp_path}/w.json", [])
+    assert not (tmp_path / "w.json").exists()
