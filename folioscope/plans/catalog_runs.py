@@ -425,6 +425,90 @@ def edition_stream(spark, d):
     return spark.read.parquet(out).select("seq", "early", _day("published").alias("posted"))
 
 
+@_query(f"""{_P}, t AS (SELECT p.*, lang = 'en' AS early, {_TITLE_KEY} AS tk FROM papers p JOIN documents ON seq = doc_id)
+SELECT seq, early, strftime(CASE WHEN doi IS NULL THEN date ELSE least(date, DATE '2026-08-01' + CAST(seq % 12 AS INT)) END, '%Y-%m-%d') AS posted FROM t WHERE early OR ((tk IS NULL OR tk NOT IN (SELECT tk FROM t WHERE early AND tk IS NOT NULL)) AND (doi IS NULL OR lower(doi) NOT IN (SELECT lower(doi) FROM t WHERE early AND doi IS NOT NULL)))""")
+def keyed_edition_stream(spark, d):
+    """The same editions by a running stream, stopped and started again between its two batches, with what was sent as state by identity key."""
+    from ..streaming.editions import event_time, keyed_editions
+
+    source, out, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    rows = papers(spark, d).drop("abstract").join(read(spark, d, "documents").select(F.col("doc_id").alias("seq"), (F.col("lang") == "en").alias("early")), "seq")
+    for which in ("early", "NOT early"):
+        rows.where(which).write.mode("append").parquet(source)
+        asked = event_time(spark.readStream.schema(rows.schema).parquet(source))
+        keyed_editions(asked, out, F.lit(EDITION), checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select("seq", "early", _day("published").alias("posted"))
+
+
+@_query("SELECT doc_id, lang FROM documents WHERE doc_id >= 0")
+def preprint_stream(spark, d):
+    """An API with a cursor as a stream: half of its records are there at the first trigger, the rest at the second, and no page is read twice."""
+    folder, out, checkpoint, feeds, size = scratch(spark), scratch(spark), scratch(spark), 8, 25
+    docs = read(spark, d, "documents").where("doc_id >= 0").select("doc_id", "lang", F.concat(F.lit("f"), (F.col("doc_id") % feeds).cast("string")).alias("feed"), F.floor(F.col("doc_id") / (feeds * size)).alias("page"))
+    last = docs.agg(F.coalesce(F.max("page"), F.lit(0))).first()[0]
+    every = spark.range(last + 1).select(F.col("id").alias("page")).join(spark.range(feeds).select(F.concat(F.lit("f"), F.col("id").cast("string")).alias("feed")))
+    items = docs.groupBy("feed", "page").agg(F.array_join(F.collect_list(F.to_json(F.struct("doc_id", "lang"))), ",").alias("items"))
+    pages = every.join(items, ["feed", "page"], "left").withColumn("url", F.concat(F.lit("api/"), "feed", F.lit("?c="), (F.col("page") * size).cast("string")))
+    asked = [(f"f{k}", f"api/f{k}?c={{cursor}}") for k in range(feeds)]
+    half = (last + 1) // 2
+    for since, until in ((0, half), (half, last + 1)):
+        body = F.concat(F.lit(f'{{"messages": [{{"count": {size}, "total": {until * size}}}], "collection": ['), F.coalesce("items", F.lit("")), F.lit("]}"))
+        sinks.stored(pages.where((F.col("page") >= since) & (F.col("page") < until)).select("url", body.alias("body")), folder)
+        rows = web.stream(spark, asked, folder=folder, retries=1, offsets=f"{checkpoint}-offsets.json").select("url", F.explode(F.from_json("body", "collection array<struct<doc_id:bigint,lang:string>>")["collection"]).alias("i"))
+        rows.select("url", "i.*").writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema("url string, doc_id long, lang string").parquet(out).select("doc_id", "lang")
+
+
+@_query(f"{_P} SELECT link, title, doi, strftime(date, '%Y-%m-%dT00:00:00+00:00') AS date, seq < 100 AS early FROM papers")
+def candidate_papers_file(spark, d):
+    """All candidates in one file that holds one array, put together from what many tasks wrote, and read again."""
+    path = f"{scratch(spark)}/papers.json"
+    rows = papers(spark, d).drop("abstract").withColumns({"date": F.col("date").cast("timestamp"), "early": F.col("seq") < 100})
+    sinks.candidate_file(rows.repartition(16), path)
+    return files.json_array(spark, path, schema.PAPER_JSON + ", early boolean").select("link", "title", "doi", "date", "early")
+
+
+_CHUNK = "source || '-' || CAST(doc_id // 100 AS VARCHAR)"
+
+
+@_query(f"SELECT {_CHUNK} AS edition, 'Paper ' || doc_id AS title, 'https://example.org/' || doc_id AS link, lang AS source FROM documents")
+def sidecar_arrays(spark, d):
+    """A sidecar with one array for each edition."""
+    folder = scratch(spark)
+    edition = F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 100).cast("string"))
+    rows = read(spark, d, "documents").select(edition.alias("edition"), F.col("doc_id").alias("pos"), F.concat(F.lit("Paper "), _text("doc_id")).alias("title"), F.concat(F.lit("https://example.org/"), _text("doc_id")).alias("link"), F.col("lang").alias("source"), F.lit(None).cast("date").alias("date"))
+    sinks.sidecar_files(rows.where("edition IS NOT NULL"), folder)
+    return files.sidecars(spark, folder).select("edition", "title", "link", "source")
+
+
+def _editions(spark, d):
+    """Editions of at most 100 documents as markdown files: (file, text)."""
+    n = _text("doc_id")
+    entry = F.concat(F.lit("#### [Paper "), n, F.lit("](<https://example.org/"), n, F.lit(">)\n::: {.x}\n"), "source", F.lit(" in *"), "lang", F.lit("*\n"))
+    docs = read(spark, d, "documents").where("source IS NOT NULL AND lang IS NOT NULL").withColumn("file", F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 100).cast("string"), F.lit(".qmd")))
+    return docs.groupBy("file").agg(F.concat(F.lit("---\ntitle: x\n---\n## Some Papers\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", entry.alias("e")))), lambda x: x["e"]), "")).alias("text"))
+
+
+@_query(f"SELECT {_CHUNK} || '.qmd' AS file, 'https://example.org/' || doc_id AS url, 'some' AS section, 'Paper ' || doc_id || ' ' || source || ' in ' || lang AS text FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL")
+def archive_folder(spark, d):
+    """All editions of a folder, read line by line and in parts, as training documents."""
+    from ..operators import archive
+
+    folder = scratch(spark)
+    sinks.whole_files(_editions(spark, d).withColumnRenamed("file", "name"), folder)
+    return archive.entries(files.archive_lines(spark, folder)).select("file", "url", "section", "text")
+
+
+@_query(f"SELECT {_CHUNK} || '.qmd' AS file, 'Paper ' || doc_id AS title, 'https://example.org/' || doc_id AS link FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL")
+def archive_titles(spark, d):
+    """Titles and links alone, by the second reading of an edition, whose files are read whole."""
+    from ..operators import archive
+
+    folder = scratch(spark)
+    sinks.whole_files(_editions(spark, d).withColumnRenamed("file", "name"), folder)
+    return archive.titles_and_links(archive.lines_of(files.archive_files(spark, folder))).select("file", "title", "link")
+
+
 # --- functions ---------------------------------------------------------------------------------------------------------------------------
 
 

@@ -5,10 +5,13 @@ The same functions serve batch and streaming frames.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..functions.dates import first_posted
 from ..functions.keys import identity_keys
@@ -56,5 +59,55 @@ def edition_writer(state_path: str, out_path: str, edition: Column) -> Callable[
 
 
 def keyed(papers: DataFrame) -> DataFrame:
-    """(seq, key) rows for a stateful stream keyed by identity."""
-    return papers.select("seq", F.explode(identity_keys(F.col("title"), F.col("link"), F.col("doi"))).alias("key"))
+    """A row for each identity key (`key`) of a publication; one without any has a key of its own."""
+    own = F.array(F.concat(F.lit("seq:"), F.col("seq").cast("string")))
+    keys = identity_keys(F.col("title"), F.col("link"), F.col("doi"))
+    return papers.withColumn("key", F.explode(F.when(F.size(keys) > 0, keys).otherwise(own)))
+
+
+class _Met(StatefulProcessor):
+    """Tells of each row whether its key was met in an earlier batch. A key's state is one flag, however many rows it has."""
+
+    def __init__(self, ttl_ms: int | None) -> None:
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.met = handle.getValueState("met", "met boolean", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:  # noqa: N802 - the interface's name
+        before = self.met.exists()
+        for part in rows:
+            yield part.assign(met=before)
+        self.met.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+def with_met(papers: DataFrame, ttl_days: int | None = None) -> DataFrame:
+    """A stream's publications, a row for each identity key, with `met`: whether the key came in an earlier batch.
+
+    Only the state of keys that a batch has is read, so a batch costs what it holds, whatever was met before. Without `ttl_days` keys are kept for good.
+    """
+    rows = keyed(papers)
+    out = StructType([*rows.schema.fields, StructField("met", BooleanType())])
+    return rows.groupBy("key").transformWithStateInPandas(_Met(None if ttl_days is None else ttl_days * 86_400_000), out, "append", "processingTime" if ttl_days else "none")
+
+
+def keyed_editions(papers: DataFrame, out_path: str, edition: Column, checkpoint: str, ttl_days: int | None = None) -> DataStreamWriter:
+    """Writes each publication of a stream once, none of whose identity keys an earlier batch had, as `batch=.../edition=...` partitions.
+
+    What was dropped counts as met too: a work that shares a key with it is the same work. Copies within a batch all pass, as duplicates are
+    resolved before. A batch that runs again has the state of its start and leaves the same files. `papers` have `published`, the day of their first posting
+    (`event_time`). Needs the RocksDB state store, which is set here.
+    """
+    papers.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    columns = papers.columns
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # a publication's keys come with the batch that it comes with, each with all its columns
+        told = batch.groupBy("seq").agg(F.max("met").alias("met"), *(F.first(c).alias(c) for c in columns if c != "seq"))
+        fresh = told.where("NOT met").select(*columns).withColumns({"batch": F.lit(batch_id), "edition": edition})
+        fresh.write.option("partitionOverwriteMode", "dynamic").partitionBy("batch", "edition").mode("overwrite").parquet(out_path)
+
+    return with_met(papers, ttl_days).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -302,3 +302,26 @@ def test_sidecars_as_arrays_and_status(spark, tmp_path):
     sinks.warnings(f"{tmp_path}/w.json", ["x"])
     sinks.warnings(f"{tmp_path}/w.json", [])
     assert not (tmp_path / "w.json").exists()
+
+
+def test_keyed_state_over_batches_and_restarts(spark, tmp_path):
+    """What shares a key with anything met in an earlier batch is dropped; copies in a batch pass; a batch reads the state of its keys alone."""
+    fields = "seq long, title string, link string, doi string, date timestamp"
+    when = datetime(2026, 8, 5)
+    batches = [
+        [(1, "One", "l", "10.1/a", when), (2, "Two", "l", None, when), (3, "Two", "l", "10.1/b", when), (9, None, None, None, when)],
+        [(4, "ONE!", "l", None, when), (5, "Five", "l", "10.1/B", when), (6, "Six", "l", "10.1101/2026.07.01.5", when), (10, None, None, None, when)],
+        [(7, "Five", "l", "10.1/c", when), (8, "Eight", "l", None, when), (6, "Six", "l", None, when)],
+    ]
+    read = []
+    for rows in batches:
+        spark.createDataFrame(rows, fields).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        frame = editions.event_time(spark.readStream.schema(fields).parquet(f"{tmp_path}/in"))
+        query = editions.keyed_editions(frame, f"{tmp_path}/out", F.lit("e"), f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination(120)
+        read.append(sum(s.numRowsUpdated for p in query.recentProgress for s in p.stateOperators))
+    got = [(r.seq, r.published) for r in spark.read.parquet(f"{tmp_path}/out").orderBy("batch", "seq").collect()]
+    # 7 shares its title with 5, which was dropped for its DOI: the same work
+    assert [k for k, _ in got] == [1, 2, 3, 9, 6, 10, 8]
+    assert dict(got)[6] == datetime(2026, 7, 1)  # the day of first posting
+    assert read == [5, 6, 4]  # keys of the batch, not of all before
