@@ -1,17 +1,22 @@
 """TF-IDF scoring against weighted centroids of past selections and of what readers turned down.
 
-Terms are rows, so vectors never meet in one place: norms, document counts and dot products are aggregations with map-side sums. The two
-centroids are joined by term. Scores depend on the batch, because the document counts do.
+Terms are rows, so vectors never meet in one place: norms, document counts and dot products are aggregations with map-side sums. Rows meet what is known
+of their term in two ways: terms that stand in very many documents are few, whatever the corpus, and go to all tasks; the rest is shuffled, and no term of it
+has more than a `FREQUENT`th of all rows. Scores depend on the batch, because the document counts do.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import bigrams as pairs
 from ..functions.text import words
-from ..sinks.shared import settle
+from ..sinks.shared import release, settle
+
+#: A term with more than this part of all rows is frequent. There are fewer frequent terms than that, as each has its share of the rows: a proven bound for
+#: a broadcast of some 3 MB.
+FREQUENT = 50_000
 
 
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bigrams: bool = True) -> DataFrame:
@@ -31,8 +36,8 @@ def document_counts(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def idf(df: DataFrame, n_docs: int) -> DataFrame:
-    return df.select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+def idf(df: DataFrame, n_docs: int, *also: str) -> DataFrame:
+    return df.select("term", *also, (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
 
 def weighted(counts: DataFrame, idf_: DataFrame) -> DataFrame:
@@ -46,8 +51,8 @@ def norms(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def normalized(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Vectors of length 1; a zero vector stays."""
-    unit = F.when(F.col("norm") > 0, F.col("v") / F.col("norm")).otherwise(F.col("v"))
-    return vectors.join(norms(vectors, id_col), id_col).withColumn("v", unit).drop("norm")
+    norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(id_col)))
+    return vectors.withColumn("_norm", norm).withColumn("v", F.when(F.col("_norm") > 0, F.col("v") / F.col("_norm")).otherwise(F.col("v"))).drop("_norm")
 
 
 def centroid(vectors: DataFrame, weights: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -58,26 +63,43 @@ def centroid(vectors: DataFrame, weights: DataFrame, id_col: str = "doc_id") ->
     return sums.join(F.broadcast(length)).select("term", F.when(F.col("norm") > 0, F.col("c") / F.col("norm")).otherwise(F.col("c")).alias("c"))
 
 
-def scores(papers: DataFrame, positive: DataFrame, negative: DataFrame, bigrams: bool = True) -> DataFrame:
+def by_term(rows: DataFrame, terms: DataFrame, frequent: DataFrame, how: str = "inner", key: str = "term") -> DataFrame:
+    """Rows of `rows` with those of `terms` by term and whether the term is `frequent`. `frequent` is the part of `terms` that the bound of FREQUENT holds for."""
+    few = F.broadcast(frequent)
+    near = rows.join(few, key).withColumn("frequent", F.lit(True))
+    rest = rows.join(few.select(key), key, "left_anti").join(terms.join(few.select(key), key, "left_anti"), key, how).withColumn("frequent", F.lit(False))
+    return near.unionByName(rest)
+
+
+def scores(papers: DataFrame, positive: DataFrame, negative: DataFrame, bigrams: bool = True, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, score): cosine with the positive centroid less that with the negative one; 0 without positive documents or common terms.
 
     papers: (doc_id, text); positive and negative: (doc_id, text, weight). All three count as documents.
     """
-    tagged = [d.select(F.concat(F.lit(tag), F.col("doc_id").cast("string")).alias("doc_id"), "text") for tag, d in (("c", papers), ("p", positive), ("n", negative))]
-    every = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
     if positive.isEmpty():
         return papers.select("doc_id", F.lit(0.0).alias("score"))
+    tagged = [d.select(F.concat(F.lit(tag), F.col("doc_id").cast("string")).alias("doc_id"), "text") for tag, d in (("c", papers), ("p", positive), ("n", negative))]
+    every = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
     counts = settle(term_counts(every, bigrams=bigrams))  # texts are cut into words once
-    terms = idf(document_counts(counts), every.count())
-
-    def middle(tag: str, docs: DataFrame, sign: float) -> DataFrame:
-        own = counts.where(F.startswith("doc_id", F.lit(tag)))
-        weights = docs.select(F.concat(F.lit(tag), F.col("doc_id").cast("string")).alias("doc_id"), "weight")
-        return centroid(weighted(own, terms), weights).withColumn("c", F.col("c") * sign)
-
-    both = middle("p", positive, 1.0).unionByName(middle("n", negative, -1.0)).groupBy("term").agg(F.sum("c").alias("c"))
-    known = terms.join(both, "term", "left")
+    n_docs, least = every.count(), counts.count() // frequent
+    # from here on a term is a number
+    terms = settle(document_counts(counts).withColumn("t", F.monotonically_increasing_id()))
+    known = idf(terms.select("term", "t", "df"), n_docs, "t", "df")
+    tf = (1.0 + F.log("tf")) * F.col("idf")
+    vectors = settle(by_term(counts, known.drop("df"), known.where(F.col("df") > least).drop("df")).select("doc_id", "t", tf.alias("v"), "frequent"))
+    release(counts, terms)
+
+    weights = [d.select(F.concat(F.lit(tag), F.col("doc_id").cast("string")).alias("doc_id"), F.col("weight").cast("double").alias("weight"), F.lit(tag).alias("side")) for tag, d in (("p", positive), ("n", negative))]
+    unit = normalized(vectors.where(~F.startswith("doc_id", F.lit("c")))).join(weights[0].unionByName(weights[1]), "doc_id")
+    part = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("v") * F.col("weight"))), F.lit(0.0))
+    sums = settle(unit.groupBy("t").agg(part("p").alias("p"), part("n").alias("n"), F.max("frequent").alias("frequent")))
+    length = sums.agg(*(F.sqrt(F.sum(F.col(s) * F.col(s))).alias(f"{s}_norm") for s in "pn"))
+    one = lambda s: F.when(F.col(f"{s}_norm") > 0, F.col(s) / F.col(f"{s}_norm")).otherwise(0.0)
+    # one row: the lengths of both sums
+    both = sums.join(F.broadcast(length)).select("t", (one("p") - one("n")).alias("c"), "frequent")
+
+    own = vectors.where(F.startswith("doc_id", F.lit("c")))
+    few, many = (own.where(f).join(side.drop("frequent"), "t", "left") for f, side in (("frequent", F.broadcast(both.where("frequent"))), ("NOT frequent", both.where("NOT frequent"))))
     # the dot product and the paper's own norm in one aggregation: terms outside both centroids add to the norm alone
-    own = counts.where(F.startswith("doc_id", F.lit("c"))).join(known, "term").withColumn("v", (1.0 + F.log("tf")) * F.col("idf"))
-    dots = own.groupBy("doc_id").agg(F.sum(F.col("v") * F.coalesce("c", F.lit(0.0))).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    dots = few.unionByName(many).groupBy("doc_id").agg(F.sum(F.col("v") * F.coalesce("c", F.lit(0.0))).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
     return papers.select("doc_id", F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("_id")).join(dots.withColumnRenamed("doc_id", "_id"), "_id", "left").select("doc_id", F.coalesce(F.col("dot") / F.nullif("norm", F.lit(0.0)), F.lit(0.0)).alias("score"))

@@ -403,17 +403,20 @@ def idf(spark, d):
     return tfidf.idf(dfs, read(spark, d, "documents").count()).select("term", F.round("idf", 8).alias("idf"))
 
 
-_CENTROID = f"""{_TOKENS}, vec AS (SELECT doc_id, term, (1.0 + ln(tf)) * idf AS v FROM tc JOIN idfs USING (term) WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0)), unit AS (SELECT doc_id, term, v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS v FROM vec),
-pos AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 2.0 ELSE 1.0 END AS weight FROM labels WHERE quality = 1 AND toxic = 0), raw AS MATERIALIZED (SELECT term, sum(v * weight) AS c FROM unit JOIN pos USING (doc_id) GROUP BY term)"""
+_CENTROID = f"""{_TOKENS}, pos AS MATERIALIZED (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 2.0 ELSE 1.0 END AS weight FROM labels WHERE quality = 1 AND toxic = 0),
+vec AS MATERIALIZED (SELECT doc_id, weight, term, (1.0 + ln(tf)) * idf AS v FROM tc JOIN pos USING (doc_id) JOIN idfs USING (term)), norms AS MATERIALIZED (SELECT doc_id, sqrt(sum(v * v)) AS norm FROM vec GROUP BY doc_id),
+raw AS MATERIALIZED (SELECT term, sum(v / norm * weight) AS c FROM vec JOIN norms USING (doc_id) GROUP BY term), len AS MATERIALIZED (SELECT sqrt(sum(c * c)) AS norm FROM raw)"""
 
 
-@_query(f"WITH {_CENTROID} SELECT term, round(c / sqrt((SELECT sum(c * c) FROM raw)), 6) AS c FROM raw")
+@_query(f"WITH {_CENTROID} SELECT term, round(c / norm, 6) AS c FROM raw, len")
 def centroid(spark, d):
     weights = read(spark, d, "labels").where("quality = 1 AND toxic = 0").select("doc_id", F.when(F.col("doc_id") % 2 == 0, 2.0).otherwise(1.0).alias("weight"))
     counts = settle(_counts(spark, d))
-    idf_ = tfidf.idf(tfidf.document_counts(counts), read(spark, d, "documents").count())
+    known = tfidf.idf(tfidf.document_counts(counts), read(spark, d, "documents").count(), "df")
+    few = known.where(F.col("df") > counts.count() // tfidf.FREQUENT).drop("df")
     chosen = counts.join(weights.select("doc_id"), "doc_id", "left_semi")
-    return tfidf.centroid(tfidf.weighted(chosen, idf_), weights).select("term", F.round("c", 6).alias("c"))
+    vectors = tfidf.by_term(chosen, known.drop("df"), few).select("doc_id", "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("v"))
+    return tfidf.centroid(vectors, weights).select("term", F.round("c", 6).alias("c"))
 
 
 @_query(f"""WITH t AS (SELECT 'c' || doc_id AS id, text, 0 AS side, 0.0 AS weight FROM documents UNION ALL SELECT 'p' || doc_id, text, 1, 2.0 FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND toxic = 0

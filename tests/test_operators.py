@@ -311,3 +311,63 @@ def test_one_word_names_by_their_parts(spark):
     parts = {1: ["ann smithson", "bo", "j doe"], 2: ["al bo"], 0: ["a author"]}
     want = {(k, n) for k, own in parts.items() for n in ("Smith", "bo", "O", "Zed", "mithso") for a in own if n.lower() in a} | {(1, "J. Doe")}
     assert {tuple(x) for x in got.collect()} == want
+
+
+def _plain_scores(papers, positive, negative, bigrams=True):
+    import math
+    import re
+    from collections import Counter
+
+    def terms(t):
+        w = [x for x in re.sub(r"[^a-z0-9]+", " ", t.lower()).split() if len(x) >= 3]
+        return Counter(w + [f"{a}_{b}" for a, b in zip(w, w[1:], strict=False)] * bigrams)
+
+    docs = [terms(t) for _, t in papers] + [terms(t) for _, t, _ in positive] + [terms(t) for _, t, _ in negative]
+    df = Counter(x for d in docs for x in d)
+    vec = [{x: (1 + math.log(n)) * (math.log((1 + len(docs)) / (1 + df[x])) + 1) for x, n in d.items()} for d in docs]
+    length = lambda v: math.sqrt(sum(x * x for x in v.values())) or 1.0
+
+    def middle(own, rows):
+        c = Counter()
+        for v, (*_, w) in zip(own, rows, strict=True):
+            for x, y in v.items():
+                c[x] += w * y / length(v)
+        return {x: y / length(c) for x, y in c.items()}
+
+    n, m = len(papers), len(papers) + len(positive)
+    p, q = middle(vec[n:m], positive), middle(vec[m:], negative)
+    return {k: sum(y * (p.get(x, 0) - q.get(x, 0)) for x, y in v.items()) / length(v) for (k, _), v in zip(papers, vec, strict=False)}
+
+
+@pytest.mark.parametrize("frequent", [1, 40, 10**9])
+def test_scores_with_terms_frequent_and_rare(spark, frequent):
+    """The same scores whether every term is shuffled, some or none."""
+    import random
+
+    r = random.Random(6)
+    words = [f"word{chr(97 + k)}" for k in range(20)]
+    say = lambda: " ".join(r.choice(words[: r.randrange(1, 21)]) for _ in range(r.randrange(0, 30)))
+    papers = [(k, say()) for k in range(40)]
+    positive, negative = [(k, say(), r.choice([1.0, 2.0])) for k in range(15)], [(k, say(), 1.0) for k in range(6)]
+    frame = lambda rows, extra="": spark.createDataFrame(rows, "doc_id long, text string" + extra)
+    for neg in (negative, []):
+        got = tfidf.scores(frame(papers), frame(positive, ", weight double"), frame(neg, ", weight double"), frequent=frequent)
+        want = _plain_scores(papers, positive, neg)
+        assert {x.doc_id: pytest.approx(x.score, abs=1e-9) for x in got.collect()} == want
+    assert all(x.score == 0 for x in tfidf.scores(frame(papers), frame([], ", weight double"), frame(negative, ", weight double")).collect())
+
+
+def test_a_term_of_all_documents_meets_in_no_task(spark):
+    counts = spark.range(60_000).select(F.col("id").alias("doc_id"), F.explode(F.array(F.lit("everywhere"), F.concat(F.lit("t"), (F.col("id") % 3000).cast("string")))).alias("term"), F.lit(1).alias("tf"))
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = tfidf.idf(tfidf.document_counts(counts), 60_000, "df")
+        got = tfidf.by_term(counts, known.drop("df"), known.where(F.col("df") > 120_000 // 1000).drop("df"))
+        sizes = got.select("idf", "tf").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert sum(sizes) == 120_000 and max(sizes) < 20_000
+    finally:
+        for k in ("shuffle.partitions", "adaptive.enabled", "autoBroadcastJoinThreshold"):
+            spark.conf.unset(f"spark.sql.{k}")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
