@@ -10,7 +10,7 @@ lengths on its own and over all tokens of the corpus, sets the ratio a token mus
 a few thousand rows whatever the corpus holds.
 
 Null text: empty, no spans. Spans are in code points, end exclusive. Repeated rows and null ids: each row has its own result.
-Empty table: no rows. Other columns are ignored. Time grows with the square of the number of spans of one text, in very small units.
+Empty table: no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,16 +49,28 @@ def _none(ddl: str) -> Column:
     return F.array().cast(ddl)
 
 
-def running(sizes: Column) -> Column:
-    """Sums of all elements before each one of an int array, by blocks, so that a long array costs little more than a short one."""
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, also where body uses it for each element of an array."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column] | None = None, start: int = 0) -> Column:
+    """Sums (or another associative combination) of all elements before each one of an int array, by blocks and blocks of blocks, so that a long array costs
+    little more than a short one."""
+    combine = combine or (lambda a, v: a + v)
 
     def add(acc: Column, v: Column) -> Column:
-        return F.struct(F.concat(acc["out"], F.array(acc["sum"])).alias("out"), (acc["sum"] + v).alias("sum"))
+        return F.struct(F.concat(acc["out"], F.array(acc["sum"])).alias("out"), combine(acc["sum"], v).alias("sum"))
+
+    zero = F.struct(_none("array<int>").alias("out"), F.lit(start).alias("sum"))
 
-    zero = F.struct(_none("array<int>").alias("out"), F.lit(0).alias("sum"))
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / _BLOCK).cast("int")), lambda b: F.aggregate(F.slice(sizes, b * _BLOCK + 1, F.lit(_BLOCK)), zero, add))
-    before = F.aggregate(F.transform(blocks, lambda b: b["sum"]), zero, add)["out"]
-    return F.when(F.size(sizes) == 0, _none("array<int>")).otherwise(F.flatten(F.zip_with(blocks, before, lambda b, o: F.transform(b["out"], lambda v: v + o))))
+    def scanned(v: Column, before: Callable[[Column], Column]) -> Column:
+        """The scan of an array by its blocks, given how to scan the blocks' sums."""
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / _BLOCK).cast("int")), lambda b: F.aggregate(F.slice(v, b * _BLOCK + 1, F.lit(_BLOCK)), zero, add))
+        return _let(cut, lambda blocks: F.flatten(F.zip_with(blocks, _let(F.transform(blocks, lambda b: b["sum"]), before), lambda b, o: F.transform(b["out"], lambda x: combine(o, x)))))
+
+    whole = _let(values, lambda v: F.when(F.size(v) > 0, scanned(v, lambda sums: scanned(sums, lambda more: F.aggregate(more, zero, add)["out"]))))
+    return F.coalesce(whole, _none("array<int>"))
 
 
 def _find(rows: DataFrame, name: str, pattern: str, guard: Column, group: int = 0) -> DataFrame:
@@ -96,11 +108,6 @@ def _base(rows: DataFrame) -> DataFrame:
     return rows.withColumn("base", F.array_sort(F.concat(_kind("assign", 8), _kind("access", 16), _kind("hex", 32)))).drop("assign", "access", "hex")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _tail(z: Column) -> Column:
     """Upper tail of the normal distribution, to about four decimals."""
     z = F.least(F.greatest(z, F.lit(-9.0)), F.lit(9.0))
@@ -171,11 +178,18 @@ def scan(docs: DataFrame, fdr: float = FDR, keep: tuple[str, ...] = ("doc_id",))
         test = F.lit(False)
         for size, ratio in sorted(reach.items()):
             test = test | ((m["found"]["class"] == size) & (m["found"]["ratio"] >= ratio))
-        clear = ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-        return test & m["found"]["passes"] & clear
+        return F.coalesce(test & m["found"]["passes"], F.lit(False))
 
+    # base spans and tokens that pass, by their starts: a token is clear if no base span before it ends behind its start, and none behind it starts before its end
     no = KINDS.index("random")
-    added = F.transform(F.filter("random", fine), lambda m: F.struct(m["start"].alias("start"), F.lit(no).alias("kind_no"), m["end"].alias("end"), F.lit("random").alias("kind")))
+    own = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), F.lit(True).alias("base")))
+    found = F.transform(F.filter("random", fine), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(False).alias("base")))
+    rows = rows.withColumn("both", F.when(F.size(found) == 0, F.array().cast("array<struct<start:int,end:int,base:boolean>>")).otherwise(F.array_sort(F.concat(own, found))))
+    rows = rows.withColumn("reached", running(F.transform("both", lambda x: F.when(x["base"], x["end"]).otherwise(F.lit(0))), F.greatest))
+    last = (1 << 31) - 1
+    rows = rows.withColumn("next", F.reverse(running(F.reverse(F.transform("both", lambda x: F.when(x["base"], x["start"]).otherwise(last))), F.least, last)))
+    clear = F.filter(F.arrays_zip("both", "reached", "next"), lambda x: ~x["both"]["base"] & (x["reached"] <= x["both"]["start"]) & (x["next"] >= x["both"]["end"]))
+    added = F.transform(clear, lambda m: F.struct(m["both"]["start"].alias("start"), F.lit(no).alias("kind_no"), m["both"]["end"].alias("end"), F.lit("random").alias("kind")))
     return rows.withColumn("added", added).withColumn("spans", F.array_sort(F.concat("base", "added"))).select(*keep, "base", "spans")
 
 
@@ -185,17 +199,18 @@ def listing(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each stretch of overlapping spans replaced by a mark."""
-    start = F.struct(F.lit(0).alias("at"), _none("array<string>").alias("out"))
+    """The text with each stretch of overlapping spans replaced by a mark. Spans are sorted by start."""
 
-    def add(acc: Column, s: Column) -> Column:
-        more = F.when(s["start"] >= acc["at"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(_none("array<string>"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], more).alias("out"))
+    # four bytes a code point: any part of a long text is cut out without counting from its beginning
+    def part(wide: Column, start: Column, end: Column) -> Column:
+        return F.decode(F.substring(wide, 4 * start + 1, 4 * (end - start)), "UTF-32")
 
-    def end(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
+    def body(x: Column) -> Column:
+        ends = F.transform(x["spans"], lambda s: s["end"])
+        pieces = F.transform(F.arrays_zip(x["spans"].alias("span"), running(ends, F.greatest).alias("reached")), lambda z: F.when(z["span"]["start"] >= z["reached"], F.array(part(x["wide"], z["reached"], z["span"]["start"]), F.lit(mark))).otherwise(_none("array<string>")))
+        return F.concat(F.array_join(F.flatten(pieces), ""), part(x["wide"], F.array_max(ends), F.length(text)))
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, add, end))
+    return F.when(F.size(spans) == 0, text).otherwise(_let(F.struct(F.encode(text, "UTF-32").alias("wide"), spans.alias("spans")), body))
 
 
 def without_secrets(docs: DataFrame, fdr: float = FDR, mark: str = "[SECRET]") -> DataFrame:

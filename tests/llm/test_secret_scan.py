@@ -1,6 +1,8 @@
+import math
 import random
 import re
 import string
+import time
 
 from folioscope.llm import secret_scan
 from pyspark.sql import functions as F
@@ -62,3 +64,96 @@ def test_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, None), (None, "token=abcdefgh")], "doc_id long, text string")
     assert sorted(len(r.spans) for r in secret_scan.scan(df).collect()) == [0, 1]
     assert secret_scan.scan(df.limit(0)).count() == 0
+
+
+HEX, B32, B62 = "0123456789abcdef", string.ascii_uppercase + "234567", string.ascii_uppercase + string.ascii_lowercase + string.digits
+
+
+def plain_judge(word):
+    """Length class, log likelihood ratio (None of digits alone) and whether no test rejects, from the tests' definitions."""
+    tail = lambda z: 1 / (1 + math.exp(1.5976 * max(-9, min(9, z)) + 0.07056 * max(-9, min(9, z)) ** 3))
+    same = word.replace("-", "+").replace("_", "/")
+    if set(word) <= set(HEX) or set(word) <= set(HEX.upper()):
+        alphabet, t = HEX, word.lower()
+    else:
+        alphabet, t = (B32 if set(word) <= set(B32) else B62 if set(same) <= set(B62) else B62 + "+/"), same
+    n, k = len(t), len(alphabet)
+    chi = sum((t.count(c) - n / k) ** 2 / (n / k) for c in alphabet)
+    uniform = tail((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))
+    half = {16: 8, 32: 16}.get(k, 31)
+    order = B62 + "+/" if k > 32 else alphabet
+    bits = [order.index(c) >= half for c in t]
+    ones, turns = sum(bits), 1 + sum(a != b for a, b in zip(bits, bits[1:], strict=False))
+    expected = 2 * ones * (n - ones) / n + 1
+    spread = (expected - 1) * (expected - 2) / (n - 1)
+    runs = 2 * tail(abs(turns - expected) / math.sqrt(spread)) if spread > 0 else 0.0
+    ranks = [alphabet.index(c) + 1 - (k + 1) / 2 for c in t]
+    serial = 2 * tail(abs(sum(a * b for a, b in zip(ranks, ranks[1:], strict=False))) / math.sqrt(n - 1) / ((k * k - 1) / 12))
+    share = {c: secret_scan.CLASSES[0] * p / 100 for c, p in zip(string.ascii_lowercase, secret_scan.LETTERS, strict=True)} | {c: secret_scan.CLASSES[1] * p / 100 for c, p in zip(string.ascii_uppercase, secret_scan.LETTERS, strict=True)}
+    share |= dict.fromkeys(string.digits, secret_scan.CLASSES[2] / 10) | dict.fromkeys("+/", secret_scan.CLASSES[3] / 2)
+    ratio = sum(-math.log(k) - math.log(share[c]) for c in same) if set(t) - set(string.digits) else None
+    return int(math.log2(n)), ratio, 3 * min(uniform, runs, serial) >= secret_scan.BATTERY
+
+
+def plain_thresholds(words, fdr):
+    """Benjamini-Hochberg a class: the least histogram step whose expected share of false finds stays below the rate."""
+    judged = [plain_judge(w) for w in words]
+    out = {}
+    for size in {c for c, *_ in judged}:
+        own = [(math.floor(max(-1.0, min(500.0, -1.0 if r is None else r)) * 8), ok) for c, r, ok in judged if c == size]
+        fine = [s for s in {s for s, _ in own} if math.exp(-s / 8) <= sum(ok for x, ok in own if x >= s) / len(own) * fdr]
+        if fine:
+            out[size] = min(fine) / 8
+    return out
+
+
+def test_added_spans_against_brute_force(spark):
+    texts, keys, _ = corpus()
+    r = random.Random(3)
+    texts += [" ".join("".join(r.choice(a) for _ in range(r.choice([20, 24, 40, 70]))) for a in (HEX, HEX.upper(), B32, B62, B62 + "-_", "01", "ab12")) for _ in range(60)]
+    texts += [f"token={keys[0]} {keys[1]} AKIA{'A1' * 12} {keys[2]}" for _ in range(3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    words = [w for t in texts if t for w in re.findall(secret_scan.TOKEN, t)]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", secret_scan.judge(F.col("w")).alias("j")).collect()
+    for x in got:
+        size, ratio, passes = plain_judge(x.w)
+        assert (x.j["class"], x.j.passes) == (size, passes) and (x.j.ratio is None) == (ratio is None) and (ratio is None or abs(ratio - x.j.ratio) < 1e-6), x.w
+    reach = plain_thresholds(words, secret_scan.FDR)
+    assert secret_scan.thresholds(df) == reach and len(reach) > 1
+    n = 0
+    for row in secret_scan.scan(df).collect():
+        text, own = texts[row.doc_id] or "", brute(texts[row.doc_id])
+        want = []
+        for m in re.finditer(secret_scan.TOKEN, text):
+            size, ratio, passes = plain_judge(m[0])
+            if passes and ratio is not None and size in reach and ratio >= reach[size] and not any(a < m.end() and m.start() < b for a, _, b, _ in own):
+                want.append((m.start(), 3, m.end(), "random"))
+        assert [tuple(s) for s in row.spans if s.kind == "random"] == want
+        n += len(want)
+    assert n > 100
+
+
+def test_other_scans_of_arrays(spark):
+    for n in (0, 1, 129, 20_000):
+        a = [(i * 7919) % 1000 for i in range(n)]
+        got = spark.createDataFrame([(a,)], "a array<int>").select(secret_scan.running(F.col("a"), F.greatest).alias("up"), secret_scan.running(F.col("a"), F.least, 5000).alias("down"), secret_scan.running(F.col("a")).alias("sum")).first()
+        for name, start, f in (("up", 0, max), ("down", 5000, min), ("sum", 0, lambda x, y: x + y)):
+            want, acc = [], start
+            for v in a:
+                want.append(acc)
+                acc = f(acc, v)
+            assert got[name] == want
+
+
+def test_many_spans_in_one_text_take_time_in_proportion(spark):
+    def took(n):
+        text = "token=abcdefgh1 é " * n
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.monotonic()
+        row = secret_scan.scan(df, keep=("doc_id", "text")).select(F.size("base").alias("n"), secret_scan.redact(F.col("text"), F.col("spans")).alias("t")).first()
+        assert row.n == n and row.t == "[SECRET] é " * n
+        return time.monotonic() - began
+
+    took(10)
+    short = took(2_000)
+    assert took(32_000) < 16 * short + 20
