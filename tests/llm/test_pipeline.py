@@ -4,8 +4,9 @@ import corpus_pipeline
 from folioscope.llm import bpe, toxicity
 from folioscope.llm.queries import tokenizer_path
 from test_decontam import brute as leaks
+from test_near_sets import shingles, similar
 from test_secret_scan import brute as secrets
-from test_simhash import groups, plain
+from test_simhash import groups
 
 
 def test_stages_against_brute_force(spark, tmp_path):
@@ -17,6 +18,14 @@ def test_stages_against_brute_force(spark, tmp_path):
     for i in range(300):
         texts.append(say(r.randint(30, 90)) + (" loser idiot moron" if i % 5 == 0 else ""))
         toxic[i] = int(i % 5 == 0)
+    near = [len(texts)]  # a text and changed copies of it, each further from it than the one before
+    words = say(90).split()
+    texts.append(" ".join(words))
+    for k in range(8):
+        words = list(words)
+        words[10 * k + 4] = f"new{k}"
+        near.append(len(texts))
+        texts.append(" ".join(words))
     texts += [texts[1]] * 3 + [texts[2].replace(" ", "  "), say(9) + " " + item + " " + say(9), say(20) + " token=abcdef123456 " + say(20), None, ""]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long, grams string")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
@@ -32,9 +41,12 @@ def test_stages_against_brute_force(spark, tmp_path):
             assert at.columns == docs.columns
     left = {i: texts[i] for i in seen["toxicity"]}
     assert sum(toxic.get(i, 0) for i in left) <= 2 and len(left) >= len(texts) - 62
-    fp = {i: plain(t) for i, t in left.items()}
-    root = groups(sorted(fp), [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 3])
+    sets = {i: shingles(t) for i, t in left.items()}
+    root = groups(sorted(sets), [(a, b) for a in sets for b in sets if a < b and similar(sets[a], sets[b])])
     assert set(seen["simhash_near_dedup"]) == set(root.values())
+    # texts between copies and a similarity of 0.8, linked to the next and not to the first
+    shares = [len(sets[near[0]] & sets[k]) / len(sets[near[0]] | sets[k]) for k in near[1:]]
+    assert 0.8 <= shares[0] < 0.97 and all(x < 0.8 for x in shares[1:]) and {root[k] for k in near} == {root[near[0]]}
     left = sorted(seen["simhash_near_dedup"])
     dirty = {i for i, x in zip(left, leaks([texts[i] for i in left], [(1, item)], 10), strict=True) if x[3]}
     assert dirty and set(seen["benchmark_decontamination"]) == set(left) - dirty
