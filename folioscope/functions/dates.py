@@ -27,6 +27,7 @@ def in_window(c: Column, end: Column, days: int = 7) -> Column:
 
 def doi_date(c: Column, version: bool = False) -> Column:
     """The first-posted date that a preprint's DOI spells out; `version`: a version mark may follow it."""
+    # Fixed value: how a preprint's DOI spells a date out.
     pattern = r"/(20\d{2})\.(\d{2})\.(\d{2})(?:\.|v|$)" if version else r"/(20\d{2})\.(\d{2})\.(\d{2})(?:\.|$)"
     s = F.lower(text_or_blank(c))
     return _date(F.nullif(F.regexp_extract(s, pattern, 1), F.lit("")), F.regexp_extract(s, pattern, 2), F.regexp_extract(s, pattern, 3))
@@ -55,6 +56,7 @@ def feed_date(*tags: Column) -> Column:
 
     def one(c: Column) -> Column:
         s = field(c)
+        # The forms in which feeds write times.
         rss = F.regexp_replace(F.nullif(F.regexp_extract(s, r"(\d{1,2}\s+\w{3}\s+\d{4}\s+\d{2}:\d{2}:\d{2})", 1), F.lit("")), r"\s+", " ")
         january = F.regexp_replace(rss, "[A-Za-z]{3}", "Jan")  # what an unknown month is taken for
         by_rss = F.coalesce(F.try_to_timestamp(rss, F.lit("d MMM yyyy HH:mm:ss")), F.try_to_timestamp(january, F.lit("d MMM yyyy HH:mm:ss")))
@@ -81,6 +83,7 @@ def first_iso(*columns: Column) -> Column:
 
 def normalized_date(c: Column) -> Column:
     """A date of the 2000s with one- or two-digit parts anywhere in a text; impossible dates are null."""
+    # The forms in which pages write dates.
     s, pattern = field(c), r"\b(20\d{2})[-/.](\d{1,2})[-/.](\d{1,2})\b"
     numeric = _date(F.nullif(F.regexp_extract(s, pattern, 1), F.lit("")), F.regexp_extract(s, pattern, 2), F.regexp_extract(s, pattern, 3))
     spelled = (F.try_to_date(s, fmt) for fmt in ("MMMM d, y", "MMM d, y", "d MMM y", "MMM d y"))
@@ -96,6 +99,7 @@ def preferred_date(dates: Column, start: Column, end: Column) -> Column:
 def metadata_dates(html: Column) -> Column:
     """Dates that a page states about itself, in its meta tags and its structured data; texts, as they stand."""
     html = text_or_blank(html)
+    # The names under which pages state dates.
     tags = F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*>"), F.lit(0))
     named = F.filter(tags, lambda t: t.rlike(r"""(?i)(?:name|property|itemprop)\s*=\s*["'][^"']*(?:citation_(?:publication_)?date|dc\.date|datepublished|article:published_time|prism\.publicationdate)"""))
     contents = F.transform(named, lambda t: F.regexp_extract(t, r"""(?i)content\s*=\s*["']([^"']*)["']""", 1))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .text import clean_url, field, known, strip_markdown, stripped, text_or_blank
 
+# Fixed value: what a DOI looks like in running text.
 _DOI = r"10\.\d{4,9}/[-._;()/:A-Za-z0-9]+"
 _NO_KEYS = "array<string>"
 
@@ -108,6 +109,7 @@ def source_of_url(link: Column) -> Column:
 def doi_of_link_or_html(link: Column, html: Column) -> Column:
     """The first DOI found: in the link in one of four forms, then in the page's metadata, then anywhere in the page."""
     link, html = text_or_blank(link), text_or_blank(html)
+    # Where pages and links state a DOI, in the order in which they are believed.
     candidates = (
         _found(link, r"(?i)doi\.org/(10\.\d{4,9}/[^?#]+)", 1),
         _found(link, r"(?i)/doi/(?:abs/|full/)?(10\.\d{4,9}/[^?#]+)", 1),

@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .shared import opened, qualified, read_if_there, write_whole
 
@@ -135,15 +136,23 @@ def candidates(papers: DataFrame, path: str) -> None:
 def stage(papers: DataFrame, path: str, from_date: str, name: str) -> None:
     """A source's result as a partition, so that a restart reads it instead of asking again."""
     writer = papers.withColumns({"from_date": F.lit(from_date), "stage": F.lit(name)}).write.option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("from_date", "stage").mode("overwrite").parquet(path)
+    writer.partitionBy("from_date", "stage").mode("overwrite").parquet(f"{path}/rows")
+    # a stage without rows is done too, so that what it asked isn't asked again; its mark comes last
+    write_whole(f"{qualified(papers.sparkSession, path)}/done/{from_date}/{name}", [json.dumps({"from_date": from_date, "stage": name, "schema": papers.schema.json()}).encode()])
 
 
 def restored(spark: SparkSession, path: str, from_date: str, name: str) -> DataFrame | None:
-    """A stage of the current window, or null; stages of other windows are stale."""
-    if (rows := read_if_there(spark, path)) is None:
+    """A stage of the current window, with or without rows, or null if it isn't done; stages of other windows are stale."""
+    fs, at = opened(f"{qualified(spark, path)}/done/{from_date}/{name}")
+    try:
+        with fs.open_input_stream(at) as f:
+            kind = StructType.fromJson(json.loads(json.loads(f.read())["schema"]))
+    except FileNotFoundError:
         return None
-    rows = rows.where((F.col("from_date") == from_date) & (F.col("stage") == name))
-    return None if rows.isEmpty() else rows.drop("from_date", "stage")
+    rows = read_if_there(spark, f"{path}/rows", StructType([*kind.fields, StructField("from_date", StringType()), StructField("stage", StringType())]))
+    if rows is None:
+        return spark.createDataFrame([], kind)
+    return rows.where((F.col("from_date") == from_date) & (F.col("stage") == name)).drop("from_date", "stage")
 
 
 def forget(spark: SparkSession, path: str) -> None:

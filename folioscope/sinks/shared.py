@@ -12,6 +12,7 @@ from weakref import WeakKeyDictionary
 import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Bytes for each task that writes a table of a known size.
 FILE_BYTES = 8 << 20
@@ -90,7 +91,7 @@ def write_whole(path: str, parts: Iterable[bytes]) -> None:
         fs.move(draft, at)
 
 
-def read_if_there(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame | None:
     """A table, or null if nothing was written there yet. Any other failure to read is an error."""
     try:
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)

@@ -106,6 +106,8 @@ def test_sinks(spark, tmp_path):
     sinks.stage(rows, str(tmp_path / "stages"), "2026-08-03", "rss")
     sinks.stage(rows.where("seq = 1"), str(tmp_path / "stages"), "2026-08-03", "arxiv")
     assert sinks.restored(spark, str(tmp_path / "stages"), "2026-08-03", "rss").count() == 2
+    sinks.stage(rows.limit(0), str(tmp_path / "stages"), "2026-08-03", "empty")  # a stage that rightly has no rows is done
+    assert sinks.restored(spark, str(tmp_path / "stages"), "2026-08-03", "empty").count() == 0
     assert sinks.restored(spark, str(tmp_path / "stages"), "2026-07-27", "rss") is None and sinks.restored(spark, str(tmp_path / "none"), "x", "y") is None
     sinks.swap(rows, str(tmp_path / "table"))
     sinks.swap(sinks.current(spark, str(tmp_path / "table")).where("seq = 2"), str(tmp_path / "table"))
@@ -325,3 +327,64 @@ def test_keyed_state_over_batches_and_restarts(spark, tmp_path):
     assert [k for k, _ in got] == [1, 2, 3, 9, 6, 10, 8]
     assert dict(got)[6] == datetime(2026, 7, 1)  # the day of first posting
     assert read == [5, 6, 4]  # keys of the batch, not of all before
+
+
+def _commit(repo, day, **files):
+    import subprocess
+
+    for name, body in files.items():
+        (repo / f"{name}.json").unlink(missing_ok=True)
+        if body is not None:
+            (repo / f"{name}.json").write_text(body)
+    when = f"{day}T12:00:00+0000"
+    run = lambda *a: subprocess.run(["git", "-C", str(repo), "-c", "user.name=x", "-c", "user.email=x@y", *a], check=True, capture_output=True, env={"PATH": "/usr/bin:/bin", "GIT_AUTHOR_DATE": when, "GIT_COMMITTER_DATE": when})
+    run("add", "-A")
+    run("commit", "-qm", day)
+
+
+def test_history_asks_git_for_each_version(spark, tmp_path):
+    import subprocess
+
+    from folioscope.sources import history
+
+    subprocess.run(["git", "init", "-q", str(tmp_path)], check=True)
+    paper = lambda *ids: json.dumps([{"source": "s", "title": f"T{i}", "link": f"l{i}", "date": f"2026-08-{i:02d}T00:00:00+00:00", "images": []} for i in ids])
+    _commit(tmp_path, "2026-08-03", papers=paper(1))
+    _commit(tmp_path, "2026-08-05", papers=paper(1, 2))
+    _commit(tmp_path, "2026-08-06", other="x")
+    _commit(tmp_path, "2026-08-09", papers=None, keep="1")  # deleted at the end of its week
+    _commit(tmp_path, "2026-08-10", papers=paper(3, 4))
+    _commit(tmp_path, "2026-08-17", papers="no json")
+    every = history.versions(spark, str(tmp_path), "papers.json")
+    assert every.rdd.getNumPartitions() == 5
+    assert [(str(r.week), r.commit_no) for r in every.orderBy("commit_no").collect()] == [("2026-08-03", 0), ("2026-08-03", 1), ("2026-08-10", 3), ("2026-08-17", 4)]
+    rows = history.snapshots(spark, str(tmp_path))
+    assert [(r.week, r.link) for r in rows.orderBy("seq").collect()] == [("2026-08-03", "l1"), ("2026-08-03", "l2"), ("2026-08-10", "l3"), ("2026-08-10", "l4")]
+    lines = spark.createDataFrame([("2026-08-03", 0, "## Some Papers"), ("2026-08-03", 1, "#### [T2](<l2>)"), ("2026-08-10", 0, "#### [T3](<l3>)")], "week string, pos long, line string")
+    told = {(r.week, r.title): (r.label, r.selected_section) for r in pipeline.label_history(rows, lines).collect()}
+    assert told == {("2026-08-03", "T1"): ("rejected", None), ("2026-08-03", "T2"): ("selected", "some"), ("2026-08-10", "T3"): ("selected", "more"), ("2026-08-10", "T4"): ("rejected", None)}
+    dates = history.known_dates(spark, str(tmp_path))
+    assert sorted((r.link, r.date[:10]) for r in dates.collect()) == [("l1", "2026-08-01")] * 2 + [("l2", "2026-08-02"), ("l3", "2026-08-03"), ("l4", "2026-08-04")]
+    with pytest.raises(Exception, match="no git repository"):
+        history.versions(spark, f"{tmp_path}/none", "papers.json").collect()
+
+
+def test_archive_cascade(spark, tmp_path):
+    """One category by the API, one by its listing, one by its feed; an id found before isn't taken again."""
+    from folioscope.sources import cascade, lookups
+
+    entry = lambda i, d: f"<entry><title>Paper {i}</title><id>http://arxiv.org/abs/{i}v1</id><link href='http://arxiv.org/abs/{i}v1'/><published>{d}T00:00:00Z</published><summary>S</summary><author><name>A B</name></author></entry>"
+    feed = lambda *e: "<feed xmlns='http://www.w3.org/2005/Atom'>" + "".join(e) + "</feed>"
+    line = lambda i: f"<a href='/abs/{i}'>arXiv:{i}</a>\n<span class='descriptor'>Title:</span> Listed {i}</div>\n<div class='list-authors'><a href='x'>C D</a></div>"
+    item = lambda i, d: f"<item><title>Fed {i}</title><link>https://arxiv.org/abs/{i}</link><description>D</description>{d}</item>"
+    api = lambda c, k: lookups.arxiv_url(c, 2).replace("{cursor}", str(k))
+    _stored(tmp_path, {
+        api("a", 0): feed(entry("2608.1", "2026-08-09"), entry("2608.2", "2026-08-04")), api("a", 2): feed(entry("2607.9", "2026-07-01")),
+        api("b", 0): feed(entry("2608.3", "2026-08-09"), entry("2608.4", "2026-08-08")),  # and then no page
+        cascade.listing_url("b"): "<h3>Wed, 05 Aug 2026 (showing 2 of 2 entries )</h3>\n" + line("2608.4") + "\n" + line("2608.5"),
+        "https://arxiv.org/abs/2608.5": '<blockquote class="abstract mathjax"> <span class="descriptor">Abstract:</span> Of\n <b>five</b>. </blockquote>',
+        cascade.feed_url("c"): "<rss><channel>" + item("2608.1", "<pubDate>Wed, 05 Aug 2026 10:00:00 GMT</pubDate>") + item("2608.6", "<pubDate>Wed, 05 Aug 2026 10:00:00 GMT</pubDate>") + item("2608.7", "") + "</channel></rss>",
+    })
+    got = cascade.archive_papers(spark, ["a", "b", "c"], F.lit("2026-08-03").cast("timestamp"), F.lit("2026-08-10").cast("timestamp"), str(tmp_path), size=2, retries=1)
+    assert sorted((r.title, r.abstract, str(r.date)[:10]) for r in got.collect()) == [("Fed 2608.6", "D", "2026-08-05"), ("Listed 2608.5", "Of five.", "2026-08-05"), *((f"Paper 2608.{i}", "S", d) for i, d in ((1, "2026-08-09"), (2, "2026-08-04"), (3, "2026-08-09"), (4, "2026-08-08")))]
+    assert got.columns == list(cascade.PAPER_COLUMNS)
