@@ -56,6 +56,19 @@ def crossref_records(spark, d):
     return records.crossref_papers(items, "C", F.lit("2027-01-01").cast("date"), _end()).select(number, "title", "authors", "link", "abstract", _day("date").alias("date"))
 
 
+@_query("SELECT doc_id, 'On ' || source AS title, strftime(DATE '2026-07-20' + CAST(doc_id % 20 AS INT), '%Y-%m-%d') AS date FROM documents WHERE source IS NOT NULL AND DATE '2026-07-20' + CAST(doc_id % 20 AS INT) >= DATE '2026-08-03'")
+def search_results(spark, d):
+    """Results of many searches, each of which must state as many hits as it returned, as publications."""
+    s = F.col("doc_id").cast("string")
+    day = F.date_format(F.date_add(F.lit("2026-07-20").cast("date"), (F.col("doc_id") % 20).cast("int")), "yyyy-MM-dd")
+    kind = F.struct(F.array(F.lit("Journal Article")).alias("pubType")).alias("pubTypeList")
+    item = F.to_json(F.struct(s.alias("id"), F.lit("MED").alias("source"), F.concat(F.lit("On <i>"), "source", F.lit("</i>")).alias("title"), F.lit("A B").alias("authorString"), day.alias("firstPublicationDate"), F.lit("body text " * 12).alias("abstractText"), kind))
+    found = read(spark, d, "documents").where("source IS NOT NULL").select("source", F.floor(F.col("doc_id") / 50).alias("part"), item.alias("item")).groupBy("source", "part").agg(F.count("*").alias("n"), F.array_join(F.collect_list("item"), ",").alias("items"))
+    bodies = found.select(F.concat(F.lit('{"hitCount": '), F.col("n").cast("string"), F.lit(', "resultList": {"result": ['), "items", F.lit("]}}")).alias("body"))
+    rows = records.europepmc_papers(records.europepmc_items(bodies), "Journal", F.lit("2026-08-03").cast("date"))
+    return rows.select(F.regexp_extract("link", r"/(\d+)$", 1).cast("long").alias("doc_id"), "title", F.date_format("date", "yyyy-MM-dd").alias("date"))
+
+
 @_query("""SELECT doc_id, 'T ' || source AS title, CASE WHEN doc_id % 2 = 0 THEN 'Given A' ELSE source || ', B' END AS authors, CASE WHEN doc_id % 3 = 0 THEN 'https://europepmc.org/article/MED/' || doc_id ELSE 'https://doi.org/10.1/a' || doc_id END AS link,
   strftime(DATE '2026-07-20' + CAST(doc_id % 20 AS INT), '%Y-%m-%d') AS date FROM documents WHERE doc_id % 5 <> 0 AND DATE '2026-07-20' + CAST(doc_id % 20 AS INT) >= DATE '2026-08-03'""")
 def europepmc_records(spark, d):

@@ -7,7 +7,9 @@ import xml.etree.ElementTree as ET
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from .. import schema
 from ..functions import dates, html, keys, text
 from ..operators.filters import feed_defect, in_section, is_green, is_research
 
@@ -168,13 +170,28 @@ def biorxiv_papers(items: DataFrame, collection: str, now: Column, end: Column,
     ).where(dates.in_window(F.col("date"), end, days))
 
 
-def require_complete(payload: DataFrame, hits: Column, got: Column) -> None:
-    """Raises if a search says it has no record, or more than it returned."""
-    row = payload.select(hits.alias("hits"), got.alias("got")).first()
-    if not row or not row["hits"]:
+def require_complete(searches: DataFrame, hits: Column, got: Column) -> None:
+    """Raises if there is no search, or if one of them says it has no record, or more than it returned. A row a search."""
+    counts = searches.select(hits.alias("hits"), got.alias("got"))
+    none = F.coalesce("hits", F.lit(0)) == 0
+    bad = counts.where(none | (F.col("hits") > F.coalesce("got", F.lit(0)))).first()
+    if bad and bad["hits"]:
+        raise ValueError(f"only {bad['got'] or 0} of {bad['hits']} records")
+    if bad or counts.isEmpty():
         raise ValueError("no records; completeness can't be confirmed")
-    if row["hits"] > row["got"]:
-        raise ValueError(f"only {row['got']} of {row['hits']} records")
+
+
+def europepmc_items(bodies: DataFrame) -> DataFrame:
+    """Records of search results (body). Raises unless every search returned all that it found."""
+    fields = f"hitCount long, resultList struct<result:array<struct<{_struct(schema.EUROPEPMC)}>>>"
+    told = bodies.select(F.from_json("body", fields).alias("s")).select("s.*")
+    require_complete(told, F.col("hitCount"), F.size("resultList.result"))
+    return told.select(F.explode("resultList.result").alias("r")).select("r.*")
+
+
+def _struct(ddl: str) -> str:
+    """The fields of a DDL schema as those of a struct."""
+    return StructType.fromDDL(ddl).simpleString()[len("struct<") : -1]
 
 
 def listing_papers(pages: DataFrame, oldest: Column, reach: int = 20) -> DataFrame:

@@ -66,6 +66,12 @@ def test_europepmc(spark):
         records.europepmc_papers(make([good | {"abstractText": ""}]), "J", F.lit("2026-08-03").cast("date")).collect()
     with pytest.raises(ValueError, match="only 1 of 2"):
         records.require_complete(make([good]), F.lit(2), F.lit(1))
+    result = lambda n, *rows: json.dumps({"hitCount": n, "resultList": {"result": list(rows)}})
+    bodies = lambda *b: spark.createDataFrame([(x,) for x in b], "body string")
+    assert [r.id for r in records.europepmc_items(bodies(result(1, good), result(2, good | {"id": "2"}, editorial))).orderBy("id").collect()] == ["2", "42568184", "e"]
+    for broken, why in ((bodies(result(1, good), result(3, good, editorial)), "only 2 of 3"), (bodies(result(1, good), result(0)), "no records"), (bodies("<html>"), "no records"), (bodies(), "no records")):
+        with pytest.raises(ValueError, match=why):
+            records.europepmc_items(broken)
 
 
 def test_crossref_and_biorxiv(spark):
