@@ -13,7 +13,9 @@ The reference is the corpus itself, which no broadcast can hold, so its shards a
 4. repeated windows come back to their document as bit masks, and the maximal spans they cover are removed.
 
 Before any shuffle a task settles what repeats within its own step of texts and sends one representative, so a passage that
-stands in a third of all documents costs one row per step, not one per document. Texts are shuffled once; both joins read that exchange.
+stands in a third of all documents costs one row per step, not one per document. Anchors that a sample of the texts shows to be frequent are dealt
+to `SALTS` keys each: anchors meet in two rounds, the second with a row for each of those keys, and a frequent anchor's stretches make as many cut
+shards. The sample steers the time, never the result. Texts are shuffled once; both joins read that exchange.
 
 Null text: no words. Fewer words than a window: kept whole. Repeated rows: repeated windows like any other. Null doc_id: kept.
 Rows that share doc_id and text share their result. Empty table: no rows. Other columns are ignored.
@@ -31,10 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
+from .lineage import settle
 
 WINDOW, GRAM = 35, 8
 #: Stretches of one shard, at most; an automaton of so many takes a few tens of MB.
 SHARD = 1024
+#: Texts of the sample, in how many places of it an anchor is frequent, how many such anchors are told apart at most, and keys for each.
+SAMPLE, OFTEN, FREQUENT, SALTS = 10_000, 64, 100_000, 256
 _PLACE_BITS = 30  # words that one step may hold; the other bits of an anchor's hash decide which gram is least
 
 ROW = pa.schema([("key", pa.int64()), ("rid", pa.int64()), ("pos", pa.int32()), ("sent", pa.int64()), ("known", pa.int64()), ("words", pa.binary())])
@@ -136,7 +141,33 @@ def _spread(rid: np.ndarray) -> np.ndarray:
     return T.mix(rid.view(np.uint64)).view(np.int64)
 
 
-def _anchor_rows(window: int, gram: int):
+def _keys(anchors: np.ndarray, rid: np.ndarray, hot: np.ndarray, salts: int) -> np.ndarray:
+    """Keys of anchors: even ones; of those in `hot`, which is sorted, one of `salts` odd ones by document."""
+    even = anchors & ~1
+    if not len(hot):
+        return even
+    frequent = hot[np.minimum(np.searchsorted(hot, even), len(hot) - 1)] == even
+    salt = (_spread(rid).view(np.uint64) % T.U64(salts)) + T.U64(1)
+    return np.where(frequent, T.mix(even.view(np.uint64) + salt * T.U64(0x9E3779B97F4A7C15)).view(np.int64) | 1, even)
+
+
+def _frequent(rows: DataFrame, window: int, gram: int) -> np.ndarray:
+    """Sorted even keys of the anchors that stand in many places of a sample of the texts."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            for part in T.steps(batch, "text"):
+                step = Step(part, window, gram)
+                key, n = np.unique(step.grams[np.unique(step.anchors)].view(np.int64) & ~1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+
+    share = max(1, rows.count() // SAMPLE)
+    some = rows.where(F.pmod(F.xxhash64("rid"), F.lit(share)) == 0).select("text").mapInArrow(run, "key long, n long")
+    many = some.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "key").limit(FREQUENT)  # 8 bytes each
+    return np.sort(np.array([r["key"] for r in many.collect()], np.int64))
+
+
+def _anchor_rows(window: int, gram: int, hot: np.ndarray, salts: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for part in T.steps(batch, "text"):
@@ -151,13 +182,35 @@ def _anchor_rows(window: int, gram: int):
                 is_first = np.zeros(len(at), bool)
                 is_first[first] = True
                 send = ~multi | is_first  # one representative of what repeats within the step
-                key = np.where(send, key, _spread(rid))
-                yield T.batches({"key": key, "rid": rid, "pos": pos, "sent": send.astype(np.int64), "known": multi.astype(np.int64), "words": pa.array([b""] * len(at), pa.binary())}, ROW)
+                dealt = np.where(send, _keys(key, rid, hot, salts), _spread(rid))
+                # a salted row carries what its key was
+                words = pa.array([k.tobytes() if s and d & 1 else b"" for k, s, d in zip(key & ~1, send, dealt, strict=True)] if len(hot) else [b""] * len(at), pa.binary())
+                yield T.batches({"key": dealt, "rid": rid, "pos": pos, "sent": send.astype(np.int64), "known": multi.astype(np.int64), "words": words}, ROW)
 
     return run
 
 
-def _window_rows(window: int, gram: int):
+def _first_round(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Salted anchors sorted by key: of equal keys one goes on under the anchor's own key, and where there are several, all are known to repeat."""
+    before: tuple[int, int, int, bool] | None = None  # key, rid and pos of the last row, and whether it was the first of its key
+    for batch in source:
+        if not batch.num_rows:
+            continue
+        key, rid, pos, known = (batch.column(c).to_numpy() for c in ("key", "rid", "pos", "known"))
+        first = np.append(before is None or before[0] != key[0], key[1:] != key[:-1])
+        own = np.frombuffer(b"".join(batch.column("words").to_pylist()), np.int64)
+        rest = np.flatnonzero(~first)
+        # the first row of a key is known to repeat once there is a second one
+        second = np.flatnonzero(~first & np.append(before is not None and before[3], first[:-1]))
+        head_rid, head_pos = (np.where(second > 0, x[second - 1], 0 if before is None else b) for x, b in ((rid, before and before[1]), (pos, before and before[2])))
+        known_rid, known_pos = np.concatenate([rid[rest], head_rid]), np.concatenate([pos[rest], head_pos])
+        n, m = int(first.sum()), len(known_rid)
+        columns = {"key": np.concatenate([own[first], _spread(known_rid.astype(np.int64))]), "rid": np.concatenate([rid[first], known_rid]), "pos": np.concatenate([pos[first], known_pos]), "sent": np.append(np.ones(n, np.int64), np.zeros(m, np.int64)), "known": np.concatenate([known[first], np.ones(m, np.int64)])}
+        yield T.batches({**columns, "words": pa.array([b""] * (n + m), pa.binary())}, ROW)
+        before = int(key[-1]), int(rid[-1]), int(pos[-1]), bool(first[-1])
+
+
+def _window_rows(window: int, gram: int, hot: np.ndarray, salts: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for part in T.steps(batch, "text"):
@@ -192,7 +245,7 @@ def _window_rows(window: int, gram: int):
                 begin, end = step.starts[windows[head]].tolist(), step.ends[np.maximum(last, 0) + window - 1].tolist()
                 words = [whole[a:b] if n >= 0 else b"" for a, b, n in zip(begin, end, last.tolist(), strict=True)]
                 rid = part.column("rid").to_numpy()[step.row[windows[head]]]
-                key = np.where(sent != 0, step.grams[anchors[head]].view(np.int64), _spread(rid))
+                key = np.where(sent != 0, _keys(step.grams[anchors[head]].view(np.int64), rid, hot, salts), _spread(rid))
                 yield T.batches({"key": key, "rid": rid, "pos": windows[head] - step.base[step.row[windows[head]]], "sent": sent, "known": known, "words": pa.array(words, pa.binary())}, ROW)
 
     return run
@@ -284,6 +337,7 @@ def _shards(window: int, most: int):
                 out[c].append(v)
 
         def settle(rows: list[tuple], cut: bool) -> None:
+            gone: set[int] = set()
             for (rid, pos, sent, _, words), mask in zip(rows, _shard([r[2:] for r in rows], window), strict=True):
                 if mask:
                     put(rid, rid, pos, 0, mask)
@@ -291,6 +345,10 @@ def _shards(window: int, most: int):
                     tokens = words.split()
                     for b in _bits(sent):
                         key = xxhash.xxh64_intdigest(b" ".join(tokens[b : b + window])) - (1 << 63)
+                        if mask >> b & 1:  # repeated here already; one of them is enough to tell other shards
+                            if key in gone:
+                                continue
+                            gone.add(key)
                         put(key, rid, pos + b, 1, mask >> b & 1)
 
         def flush() -> pa.RecordBatch:
@@ -309,7 +367,7 @@ def _shards(window: int, most: int):
                 if k != key:
                     if held:
                         settle(held, cut)
-                    key, held, cut = k, [], False
+                    key, held, cut = k, [], bool(k & 1)  # a frequent anchor's shards are cut
                 elif len(held) >= most:
                     cut = True
                     settle(held, cut)
@@ -338,10 +396,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     if not gram <= window <= gram + 62:
         raise ValueError("a window's starts around one anchor must fit a 64-bit mask")
     rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
-    anchors = _marks(rows.select("rid", "text").mapInArrow(_anchor_rows(window, gram), ROW_DDL))
+    hot = _frequent(rows, window, gram)
+    found = rows.select("rid", "text").mapInArrow(_anchor_rows(window, gram, hot, SALTS), ROW_DDL)
+    if len(hot):
+        found = settle(found)
+        salted = (F.col("sent") != 0) & (F.col("key").bitwiseAND(1) == 1)
+        found = found.where(~salted).unionByName(_sorted(found.where(salted)).mapInArrow(_first_round, ROW_DDL))
+    anchors = _marks(found)
     places = anchors.groupBy("rid").agg(F.collect_list("pos").alias("found"))
     some = rows.join(places.hint("shuffle_hash"), "rid").select("rid", "doc_id", "text", "found")
-    shards = _sorted(some.mapInArrow(_window_rows(window, gram), ROW_DDL)).mapInArrow(_shards(window, SHARD), ROW_DDL)
+    shards = _sorted(some.mapInArrow(_window_rows(window, gram, hot, SALTS), ROW_DDL)).mapInArrow(_shards(window, SHARD), ROW_DDL)
     masks = _marks(shards)
     removed = masks.groupBy("rid").agg(F.collect_list(F.struct("pos", "mask")).alias("found"))
     out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])

@@ -2,9 +2,18 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from folioscope.llm import repeats
 
 
+@pytest.fixture
+def short_batches(spark):
+    """Many steps of few texts each."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def brute(texts, window):
     words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
     seen = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
@@ -56,6 +65,30 @@ def test_cut_shards(spark, monkeypatch):
     test_against_brute_force(spark, monkeypatch)
 
 
+def test_frequent_anchors_in_two_rounds(spark, monkeypatch, short_batches):
+    """With anchors that count as frequent from two places on, and with few keys for each, so that both rounds have work."""
+    for often, salts, shard in ((2, 3, 1024), (1, 2, 3), (5, 50, 2)):
+        for name, value in (("OFTEN", often), ("SALTS", salts), ("SHARD", shard)):
+            monkeypatch.setattr(repeats, name, value)
+        test_against_brute_force(spark, monkeypatch)
+    test_nulls_and_empty(spark)
+
+
+def test_a_frequent_anchor_is_dealt_to_many_tasks(spark, monkeypatch, short_batches):
+    monkeypatch.setattr(repeats, "SALTS", 16)
+    passage = " ".join(f"p{k}" for k in range(60))
+    docs = spark.range(4000).selectExpr("id AS rid", f"concat('a', id, ' ', 'b', id, ' {passage} ', 'c', id) AS text").repartition(8)
+    hot = repeats._frequent(docs, 35, 8)
+    rows = docs.mapInArrow(repeats._anchor_rows(35, 8, hot, 16), repeats.ROW_DDL).where("sent <> 0").toPandas()
+    salted = rows[rows["key"] % 2 != 0]
+    assert len(hot) and len(salted) > 0.2 * len(rows) and salted["key"].nunique() >= 15 and salted["key"].value_counts().max() < 0.15 * len(rows)
+    # and in the second round an anchor has a row for each of its keys
+    again = repeats._sorted(spark.createDataFrame(salted, repeats.ROW_DDL)).mapInArrow(repeats._first_round, repeats.ROW_DDL).where("sent <> 0").toPandas()
+    assert again["key"].value_counts().max() <= 16
+    removed = repeats.remove_repeats(docs.selectExpr("rid AS doc_id", "text")).select("n_removed").distinct().collect()
+    assert [r.n_removed for r in removed] == [60]
+
+
 def test_suffix_automaton():
     r = random.Random(8)
     texts = [[r.choice([b"a", b"b", b"c"]) for _ in range(r.randint(1, 30))] for _ in range(8)]
