@@ -55,6 +55,24 @@ def lower_bound_cut(spark, d):
     return papers(spark, d).where(F.col("date") >= F.date_sub(_end(), 5)).select("seq")
 
 
+#: Title words in turn: the real lists, phrases of software papers, and words that only look like one.
+_WORDS = (*filters.EXCLUDE_TERMS, "a pipeline", "Pipelines", "Workflow", "toolkits", "a Web Server", "database for x", "databases", "R package", "our package", "web-based tool", "reviewer", "newsletter", "model", "of cells", "")
+_KINDS = (*(t.title() for t in filters.NON_RESEARCH_TYPES), "Research Article", "Letter", "", "Methods")
+_listed = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+_LISTED = f"SELECT doc_id, split_part(coalesce(text, ''), chr(10), 1) || ' ' || {_listed(_WORDS)}[1 + doc_id % {len(_WORDS)}] AS title, {_listed(_KINDS)}[1 + doc_id // 7 % {len(_KINDS)}] AS kind FROM documents"
+_RESEARCH = " AND ".join([f"len(list_filter({_listed(filters.EXCLUDE_TERMS)}, lambda t: contains(lower(title), t))) = 0", *(f"NOT regexp_matches(lower(title), '{p}')" for p in filters.SOFTWARE_PATTERNS)])
+
+
+@_query(f"SELECT doc_id, {_RESEARCH} AS by_title, {_RESEARCH} AND len(list_filter({_listed(filters.NON_RESEARCH_TYPES)}, lambda t: contains(lower(kind), t))) = 0 AS by_both FROM ({_LISTED})")
+def research_lists(spark, d):
+    """The lists as they are, over titles and article types that hit every one of their entries."""
+    pick = lambda words, k: F.get(F.array(*map(F.lit, words)), (k % len(words)).cast("int"))
+    n = F.col("doc_id")
+    title = F.concat(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1), F.lit(" "), pick(_WORDS, n))
+    rows = read(spark, d, "documents").select("doc_id", title.alias("title"), pick(_KINDS, F.floor(n / 7)).alias("kind"))
+    return rows.select("doc_id", filters.is_research(F.col("title")).alias("by_title"), filters.is_research(F.col("title"), F.col("kind")).alias("by_both"))
+
+
 @_query(f"{_P} SELECT seq FROM papers WHERE NOT (contains(lower(title), 'lly') OR contains(lower(title), 'tion th') OR regexp_matches(lower(title), '\\b(pipeline|the of|toolbox)\\b'))")
 def research_filter(spark, d):
     return papers(spark, d).where(filters.is_research(F.col("title"), terms=TERMS, patterns=(r"\b(pipeline|the of|toolbox)\b",))).select("seq")

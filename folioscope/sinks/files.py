@@ -37,10 +37,12 @@ class OneFileWriter(DataSourceWriter):
         self.path = options["path"]
         self.begin, self.between, self.end = (options.get(k, "") for k in ("begin", "between", "end"))
         self.parts = f"{self.path}.parts-{uuid.uuid4().hex}"
+        fs, folder = opened(self.parts)
+        fs.create_dir(folder)
 
     def write(self, iterator: Iterator[Row]) -> _Part:
+        # the folder isn't made here: a task that still runs when its job was aborted finds none, and fails instead of leaving a part
         fs, folder = opened(self.parts)
-        fs.create_dir(folder)
         context = TaskContext.get()
         path, n = f"{folder}/{context.partitionId():08d}-{context.taskAttemptId()}", 0
         with fs.open_output_stream(path) as out:
@@ -67,8 +69,13 @@ class OneFileWriter(DataSourceWriter):
 
     def abort(self, messages: list[_Part | None]) -> None:
         fs, folder = opened(self.parts)
-        if fs.get_file_info(folder).type == pafs.FileType.Directory:
-            fs.delete_dir(folder)
+        for _ in range(3):  # a part may be added while the folder is being emptied
+            try:
+                if fs.get_file_info(folder).type == pafs.FileType.Directory:
+                    fs.delete_dir(folder)
+                return
+            except OSError:
+                continue
 
 
 class OneFile(DataSource):
