@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import candidate_keys, identity_key_parts, identity_keys
-from ..functions.text import field, normal_name, split_authors
+from ..functions.text import field, normal_name, split_authors, stripped, text_or_blank
+from ..sinks.shared import settle
 from .containment import containing
 from .filters import any_contains
 
@@ -163,3 +164,20 @@ def missing_from_text(items: DataFrame, document: str, *columns: str) -> DataFra
     for c in columns:
         lost |= ~F.lit(document).contains(F.col(c))
     return items.where(lost)
+
+
+def missing_from_lines(items: DataFrame, lines: DataFrame, *columns: str, id_col: str = "seq") -> DataFrame:
+    """Items one of whose columns doesn't stand in a document that lies as a table of lines (pos, line), however long it is.
+
+    A rendered edition shows a link as the target of a heading and a summary as a line of its own, so nearly all is settled by equality; only what isn't
+    is looked for inside the lines, by the index of `containment`. Of a value with line breaks each line that isn't blank has to stand somewhere. Null and blank
+    values stand everywhere; items without an id are not judged.
+    """
+    parts = F.filter(F.flatten(F.array(*(F.split(text_or_blank(F.col(c)), r"\r?\n") for c in columns))), lambda v: stripped(v) != "")
+    asked = items.select(F.col(id_col).alias("_id"), F.explode(F.transform(parts, stripped)).alias("word"))
+    rendered = F.concat(F.array(stripped(text_or_blank(F.col("line")))), F.regexp_extract_all("line", F.lit(r"\]\(<?([^<>()\s]+)>?\)"), 1))
+    whole = lines.select(F.explode(rendered).alias("word")).distinct()
+    open_ = settle(asked.select("word").distinct().join(whole, "word", "left_anti"))
+    inside = containing(lines, open_, "pos", "line").select("word").distinct()
+    lost = asked.join(open_.join(inside, "word", "left_anti"), "word").select("_id").distinct()
+    return items.join(lost, items[id_col] == lost["_id"], "left_semi")

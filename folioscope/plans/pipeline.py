@@ -78,16 +78,21 @@ def curate(candidates: DataFrame, scores: DataFrame, featured: Column, edition_d
     return items, results.withColumn("label", label).withColumn("classifier_reason", F.col("reason")).withColumn("classifier_threshold", F.lit(s.classifier_score_threshold)).withColumn("score_policy", F.lit(s.score_policy_version))
 
 
-def validate(papers: DataFrame, decisions: DataFrame, document: str, edition_date: Column, least: int = 50) -> DataFrame:
-    """Issues of finished artifacts, from the artifacts alone, as rows."""
-    chosen = joins.with_decisions(papers, decisions.where(F.lower("label").isin("featured", "regular")))
+def validate(papers: DataFrame, decisions: DataFrame, document: str | DataFrame, edition_date: Column, least: int = 50) -> DataFrame:
+    """Issues of finished artifacts, from the artifacts alone, as rows. The document is one text, or a table of its lines (pos, line), which no task needs whole."""
+    accepted = decisions.where(F.lower("label").isin("featured", "regular"))
+    chosen = joins.with_decisions(papers, accepted)
     lost = chosen.where("NOT matched").select(F.concat(F.lit("no candidate for "), "link").alias("issue"))
-    items = papers.join(decisions.where(F.lower("label").isin("featured", "regular")).select(text.field(F.col("link")).alias("_l"), "summary"), text.field(papers["link"]) == F.col("_l")).drop("_l")
+    items = papers.join(accepted.select(text.field(F.col("link")).alias("_l"), "summary"), text.field(papers["link"]) == F.col("_l")).drop("_l")
     own = quality.edition_issues(items, edition_date, least).select("issue")
-    absent = joins.missing_from_text(items, document, "link", "summary").select(F.concat(F.lit("not in the document: "), "title").alias("issue"))
-    headings = sum(line.strip().startswith("#### ") for line in document.split("\n"))
-    n = items.agg(F.count("*").alias("n")).where(F.col("n") != headings).select(F.concat(F.lit(f"{headings} headings for "), F.col("n").cast("string"), F.lit(" items")).alias("issue"))
-    return lost.unionByName(own).unionByName(absent).unionByName(n)
+    if isinstance(document, str):
+        absent, headings = joins.missing_from_text(items, document, "link", "summary"), items.sparkSession.range(1).select(F.lit(sum(line.strip().startswith("#### ") for line in document.split("\n"))).cast("long").alias("headings"))
+    else:
+        absent, headings = joins.missing_from_lines(items, document, "link", "summary"), document.agg(F.count_if(F.startswith(text.stripped(F.col("line")), F.lit("#### "))).alias("headings"))
+    told = absent.select(F.concat(F.lit("not in the document: "), "title").alias("issue"))
+    # one row each: two counts
+    counts = items.agg(F.count("*").alias("n")).join(F.broadcast(headings)).where("n <> headings")
+    return lost.unionByName(own).unionByName(told).unionByName(counts.select(F.concat(F.col("headings").cast("string"), F.lit(" headings for "), F.col("n").cast("string"), F.lit(" items")).alias("issue")))
 
 
 def taken_back(rows: DataFrame) -> DataFrame:

@@ -371,3 +371,16 @@ def test_a_term_of_all_documents_meets_in_no_task(spark):
         for k in ("shuffle.partitions", "adaptive.enabled", "autoBroadcastJoinThreshold"):
             spark.conf.unset(f"spark.sql.{k}")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_missing_from_lines_is_containment(spark):
+    lines = ["#### [A (b)](<https://x.org/1>)", "  A summary of one line. ", "see https://x.org/22/full and more", "", None, "two", "parts"]
+    df = spark.createDataFrame(list(enumerate(lines)), "pos long, line string")
+    values = [("https://x.org/1", "A summary of one line."), ("https://x.org/2", None), ("https://x.org/3", ""), ("https://x.org/22", "summary of"), ("", "two\nparts"), ("", "two\nother"), ("x", "of one line. "), ("(b)", "]"), ("zzz", "two"), (None, None)]
+    items = spark.createDataFrame([(i, *v) for i, v in enumerate(values)] + [(None, "nowhere", "")], "seq long, link string, summary string")
+    got = sorted(r.seq for r in joins.missing_from_lines(items, df, "link", "summary").collect())
+    known = [t or "" for t in lines]
+    want = [i for i, v in enumerate(values) if not all(any(p.strip() in t for t in known) for c in v for p in (c or "").split("\n") if p.strip())]
+    assert got == want == [2, 5, 8]
+    assert joins.missing_from_lines(items, df.limit(0), "link", "summary").count() == 9
+    assert joins.missing_from_lines(items.limit(0), df, "link").count() == 0

@@ -143,6 +143,11 @@ def test_curate_then_repair_and_record(spark):
     document = "\n".join(f"#### [{r.title}](<{r.link}>)\n{r.summary}" for r in listed)
     assert pipeline.validate(papers, frozen, document, day()).count() == 0
     assert pipeline.validate(papers, frozen, document.replace("https://x.org/59>", "x"), day()).count() == 1
+    as_lines = lambda d: spark.createDataFrame(list(enumerate(d.split("\n"))), "pos long, line string")
+    assert pipeline.validate(papers, frozen, as_lines(document), day()).count() == 0
+    for broken in (document.replace("https://x.org/59>", "x"), document.replace("#### ", "### ", 1), document.replace(listed[0].summary, "Changed.", 1)):
+        both = [sorted(r.issue for r in pipeline.validate(papers, frozen, d, day()).collect()) for d in (broken, as_lines(broken))]
+        assert both[0] == both[1]
     lines = spark.createDataFrame([("e", k, t) for k, t in enumerate(["# Featured Papers", "#### [x](<https://x.org/7>)", "## More Papers", "#### [Cells and forces 9](<y>)"])], "file string, pos int, line string")
     final = {r.title: (r.selected_section, r.training_weight) for r in pipeline.record_final(papers, lines, "2026-08-03", DAY).collect()}
     assert final["Cells and forces 7"] == ("featured", 2.0) and final["Cells and forces 9"] == ("more", 1.0) and final["Cells and forces 1"] == (None, 0.0)
