@@ -381,6 +381,29 @@ def text_crosscheck(spark, d):
     return joins.missing_from_text(papers(spark, d), document, "link").select("seq")
 
 
+@_query(f"""{_P}, l AS (SELECT CASE WHEN seq % 9 = 0 THEN 'see ' || link || '/full' WHEN seq % 9 = 1 THEN '#### [x](<' || link || '>)' WHEN seq % 9 <> 2 THEN '  ' || title || ' ' END AS line FROM papers WHERE seq % 9 < 7),
+v AS (SELECT seq, CASE WHEN seq % 2 = 0 AND seq % 9 < 3 THEN link ELSE title END AS value FROM papers)
+SELECT seq FROM v WHERE trim(value) <> '' AND NOT EXISTS (SELECT 1 FROM l WHERE contains(line, trim(value)))""")
+def edition_crosscheck(spark, d):
+    """Links and titles that a document doesn't show; it holds two thirds of them, as links of headings, inside lines or as lines, and grows with the table."""
+    p, n = papers(spark, d), F.col("seq") % 9
+    line = F.when(n == 0, F.concat(F.lit("see "), "link", F.lit("/full"))).when(n == 1, F.concat(F.lit("#### [x](<"), "link", F.lit(">)"))).when(n != 2, F.concat(F.lit("  "), "title", F.lit(" ")))
+    shown = p.where(n < 7).select(F.col("seq").alias("pos"), line.alias("line"))
+    value = F.when((F.col("seq") % 2 == 0) & (n < 3), F.col("link")).otherwise(F.col("title"))
+    return joins.missing_from_lines(p.select("seq", value.alias("value")), shown, "value").select("seq")
+
+
+@_query(f"""{_P} SELECT seq, CASE WHEN t = '' THEN 'no title' WHEN l = '' THEN 'no link' WHEN a = '' THEN 'no authors' WHEN length(b) < 400 THEN 'short abstract' END AS defect FROM (
+  SELECT seq, CASE WHEN seq % 11 = 0 THEN '' ELSE regexp_replace(title, '^\\s+|\\s+$', '', 'g') END AS t, CASE WHEN seq % 7 = 0 THEN '' ELSE link END AS l, CASE WHEN seq % 5 = 0 THEN '' ELSE authors END AS a, regexp_replace(coalesce(abstract, ''), '^\\s+|\\s+$', '', 'g') AS b FROM papers)""")
+def feed_defects(spark, d):
+    """All four reasons to turn a record away, in their order; nulls and blanks alike."""
+    n = F.col("seq")
+    title = F.when(n % 11 == 0, F.when(n % 2 == 0, " ")).otherwise(F.col("title"))
+    link = F.when(n % 7 == 0, F.when(n % 2 == 0, "\t")).otherwise(F.col("link"))
+    authors = F.when(n % 5 == 0, F.when(n % 2 == 0, "")).otherwise(F.col("authors"))
+    return papers(spark, d).select("seq", filters.feed_defect(title, link, authors, F.col("abstract"), 400).alias("defect"))
+
+
 # --- scoring ---------------------------------------------------------------------------------------------------------------------------
 
 _STOP = "(" + ", ".join(f"'{w}'" for w in text.STOPWORDS) + ")"
@@ -449,6 +472,23 @@ def tfidf_score(spark, d):
     return tfidf.scores(docs, positive, negative).select("doc_id", (F.round("score", 5) + 0.0).alias("score"))
 
 
+@_query(f"""WITH {PAPERS_SQL}, {DECISIONS_SQL}, {VOTES_SQL}, rated AS (SELECT p.seq, concat_ws(' ', p.title, p.source) AS text, upvotes - 2 * downvotes AS w FROM votes v JOIN papers p ON p.seq = v.user_id WHERE upvotes - 2 * downvotes <> 0),
+t AS (SELECT 'c' || seq AS id, concat_ws(' ', title, abstract, source) AS text, 0 AS side, 0.0 AS weight FROM papers
+  UNION ALL SELECT 'p' || seq, abstract, 1, CASE WHEN label = 'featured' THEN 2.0 ELSE 1.0 END FROM papers JOIN decisions USING (seq) WHERE label <> 'rejected'
+  UNION ALL SELECT 'v' || seq, text, CASE WHEN w > 0 THEN 1 ELSE -1 END, abs(w) FROM rated),
+{_TOKENS.replace('doc_id', 'id').replace('FROM documents', 'FROM t')}, vec AS (SELECT id, term, (1.0 + ln(tf)) * idf AS v FROM tc JOIN idfs USING (term)), unit AS MATERIALIZED (SELECT id, term, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS v FROM vec),
+raw AS MATERIALIZED (SELECT side, term, sum(v * weight) AS c FROM unit JOIN t USING (id) WHERE side <> 0 GROUP BY ALL), cen AS (SELECT term, sum(side * c / norm) AS c FROM (SELECT *, sqrt(sum(c * c) OVER (PARTITION BY side)) AS norm FROM raw) GROUP BY term),
+own AS (SELECT seq, CASE WHEN doi IS NOT NULL THEN 'doi:' || lower(doi) ELSE 'link:' || link END AS key, coalesce(s, 0.0) AS score FROM papers LEFT JOIN (SELECT id, sum(v * c) AS s FROM unit JOIN cen USING (term) GROUP BY id) ON id = 'c' || seq)
+SELECT key, round(arg_max(score, seq), 5) + 0.0 AS score FROM own GROUP BY key""")
+def candidate_scores(spark, d):
+    """The scoring program: candidates against past selections and readers' votes on titles, by key."""
+    p = papers(spark, d)
+    label = decisions(spark, d).where("label <> 'rejected'").select("seq", F.when(F.col("label") == "featured", 2.0).otherwise(1.0).alias("weight"))
+    training = p.join(label, "seq").select(F.col("abstract").alias("text"), "weight")
+    cast = votes(spark, d).drop("title", "source", "link").join(p.select(F.col("seq").alias("user_id"), "title", "source", "link"), "user_id")
+    return pipeline.score(p, training, cast).select("key", (F.round("score", 5) + 0.0).alias("score"))
+
+
 # --- feedback --------------------------------------------------------------------------------------------------------------------------
 
 
