@@ -4,7 +4,8 @@ Every text gets a 64-bit fingerprint of its word shingles. Equal fingerprints co
 are one row. Each node has a row of Hamming distances to many reference fingerprints (the pivots); two nodes whose rows differ by more
 than the radius anywhere can't be within it. The table is swept in the order of its first pivot within cells of nodes that agree
 on some of the fingerprint's bit blocks: with `radius` differing bits over k blocks, k - radius blocks agree, so no pair is lost; the
-other pivots discard pairs, and survivors are verified. A cell yields a star of links at most, never its pairs.
+other pivots discard pairs, and survivors are verified. In a dense cell a grid over the distances to two pivots says which rows a row has to be
+compared with. A cell yields a star of links at most, never its pairs.
 
 Null or empty text: fingerprint zero, linked like any other. Null doc_id: takes part; a component without any other id
 has a null component_id. Repeated rows stay. Empty table: no rows. Other columns are ignored.
@@ -90,6 +91,18 @@ def _cells(fp: Column, blocks: int, radius: int) -> Column:
     return F.array(*keys)
 
 
+def pivot_grid(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows by their distances to the first two pivots, and where each of the 65 x 65 pairs of distances starts in it."""
+    code = table[:, 0].astype(np.int64) * 65 + table[:, 1]
+    return np.argsort(code, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(code, minlength=65 * 65))])
+
+
+def grid_slices(starts: np.ndarray, x: int, y: int, radius: int) -> list[tuple[int, int]]:
+    """Parts of the grid's order whose distances differ from (x, y) by the radius at most: no row within the radius is elsewhere."""
+    low, high = max(y - radius, 0), min(y + radius, 64) + 1
+    return [(int(starts[65 * v + low]), int(starts[65 * v + high])) for v in range(max(x - radius, 0), min(x + radius, 64) + 1)]
+
+
 def _star_links(key: np.ndarray, fp: np.ndarray, radius: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of each node to the first of its component, among rows sorted by (key, first pivot's distance)."""
     n = len(fp)
@@ -121,10 +134,18 @@ def _star_links(key: np.ndarray, fp: np.ndarray, radius: int, table: np.ndarray)
         if end - begin <= DENSE:
             continue
         sparse[begin:end] = False
-        own = fp[begin:end]
+        order, starts = pivot_grid(table[begin:end])
+        place, own = begin + order, fp[begin + order]
+
+        def around(k: int, place: np.ndarray = place, own: np.ndarray = own, starts: np.ndarray = starts) -> np.ndarray:
+            """Rows of the cell within the radius of row k: those that two pivots leave are verified."""
+            slices = grid_slices(starts, int(table[k, 0]), int(table[k, 1]), radius)
+            close = np.flatnonzero(np.bitwise_count(np.concatenate([own[a:b] for a, b in slices]) ^ fp[k]) <= radius)
+            return np.concatenate([place[a:b] for a, b in slices])[close]
+
         rest = np.arange(begin, end)
         for _ in range(CENTERS):
-            close = begin + np.flatnonzero(np.bitwise_count(own ^ fp[rest[0]]) <= radius)
+            close = around(rest[0])
             held.append((np.full(len(close), rest[0]), close))
             rest = rest[np.bitwise_count(fp[rest] ^ fp[rest[0]]) > radius]
             if not len(rest):
@@ -132,7 +153,7 @@ def _star_links(key: np.ndarray, fp: np.ndarray, radius: int, table: np.ndarray)
         merge()
         names, sizes = np.unique(label[begin:end], return_counts=True)
         for k in begin + np.flatnonzero(label[begin:end] != names[sizes.argmax()]):
-            close = begin + np.flatnonzero(np.bitwise_count(own ^ fp[k]) <= radius)
+            close = around(k)
             held.append((np.full(len(close), k), close))
             size += len(close)
             if size > 4 * n:

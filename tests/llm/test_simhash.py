@@ -94,3 +94,19 @@ def test_one_dense_cell_in_place():
     near = [(int(x), int(y)) for k, x in enumerate(fp) for y in fp[k + 1 :][np.bitwise_count(fp[k + 1 :] ^ x) <= 3]]
     assert groups(sorted(fps), zip(a.tolist(), b.tolist(), strict=True)) == groups(sorted(fps), near)
     assert len(a) < len(fp)
+
+
+def test_pivot_grid_loses_no_row_within_the_radius():
+    r = random.Random(9)
+    fps = [r.getrandbits(64) for _ in range(2000)]
+    fps += [f ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 3))) for f in fps[:500]] + [0, 2**64 - 1, 1, 2**64 - 2]
+    fp = np.array(fps, np.uint64)
+    table = np.bitwise_count(fp[:, None] ^ simhash.pivots()[None, :])
+    order, starts = simhash.pivot_grid(table)
+    assert sorted(order) == list(range(len(fp))) and starts[-1] == len(fp)
+    seen = 0
+    for k in range(len(fp)):
+        left = np.concatenate([order[a:b] for a, b in simhash.grid_slices(starts, int(table[k, 0]), int(table[k, 1]), 3)])
+        assert set(np.flatnonzero(np.bitwise_count(fp ^ fp[k]) <= 3)) <= set(left)
+        seen += len(left)
+    assert seen < 0.3 * len(fp) ** 2  # two pivots spare most of the comparisons
