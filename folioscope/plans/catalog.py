@@ -404,6 +404,31 @@ def feed_defects(spark, d):
     return papers(spark, d).select("seq", filters.feed_defect(title, link, authors, F.col("abstract"), 400).alias("defect"))
 
 
+@_query(f"""WITH {PAPERS_SQL}, {DECISIONS_SQL}, chosen AS (SELECT trim(link) AS link, seq % 3 AS s FROM decisions WHERE label <> 'rejected'),
+items AS (SELECT seq, coalesce(trim(title), '') AS title, trim(lower(regexp_replace(coalesce(title, ''), '\\s+', ' ', 'g'))) AS k, regexp_replace(coalesce(abstract, ''), '^\\s+|\\s+$', '', 'g') AS a, date, link, s,
+  CASE s WHEN 0 THEN '' WHEN 1 THEN 'Too short.' ELSE 'Document ' || seq || ' says one thing that is long enough.' END AS summary FROM papers JOIN chosen USING (link)),
+l AS MATERIALIZED (SELECT '#### [' || title || '](<' || link || '>)' AS line FROM items WHERE seq % 9 <> 8 UNION ALL SELECT summary FROM items WHERE seq % 9 <> 8 AND seq % 10 <> 7),
+own AS (SELECT title, unnest([CASE WHEN title = '' THEN 'title is blank' END, CASE WHEN a = '' THEN 'abstract is blank' END,
+  CASE WHEN length(a) BETWEEN 1 AND 79 THEN 'abstract is too short to be substantive (' || length(a) || ' characters)' END,
+  CASE WHEN date < DATE '{EDITION}' - 7 THEN 'publication date ' || strftime(date, '%Y-%m-%d') || ' is older than the allowed 2026-08-03 cutoff' END]) AS i FROM items)
+SELECT 'edition contains ' || count(*) || ' papers; minimum is 1000000' AS issue FROM items
+UNION ALL SELECT 'no candidate for ' || link FROM chosen WHERE link NOT IN (SELECT link FROM papers)
+UNION ALL SELECT CASE WHEN title = '' THEN i ELSE title || ' — ' || i END FROM own WHERE i IS NOT NULL
+UNION ALL SELECT title || ' — ' || CASE s WHEN 0 THEN 'summary is blank' ELSE 'summary has fewer than 6 words' END FROM items WHERE s < 2
+UNION ALL SELECT title || ' — duplicate title' FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq) AS nth FROM items WHERE k <> '') WHERE nth > 1
+UNION ALL SELECT 'not in the document: ' || title FROM items WHERE NOT EXISTS (SELECT 1 FROM l WHERE contains(line, link)) OR (summary <> '' AND NOT EXISTS (SELECT 1 FROM l WHERE contains(line, summary)))
+UNION ALL SELECT h || ' headings for ' || n || ' items' FROM (SELECT count(*) AS h FROM l WHERE starts_with(line, '#### ')), (SELECT count(*) AS n FROM items) WHERE h <> n""")
+def edition_validation(spark, d):
+    """The validating program: candidates, decisions and a rendered document, which lacks a ninth of its items and a tenth of their summaries."""
+    p, n = settle(spread(papers(spark, d))), F.col("seq")
+    summary = F.when(n % 3 == 0, "").when(n % 3 == 1, "Too short.").otherwise(F.concat(F.lit("Document "), n.cast("string"), F.lit(" says one thing that is long enough.")))
+    decided = decisions(spark, d).withColumn("summary", summary)
+    shown = p.join(decided.where("label <> 'rejected' AND seq % 11 <> 0 AND seq % 9 <> 8").select("seq", "summary"), "seq")
+    heading = F.concat(F.lit("#### ["), F.coalesce("title", F.lit("")), F.lit("](<"), "link", F.lit(">)"))
+    lines = shown.select("seq", F.posexplode(F.array(heading, F.when(n % 10 != 7, F.col("summary")))).alias("k", "line")).select((2 * n + F.col("k")).alias("pos"), "line")
+    return pipeline.validate(p, decided, lines, _end(), 1000000)
+
+
 # --- scoring ---------------------------------------------------------------------------------------------------------------------------
 
 _STOP = "(" + ", ".join(f"'{w}'" for w in text.STOPWORDS) + ")"

@@ -89,7 +89,7 @@ def validate(papers: DataFrame, decisions: DataFrame, document: str | DataFrame,
         absent, headings = joins.missing_from_text(items, document, "link", "summary"), items.sparkSession.range(1).select(F.lit(sum(line.strip().startswith("#### ") for line in document.split("\n"))).cast("long").alias("headings"))
     else:
         absent, headings = joins.missing_from_lines(items, document, "link", "summary"), document.agg(F.count_if(F.startswith(text.stripped(F.col("line")), F.lit("#### "))).alias("headings"))
-    told = absent.select(F.concat(F.lit("not in the document: "), "title").alias("issue"))
+    told = absent.select(F.concat(F.lit("not in the document: "), text.field(F.col("title"))).alias("issue"))
     # one row each: two counts
     counts = items.agg(F.count("*").alias("n")).join(F.broadcast(headings)).where("n <> headings")
     return lost.unionByName(own).unionByName(told).unionByName(counts.select(F.concat(F.col("headings").cast("string"), F.lit(" headings for "), F.col("n").cast("string"), F.lit(" items")).alias("issue")))
