@@ -12,6 +12,8 @@ from ..functions import keys, text
 from ..sinks.shared import settle
 from . import lookups, records, web
 
+# Fixed value: seconds that the archive wants between two requests.
+INTERVAL = 3.5
 PAPER_COLUMNS = ("source", "title", "authors", "link", "abstract", "images", "date", "doi")
 
 
@@ -34,13 +36,15 @@ def with_abstracts(listed: DataFrame, get: web.Transport, partitions: int = 2, r
     return rows.select(F.lit("arXiv").alias("source"), "title", "authors", "link", F.coalesce("abstract", F.lit("")).alias("abstract"), F.array().cast("array<string>").alias("images"), F.col("date").cast("timestamp").alias("date"), F.lit(None).cast("string").alias("doi"))
 
 
-def archive_papers(spark: SparkSession, categories: Sequence[str], oldest: Column, now: Column, folder: str | None = None, size: int = 200, pages: int = 50, retries: int = 3, partitions: int = 2) -> DataFrame:
+def archive_papers(spark: SparkSession, categories: Sequence[str], oldest: Column, now: Column, folder: str | None = None, size: int = 200, pages: int = 50, retries: int = 3, partitions: int = 2, interval: float = INTERVAL) -> DataFrame:
     """Papers since a date, each id once, from the first source that tells each category. `folder` holds stored bodies, in place of the network.
+    Requests to a host keep an interval of so many seconds.
 
     The scan of the API ends where what is older begins. A category without a paper in the window, whose scan ended well, isn't asked for again.
     """
-    own = {"folder": folder} if folder else {}
-    get = web.file_transport(folder) if folder else web.http_transport()
+    own = {"folder": folder} if folder else {"interval": interval}
+    # pages of papers are asked for by several tasks, each of which keeps its share of the interval
+    get = web.file_transport(folder) if folder else web.paced(web.http_transport(), interval * partitions)
     asked = [(c, lookups.arxiv_url(c, size)) for c in categories]
     # a row of an error passes the bound, so that it is known which categories are open
     api = settle(web.scan(spark, asked, pages=pages, pageSize=size, retries=retries, **own).where(F.col("newest") >= F.to_date(oldest)))

@@ -18,11 +18,13 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import UTC, date, datetime
-from urllib.parse import quote
+from email.utils import parsedate_to_datetime
+from urllib.parse import quote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition
 
+from ..operators.policy import SharedPause
 from ..sinks.shared import opened, write_whole
 
 Transport = Callable[[str], tuple[int, str, float | None]]
@@ -59,12 +61,38 @@ def http_transport(timeout: float = 30.0, agent: str = "folioscope") -> Transpor
             with opener.open(request, timeout=timeout) as r:  # the caller names the URLs
                 return r.status, r.read().decode("utf-8", "replace"), None
         except urllib.error.HTTPError as e:
-            wait = e.headers.get("Retry-After", "")
-            return e.code, "", float(wait) if wait.isdigit() else None
+            return e.code, "", retry_after(e.headers.get("Retry-After"))
 
     return get
 
 
+def retry_after(header: str | None, now: Callable[[], float] = time.time) -> float | None:
+    """Seconds that a server asks to wait, stated as a number or as a date; none if it states neither, or no time that is still to come."""
+    told = (header or "").strip()
+    try:
+        wait = float(told) if told.isdigit() else parsedate_to_datetime(told).timestamp() - now()
+    except (TypeError, ValueError):
+        return None
+    return wait if wait > 0 else None
+
+
+def paced(get: Transport, interval: float, pause: SharedPause | None = None, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> Transport:
+    """A transport that leaves the interval between two requests, retries too. A pause that a busy server asks for is kept by all tasks that share `pause`."""
+    state = {"next": float("-inf")}  # no time of this machine's clock goes to another
+
+    def polite(url: str) -> tuple[int, str, float | None]:
+        left = max(state["next"] - clock(), pause.wait() if pause else 0.0)
+        if left > 0:
+            sleep(left)
+        state["next"] = clock() + interval
+        status, body, wait = get(url)
+        if pause and wait and status in (408, 429, 503):
+            pause.extend(wait)
+        return status, body, wait
+
+    return polite
+
+
 def backoff(attempt: int, most: float = 20.0, first: float = 3.0) -> float:
     """Seconds before the next attempt: 3, 6, 12, ... up to a limit."""
     return min(first * 2 ** (attempt - 1), most)
@@ -94,9 +122,31 @@ class _One(InputPartition):
         self.name, self.url, self.cursor, self.until, self.body = name, url, cursor, until, body
 
 
+class _Lane(InputPartition):
+    """Requests of one service that a task makes one after the other."""
+
+    def __init__(self, requests: list[_One]) -> None:
+        self.requests = requests
+
+
+def lanes(requests: Sequence[_One], interval: float) -> list[InputPartition]:
+    """A partition for each request; if an interval is to be kept, one for each host, as no two tasks can keep it together."""
+    if interval <= 0:
+        return list(requests)
+    by_host: dict[str, list[_One]] = {}
+    for one in requests:
+        by_host.setdefault(urlsplit(one.url).netloc.lower(), []).append(one)
+    return [_Lane(held) for held in by_host.values()]
+
+
+def _interval(options: dict) -> float:
+    return float(options.get("interval", 0))
+
+
 def _transport(options: dict) -> Transport:
-    folder = options.get("folder")
-    return file_transport(folder) if folder else http_transport(float(options.get("timeout", 30)))
+    folder, pause = options.get("folder"), options.get("pause")
+    get = file_transport(folder) if folder else http_transport(float(options.get("timeout", 30)))
+    return paced(get, _interval(options), SharedPause(pause) if pause else None) if pause or _interval(options) > 0 else get
 
 
 def _requests(options: dict) -> list[dict]:
@@ -124,21 +174,23 @@ class WebReader(DataSourceReader):
         self.least: date | None = None
 
     def partitions(self) -> list[InputPartition]:
-        return [_One(x["name"], x["url"]) for x in _requests(self.options) if self.names is None or x["name"] in self.names]
+        return lanes([_One(x["name"], x["url"]) for x in _requests(self.options) if self.names is None or x["name"] in self.names], _interval(self.options))
 
-    def read(self, partition: _One) -> Iterator[tuple]:
+    def read(self, partition: _One | _Lane) -> Iterator[tuple]:
         """One page, or pages until one is empty, holds the last of the `total` that pages state, or reaches what is older than a bound on `newest` (with
         the option `sorted`: a scan sorted by date has nothing newer after that). {page} in the URL is the page, {cursor} the offset, which grows by the
         `count` that a page states, else by the page size. A scan that ends sooner, as the time is up or `pages` are read, ends in a row whose error says
-        that it is incomplete."""
-        for row, oldest in self._pages(partition):
-            if self.least is None or row[-1] >= self.least:
-                yield row
-            if self.least is not None and oldest is not None and oldest < self.least and self.options.get("sorted", "true") == "true":
-                return
-
-    def _pages(self, partition: _One) -> Iterator[tuple[tuple, date | None]]:
-        get, retries = _transport(self.options), int(self.options.get("retries", 3))
+        that it is incomplete. `interval`: seconds between two requests to a host; `pause`: a shared folder in which tasks tell each other of a host's pause."""
+        get = _transport(self.options)
+        for one in partition.requests if isinstance(partition, _Lane) else [partition]:
+            for row, oldest in self._pages(one, get):
+                if self.least is None or row[-1] >= self.least:
+                    yield row
+                if self.least is not None and oldest is not None and oldest < self.least and self.options.get("sorted", "true") == "true":
+                    break
+
+    def _pages(self, partition: _One, get: Transport) -> Iterator[tuple[tuple, date | None]]:
+        retries = int(self.options.get("retries", 3))
         pages, size = int(self.options.get("pages", 1)), int(self.options.get("pagesize", 100))
         until = time.monotonic() + float(self.options.get("seconds", 120))
         today = datetime.now(UTC).date()
@@ -237,11 +289,10 @@ class WebStreamReader(DataSourceStreamReader):
             else:
                 at, body = self.probed.get(name, (None, None))
                 out.append(_One(name, url, a, b, body if at == a else None))
-        return out
+        return lanes(out, _interval(self.options))
 
-    def read(self, partition: _One) -> Iterator[tuple]:
-        reader = WebReader({"pages": str(1 << 30), **self.options})
-        return (row for row, _ in reader._pages(partition))
+    def read(self, partition: _One | _Lane) -> Iterator[tuple]:
+        return WebReader({"pages": str(1 << 30), **self.options}).read(partition)
 
     def commit(self, end: dict) -> None:
         self.known = {name: int(n) for name, n in end.items()}

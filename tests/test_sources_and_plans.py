@@ -399,3 +399,35 @@ def test_archive_cascade(spark, tmp_path):
     got = cascade.archive_papers(spark, ["a", "b", "c"], F.lit("2026-08-03").cast("timestamp"), F.lit("2026-08-10").cast("timestamp"), str(tmp_path), size=2, retries=1)
     assert sorted((r.title, r.abstract, str(r.date)[:10]) for r in got.collect()) == [("Fed 2608.6", "D", "2026-08-05"), ("Listed 2608.5", "Of five.", "2026-08-05"), *((f"Paper 2608.{i}", "S", d) for i, d in ((1, "2026-08-09"), (2, "2026-08-04"), (3, "2026-08-09"), (4, "2026-08-08")))]
     assert got.columns == list(cascade.PAPER_COLUMNS)
+
+
+def test_requests_to_a_host_keep_their_interval(spark, tmp_path):
+    now, slept, asked = [100.0], [], []
+
+    def sleep(seconds):
+        slept.append(round(seconds, 3))
+        now[0] += seconds
+
+    def get(url):
+        asked.append((url, now[0]))
+        now[0] += 1.0
+        return (429, "", 30.0) if url == "busy" else (200, "x", None)
+
+    pause = policy.SharedPause(str(tmp_path / "pause"), every=0.0, clock=lambda: now[0])
+    polite = web.paced(get, 3.0, pause, lambda: now[0], sleep)
+    assert [polite(u)[0] for u in ("a", "b", "busy")] == [200, 200, 429] and slept == [2.0, 2.0]
+    other = web.paced(get, 3.0, policy.SharedPause(str(tmp_path / "pause"), every=0.0, clock=lambda: now[0]), lambda: now[0], sleep)
+    began = now[0]
+    assert other("c")[0] == 200 and asked[-1][1] - began == pytest.approx(30.0, abs=0.01)
+    assert web.retry_after("7") == 7.0 and web.retry_after(" 0 ") is None and web.retry_after("soon") is None and web.retry_after(None) is None
+    assert web.retry_after("Thu, 01 Jan 1970 00:01:40 GMT", lambda: 40.0) == 60.0 and web.retry_after("Thu, 01 Jan 1970 00:01:40 GMT", lambda: 400.0) is None
+
+    urls = [(f"n{k}", f"https://{'ab'[k % 2]}.org/{k}") for k in range(6)]
+    folder = tmp_path / "bodies"
+    folder.mkdir()
+    for name, url in urls:
+        (folder / web.stored_name(url)).write_text(f"body of {name}")
+    free, kept = (web.scan(spark, urls, folder=str(folder), interval=i) for i in (0, 0.01))
+    assert free.rdd.getNumPartitions() == 6 and kept.rdd.getNumPartitions() == 2
+    assert sorted(map(tuple, free.select("name", "body").collect())) == sorted(map(tuple, kept.select("name", "body").collect())) == [(n, f"body of {n}") for n, _ in urls]
+    assert [r.name for r in kept.where("name = 'n3'").collect()] == ["n3"]
