@@ -92,3 +92,10 @@ def test_html():
     assert got == {"abstract": "The abstract.", "authors": "A. B, C. D", "images": ["https://p.rsc.org/services/ImageService/image/GA?id=1"]}
     page = html.page_metadata('<meta name="DC.creator" content=" A "><meta name="citation_doi" content="doi:10.1000/x."><script type="application/ld+json">{"mainEntity": {"author": [{"name": "Z"}], "description": "%s"}}</script>' % ("d" * 60))
     assert page == {"authors": ["A"], "abstract": "d" * 60, "article_type": None, "doi": "10.1000/x"}
+
+
+def test_html_references_cut_off(spark):
+    cut = "<h1>a&amp;&amp</h1><p>&quot;x&am&copy;&ampb; &#65; &#65 &lt</p>"
+    assert html.plain(cut, ended=True) == 'a&&amp "x&am©&ampb; A &#65 &lt'
+    assert html.plain(cut) == 'a&& "x&am©&b; A A <' and html.plain(None, ended=True) == ""
+    assert [r[0] for r in spark.createDataFrame([("<p>x&amp</p>",), (None,)], "h string").select(html.ended_html_to_text("h")).collect()] == ["x&amp", ""]
