@@ -1,7 +1,8 @@
 """SimHash near-duplicates of a Jaccard similarity of 0.8 or more, verified on whole sets of word shingles.
 
-A text is the set of its five-word shingles; equal sets collapse to one node first. A 64-bit fingerprint of a set differs at this similarity in about
-ten bits, a radius that neither bit blocks nor distances to pivots can index, so candidates come from a prefix filter: two sets with a similarity of
+A text is the set of its five-word shingles; equal sets collapse to one node first. The first candidates are what the table of pivot distances
+(`simhash.links`) finds within `NEAR` bits of 64-bit fingerprints. Fingerprints of sets of this similarity differ in about ten bits, though, a radius that neither bit
+blocks nor distances to pivots can index, so what is further apart comes from a prefix filter: two sets with a similarity of
 4/5 or more share a shingle among the first fifth of each, under any order of shingles that all texts keep to, so texts meet under those shingles.
 Shingles that a sample of the texts, and then the first fifths themselves, show to be common come last in the order; that steers the time, never the
 result.
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from . import textops as T
 from .components import components
 from .lineage import release, settle, size_of
-from .simhash import majority
+from .simhash import RADIUS as NEAR
+from .simhash import blocks_for, links, majority
 
 SHINGLE = 5
 #: Bits in which fingerprints of similar sets may differ, and the size of a set from which on they are asked.
@@ -221,6 +223,15 @@ def _near(pairs: DataFrame, nodes: DataFrame, radius: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(close).select("a", "b")
 
 
+def _by_pivots(nodes: DataFrame) -> DataFrame:
+    """a, b: nodes whose fingerprints the table of pivot distances finds within `NEAR` bits: not all such pairs, but enough to connect them."""
+    first = settle(nodes.groupBy("fp").agg(F.min("node").alias("least")))
+    one, two = (first.select(F.col("fp").alias(n), F.col("least").alias(f"node_{n}")) for n in "ab")
+    near = links(first.select("fp"), NEAR, blocks_for(first.count())).join(one, "a").join(two, "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    same = nodes.join(first, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    return near.unionByName(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs with a similarity of 4/5 or more: the common part is 4/9 of both sizes then."""
     one, two = (sets.select(F.col("node").alias(n), F.col("grams").alias(f"of_{n}")) for n in "ab")
@@ -253,10 +264,11 @@ def near_duplicates(docs: DataFrame, radius: int | None = RADIUS) -> DataFrame:
     nodes = settle(wide.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"), F.first("size").alias("size"), F.first("fp").alias("fp")), 2 * size_of(prints))
     met = settle(_meetings(wide.groupBy("node").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))))
     release(wide)
-    pairs = settle(_near(met.where("size IS NULL AND a <> b").select("a", "b").distinct(), nodes, radius), size_of(met))
+    further = _near(met.where("size IS NULL AND a <> b").select("a", "b").distinct(), nodes, radius)
+    pairs = settle(_by_pivots(nodes).unionByName(further).distinct())
     sets = _sets_of(docs, nodes, pairs)
-    links = settle(_similar(pairs, sets))
-    roots = components(links, size_of(pairs))
+    linked = settle(_similar(pairs, sets))
+    roots = components(linked, size_of(pairs))
     dense = met.where("size IS NOT NULL")
     if not dense.limit(1).isEmpty():
         member = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
@@ -267,12 +279,12 @@ def near_duplicates(docs: DataFrame, radius: int | None = RADIUS) -> DataFrame:
             roots = components(known.unionByName(_similar(more, found)), size_of(more) + size_of(pairs))
             release(found)
         release(more)
-    release(pairs, sets, met, links)
+    release(pairs, sets, met, linked)
     member = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     least = member.join(nodes, "node").groupBy("root").agg(F.min("first").alias("component_id"))
-    linked = member.join(least, "root").select("node", "component_id")
+    named = member.join(least, "root").select("node", "component_id")
     # a table of its own, so that Spark may split a node of many copies in the last join
-    of = settle(nodes.select("node", "first").join(linked, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")), size_of(nodes))
+    of = settle(nodes.select("node", "first").join(named, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")), size_of(nodes))
     release(nodes)
     return prints.join(of, "node").select("doc_id", "node", "component_id")
 

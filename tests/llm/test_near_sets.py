@@ -57,3 +57,17 @@ def test_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, "a b c"), (None, "x y z w"), (3, "a b c"), (4, None), (4, None)], "doc_id long, text string")
     assert sorted((str(r.doc_id), str(r.component_id)) for r in near_sets.near_duplicates(df).collect()) == [("3", "3"), ("4", "4"), ("4", "4"), ("None", "3"), ("None", "None")]
     assert near_sets.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_fingerprints_by_pivots(spark, monkeypatch):
+    """Texts within a few bits meet by the table of pivot distances alone; what they share is verified all the same."""
+    r = random.Random(5)
+    words = [f"w{r.randrange(500)}" for _ in range(900)]
+    texts = [" ".join(words), " ".join([*words[:400], "new", *words[401:]]), " ".join(f"w{r.randrange(500)}" for _ in range(900))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    none = spark.createDataFrame([], "a long, b long, size int, place int")
+    monkeypatch.setattr(near_sets, "_meetings", lambda nodes: none)
+    got = {x.doc_id: x.component_id for x in near_sets.near_duplicates(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 2}
+    nodes = spark.createDataFrame([(5, 1), (3, 1), (9, 0b1111), (7, -1)], "node long, fp long")
+    assert {(x.a, x.b) for x in near_sets._by_pivots(nodes).collect()} == {(3, 5), (3, 9)}
