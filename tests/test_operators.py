@@ -384,3 +384,13 @@ def test_missing_from_lines_is_containment(spark):
     assert got == want == [2, 5, 8]
     assert joins.missing_from_lines(items, df.limit(0), "link", "summary").count() == 9
     assert joins.missing_from_lines(items.limit(0), df, "link").count() == 0
+
+
+def test_counting_tasks_grow_with_the_text(spark, monkeypatch):
+    """A task's table of counts is bounded by the text it gets, whatever Spark makes of the shuffle's size; rows that share an id are counted together."""
+    docs = spark.createDataFrame([(i % 50, f"alpha beta{i % 7} alpha") for i in range(100)] + [(None, None)], "doc_id long, text string")
+    want = sorted(tfidf.term_counts(docs).collect(), key=str)
+    monkeypatch.setattr(tfidf, "TEXT_BYTES", 100)
+    found = tfidf.term_counts(docs)
+    assert found.rdd.getNumPartitions() == tfidf.tasks_for(docs, "text") >= 15
+    assert sorted(found.collect(), key=str) == want and tfidf.tasks_for(docs.limit(0), "text") == spark.sparkContext.defaultParallelism
