@@ -431,3 +431,24 @@ def test_requests_to_a_host_keep_their_interval(spark, tmp_path):
     assert free.rdd.getNumPartitions() == 6 and kept.rdd.getNumPartitions() == 2
     assert sorted(map(tuple, free.select("name", "body").collect())) == sorted(map(tuple, kept.select("name", "body").collect())) == [(n, f"body of {n}") for n, _ in urls]
     assert [r.name for r in kept.where("name = 'n3'").collect()] == ["n3"]
+
+
+def test_an_array_with_a_record_a_line_is_read_by_many_tasks(spark, tmp_path):
+    from folioscope.sinks import files as sinks
+    from folioscope.sources import files
+
+    rows = spark.range(3000).select("id", F.concat(F.lit("[{,\n "), F.lit("x" * 50), F.lit("}],")).alias("t"))
+    path = f"{tmp_path}/papers.json"
+    sinks.json_array_file(rows.repartition(4), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = files.json_array(spark, path, "id long, t string")
+        assert got.rdd.getNumPartitions() > 4 and sorted(got.collect()) == sorted(rows.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    # files of any other kind as Spark reads them whole
+    for k, text in enumerate(['[{"id": 1}, {"id": 2}]', '[\n{"id": 1,\n"t": "a"},\n{"id": 2}\n]\n', '[{"id": 1},\n{"id": 2}', '{"id": 1},\n[{"id": 2}]', '[{"id": 1}\n{"id": 2}]', '{"id": 3}', "[\n]", "[]", '[\n{"id": 1}\n,{"id": 2}\n]']):
+        (tmp_path / f"{k}.json").write_text(text)
+        whole = spark.read.schema("id long, t string").json(f"{tmp_path}/{k}.json", multiLine=True).collect()
+        assert files.json_array(spark, f"{tmp_path}/{k}.json", "id long, t string").collect() == whole, text
