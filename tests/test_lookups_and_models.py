@@ -181,3 +181,16 @@ def test_journal_dates_without_a_page_or_a_work(spark):
     assert {(r.link, str(r.date)) for r in found.collect()} == {("https://a.org/1", "2026-08-09"), ("https://gone.org/2", "2026-08-09"), ("https://gone.org/3", "None"), ("https://doi.org/10.1000/gone", "None")}
     assert found.count() == 4
     assert lookups.journal_dates(spark.createDataFrame([], "link string, title string"), get, start, end).count() == 0
+
+
+def test_a_local_model_isnt_bound_to_a_few_tasks(spark):
+    """A model that asks nobody runs where the rows are; one that asks a service keeps to its number of tasks."""
+    papers = spark.range(40).select(F.col("id").alias("seq"), F.lit("a heed").alias("title"), F.lit("b").alias("abstract"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        local, asking = policy.keyword_model(("heed",)), lambda title, abstract: "TRUE"
+        assert policy.ask(papers, local, 2).rdd.getNumPartitions() == 4 and policy.ask(papers, asking, 2).rdd.getNumPartitions() == 2
+        assert {'"score": 55' in r.raw for r in policy.ask(papers, local, 2).collect()} == {True}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
