@@ -2,7 +2,7 @@ import json
 from datetime import date
 
 import pytest
-from folioscope.operators import archive, budget, dedup, feedback, filters, joins, policy, quality, rank, tfidf
+from folioscope.operators import archive, budget, containment, dedup, feedback, filters, joins, policy, quality, rank, tfidf
 from pyspark.sql import functions as F
 
 PAPER = "seq long, source string, title string, authors string, link string, abstract string, date string, doi string"
@@ -394,3 +394,18 @@ def test_counting_tasks_grow_with_the_text(spark, monkeypatch):
     found = tfidf.term_counts(docs)
     assert found.rdd.getNumPartitions() == tfidf.tasks_for(docs, "text") >= 15
     assert sorted(found.collect(), key=str) == want and tfidf.tasks_for(docs.limit(0), "text") == spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("index_bytes", [64 << 20, 0])
+def test_words_meet_few_texts_that_dont_contain_them(spark, monkeypatch, index_bytes):
+    """Every 3-gram of these words stands in every text, so what meets must not grow with texts times words; the rows are those of a plain search."""
+    monkeypatch.setattr(containment, "INDEX_BYTES", index_bytes)
+    words = [f"{a}{b}{c}x{a}{b}" for a in "abc" for b in "abc" for c in "abc"] + ["b", "ab", "abcab", "abcxab", "é\n" * 5, "", None, "absent word"]
+    texts = [(i, " ".join(w or "" for k, w in enumerate(words[:30]) if k % 3 == i % 3) + "é\n" * (i % 7)) for i in range(30)] + [(30, None), (30, "ab"), (30, "ab"), (None, "ab")]
+    t, w = spark.createDataFrame(texts, "id long, t string"), spark.createDataFrame([(x,) for x in words], "word string")
+    want = {(i, x) for i, s in texts for x in words if x and s and i is not None and x in s}
+    got = [tuple(r) for r in containment.containing(t, w, "id", "t").collect()]
+    assert sorted(got) == sorted(want)
+    numbered = w.where("word <> ''").withColumn("w", F.monotonically_increasing_id())
+    index = {r.word: r.gram for r in containment.anchors(t, numbered, "t").collect()}
+    assert index["é\n" * 5] in ("é\n" * 3, "\né" * 3) and index["abaxab"] == "abaxab" and "absent word" not in index
