@@ -2,7 +2,7 @@ import json
 from datetime import date
 
 import pytest
-from folioscope.operators import archive, budget, containment, dedup, feedback, filters, joins, policy, quality, rank, tfidf
+from folioscope.operators import archive, budget, containment, dedup, feedback, filters, joins, policy, quality, rank, term_blocks, tfidf
 from pyspark.sql import functions as F
 
 PAPER = "seq long, source string, title string, authors string, link string, abstract string, date string, doi string"
@@ -357,6 +357,32 @@ def test_scores_with_terms_frequent_and_rare(spark, frequent):
     assert all(x.score == 0 for x in tfidf.scores(frame(papers), frame([], ", weight double"), frame(negative, ", weight double")).collect())
 
 
+@pytest.mark.parametrize("size", [64, 8 << 20])
+def test_scores_in_blocks(spark, monkeypatch, size):
+    """The same scores from many blocks and parts as from one; copies on all sides are cut once, and a term is asked for once a block."""
+    monkeypatch.setattr(tfidf, "TEXT_BYTES", size)
+    asked, blocks = [], term_blocks.blocks
+    monkeypatch.setattr(term_blocks, "blocks", lambda *a: asked.append(blocks(*a).persist()) or asked[0])
+    say = lambda k: " ".join(f"word{chr(97 + (k * j) % 23)}" for j in range(30))
+    papers, positive, negative = [(k, say(k % 40)) for k in range(80)], [(k, say(k), 1.0 + k % 2) for k in range(12)], [(k, say(k + 7), 1.0) for k in range(9)]
+    frame = lambda rows, extra="": spark.createDataFrame(rows, "doc_id long, text string" + extra)
+    got = tfidf.scores(frame(papers), frame(positive, ", weight double"), frame(negative, ", weight double"))
+    assert {x.doc_id: pytest.approx(x.score, abs=1e-9) for x in got.collect()} == _plain_scores(papers, positive, negative)
+    held = asked[0].where("part IS NULL").select("block", F.size("doc").alias("n"), F.size("term").alias("terms"), F.size("code").alias("entries")).collect()
+    assert sum(r.n for r in held) == 23 and (len(held) > 8 if size == 64 else len(held) <= 4)
+    told = asked[0].where("part IS NOT NULL").groupBy("block").agg(F.sum(F.size("term")).alias("n"), F.count("*").alias("parts"))
+    assert {r.block: r.n for r in told.collect()} == {r.block: r.terms for r in held} and (told.agg(F.max("parts")).first()[0] > 1) == (size == 64)
+    asked[0].unpersist()
+
+
+def test_scores_of_ids_that_repeat_or_are_null(spark):
+    """Rows of one id are one document, whose words don't run on into the next row; a null id has no score, yet counts."""
+    frame = lambda rows, extra="": spark.createDataFrame(rows, "doc_id long, text string" + extra)
+    papers = frame([(1, "motors walk"), (1, "along tracks"), (2, "motors walk"), (None, "motors walk"), (3, None)])
+    got = [(r.doc_id, round(r.score, 9)) for r in tfidf.scores(papers, frame([(7, "motors walk", 1.0)], ", weight double"), frame([], ", weight double")).collect()]
+    assert sorted(got, key=str) == sorted([(1, got_1 := dict(got)[1]), (1, got_1), (2, 1.0), (3, 0.0), (None, 0.0)], key=str) and 0 < got_1 < 1
+
+
 def test_a_term_of_all_documents_meets_in_no_task(spark):
     counts = spark.range(60_000).select(F.col("id").alias("doc_id"), F.explode(F.array(F.lit("everywhere"), F.concat(F.lit("t"), (F.col("id") % 3000).cast("string")))).alias("term"), F.lit(1).alias("tf"))
     spark.conf.set("spark.sql.shuffle.partitions", "30")
