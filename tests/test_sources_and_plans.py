@@ -340,6 +340,30 @@ def test_keyed_state_over_batches_and_restarts(spark, tmp_path):
     assert read == [5, 6, 4]  # keys of the batch, not of all before
 
 
+def test_keyed_state_is_asked_for_by_bucket(spark, tmp_path, monkeypatch):
+    """A call of the state's function takes many keys, and each row still learns of its own key, whatever share a bucket."""
+    monkeypatch.setattr(editions, "BUCKETS", 2)
+    fields = "seq long, title string, link string, doi string, date timestamp"
+    when, calls = datetime(2026, 8, 5), tmp_path / "calls"
+    calls.mkdir()
+    plain = editions._Met.handleInputRows
+
+    class Counted(editions._Met):
+        def handleInputRows(self, key, rows, timer_values):  # noqa: N802 - the interface's name
+            import uuid
+
+            (calls / uuid.uuid4().hex).touch()
+            yield from plain(self, key, rows, timer_values)
+
+    monkeypatch.setattr(editions, "_Met", Counted)
+    for rows in ([(k, f"Title {k}", None, None, when) for k in range(60)], [(100 + k, f"Title {k}", None, None, when) for k in range(0, 120, 2)]):
+        spark.createDataFrame(rows, fields).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        frame = editions.event_time(spark.readStream.schema(fields).parquet(f"{tmp_path}/in"))
+        editions.keyed_editions(frame, f"{tmp_path}/out", F.lit("e"), f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination(120)
+    assert sorted(r.seq for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [*range(60), *range(160, 220, 2)]
+    assert len(list(calls.iterdir())) == 4
+
+
 def _commit(repo, day, **files):
     import subprocess
 
