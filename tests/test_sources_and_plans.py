@@ -364,6 +364,23 @@ def test_keyed_state_is_asked_for_by_bucket(spark, tmp_path, monkeypatch):
     assert len(list(calls.iterdir())) == 4
 
 
+def test_pages_and_entries_are_held_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    """A reader's batches, and the entries that a task holds, are bounded by bytes and not by the number of pages."""
+    monkeypatch.setattr(web, "BATCH", 1000)
+    feed = "<rss><channel>" + "".join(f"<item><title>T{k}</title></item>" for k in range(20)) + "</channel></rss>"
+    pages = [(f"f/{k}", feed if k < 9 else "") for k in range(10)]
+    sinks.stored(spark.createDataFrame(pages, "url string, body string"), str(tmp_path))
+    reader = web.WebReader({"requests": json.dumps([{"name": "f", "url": "f/{page}"}]), "folder": str(tmp_path), "pages": "99", "retries": "1"})
+    (one,) = reader.partitions()
+    batches = list(reader.read(one))
+    assert [b.num_rows for b in batches] == [2, 2, 2, 2, 2] and [v for b in batches for v in b["page"].to_pylist()] == list(range(10))
+    monkeypatch.setattr(records, "PARSED", 1000)
+    bodies = spark.createDataFrame([(k, feed if k % 3 else "not & xml") for k in range(12)], "page long, body string").coalesce(1)
+    spread = records.with_entries(bodies)
+    got = spread.collect()
+    assert [(r.page, r.entries and len(r.entries), r.body) for r in got] == [(k, 20, None) if k % 3 else (k, None, "not & xml") for k in range(12)]
+
+
 def _commit(repo, day, **files):
     import subprocess
 
