@@ -3,6 +3,7 @@ from datetime import date
 
 import pytest
 from folioscope.operators import budget, policy
+from folioscope.sinks import files as sinks
 from folioscope.sinks.shared import settle
 from folioscope.sources import lookups, records, web
 from pyspark.sql import functions as F
@@ -183,6 +184,22 @@ def test_journal_dates_without_a_page_or_a_work(spark):
     assert lookups.journal_dates(spark.createDataFrame([], "link string, title string"), get, start, end).count() == 0
 
 
+def test_stored_answers_arent_bound_to_a_few_tasks(spark, tmp_path, monkeypatch):
+    """Stored bodies are read by as many tasks as a shuffle has, a service is asked by no more than was said; answers leave a task many at a time, and all of them."""
+    asked = spark.range(60).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
+    sinks.stored(asked.where("id < 50").select(F.concat(F.lit("u/"), "key").alias("url"), F.concat(F.lit("body of "), "key").alias("body")), str(tmp_path))
+    stored, service = web.file_transport(str(tmp_path)), lambda url: (200, url, None)
+    url = lambda keys: f"u/{keys[0]}"
+    assert lookups.answers(asked, "key", url, stored, partitions=2).rdd.getNumPartitions() == 4
+    assert lookups.answers(asked, "key", url, service, partitions=2).rdd.getNumPartitions() == 2
+    for most in (1, 7, 1000):
+        monkeypatch.setattr(lookups, "ANSWERS", most)
+        found = {r.batch_keys[0]: (r.status, r.body, r.error) for r in lookups.answers(asked, "key", url, stored, retries=1).collect()}
+        assert found == {f"k{k}": (200, f"body of k{k}", None) if k < 50 else (404, None, "HTTP 404") for k in range(60)}
+        pairs = lookups.answers(asked, "key", lambda keys: "x", service, batch=7, partitions=1).collect()
+        assert sorted(k for r in pairs for k in r.batch_keys) == sorted(f"k{k}" for k in range(60)) and len(pairs) == 9
+
+
 def test_a_local_model_isnt_bound_to_a_few_tasks(spark):
     """A model that asks nobody runs where the rows are; one that asks a service keeps to its number of tasks."""
     papers = spark.range(40).select(F.col("id").alias("seq"), F.lit("a heed").alias("title"), F.lit("b").alias("abstract"))
