@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date
 
 import pytest
@@ -375,6 +376,31 @@ def test_scores_in_blocks(spark, monkeypatch, size):
     asked[0].unpersist()
 
 
+def test_blocks_are_read_a_few_megabytes_at_a_time(spark, monkeypatch):
+    """A row group holds a few rows of blocks, as a reader decodes all rows of one at once; texts and counts go once they were used."""
+    import pyarrow.parquet as pq
+
+    from folioscope.sinks import shared
+
+    bound, kept, groups = 8 << 10, [], []
+
+    def settled(df, **options):
+        kept.append(out := shared.settle(df, **options))
+        if "term" in df.columns or "a" in df.columns:
+            groups.append([m.row_group(k).total_byte_size for f in out.inputFiles() if (m := pq.read_metadata(f.removeprefix("file://"))) for k in range(m.num_row_groups)])
+        return out
+
+    for name, value in (("settle", settled), ("TEXT_BYTES", 2 << 10), ("GROUP_BYTES", bound)):
+        monkeypatch.setattr(tfidf, name, value, raising=False)
+    say = lambda k: " ".join(f"word{chr(97 + (k * j) % 23)}{chr(97 + j % 26)}{chr(97 + k % 26)}" for j in range(100))
+    papers, positive = [(k, say(k)) for k in range(120)], [(k, say(k), 1.0) for k in range(0, 120, 3)]
+    got = tfidf.scores(spark.createDataFrame(papers, "doc_id long, text string"), spark.createDataFrame(positive, "doc_id long, text string, weight double"), spark.createDataFrame([], "doc_id long, text string, weight double"))
+    assert len(groups) == 3 and all(sum(g) > 10 * bound and max(g) < 4 * bound for g in groups)
+    left = [os.path.isdir(shared._PATHS[f].removeprefix("file:")) for f in kept if f in shared._PATHS]
+    assert len(kept) == 5 and left == [True] * 3
+    assert {x.doc_id: pytest.approx(x.score, abs=1e-9) for x in got.collect()} == _plain_scores(papers, positive, [])
+
+
 def test_scores_of_ids_that_repeat_or_are_null(spark):
     """Rows of one id are one document, whose words don't run on into the next row; a null id has no score, yet counts."""
     frame = lambda rows, extra="": spark.createDataFrame(rows, "doc_id long, text string" + extra)
