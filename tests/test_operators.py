@@ -401,6 +401,37 @@ def test_blocks_are_read_a_few_megabytes_at_a_time(spark, monkeypatch):
     assert {x.doc_id: pytest.approx(x.score, abs=1e-9) for x in got.collect()} == _plain_scores(papers, positive, [])
 
 
+@pytest.mark.parametrize("size", [64, 8 << 20])
+def test_centroid_in_blocks(spark, monkeypatch, size):
+    """The same from many blocks as from one; what is written down for chosen documents has a row a block and part of the terms, for others none."""
+    import math
+    from collections import Counter
+
+    monkeypatch.setattr(tfidf, "TEXT_BYTES", size)
+    kept, settle = [], tfidf.settle
+    monkeypatch.setattr(tfidf, "settle", lambda df, **options: kept.append((df.columns, (out := settle(df, **options)).count())) or out)
+    say = lambda k: " ".join(f"word{chr(97 + (k * j) % 23)}" for j in range(30))
+    docs = [(k % 70, say(k)) for k in range(80)] + [(None, say(3)), (None, "alone"), (90, None), (91, "")]
+    weights = [(k, 1.0 + k % 2) for k in range(0, 70, 3)] + [(6, 3.0), (90, 1.0), (91, 1.0), (500, 1.0)]
+    got = tfidf.centroid(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(weights, "doc_id long, weight double")).collect()
+    tf, df, sums = {}, Counter(), Counter()
+    for key, t in docs:
+        w = (t or "").split()
+        tf.setdefault(key, Counter()).update(w + [f"{x}_{y}" for x, y in zip(w, w[1:], strict=False)])
+    for c in tf.values():
+        df.update(c.keys())
+    for key, weight in weights:
+        v = {t: (1 + math.log(n)) * (math.log((1 + len(docs)) / (1 + df[t])) + 1) for t, n in tf.get(key, {}).items()}
+        length = math.sqrt(sum(x * x for x in v.values()) * sum(k == key for k, _ in weights))
+        sums.update({t: x / length * weight for t, x in v.items()})
+    norm = math.sqrt(sum(c * c for c in sums.values()))
+    assert {r.term: pytest.approx(r.c, abs=1e-9) for r in got} == {t: c / norm for t, c in sums.items()} and len(got) == len(sums)
+    assert [("part" in columns, "term" in columns) for columns, _ in kept] == [(True, True), (False, True)] and kept[1][1] == len(sums)
+    assert size == 64 or kept[0][1] <= 8
+    none = tfidf.centroid(spark.createDataFrame([(1, ""), (2, None)], "doc_id long, text string"), spark.createDataFrame([(1, 1.0)], "doc_id long, weight double"))
+    assert none.schema.simpleString() == "struct<term:string,c:double>" and none.isEmpty()
+
+
 def test_scores_of_ids_that_repeat_or_are_null(spark):
     """Rows of one id are one document, whose words don't run on into the next row; a null id has no score, yet counts."""
     frame = lambda rows, extra="": spark.createDataFrame(rows, "doc_id long, text string" + extra)
