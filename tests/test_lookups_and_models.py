@@ -211,3 +211,34 @@ def test_a_local_model_isnt_bound_to_a_few_tasks(spark):
         assert {'"score": 55' in r.raw for r in policy.ask(papers, local, 2).collect()} == {True}
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+@pytest.mark.parametrize("lost, body", [("rss2/src1/0", None), ("rss2/src1/1", None), ("rss2/src1/0", "<html><br></html"), ("rss2/src1/0", "")])
+def test_a_feed_that_breaks_off_is_no_result(spark, tmp_path, monkeypatch, lost, body):
+    """A page that is missing, empty or no feed fails the scan, where the rest of the feeds was taken for all of them."""
+    from folioscope.plans import catalog_runs
+
+    spark.createDataFrame([(k, "t", "de", f"src{k % 3}") for k in range(9)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert catalog_runs.backup_scan(spark, str(tmp_path)).count() == 9
+    stored = catalog_runs.sinks.stored
+
+    def broken(pages, folder):
+        kept = pages.where(F.col("url") != lost)
+        stored(kept if body is None else kept.unionByName(spark.createDataFrame([(lost, body)], "url string, body string")), folder)
+
+    monkeypatch.setattr(catalog_runs.sinks, "stored", broken)
+    with pytest.raises(Exception, match="sources is complete|not a feed"):
+        catalog_runs.backup_scan(spark, str(tmp_path)).collect()
+
+
+def test_scans_fail_where_a_page_is_missing(spark, tmp_path, monkeypatch):
+    from folioscope.plans import catalog_runs
+
+    spark.createDataFrame([(12 * k, "t", "de", "src1") for k in range(70)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    scans = (catalog_runs.archive_scan, catalog_runs.preprint_scan)
+    assert [q(spark, str(tmp_path)).count() for q in scans] == [70, 70]
+    stored = catalog_runs.sinks.stored
+    monkeypatch.setattr(catalog_runs.sinks, "stored", lambda pages, folder: stored(pages.where("NOT url RLIKE '/30/json|start=40'"), folder))
+    for q in scans:
+        with pytest.raises(Exception, match="a scan isn't complete"):
+            q(spark, str(tmp_path)).collect()
